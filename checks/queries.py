@@ -241,7 +241,7 @@ def gold_rows(lake: ParquetLake) -> DataFrame:
     nothing = {
         "sensor_id": F.lit(None).cast("string"),
         "site": F.lit(None).cast("string"),
-        "at": F.lit(None).cast("timestamp"),
+        "at_time": F.lit(None).cast("timestamp"),
         "events": F.lit(None).cast("long"),
         "temperature": F.lit(None).cast("double"),
         "humidity": F.lit(None).cast("double"),
@@ -251,23 +251,23 @@ def gold_rows(lake: ParquetLake) -> DataFrame:
         m.SENSOR_MINUTE: {
             "sensor_id": "sensor_id",
             "site": "site",
-            "at": "window_start",
+            "at_time": "window_start",
             "events": "event_count",
             "temperature": "avg_temperature",
             "humidity": "avg_humidity",
         },
         m.SITE_MINUTE: {
             "site": "site",
-            "at": "window_start",
+            "at_time": "window_start",
             "events": "event_count",
             "temperature": "avg_temperature",
             "humidity": "avg_humidity",
         },
-        m.SITE_ALERT_MINUTE: {"site": "site", "at": "window_start", "label": "alert_level"},
+        m.SITE_ALERT_MINUTE: {"site": "site", "at_time": "window_start", "label": "alert_level"},
         m.SENSOR_LATEST: {
             "sensor_id": "sensor_id",
             "site": "site",
-            "at": "event_time",
+            "at_time": "event_time",
             "temperature": "temperature",
             "humidity": "humidity",
             "label": "status",
