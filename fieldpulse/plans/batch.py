@@ -7,15 +7,18 @@ after a crash half way, therefore repairs whatever the first attempt left out.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import Protocol
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldpulse import model as m
+from fieldpulse.functions.timegrid import hash_slot
 from fieldpulse.operators import events as ev
 from fieldpulse.operators import minutes, status, windows
 from fieldpulse.operators.sizing import is_small, small
@@ -45,17 +48,18 @@ class BatchProfile:
     rows: int
     valid: int
     name_bytes: int
+    sensor_slots: tuple[int, ...]
 
     @classmethod
     def of(cls, classified: DataFrame) -> BatchProfile:
         names = F.octet_length("sensor_id") + F.octet_length("site")
-        return cls(
-            *classified.agg(
-                F.count(F.lit(1)),
-                F.count_if(ev.is_valid()),
-                F.coalesce(F.sum(F.when(ev.is_valid(), names)), F.lit(0)),
-            ).first()
-        )
+        rows, valid, name_bytes, slots = classified.agg(
+            F.count(F.lit(1)),
+            F.count_if(ev.is_valid()),
+            F.coalesce(F.sum(F.when(ev.is_valid(), names)), F.lit(0)),
+            F.collect_set(F.when(ev.is_valid(), hash_slot("sensor_id"))),
+        ).first()
+        return cls(rows, valid, name_bytes, tuple(sorted(slots)))
 
     @property
     def id_bytes(self) -> int:
@@ -114,33 +118,49 @@ def _land(
 
     partials = affected_partials(silver, valid, profile.window_bytes, options.limits)
     partials.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    site_minutes = minutes.site_minute(partials).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def sensor_minutes() -> None:
         touched = windows.affected_sensor_windows(valid)
-        changed = windows.in_windows(
-            partials, touched, windows.SENSOR_KEYS, profile.window_bytes
-        )
+        keys = windows.SENSOR_KEYS
+        changed = windows.in_windows(partials, touched, keys, profile.window_bytes)
         lake.upsert(m.SENSOR_MINUTE, stamped(minutes.sensor_minute(changed), now), hours)
 
-        site_minutes = minutes.site_minute(partials).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            alerts = minutes.site_alert_minute(site_minutes)
-            lake.upsert(m.SITE_MINUTE, stamped(site_minutes, now), hours)
-            lake.upsert(m.SITE_ALERT_MINUTE, stamped(alerts, now), hours)
-        finally:
-            site_minutes.unpersist()
+    def site_aggregates() -> None:
+        lake.upsert(m.SITE_MINUTE, stamped(site_minutes, now), hours)
+
+    def alert_levels() -> None:
+        alerts = minutes.site_alert_minute(site_minutes)
+        lake.upsert(m.SITE_ALERT_MINUTE, stamped(alerts, now), hours)
+
+    def latest() -> None:
+        slots = SlotScope(profile.sensor_slots)
+        sensors = windows.affected_sensors(valid)
+        ids = small(valid.select("event_id").distinct(), profile.id_bytes)
+        newest = status.advance_latest_status(
+            landed=silver.join(ids, "event_id", "left_semi"),
+            current=lake.read(m.SENSOR_LATEST, slots),
+            sensors=small(sensors, profile.name_bytes),
+            limits=options.limits,
+        )
+        lake.upsert(m.SENSOR_LATEST, stamped(newest, now), slots)
+
+    try:
+        _together(lake.spark, sensor_minutes, site_aggregates, alert_levels, latest)
     finally:
+        site_minutes.unpersist()
         partials.unpersist()
 
-    sensors = windows.affected_sensors(valid)
-    slots = SlotScope.of(sensors, "sensor_id")
-    ids = small(valid.select("event_id").distinct(), profile.id_bytes)
-    newest = status.advance_latest_status(
-        landed=silver.join(ids, "event_id", "left_semi"),
-        current=lake.read(m.SENSOR_LATEST, slots),
-        sensors=small(sensors, profile.name_bytes),
-        limits=options.limits,
-    )
-    lake.upsert(m.SENSOR_LATEST, stamped(newest, now), slots)
+
+def _together(spark: SparkSession, *steps: Callable[[], None]) -> None:
+    """Submit independent jobs side by side; each writes its own tables.
+
+    All of them are waited for, then the first error is raised.
+    """
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    for step in running:
+        step.result()
 
 
 def insert_absent_events(

@@ -10,7 +10,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldpulse.functions.timegrid import LATEST_SLOTS, hash_slot, utc_day, utc_hour
+from fieldpulse.functions.timegrid import utc_day, utc_hour
 
 MAX_HOURS = 2_000
 
@@ -63,10 +63,5 @@ class SlotScope:
 
     slots: tuple[int, ...]
 
-    @classmethod
-    def of(cls, rows: DataFrame, *keys: str, slots: int = LATEST_SLOTS) -> SlotScope:
-        touched = rows.select(hash_slot(*keys, slots=slots).alias("slot")).distinct().collect()
-        return cls(tuple(sorted(row.slot for row in touched)))
-
     def predicate(self) -> Column:
         return F.col("part_slot").isin(list(self.slots))
