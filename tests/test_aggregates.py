@@ -1,0 +1,163 @@
+"""Windows, minute aggregates, alert levels, sensor status."""
+
+from collections import defaultdict
+from datetime import timedelta
+
+import pytest
+
+from fieldpulse.model import Limits
+from fieldpulse.operators import events as ev
+from fieldpulse.operators import minutes, status, windows
+from fieldpulse.operators.upserts import absent_rows, upserted
+from tests.conftest import SMALLEST, at, rows_of
+
+
+def test_windows_are_half_open_and_aligned(make_events):
+    frame = make_events(
+        ("s", "a", 1.0, 1.0, "2024-01-01T00:00:59.999"),
+        ("s", "a", 1.0, 1.0, "2024-01-01T00:01:00.000"),
+        ("s", "a", 1.0, 1.0, "1969-12-31T23:59:59.999"),
+    )
+    found = windows.affected_site_windows(frame).selectExpr(
+        "unix_seconds(window_start)", "unix_seconds(window_end)"
+    )
+    base = int(at("2024-01-01T00:00:00").timestamp())
+    assert rows_of(found) == sorted(
+        [(-60, 0), (base, base + 60), (base + 60, base + 120)], key=repr
+    )
+
+
+def test_affected_sets_are_distinct(make_events):
+    time = "2024-01-01T00:00:0"
+    frame = make_events(*[("s", "a", 1.0, float(i), f"{time}{i}") for i in range(3)])
+    assert windows.affected_sensor_windows(frame).count() == 1
+    assert windows.affected_site_windows(frame).count() == 1
+    assert windows.affected_sensors(frame).count() == 1
+
+
+@pytest.mark.parametrize("max_bytes", [None, 0, 10**9])
+def test_equi_form_equals_range_form(spark, max_bytes):
+    from checks import queries as q
+
+    silver = q.silver(spark, SMALLEST)
+    batch = q.valid(spark, SMALLEST).where("batch_no = 1")
+    touched = windows.affected_sensor_windows(batch)
+    found = windows.in_windows(
+        windows.with_window_start(silver), touched, windows.SENSOR_KEYS, max_bytes
+    )
+    spans = defaultdict(list)
+    for w in touched.collect():
+        spans[w.sensor_id, w.site].append((w.window_start, w.window_end))
+    expected = [
+        (r.event_id,)
+        for r in silver.collect()
+        if any(lo <= r.event_time < hi for lo, hi in spans[r.sensor_id, r.site])
+    ]
+    assert rows_of(found, "event_id") == sorted(expected, key=repr)
+
+
+def partials(frame, limits=Limits()):
+    return minutes.minute_partials(frame, limits)
+
+
+def test_missing_measures_count_as_events_only(make_events):
+    frame = make_events(
+        ("s", "a", None, None, "2024-01-01T00:00:01"),
+        ("s", "a", 1.0, None, "2024-01-01T00:00:02"),
+        ("t", "a", 2.0, None, "2024-01-01T00:00:03"),
+    )
+    row = minutes.sensor_minute(partials(frame)).where("sensor_id = 's'").first()
+    assert (row.event_count, row.avg_temperature, row.avg_humidity) == (2, 1.0, None)
+    site = minutes.site_minute(partials(frame)).first()
+    assert (site.event_count, site.active_sensors) == (3, 2)
+    assert (site.avg_temperature, site.avg_humidity) == (1.5, None)
+    assert (site.high_temp_events, site.high_humidity_events) == (0, 0)
+
+
+def test_averages_are_rounded_half_up(make_events):
+    frame = make_events(
+        ("s", "a", 0.0, 1.0, "2024-01-01T00:00:01"), ("s", "a", 0.25, 1.0, "2024-01-01T00:00:02")
+    )
+    row = minutes.sensor_minute(partials(frame)).first()
+    assert row.avg_temperature == 0.13
+
+
+def test_last_event_time_is_kept(make_events):
+    frame = make_events(
+        ("s", "a", 0.0, 1.0, "2024-01-01T00:00:59.5"), ("s", "a", 0.25, 1.0, "2024-01-01T00:00:02")
+    )
+    found = minutes.sensor_minute(partials(frame)).selectExpr("unix_millis(last_event_time)")
+    assert found.first()[0] == int(at("2024-01-01T00:00:59.5").timestamp() * 1000)
+
+
+@pytest.mark.parametrize(
+    ("temperature", "humidity", "level", "status_text"),
+    [
+        (34.99, 84.99, "normal", "normal"),
+        (35.0, 0.0, "warning", "warning"),
+        (0.0, 85.0, "warning", "warning"),
+        (0.0, 100.0, "warning", "warning"),
+        (45.0, 0.0, "critical", "critical"),
+        (44.99, 0.0, "warning", "warning"),
+        (None, 85.0, "warning", "warning"),
+        (None, None, "normal", "normal"),
+        (45.0, None, "critical", "critical"),
+    ],
+)
+def test_thresholds_are_inclusive(make_events, temperature, humidity, level, status_text):
+    frame = make_events(("s", "a", temperature, humidity, "2024-01-01T00:00:01"))
+    alert = minutes.site_alert_minute(minutes.site_minute(partials(frame))).first()
+    assert alert.alert_level == level
+    assert status.sensor_latest_status(ev.with_event_id(frame)).first().status == status_text
+
+
+def test_thresholds_can_be_set(make_events):
+    limits = Limits.from_env({"HIGH_TEMPERATURE_THRESHOLD": "5", "HIGH_HUMIDITY_THRESHOLD": "6"})
+    frame = make_events(("s", "a", 5.0, 1.0, "2024-01-01T00:00:01"))
+    assert minutes.site_minute(partials(frame, limits)).first().high_temp_events == 1
+    assert status.sensor_latest_status(ev.with_event_id(frame), limits).first().status == "warning"
+    assert limits.critical_temperature == 45.0
+
+
+def test_status_follows_a_sensor_across_sites(make_events):
+    frame = make_events(
+        ("s", "a", 50.0, 1.0, "2024-01-01T00:00:01"), ("s", "b", 1.0, 1.0, "2024-01-01T00:00:02")
+    )
+    (row,) = status.sensor_latest_status(ev.with_event_id(frame)).collect()
+    assert (row.site, row.status) == ("b", "normal")
+
+
+def test_site_minute_matches_a_plain_count(spark):
+    from checks import queries as q
+
+    groups = defaultdict(list)
+    for r in q.silver(spark, SMALLEST).collect():
+        start = r.event_time.replace(second=0, microsecond=0)
+        groups[r.site, start, start + timedelta(minutes=1)].append(r)
+    expected = [
+        (
+            *key,
+            len(rows),
+            len({r.sensor_id for r in rows}),
+            sum((r.temperature or 0) >= 35 for r in rows),
+        )
+        for key, rows in groups.items()
+    ]
+    columns = ["site", "window_start", "window_end", "event_count", "active_sensors"]
+    found = minutes.site_minute(partials(q.silver(spark, SMALLEST)))
+    assert rows_of(found, *columns, "high_temp_events") == sorted(expected, key=repr)
+
+
+@pytest.mark.parametrize("key_bytes", [None, 0, 10**12])
+@pytest.mark.parametrize("unique", [True, False])
+def test_absent_rows(spark, key_bytes, unique):
+    source = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3)], "id string, n int")
+    target = spark.createDataFrame([("a", 9), ("a", 9), ("c", 9)], "id string, n int")
+    fresh = absent_rows(source, target, "id", key_bytes, unique)
+    assert rows_of(fresh) == [("b", 2), ("b", 3)]
+
+
+def test_upserted(spark):
+    target = spark.createDataFrame([("a", 1, 1), ("b", 1, 1)], "k string, j int, n int")
+    source = spark.createDataFrame([(2, "b", 1), (3, "b", 2)], "n int, k string, j int")
+    assert rows_of(upserted(target, source, ["k", "j"])) == [("a", 1, 1), ("b", 1, 2), ("b", 2, 3)]

@@ -1,0 +1,181 @@
+"""Parsing, validity, identity and dead letters on literal edge cases."""
+
+import hashlib
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from fieldpulse.model import EVENT_COLUMNS, Limits
+from fieldpulse.operators import events as ev
+from tests.conftest import at, rows_of
+
+GOOD = ("s1", "a", 20.0, 50.0, "2024-01-01T00:00:00Z")
+
+
+def errors(frame):
+    return [r[0] for r in ev.classify(frame).select(ev.ERROR).collect()]
+
+
+MALFORMED = ["not json", "", '{"sensor_id":"a"', "[]", "null", "{}", '[{"sensor_id":"a"}]']
+
+
+@pytest.mark.parametrize("text", MALFORMED)
+def test_malformed_text_gives_one_row_of_nulls(make_raw, text):
+    parsed = ev.parse_events(make_raw(text))
+    assert parsed.columns == EVENT_COLUMNS
+    if text.startswith("[{"):
+        assert parsed.count() == 1
+    else:
+        assert rows_of(parsed) == [(None,) * 5]
+    if text != '[{"sensor_id":"a"}]':
+        assert errors(parsed) == ["missing_sensor_id"]
+
+
+def test_null_payload_is_kept_as_an_invalid_event(spark):
+    raw = spark.createDataFrame([(None,)], "value string")
+    assert errors(ev.parse_events(raw)) == ["missing_sensor_id"]
+
+
+def test_binary_payload_is_decoded(spark):
+    raw = spark.createDataFrame([(bytearray(b'{"sensor_id":"x"}'), 1)], "value binary, key int")
+    assert ev.payload(raw).columns == ["value"]
+    assert ev.parse_events(ev.payload(raw)).first().sensor_id == "x"
+
+
+def test_fields_of_the_wrong_type(make_raw):
+    text = '{"sensor_id":7,"site":"a","temperature":"21.5","humidity":1,"event_time":"x","z":1}'
+    row = ev.parse_events(make_raw(text)).first()
+    assert (row.sensor_id, row.site, row.temperature, row.humidity) == ("7", "a", None, 1.0)
+    assert row.event_time is None
+
+
+def test_event_time_offset_is_honoured_and_default_zone_is_utc(make_raw):
+    frame = ev.parse_events(
+        make_raw(
+            '{"event_time":"2026-04-02T15:45:00+02:00"}', '{"event_time":"2026-04-02T13:45:00"}'
+        )
+    )
+    seconds = [r[0] for r in frame.select(F.unix_seconds("event_time")).collect()]
+    assert seconds == [int(at("2026-04-02T13:45:00").timestamp())] * 2
+
+
+@pytest.mark.parametrize(
+    ("row", "error"),
+    [
+        (GOOD, None),
+        ((None, *GOOD[1:]), "missing_sensor_id"),
+        (("", *GOOD[1:]), "missing_sensor_id"),
+        ((" ", *GOOD[1:]), None),
+        (("s", "", *GOOD[2:]), "missing_site"),
+        (("s", None, *GOOD[2:]), "missing_site"),
+        (("s", " ", *GOOD[2:]), None),
+        (("s", "a", -50.0, 0.0, GOOD[4]), None),
+        (("s", "a", 80.0, 100.0, GOOD[4]), None),
+        (("s", "a", -50.01, 0.0, GOOD[4]), "temperature_out_of_range"),
+        (("s", "a", 80.01, 0.0, GOOD[4]), "temperature_out_of_range"),
+        (("s", "a", 999.0, 45.0, GOOD[4]), "temperature_out_of_range"),
+        (("s", "a", float("nan"), 45.0, GOOD[4]), "temperature_out_of_range"),
+        (("s", "a", float("inf"), 45.0, GOOD[4]), "temperature_out_of_range"),
+        (("s", "a", 0.0, -0.01, GOOD[4]), "humidity_out_of_range"),
+        (("s", "a", 0.0, 100.01, GOOD[4]), "humidity_out_of_range"),
+        (("s", "a", 0.0, float("nan"), GOOD[4]), "humidity_out_of_range"),
+        (("s", "a", None, None, GOOD[4]), None),
+        (("s", "a", 0.0, 0.0, None), "missing_event_time"),
+        (("", "", 999.0, 999.0, None), "missing_sensor_id"),
+        (("s", "", 999.0, 999.0, None), "missing_site"),
+        (("s", "a", 999.0, 999.0, None), "temperature_out_of_range"),
+        (("s", "a", None, 999.0, None), "humidity_out_of_range"),
+    ],
+)
+def test_first_broken_rule_decides(make_events, row, error):
+    assert errors(make_events(row)) == [error]
+
+
+def test_ranges_can_be_set(make_events):
+    frame = ev.classify(make_events(GOOD), Limits(max_temperature=10.0))
+    assert frame.first()[ev.ERROR] == "temperature_out_of_range"
+
+
+def test_every_row_is_on_exactly_one_side(make_events):
+    rows = [GOOD, ("", *GOOD[1:]), ("s", "a", None, None, GOOD[4]), ("s", "a", 0.0, 0.0, None)]
+    classified = ev.classify(make_events(*rows))
+    assert ev.valid_events(classified).count() == 2
+    assert ev.invalid_events(classified).count() == 2
+
+
+def test_json_is_parsed_once_for_a_split(make_raw):
+    split = ev.valid_events(ev.classify(ev.parse_events(make_raw(GOOD))))
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+def ids(frame):
+    return [r.event_id for r in ev.with_event_id(frame).collect()]
+
+
+def test_id_is_the_hash_of_the_written_text(make_events):
+    text = "s1||a||20.00||50.00||2024-01-01T00:00:00.000Z"
+    assert ids(make_events(GOOD)) == [hashlib.sha256(text.encode()).hexdigest()]
+
+
+def test_missing_measures_are_left_out_of_the_id(make_events):
+    first, second = ids(
+        make_events(("s", "a", None, 5.0, GOOD[4]), ("s", "a", 5.0, None, GOOD[4]))
+    )
+    assert first == second
+
+
+def test_differences_below_the_written_precision_collapse(make_events):
+    time = "2024-01-01T00:00:00.001"
+    same = ids(
+        make_events(("s", "a", 20.001, 5.0, time), ("s", "a", 20.0, 5.0, time + "900"))
+    )
+    assert len(set(same)) == 1
+    other = ids(make_events(("s", "a", 20.01, 5.0, time), ("s", "a", 20.0, 5.0, "2024-01-01T00:00:00.002")))
+    assert len({*same, *other}) == 3
+
+
+def test_first_per_id_takes_the_earliest(make_events):
+    frame = ev.with_event_id(
+        make_events(
+            ("s", "a", 20.001, 5.0, "2024-01-01T00:00:00.001900"),
+            ("s", "a", 20.0, 5.0, "2024-01-01T00:00:00.001100"),
+            ("s", "a", 19.999, 5.0, "2024-01-01T00:00:00.001100"),
+        )
+    )
+    assert rows_of(ev.first_per_id(frame), "temperature") == [(19.999,)]
+
+
+def test_first_per_id_limits_groups_before_the_shuffle(make_events):
+    plan = ev.first_per_id(ev.with_event_id(make_events(GOOD)))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("WindowGroupLimit") == 2
+
+
+def test_latest_tie_goes_to_the_smaller_id(make_events):
+    frame = ev.with_event_id(
+        make_events(("s", "a", 1.0, 1.0, GOOD[4]), ("s", "b", 2.0, 2.0, GOOD[4]))
+    )
+    smaller = min(r.event_id for r in frame.collect())
+    assert rows_of(ev.latest_per_sensor(frame), "event_id") == [(smaller,)]
+
+
+def letters(frame, *args):
+    classified = ev.classify(frame)
+    return [r.value for r in ev.dead_letters(ev.invalid_events(classified), *args).collect()]
+
+
+def test_dead_letter_text(make_events):
+    row = ("s", None, 1.5, float("nan"), "2024-01-01T00:00:00.123456")
+    assert letters(make_events(row), 7) == [
+        '{"sensor_id":"s","temperature":1.5,"humidity":"NaN",'
+        '"event_time":"2024-01-01T00:00:00.123Z","validation_error":"missing_site","batch_id":7}'
+    ]
+
+
+def test_dead_letter_can_carry_the_original_text(make_raw):
+    raw = make_raw("not json").withColumn("raw_value", F.col("value"))
+    parsed = ev.parse_events(raw, ("raw_value",))
+    (text,) = letters(parsed, 1, "raw_value")
+    assert json.loads(text)["raw_value"] == "not json"
