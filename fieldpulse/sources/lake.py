@@ -4,6 +4,8 @@ Readers use the views of the ``reporting`` schema, which show exactly the contra
 files belong to tables of a second schema that add the derived partition columns.  The catalog
 knows the partitions, so a read with a partition filter lists only the folders it needs.
 
+Overwriting replaces only the partitions in the written rows; that mode is an option of the tables.
+
 Each lake has one writer.  Appends and partition overwrites are single Spark jobs, so lost
 executors only cost task retries.  An upsert first writes the merged partitions beside the table
 and then copies them over the old ones; if the driver dies in between, the finished copy is
@@ -57,6 +59,7 @@ class ParquetLake:
         columns = ", ".join(f"{n} {t}" for n, t in (*spec.columns, *spec.partition_columns))
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self._files(spec)} ({columns}) USING parquet "
+            f"OPTIONS (partitionOverwriteMode 'dynamic') "
             f"PARTITIONED BY ({', '.join(spec.partition_names)}) "
             f"LOCATION '{self._location(spec)}'"
         )
@@ -134,12 +137,12 @@ class ParquetLake:
         self._publish(spec)
 
     def overwrite(self, table: str, rows: DataFrame) -> None:
-        """Replace the whole table."""
+        """Replace the whole table, including partitions that ``rows`` no longer has."""
         spec = TABLES[table]
-        delete_tree(self.spark, self._staging(spec))
-        self._laid_out(spec, rows).write.option("partitionOverwriteMode", "static").insertInto(
-            self._files(spec), overwrite=True
-        )
+        self._stage(spec, rows)
+        delete_tree(self.spark, self._location(spec))
+        self._publish(spec)
+        self.spark.sql(f"MSCK REPAIR TABLE {self._files(spec)} SYNC PARTITIONS")
 
     def _stage(self, spec: TableSpec, rows: DataFrame) -> None:
         (
@@ -152,9 +155,7 @@ class ParquetLake:
     def _publish(self, spec: TableSpec) -> None:
         table = self.spark.read.table(self._files(spec))
         staged = self.spark.read.schema(table.schema).parquet(self._staging(spec))
-        staged.select(*table.columns).write.option(
-            "partitionOverwriteMode", "dynamic"
-        ).insertInto(self._files(spec), overwrite=True)
+        staged.select(*table.columns).write.insertInto(self._files(spec), overwrite=True)
         delete_tree(self.spark, self._staging(spec))
 
     def _publish_staged(self, spec: TableSpec) -> None:

@@ -156,3 +156,24 @@ def test_report_reads_only_the_newest_partitions(make_events, lake):
     assert report(lake, "sensor_minute").count() == 0
 
 
+
+
+def site_rows(make_events, now, *rows):
+    from fieldpulse.operators import minutes
+
+    return stamped(minutes.site_minute(minutes.minute_partials(make_events(*rows))), now)
+
+
+def test_upsert_leaves_other_partitions_alone(make_events, lake):
+    monday, tuesday = ("s", "a", 1.0, 1.0, "2024-01-01T00:00:01"), ("s", "a", 2.0, 1.0, "2024-01-02T05:00:01")
+    for row in (monday, tuesday):
+        lake.upsert(m.SITE_MINUTE, site_rows(make_events, NOW, row), HourScope.of(make_events(row)))
+    assert rows_of(lake.read(m.SITE_MINUTE), "avg_temperature") == [(1.0,), (2.0,)]
+
+
+def test_overwrite_replaces_everything(make_events, lake):
+    rows = [("s", "a", float(d), 1.0, f"2024-01-0{d}T00:00:01") for d in (1, 2)]
+    lake.overwrite(m.SITE_MINUTE, site_rows(make_events, NOW, *rows))
+    lake.overwrite(m.SITE_MINUTE, site_rows(make_events, LATER, rows[1]))
+    assert rows_of(lake.read(m.SITE_MINUTE), "avg_temperature") == [(2.0,)]
+    assert len(lake.newest_hours(m.SITE_MINUTE)) == 1
