@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from fieldpulse import model as m
 from fieldpulse.functions.severity import sensor_status
@@ -17,21 +18,28 @@ def sensor_latest_status(events: DataFrame, limits: m.Limits = m.DEFAULT_LIMITS)
     return newest.select(*_MEASURED, sensor_status(limits).alias("status"))
 
 
+def newest_times(partials: DataFrame, sensors: DataFrame) -> DataFrame:
+    """Newest event time of the listed sensors inside the given minutes."""
+    listed = partials.join(sensors, "sensor_id", "left_semi")
+    return listed.groupBy("sensor_id").agg(F.max("last_event_time").alias("event_time"))
+
+
 def advance_latest_status(
-    landed: DataFrame,
+    silver: DataFrame,
+    newest: DataFrame,
     current: DataFrame,
     sensors: DataFrame,
     limits: m.Limits = m.DEFAULT_LIMITS,
 ) -> DataFrame:
     """New status of the listed sensors without reading their history.
 
-    ``landed`` are the silver rows that carry an id of the batch, ``current`` the status table.
-    Silver only grows, so the newest row of a sensor is the newer of the two.  The tie-break id
-    of a current row follows from its own columns.  Landed rows are cut to one per sensor
-    before the join, so a busy sensor does not crowd one task.
+    ``newest`` holds the newest event time per sensor inside the minutes a batch touched,
+    ``silver`` at least the rows at these times, ``current`` the status table.  Silver only
+    grows, so the newest row of a sensor is one of those or its current one.  The tie-break id
+    of a current row follows from its own columns.
     """
     columns = ["event_id", *_MEASURED]
-    candidates = latest_per_sensor(landed.select(*columns)).unionByName(
-        with_event_id(current.select(*_MEASURED))
-    )
-    return sensor_latest_status(candidates.join(sensors, "sensor_id", "left_semi"), limits)
+    touched = silver.select(*columns).join(newest, ["sensor_id", "event_time"], "left_semi")
+    known = current.select(*_MEASURED).join(sensors, "sensor_id", "left_semi")
+    candidates = latest_per_sensor(touched).unionByName(with_event_id(known))
+    return sensor_latest_status(candidates, limits)

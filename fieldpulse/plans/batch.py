@@ -27,7 +27,7 @@ from fieldpulse.sources.lake import ParquetLake, stamped
 from fieldpulse.sources.scope import HourScope, SlotScope
 
 EVENT_ID_BYTES = 96  # 64 hex digits and the overhead of a row
-WINDOW_BYTES = 64  # row overhead and window start, beside the names
+ROW_BYTES = 64  # overhead and timestamps of a key row, beside its names
 
 
 class DeadLetterSink(Protocol):
@@ -43,31 +43,50 @@ class BatchOptions:
 
 @dataclass(frozen=True)
 class BatchProfile:
-    """What one pass over the classified batch tells: row counts and bounds on key sizes."""
+    """Row counts of a batch."""
 
     rows: int
     valid: int
-    name_bytes: int
-    sensor_slots: tuple[int, ...]
 
     @classmethod
     def of(cls, classified: DataFrame) -> BatchProfile:
-        names = F.octet_length("sensor_id") + F.octet_length("site")
-        rows, valid, name_bytes, slots = classified.agg(
-            F.count(F.lit(1)),
-            F.count_if(ev.is_valid()),
-            F.coalesce(F.sum(F.when(ev.is_valid(), names)), F.lit(0)),
-            F.collect_set(F.when(ev.is_valid(), hash_slot("sensor_id"))),
-        ).first()
-        return cls(rows, valid, name_bytes, tuple(sorted(slots)))
+        counts = classified.agg(F.count(F.lit(1)), F.count_if(ev.is_valid()))
+        return cls(*counts.first())
 
     @property
     def id_bytes(self) -> int:
         return self.valid * EVENT_ID_BYTES
 
+
+@dataclass(frozen=True)
+class Touched:
+    """The sensor windows of a batch, with what bounds the work on them.
+
+    ``key_bytes`` is the size of the windows, so also an upper bound for the fewer site windows
+    and sensors.
+    """
+
+    sensor_windows: DataFrame
+    key_bytes: int
+    slots: SlotScope
+    hours: HourScope
+
+    @classmethod
+    def of(cls, sensor_windows: DataFrame) -> Touched:
+        names = F.octet_length("sensor_id") + F.octet_length("site")
+        key_bytes, slots = sensor_windows.agg(
+            F.sum(names + ROW_BYTES), F.collect_set(hash_slot("sensor_id"))
+        ).first()
+        hours = HourScope.of(sensor_windows, "window_start")
+        return cls(sensor_windows, key_bytes, SlotScope(tuple(sorted(slots))), hours)
+
+    @property
+    def site_windows(self) -> DataFrame:
+        return self.sensor_windows.select(*windows.SITE_KEYS).distinct()
+
     @property
-    def window_bytes(self) -> int:
-        return self.name_bytes + self.valid * WINDOW_BYTES
+    def sensors(self) -> DataFrame:
+        return small(self.sensor_windows.select("sensor_id").distinct(), self.key_bytes)
 
 
 def classified_batch(raw: DataFrame, options: BatchOptions) -> DataFrame:
@@ -99,51 +118,52 @@ def process_batch(
             dead_letters.write(letters, run, batch_id)
         if profile.valid:
             valid = ev.valid_events(classified).select("event_id", *m.EVENT_COLUMNS)
-            _land(lake, valid, profile, options, now)
+            _land(lake, valid, profile.id_bytes, options, now)
         return profile
     finally:
         classified.unpersist()
 
 
 def _land(
-    lake: ParquetLake,
-    valid: DataFrame,
-    profile: BatchProfile,
-    options: BatchOptions,
-    now: datetime,
+    lake: ParquetLake, valid: DataFrame, id_bytes: int, options: BatchOptions, now: datetime
 ) -> None:
-    hours = HourScope.of(valid)
-    insert_absent_events(lake, valid, hours, profile.id_bytes, options.dedup_in_batch, now)
-    silver = lake.read(m.SILVER, hours)
+    sensor_windows = windows.affected_sensor_windows(valid).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        touched = Touched.of(sensor_windows)
+        insert_absent_events(lake, valid, touched.hours, id_bytes, options.dedup_in_batch, now)
+        _refresh_gold(lake, touched, options.limits, now)
+    finally:
+        sensor_windows.unpersist()
 
-    partials = affected_partials(silver, valid, profile.window_bytes, options.limits)
-    partials.persist(StorageLevel.MEMORY_AND_DISK)
+
+def _refresh_gold(lake: ParquetLake, touched: Touched, limits: m.Limits, now: datetime) -> None:
+    silver = lake.scan(m.SILVER, touched.hours)
+    partials = affected_partials(silver, touched, limits).persist(StorageLevel.MEMORY_AND_DISK)
     site_minutes = minutes.site_minute(partials).persist(StorageLevel.MEMORY_AND_DISK)
 
     def sensor_minutes() -> None:
-        touched = windows.affected_sensor_windows(valid)
         keys = windows.SENSOR_KEYS
-        changed = windows.in_windows(partials, touched, keys, profile.window_bytes)
-        lake.upsert(m.SENSOR_MINUTE, stamped(minutes.sensor_minute(changed), now), hours)
+        changed = windows.in_windows(partials, touched.sensor_windows, keys, touched.key_bytes)
+        rows = stamped(minutes.sensor_minute(changed), now)
+        lake.upsert(m.SENSOR_MINUTE, rows, touched.hours)
 
     def site_aggregates() -> None:
-        lake.upsert(m.SITE_MINUTE, stamped(site_minutes, now), hours)
+        lake.upsert(m.SITE_MINUTE, stamped(site_minutes, now), touched.hours)
 
     def alert_levels() -> None:
         alerts = minutes.site_alert_minute(site_minutes)
-        lake.upsert(m.SITE_ALERT_MINUTE, stamped(alerts, now), hours)
+        lake.upsert(m.SITE_ALERT_MINUTE, stamped(alerts, now), touched.hours)
 
     def latest() -> None:
-        slots = SlotScope(profile.sensor_slots)
-        sensors = windows.affected_sensors(valid)
-        ids = small(valid.select("event_id").distinct(), profile.id_bytes)
-        newest = status.advance_latest_status(
-            landed=silver.join(ids, "event_id", "left_semi"),
-            current=lake.read(m.SENSOR_LATEST, slots),
-            sensors=small(sensors, profile.name_bytes),
-            limits=options.limits,
+        newest = status.newest_times(partials, touched.sensors)
+        statuses = status.advance_latest_status(
+            silver=lake.scan(m.SILVER, HourScope.of(newest)),
+            newest=small(newest, touched.key_bytes),
+            current=lake.scan(m.SENSOR_LATEST, touched.slots),
+            sensors=touched.sensors,
+            limits=limits,
         )
-        lake.upsert(m.SENSOR_LATEST, stamped(newest, now), slots)
+        lake.upsert(m.SENSOR_LATEST, stamped(statuses, now), touched.slots)
 
     try:
         _together(lake.spark, sensor_minutes, site_aggregates, alert_levels, latest)
@@ -177,25 +197,21 @@ def insert_absent_events(
     text), so looking only into the hours of the batch is exact.
     """
     source = ev.first_per_id(valid) if dedup_in_batch else valid
-    silver = lake.read(m.SILVER, hours)
+    silver = lake.scan(m.SILVER, hours)
     fresh = absent_rows(source, silver, "event_id", id_bytes, target_unique=dedup_in_batch)
     lake.append(m.SILVER, stamped(fresh, now))
 
 
 def affected_partials(
-    silver: DataFrame,
-    valid: DataFrame,
-    window_bytes: int | None,
-    limits: m.Limits = m.DEFAULT_LIMITS,
+    silver: DataFrame, touched: Touched, limits: m.Limits = m.DEFAULT_LIMITS
 ) -> DataFrame:
     """Minute state of every site window the batch touches, from one read of silver.
 
     A small set of windows filters silver by broadcast before the aggregation.  A big one is
     applied after it, so that only aggregated rows are shuffled for the join.
     """
-    touched = windows.affected_site_windows(valid)
-    rows = windows.with_window_start(silver)
-    if is_small(window_bytes):
-        rows = windows.in_windows(rows, touched, windows.SITE_KEYS, window_bytes)
+    rows, keys = windows.with_window_start(silver), windows.SITE_KEYS
+    if is_small(touched.key_bytes):
+        rows = windows.in_windows(rows, touched.site_windows, keys, touched.key_bytes)
         return minutes.minute_partials(rows, limits)
-    return windows.in_windows(minutes.minute_partials(rows, limits), touched, windows.SITE_KEYS)
+    return windows.in_windows(minutes.minute_partials(rows, limits), touched.site_windows, keys)

@@ -88,14 +88,21 @@ class ParquetLake:
     # -- reading ------------------------------------------------------------------------
 
     def read(self, table: str, scope: Scope | None = None) -> DataFrame:
-        """Contract columns of a table, cut to the partitions in scope."""
-        spec = TABLES[table]
-        return self._read_files(spec, scope).select(*spec.column_names)
+        """Contract columns of a table, cut to the partitions in scope.
+
+        Looks for changes by other sessions first.  That drops cached frames which depend on
+        the table, so the steps of a batch use :meth:`scan`.
+        """
+        self.spark.catalog.refreshTable(self._files(TABLES[table]))
+        return self.scan(table, scope)
 
-    def _read_files(self, spec: TableSpec, scope: Scope | None = None) -> DataFrame:
-        self.spark.catalog.refreshTable(self._files(spec))
+    def scan(self, table: str, scope: Scope | None = None) -> DataFrame:
+        """Like :meth:`read`, for the writer of the lake: sees the session's own writes."""
+        spec = TABLES[table]
         rows = self.spark.read.table(self._files(spec))
-        return rows if scope is None else rows.where(scope.predicate())
+        if scope is not None:
+            rows = rows.where(scope.predicate())
+        return rows.select(*spec.column_names)
 
     def newest_hours(self, table: str) -> list[tuple[int, int]]:
         """(day, hour) partitions of a time-partitioned table, newest first; metadata only."""
@@ -132,7 +139,7 @@ class ParquetLake:
         """Replace rows with equal keys and add the others; ``scope`` covers all of ``rows``."""
         spec = TABLES[table]
         self._publish_staged(spec)
-        merged = upserted(self.read(table, scope), rows, spec.keys)
+        merged = upserted(self.scan(table, scope), rows, spec.keys)
         self._stage(spec, merged)
         self._publish(spec)
 

@@ -199,10 +199,17 @@ def test_rebuild_replaces_gold(make_raw, lake):
     assert gold(lake) == expected
 
 
-def test_big_batch_profile_disables_broadcasts(monkeypatch):
-    monkeypatch.setattr(sizing, "BROADCAST_BYTES", 1000)
-    profile = plan.BatchProfile(rows=11, valid=11, name_bytes=400, sensor_slots=())
-    assert not sizing.is_small(profile.id_bytes)
-    assert not sizing.is_small(profile.window_bytes)
-    assert sizing.is_small(profile.name_bytes)
+def test_sizes_are_measured(make_events):
+    from fieldpulse.operators import windows
 
+    rows = [("s", "äb", 1.0, 1.0, f"2024-01-01T0{h}:00:0{i}") for h in range(2) for i in range(5)]
+    touched = plan.Touched.of(windows.affected_sensor_windows(make_events(*rows)))
+    assert touched.key_bytes == 2 * (4 + plan.ROW_BYTES)
+    assert [h for _, h in touched.hours.hours] == [0, 1]
+    assert len(touched.slots.slots) == 1
+
+
+def test_only_known_small_sides_are_broadcast():
+    assert sizing.is_small(sizing.BROADCAST_BYTES)
+    assert not sizing.is_small(sizing.BROADCAST_BYTES + 1)
+    assert not sizing.is_small(None)
