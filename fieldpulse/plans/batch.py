@@ -23,7 +23,7 @@ from fieldpulse.operators import events as ev
 from fieldpulse.operators import minutes, status, windows
 from fieldpulse.operators.sizing import is_small, small
 from fieldpulse.operators.upserts import absent_rows
-from fieldpulse.sources.lake import ParquetLake, stamped
+from fieldpulse.sources.lake import Lake, stamped
 from fieldpulse.sources.scope import HourScope, SlotScope
 
 EVENT_ID_BYTES = 96  # 64 hex digits and the overhead of a row
@@ -98,7 +98,7 @@ def classified_batch(raw: DataFrame, options: BatchOptions) -> DataFrame:
 
 
 def process_batch(
-    lake: ParquetLake,
+    lake: Lake,
     raw: DataFrame,
     batch_id: int,
     dead_letters: DeadLetterSink | None = None,
@@ -125,7 +125,7 @@ def process_batch(
 
 
 def _land(
-    lake: ParquetLake, valid: DataFrame, id_bytes: int, options: BatchOptions, now: datetime
+    lake: Lake, valid: DataFrame, id_bytes: int, options: BatchOptions, now: datetime
 ) -> None:
     sensor_windows = windows.affected_sensor_windows(valid).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -136,7 +136,7 @@ def _land(
         sensor_windows.unpersist()
 
 
-def _refresh_gold(lake: ParquetLake, touched: Touched, limits: m.Limits, now: datetime) -> None:
+def _refresh_gold(lake: Lake, touched: Touched, limits: m.Limits, now: datetime) -> None:
     silver = lake.scan(m.SILVER, touched.hours)
     partials = affected_partials(silver, touched, limits).persist(StorageLevel.MEMORY_AND_DISK)
     site_minutes = minutes.site_minute(partials).persist(StorageLevel.MEMORY_AND_DISK)
@@ -184,7 +184,7 @@ def _together(spark: SparkSession, *steps: Callable[[], None]) -> None:
 
 
 def insert_absent_events(
-    lake: ParquetLake,
+    lake: Lake,
     valid: DataFrame,
     hours: HourScope,
     id_bytes: int | None,

@@ -6,11 +6,11 @@ from datetime import datetime, timezone
 
 from fieldpulse import model as m
 from fieldpulse.operators import minutes, status
-from fieldpulse.sources.lake import ParquetLake, stamped
+from fieldpulse.sources.lake import Lake, stamped
 
 
 def rebuild_gold(
-    lake: ParquetLake,
+    lake: Lake,
     limits: m.Limits = m.DEFAULT_LIMITS,
     processed_at: datetime | None = None,
 ) -> None:

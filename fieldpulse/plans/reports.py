@@ -6,20 +6,20 @@ from pyspark.sql import DataFrame
 
 from fieldpulse import model as m
 from fieldpulse.operators.reports import REPORTS, newest_rows
-from fieldpulse.sources.lake import ParquetLake
+from fieldpulse.sources.lake import Lake
 from fieldpulse.sources.scope import HourScope
 
 
-def report(lake: ParquetLake, name: str, rows: int = m.REPORT_ROWS) -> DataFrame:
+def report(lake: Lake, name: str, rows: int = m.REPORT_ROWS) -> DataFrame:
     """Top rows of a table.
 
     On a table partitioned by the ordering time the newest partitions hold the answer, so only
     as many of them are read as are needed to find enough rows.
     """
     table, newest_by, ties = REPORTS[name]
-    if m.TABLES[table].clock != newest_by:
+    hours = lake.newest_hours(table) if m.TABLES[table].clock == newest_by else None
+    if hours is None:
         return newest_rows(lake.read(table), newest_by, ties, rows)
-    hours = lake.newest_hours(table)
     taken = 1
     while True:
         newest = lake.read(table, HourScope(hours=tuple(hours[:taken])))

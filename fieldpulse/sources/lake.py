@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 from datetime import datetime
+from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,9 +25,23 @@ from fieldpulse.functions.timegrid import hash_slot, utc_day, utc_hour
 from fieldpulse.model import TABLES, TableSpec
 from fieldpulse.operators.upserts import upserted
 from fieldpulse.sources.files import delete_tree, path_exists
-from fieldpulse.sources.scope import HourScope, SlotScope
+from fieldpulse.sources.scope import Scope
 
-Scope = HourScope | SlotScope
+
+class Lake(Protocol):
+    """What the plans need from a set of tables."""
+
+    spark: SparkSession
+
+    def create(self) -> Lake: ...
+    def on(self, spark: SparkSession) -> Lake: ...
+    def read(self, table: str, scope: Scope | None = None) -> DataFrame: ...
+    def scan(self, table: str, scope: Scope | None = None) -> DataFrame: ...
+    def newest_hours(self, table: str) -> list[tuple[int, int]] | None: ...
+    def append(self, table: str, rows: DataFrame) -> None: ...
+    def upsert(self, table: str, rows: DataFrame, scope: Scope) -> None: ...
+    def overwrite(self, table: str, rows: DataFrame) -> None: ...
+    def scratch(self, name: str) -> str: ...
 
 
 @dataclass(frozen=True)
@@ -63,6 +78,7 @@ class ParquetLake:
             f"PARTITIONED BY ({', '.join(spec.partition_names)}) "
             f"LOCATION '{self._location(spec)}'"
         )
+        self._check_location(spec)
         if path_exists(self.spark, self._location(spec)):
             self.spark.sql(f"ALTER TABLE {self._files(spec)} RECOVER PARTITIONS")
         self.spark.sql(
@@ -70,6 +86,12 @@ class ParquetLake:
             f"SELECT {', '.join(spec.column_names)} FROM {self._files(spec)}"
         )
 
+    def _check_location(self, spec: TableSpec) -> None:
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self._files(spec)}")
+        location = described.where("col_name = 'Location'").first().data_type
+        if not location.endswith(self._location(spec)):
+            raise ValueError(f"{self._files(spec)} already exists at {location}")
+
     def view(self, table: str) -> str:
         return f"{self.schema}.{table}"
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -52,6 +53,30 @@ class HourScope:
         ]
         return reduce(or_, parts) if parts else F.lit(False)
 
+    def time_predicate(self, clock: Column) -> Column:
+        """The same restriction as time ranges, for tables without partition columns."""
+        if self.days is not None:
+            spans = [(self.days[0] * 24, (self.days[1] + 1) * 24)]
+        else:
+            spans = _merged(day * 24 + hour for day, hour in self.hours)
+        parts = [(clock >= _hour(low)) & (clock < _hour(high)) for low, high in spans]
+        return reduce(or_, parts) if parts else F.lit(False)
+
+
+def _merged(hours: Iterable[int]) -> list[tuple[int, int]]:
+    """Neighbouring hours joined to half-open spans."""
+    spans: list[tuple[int, int]] = []
+    for hour in sorted(hours):
+        if spans and spans[-1][1] == hour:
+            spans[-1] = (spans[-1][0], hour + 1)
+        else:
+            spans.append((hour, hour + 1))
+    return spans
+
+
+def _hour(hours_since_epoch: int) -> Column:
+    return F.timestamp_seconds(F.lit(hours_since_epoch * 3600))
+
 
 def _day(days_since_epoch: int) -> Column:
     return F.date_from_unix_date(F.lit(days_since_epoch))
@@ -65,3 +90,6 @@ class SlotScope:
 
     def predicate(self) -> Column:
         return F.col("part_slot").isin(list(self.slots))
+
+
+Scope = HourScope | SlotScope

@@ -1,6 +1,7 @@
 """Run the continuous job with settings from the environment.
 
-``spark-submit --packages <kafka source for your Spark version> -m fieldpulse.streaming``
+Submit this file with the package on the Python path and the Kafka source for the Spark version
+in ``--packages``.
 """
 
 from fieldpulse.session import build_session

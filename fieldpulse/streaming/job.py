@@ -16,7 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 from fieldpulse.model import Limits
 from fieldpulse.plans.batch import BatchOptions, DeadLetterSink, process_batch
 from fieldpulse.sources.dead_letters import KafkaDeadLetters
-from fieldpulse.sources.lake import ParquetLake
+from fieldpulse.sources.lake import Lake, ParquetLake
+from fieldpulse.sources.merge_lake import MergeLake
 from fieldpulse.sources.streams import kafka_options, open_stream
 
 # Defaults of the job's settings.
@@ -31,7 +32,10 @@ DEFAULT_MAX_OFFSETS = 50_000_000
 
 @dataclass(frozen=True)
 class StreamConfig:
-    root: str
+    """``root`` is the folder of Parquet tables; without it ``schema`` names a catalog schema
+    (for example ``iceberg.reporting``) whose tables run MERGE themselves."""
+
+    root: str | None
     checkpoint: str
     source_format: str = "kafka"
     source_options: Mapping[str, str] = field(default_factory=dict)
@@ -44,7 +48,12 @@ class StreamConfig:
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] = os.environ) -> StreamConfig:
-        """Kafka in and out; the table root and the checkpoint folder have no default."""
+        """Kafka in and out.
+
+        ``CHECKPOINT_PATH`` is required, and either ``WAREHOUSE_PATH`` (a folder for Parquet
+        tables) or ``LAKE_SCHEMA`` (a catalog schema with MERGE support).
+        """
+        schema = env.get("LAKE_SCHEMA")
         servers = env.get("KAFKA_BOOTSTRAP_SERVERS", DEFAULT_SERVERS)
         options = kafka_options(
             servers,
@@ -53,13 +62,19 @@ class StreamConfig:
         )
         letters = KafkaDeadLetters(servers, env.get("KAFKA_DLQ_TOPIC", DEFAULT_DEAD_LETTER_TOPIC))
         return cls(
-            root=env["WAREHOUSE_PATH"],
+            root=None if schema else env["WAREHOUSE_PATH"],
+            schema=schema or "reporting",
             checkpoint=env["CHECKPOINT_PATH"],
             source_options=options,
             dead_letters=letters,
             batch=BatchOptions(limits=Limits.from_env(env)),
         )
 
+    def open_lake(self, spark: SparkSession) -> Lake:
+        if self.root is None:
+            return MergeLake(spark, self.schema)
+        return ParquetLake(spark, self.root, self.schema)
+
 
 def require_utc(spark: SparkSession) -> None:
     """Event ids are hashed from text in the session zone; another zone gives other ids."""
@@ -70,7 +85,7 @@ def require_utc(spark: SparkSession) -> None:
 
 def start_stream(spark: SparkSession, config: StreamConfig) -> StreamingQuery:
     require_utc(spark)
-    lake = ParquetLake(spark, config.root, config.schema).create()
+    lake = config.open_lake(spark).create()
     records = open_stream(
         spark, config.source_format, config.source_options, config.source_path
     )

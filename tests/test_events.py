@@ -50,6 +50,18 @@ def test_fields_of_the_wrong_type(make_raw):
     assert row.event_time is None
 
 
+@pytest.mark.parametrize("number", ['"NaN"', "NaN", '"Infinity"', "-Infinity"])
+def test_special_numbers_are_out_of_range(make_raw, number):
+    text = f'{{"sensor_id":"s","site":"a","temperature":{number},"event_time":"2024-01-01"}}'
+    assert errors(ev.parse_events(make_raw(text))) == ["temperature_out_of_range"]
+
+
+def test_epoch_seconds_are_a_time(make_raw):
+    text = '{"sensor_id":"s","site":"a","event_time":1704067200}'
+    frame = ev.parse_events(make_raw(text))
+    assert frame.select(F.unix_seconds("event_time")).first()[0] == 1704067200
+
+
 def test_event_time_offset_is_honoured_and_default_zone_is_utc(make_raw):
     frame = ev.parse_events(
         make_raw(

@@ -45,6 +45,11 @@ def test_a_new_catalog_finds_the_files(spark, make_events, lake):
     assert other.read(m.SILVER).count() == 1
 
 
+def test_a_schema_belongs_to_one_folder(spark, lake, tmp_path):
+    with pytest.raises(ValueError, match="already exists"):
+        ParquetLake(spark, str(tmp_path / "elsewhere"), lake.schema).create()
+
+
 def test_ad_hoc_sql(spark, make_events, lake):
     rows = [("s", x, float(i), 1.0, "2024-01-01T00:00:01") for i, x in enumerate("aab")]
     lake.append(m.SILVER, stamped(identified(make_events, *rows), NOW))
