@@ -18,28 +18,27 @@ def sensor_latest_status(events: DataFrame, limits: m.Limits = m.DEFAULT_LIMITS)
     return newest.select(*_MEASURED, sensor_status(limits).alias("status"))
 
 
-def newest_times(partials: DataFrame, sensors: DataFrame) -> DataFrame:
-    """Newest event time of the listed sensors inside the given minutes."""
-    listed = partials.join(sensors, "sensor_id", "left_semi")
-    return listed.groupBy("sensor_id").agg(F.max("last_event_time").alias("event_time"))
+def newest_times(partials: DataFrame) -> DataFrame:
+    """Newest event time per sensor, from minute state: a hash aggregation, nothing is sorted."""
+    return partials.groupBy("sensor_id").agg(F.max("last_event_time").alias("event_time"))
+
+
+def at_newest(events: DataFrame, newest: DataFrame) -> DataFrame:
+    """The rows at the newest time of their sensor."""
+    rows = events.select("event_id", *_MEASURED)
+    return rows.join(newest, ["sensor_id", "event_time"], "left_semi")
 
 
 def advance_latest_status(
-    silver: DataFrame,
-    newest: DataFrame,
+    candidates: DataFrame,
     current: DataFrame,
-    sensors: DataFrame,
     limits: m.Limits = m.DEFAULT_LIMITS,
 ) -> DataFrame:
-    """New status of the listed sensors without reading their history.
+    """New status of sensors without reading their history.
 
-    ``newest`` holds the newest event time per sensor inside the minutes a batch touched,
-    ``silver`` at least the rows at these times, ``current`` the status table.  Silver only
-    grows, so the newest row of a sensor is one of those or its current one.  The tie-break id
-    of a current row follows from its own columns.
+    ``candidates`` are silver rows at the newest time of each sensor inside the minutes a batch
+    touched, ``current`` their rows of the status table.  Silver only grows, so the newest row
+    of a sensor is one of those.  The tie-break id of a current row follows from its own columns.
     """
-    columns = ["event_id", *_MEASURED]
-    touched = silver.select(*columns).join(newest, ["sensor_id", "event_time"], "left_semi")
-    known = current.select(*_MEASURED).join(sensors, "sensor_id", "left_semi")
-    candidates = latest_per_sensor(touched).unionByName(with_event_id(known))
-    return sensor_latest_status(candidates, limits)
+    known = with_event_id(current.select(*_MEASURED))
+    return sensor_latest_status(latest_per_sensor(candidates).unionByName(known), limits)

@@ -21,14 +21,11 @@ from fieldpulse import model as m
 from fieldpulse.functions.timegrid import hash_slot
 from fieldpulse.operators import events as ev
 from fieldpulse.operators import minutes, status, windows
-from fieldpulse.operators.sizing import is_small, small
+from fieldpulse.operators.sizing import EVENT_ID_BYTES, ROW_BYTES, is_small, small
 from fieldpulse.operators.upserts import absent_rows
 from fieldpulse.sources.lake import Lake, stamped
 from fieldpulse.sources.scope import HourScope, SlotScope
 
-EVENT_ID_BYTES = 96  # 64 hex digits and the overhead of a row
-ROW_BYTES = 64  # overhead and timestamps of a key row, beside its names
-
 
 class DeadLetterSink(Protocol):
     def write(self, letters: DataFrame, run: str, batch_id: int) -> None: ...
@@ -155,13 +152,14 @@ def _refresh_gold(lake: Lake, touched: Touched, limits: m.Limits, now: datetime)
         lake.upsert(m.SITE_ALERT_MINUTE, stamped(alerts, now), touched.hours)
 
     def latest() -> None:
-        newest = status.newest_times(partials, touched.sensors)
+        ours = partials.join(touched.sensors, "sensor_id", "left_semi")
+        newest = status.newest_times(ours)
+        silver_then = lake.scan(m.SILVER, HourScope.of(newest))
+        current = lake.scan(m.SENSOR_LATEST, touched.slots)
         statuses = status.advance_latest_status(
-            silver=lake.scan(m.SILVER, HourScope.of(newest)),
-            newest=small(newest, touched.key_bytes),
-            current=lake.scan(m.SENSOR_LATEST, touched.slots),
-            sensors=touched.sensors,
-            limits=limits,
+            status.at_newest(silver_then, small(newest, touched.key_bytes)),
+            current.join(touched.sensors, "sensor_id", "left_semi"),
+            limits,
         )
         lake.upsert(m.SENSOR_LATEST, stamped(statuses, now), touched.slots)
 

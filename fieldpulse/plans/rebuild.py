@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
+from pyspark import StorageLevel
+from pyspark.sql import functions as F
+
 from fieldpulse import model as m
 from fieldpulse.operators import minutes, status
+from fieldpulse.operators.sizing import ROW_BYTES, small
 from fieldpulse.sources.lake import Lake, stamped
+from fieldpulse.sources.scope import HourScope
 
 
 def rebuild_gold(
@@ -16,19 +21,27 @@ def rebuild_gold(
 ) -> None:
     """Overwrite the four gold tables.
 
-    Silver is read once for the minute tables: the minute state is written out and both
-    aggregates start from the written copy, which also survives lost executors.  The alert table
-    starts from the new site minutes.
+    Silver is read once: the minute state is written out and everything else starts from the
+    written copy, which also survives lost executors.  For the latest status only the hours of
+    the sensors' newest events are read again.
     """
     now = processed_at or datetime.now(timezone.utc)
-    silver = lake.read(m.SILVER)
-
     scratch = lake.scratch("minute_partials")
+    silver = lake.read(m.SILVER)
     minutes.minute_partials(silver, limits).write.mode("overwrite").parquet(scratch)
+
     partials = lake.spark.read.parquet(scratch)
     lake.overwrite(m.SENSOR_MINUTE, stamped(minutes.sensor_minute(partials), now))
     lake.overwrite(m.SITE_MINUTE, stamped(minutes.site_minute(partials), now))
-
     alerts = minutes.site_alert_minute(lake.read(m.SITE_MINUTE))
     lake.overwrite(m.SITE_ALERT_MINUTE, stamped(alerts, now))
-    lake.overwrite(m.SENSOR_LATEST, stamped(status.sensor_latest_status(silver, limits), now))
+
+    newest = status.newest_times(partials).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        (size,) = newest.agg(F.sum(F.octet_length("sensor_id") + ROW_BYTES)).first()
+        recent = lake.scan(m.SILVER, HourScope.of(newest))
+        candidates = status.at_newest(recent, small(newest, size or 0))
+        statuses = status.sensor_latest_status(candidates, limits)
+        lake.overwrite(m.SENSOR_LATEST, stamped(statuses, now))
+    finally:
+        newest.unpersist()

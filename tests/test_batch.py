@@ -199,12 +199,17 @@ def test_rebuild_replaces_gold(make_raw, lake):
     assert gold(lake) == expected
 
 
+def test_rebuild_of_an_empty_lake(lake):
+    rebuild_gold(lake)
+    assert all(rows == [] for rows in gold(lake).values())
+
+
 def test_sizes_are_measured(make_events):
     from fieldpulse.operators import windows
 
     rows = [("s", "äb", 1.0, 1.0, f"2024-01-01T0{h}:00:0{i}") for h in range(2) for i in range(5)]
     touched = plan.Touched.of(windows.affected_sensor_windows(make_events(*rows)))
-    assert touched.key_bytes == 2 * (4 + plan.ROW_BYTES)
+    assert touched.key_bytes == 2 * (4 + sizing.ROW_BYTES)
     assert [h for _, h in touched.hours.hours] == [0, 1]
     assert len(touched.slots.slots) == 1
 
