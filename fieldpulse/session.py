@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # One micro-batch has more generated classes than the default cache (100) can hold.
+    "spark.sql.codegen.cache.maxEntries": "1000",
 }
 
 
