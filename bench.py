@@ -1,7 +1,7 @@
 """Time the headline queries and print one JSON line.
 
 Every query starts from the Parquet tables and is computed to the last column (``noop`` sink);
-nothing is shared between queries.  Settings: ``BENCH_SF_DIR``, ``BENCH_CPUS``, ``BENCH_RUNS``.
+nothing is shared between queries.  The best of several runs counts.  Settings: ``BENCH_SF_DIR``, ``BENCH_CPUS``, ``BENCH_RUNS``.
 """
 
 from __future__ import annotations
@@ -61,7 +61,7 @@ def full(name: str) -> Callable[[SparkSession, str], None]:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = build_session(
         "bench",
         f"local[{cpus}]",

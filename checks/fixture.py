@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldpulse import model as m
+from fieldpulse.sources.streams import spread
 
 BATCHES = (0, 1, 2)
 
@@ -42,9 +43,12 @@ def use_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def _numbered(spark: SparkSession, folder: str) -> DataFrame:
+def _events(spark: SparkSession, folder: str) -> DataFrame:
     use_utc(spark)
-    rows = spark.read.parquet(f"{folder}/events.parquet")
+    return spark.read.parquet(f"{folder}/events.parquet")
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
     return rows.withColumns(
         {
             "k": F.regexp_extract("props", _PROPS_NUMBER, 1).cast("int"),
@@ -55,7 +59,7 @@ def _numbered(spark: SparkSession, folder: str) -> DataFrame:
 
 def arrivals(spark: SparkSession, folder: str) -> DataFrame:
     """src_id, batch_no and the five event columns, one row per arrival."""
-    return _numbered(spark, folder).select(
+    return _numbered(spread(_events(spark, folder))).select(
         F.col("event_id").alias("src_id"),
         F.expr(_SENSOR).alias("sensor_id"),
         F.expr(_SITE).alias("site"),
@@ -75,7 +79,7 @@ def raw_records(spark: SparkSession, folder: str) -> DataFrame:
 def request_log(spark: SparkSession, folder: str) -> DataFrame:
     ok = F.col("event_type") != "error"
     failed = F.when(F.col("k") % 2 == 0, 502).otherwise(0)
-    return _numbered(spark, folder).select(
+    return _numbered(_events(spark, folder)).select(
         F.col("at").alias("started_at"),
         ok.alias("ok"),
         F.when(ok, 200).otherwise(failed).alias("status"),

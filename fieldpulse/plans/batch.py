@@ -7,14 +7,12 @@ after a crash half way, therefore repairs whatever the first attempt left out.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import Protocol
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldpulse import model as m
@@ -23,6 +21,7 @@ from fieldpulse.operators import events as ev
 from fieldpulse.operators import minutes, status, windows
 from fieldpulse.operators.sizing import EVENT_ID_BYTES, ROW_BYTES, is_small, small
 from fieldpulse.operators.upserts import absent_rows
+from fieldpulse.plans.together import together
 from fieldpulse.sources.lake import Lake, stamped
 from fieldpulse.sources.scope import HourScope, SlotScope
 
@@ -164,23 +163,12 @@ def _refresh_gold(lake: Lake, touched: Touched, limits: m.Limits, now: datetime)
         lake.upsert(m.SENSOR_LATEST, stamped(statuses, now), touched.slots)
 
     try:
-        _together(lake.spark, sensor_minutes, site_aggregates, alert_levels, latest)
+        together(lake.spark, sensor_minutes, site_aggregates, alert_levels, latest)
     finally:
         site_minutes.unpersist()
         partials.unpersist()
 
 
-def _together(spark: SparkSession, *steps: Callable[[], None]) -> None:
-    """Submit independent jobs side by side; each writes its own tables.
-
-    All of them are waited for, then the first error is raised.
-    """
-    with ThreadPoolExecutor(len(steps)) as pool:
-        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
-    for step in running:
-        step.result()
-
-
 def insert_absent_events(
     lake: Lake,
     valid: DataFrame,

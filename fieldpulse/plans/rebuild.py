@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fieldpulse import model as m
 from fieldpulse.operators import minutes, status
 from fieldpulse.operators.sizing import ROW_BYTES, small
+from fieldpulse.plans.together import together
 from fieldpulse.sources.lake import Lake, stamped
 from fieldpulse.sources.scope import HourScope
 
@@ -31,17 +32,24 @@ def rebuild_gold(
     minutes.minute_partials(silver, limits).write.mode("overwrite").parquet(scratch)
 
     partials = lake.spark.read.parquet(scratch)
-    lake.overwrite(m.SENSOR_MINUTE, stamped(minutes.sensor_minute(partials), now))
-    lake.overwrite(m.SITE_MINUTE, stamped(minutes.site_minute(partials), now))
-    alerts = minutes.site_alert_minute(lake.read(m.SITE_MINUTE))
-    lake.overwrite(m.SITE_ALERT_MINUTE, stamped(alerts, now))
-
-    newest = status.newest_times(partials).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        (size,) = newest.agg(F.sum(F.octet_length("sensor_id") + ROW_BYTES)).first()
-        recent = lake.scan(m.SILVER, HourScope.of(newest))
-        candidates = status.at_newest(recent, small(newest, size or 0))
-        statuses = status.sensor_latest_status(candidates, limits)
-        lake.overwrite(m.SENSOR_LATEST, stamped(statuses, now))
-    finally:
-        newest.unpersist()
+
+    def sensor_minutes() -> None:
+        lake.overwrite(m.SENSOR_MINUTE, stamped(minutes.sensor_minute(partials), now))
+
+    def site_minutes() -> None:
+        lake.overwrite(m.SITE_MINUTE, stamped(minutes.site_minute(partials), now))
+        alerts = minutes.site_alert_minute(lake.scan(m.SITE_MINUTE))
+        lake.overwrite(m.SITE_ALERT_MINUTE, stamped(alerts, now))
+
+    def latest() -> None:
+        newest = status.newest_times(partials).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            (size,) = newest.agg(F.sum(F.octet_length("sensor_id") + ROW_BYTES)).first()
+            recent = lake.scan(m.SILVER, HourScope.of(newest))
+            candidates = status.at_newest(recent, small(newest, size or 0))
+            statuses = status.sensor_latest_status(candidates, limits)
+            lake.overwrite(m.SENSOR_LATEST, stamped(statuses, now))
+        finally:
+            newest.unpersist()
+
+    together(lake.spark, sensor_minutes, site_minutes, latest)

@@ -10,9 +10,16 @@ from fieldpulse.operators.events import payload
 
 
 def kafka_options(
-    servers: str, topic: str, max_offsets_per_trigger: int | None = None
+    servers: str,
+    topic: str,
+    max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> dict[str, str]:
-    """Options to follow one topic from its start; later starts resume from the checkpoint."""
+    """Options to follow one topic from its start; later starts resume from the checkpoint.
+
+    ``min_partitions`` lets Spark cut topic partitions, so that a topic with few of them is
+    still parsed by all cores.
+    """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
@@ -20,6 +27,8 @@ def kafka_options(
     }
     if max_offsets_per_trigger:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions:
+        options["minPartitions"] = str(min_partitions)
     return options
 
 
@@ -33,4 +42,15 @@ def open_batch(
     spark: SparkSession, fmt: str, options: Mapping[str, str], path: str | None = None
 ) -> DataFrame:
     """The same records read once as a table, for backfills."""
-    return payload(spark.read.format(fmt).options(**options).load(path))
+    return payload(spread(spark.read.format(fmt).options(**options).load(path)))
+
+
+def spread(scan: DataFrame, factor: int = 16) -> DataFrame:
+    """Spread a scan with fewer splits than cores, since parsing costs more than moving it.
+
+    Each split is cut at most ``factor`` fold.  A scan that fills the cores is left alone, so
+    big inputs are never shuffled here.
+    """
+    splits = scan.rdd.getNumPartitions()
+    wanted = min(scan.sparkSession.sparkContext.defaultParallelism, splits * factor)
+    return scan.repartition(wanted) if wanted > splits else scan

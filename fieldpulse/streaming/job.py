@@ -59,6 +59,7 @@ class StreamConfig:
             servers,
             env.get("KAFKA_TOPIC", DEFAULT_TOPIC),
             int(env.get("MAX_OFFSETS_PER_TRIGGER", DEFAULT_MAX_OFFSETS)),
+            int(env.get("MIN_PARTITIONS", 0)),
         )
         letters = KafkaDeadLetters(servers, env.get("KAFKA_DLQ_TOPIC", DEFAULT_DEAD_LETTER_TOPIC))
         return cls(

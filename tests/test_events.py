@@ -56,6 +56,12 @@ def test_special_numbers_are_out_of_range(make_raw, number):
     assert errors(ev.parse_events(make_raw(text))) == ["temperature_out_of_range"]
 
 
+def test_microseconds_of_an_iso_time_are_kept(make_raw):
+    frame = ev.parse_events(make_raw('{"event_time":"2026-04-02T13:45:00.123456+00:00"}'))
+    micros = frame.select(F.unix_micros("event_time") % 1_000_000).first()[0]
+    assert micros == 123456
+
+
 def test_epoch_seconds_are_a_time(make_raw):
     text = '{"sensor_id":"s","site":"a","event_time":1704067200}'
     frame = ev.parse_events(make_raw(text))

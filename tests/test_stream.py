@@ -125,6 +125,21 @@ def test_defaults_of_topics():
     assert config.dead_letters.topic == "sensor-events-dlq"
 
 
+def test_only_scans_with_few_splits_are_spread(spark):
+    cores = spark.sparkContext.defaultParallelism
+    few = spark.range(0, 100, 1, 1)
+    assert streams.spread(few).rdd.getNumPartitions() == cores
+    assert streams.spread(few, 2).rdd.getNumPartitions() == 2
+    many = spark.range(0, 100, 1, cores)
+    assert streams.spread(many) is many
+
+
+def test_input_tasks_can_be_set():
+    env = {"WAREHOUSE_PATH": "/t", "CHECKPOINT_PATH": "/c", "MIN_PARTITIONS": "96"}
+    assert StreamConfig.from_env(env).source_options["minPartitions"] == "96"
+    assert "minPartitions" not in streams.kafka_options("b", "t")
+
+
 def test_backfill_reads_the_same_records(spark, config):
     drop(config, ("s", "a", 1.0, 1.0, "2024-01-01T00:00:01Z"), "broken")
     raw = streams.open_batch(spark, "text", {}, config.source_path)
