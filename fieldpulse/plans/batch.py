@@ -179,8 +179,8 @@ def insert_absent_events(
 ) -> None:
     """Append the events whose id silver does not have.
 
-    Equal ids imply equal event times (the time is the last, fixed-width part of the hashed
-    text), so looking only into the hours of the batch is exact.
+    Equal ids imply equal event times (the time is the last part of the hashed text, and years
+    from 0001 on are written uniquely), so looking only into the hours of the batch is exact.
     """
     source = ev.first_per_id(valid) if dedup_in_batch else valid
     silver = lake.scan(m.SILVER, hours)

@@ -1,0 +1,92 @@
+"""Physical plans: what is shuffled, sorted, read and pruned."""
+
+import pytest
+
+from fieldpulse import model as m
+from fieldpulse.operators import events as ev
+from fieldpulse.operators import minutes, status, windows
+from fieldpulse.operators.upserts import absent_rows
+from fieldpulse.sources.lake import stamped
+from fieldpulse.sources.scope import HourScope
+from tests.conftest import at
+
+BIG, SMALL = 10**12, 1000
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def silver(make_events, lake):
+    rows = [("s", "a", 1.0, 1.0, f"2024-01-01T0{h}:00:01") for h in range(4)]
+    events = ev.with_event_id(make_events(*rows))
+    lake.append(m.SILVER, stamped(events, at("2024-06-01T00:00:00")))
+    return lake.read(m.SILVER)
+
+
+@pytest.fixture(autouse=True)
+def no_automatic_broadcast(spark):
+    """Tiny test tables would be broadcast by their file size; only hints count here."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+def test_sensor_minutes_need_one_shuffle_of_partial_sums(silver):
+    plan = plan_of(minutes.sensor_minute(minutes.minute_partials(silver)))
+    assert plan.count("Exchange") == 1
+    assert plan.count("partial_sum(temperature") == 1
+    assert "SortAggregate" not in plan and "Sort [" not in plan
+    # what the result does not need is neither read nor counted
+    assert "event_id" not in plan.split("ReadSchema")[1]
+    assert "45.0" not in plan
+
+
+def test_site_minutes_add_a_second_small_shuffle(silver):
+    plan = plan_of(minutes.site_minute(minutes.minute_partials(silver)))
+    assert plan.count("Exchange") == 2
+    assert "Expand" not in plan and "SortAggregate" not in plan
+
+
+def test_newest_times_are_hashed_not_sorted(silver):
+    plan = plan_of(status.newest_times(minutes.minute_partials(silver)))
+    assert "Sort" not in plan
+
+
+def test_a_small_set_of_windows_filters_silver_in_place(silver):
+    rows = windows.with_window_start(silver)
+    touched = windows.affected_site_windows(silver)
+    found = plan_of(windows.in_windows(rows, touched, windows.SITE_KEYS, SMALL))
+    assert "BroadcastHashJoin" in found and "LeftSemi" in found
+    # the only hash exchange removes duplicates among the windows
+    assert found.count("hashpartitioning") == 1
+
+
+def test_a_big_set_of_windows_is_not_broadcast(silver):
+    rows = windows.with_window_start(silver)
+    touched = windows.affected_site_windows(silver)
+    assert "Broadcast" not in plan_of(
+        windows.in_windows(rows, touched, windows.SITE_KEYS, BIG)
+    )
+
+
+@pytest.mark.parametrize(("size", "joins"), [(SMALL, "BroadcastHashJoin"), (BIG, "SortMergeJoin")])
+def test_id_lookup_reads_only_ids(silver, make_events, size, joins):
+    source = ev.with_event_id(make_events(("s", "a", 2.0, 1.0, "2024-01-01T00:00:01")))
+    plan = plan_of(absent_rows(source, silver, "event_id", size))
+    assert joins in plan
+    assert plan.split("ReadSchema: ")[1].startswith("struct<event_id:string>")
+
+
+def test_scope_reaches_the_scan(lake, silver, make_events):
+    scope = HourScope.of(make_events(("s", "a", 1.0, 1.0, "2024-01-01T02:59:59")))
+    plan = plan_of(minutes.sensor_minute(minutes.minute_partials(lake.scan(m.SILVER, scope))))
+    assert "InMemoryFileIndex(1 paths)" in plan
+
+
+def test_rows_are_gathered_per_partition_before_writing(lake, silver):
+    plan = plan_of(lake._laid_out(m.TABLES[m.SILVER], silver))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
