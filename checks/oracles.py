@@ -164,10 +164,10 @@ _GOLD_ROWS = """
   select 'site_minute', null, site, window_start, event_count, avg_temperature, avg_humidity,
     null from site_minute
   union all
-  select 'site_alert_minute', null, site, window_start, null, null, null, alert_level
+  select 'site_alert_minute', null, site, window_start, 1, null, null, alert_level
     from site_alert_minute
   union all
-  select 'sensor_latest_status', sensor_id, site, event_time, null, temperature, humidity, status
+  select 'sensor_latest_status', sensor_id, site, event_time, 1, temperature, humidity, status
     from sensor_latest_status"""
 
 _LITERAL = """
@@ -267,9 +267,10 @@ ORACLES: dict[str, str] = {
         _GOLD_ROWS
         + """
   union all
-  select 'sensor_events_validated', null, null, null, null, null, null, event_id from silver
+  select 'sensor_events_validated', sensor_id, site, event_time, 1, temperature, humidity, event_id
+    from silver
   union all
-  select 'dead_letters', null, null, null, null, null, null, validation_error
+  select 'dead_letters', sensor_id, site, event_time, 1, temperature, humidity, validation_error
     from classified where validation_error is not null"""
     ),
     "report_latest_events": _stamped(

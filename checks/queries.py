@@ -20,9 +20,8 @@ from fieldpulse import model as m
 from fieldpulse.operators import events as ev
 from fieldpulse.operators import minutes, requests, status, windows
 from fieldpulse.operators.ingest import ingest_contract
-from fieldpulse.operators.reports import REPORTS, newest_rows
 from fieldpulse.operators.upserts import absent_rows
-from fieldpulse.plans.batch import process_batch
+from fieldpulse.plans.batch import BatchOptions, process_batch
 from fieldpulse.plans.rebuild import rebuild_gold
 from fieldpulse.plans.reports import report
 from fieldpulse.session import work_folder
@@ -83,9 +82,7 @@ def validation_counts(spark, folder):
 def dlq_records(spark, folder):
     """The dead-letter texts of the three batches, read back as columns."""
     invalid = ev.invalid_events(classified(spark, folder))
-    letters = [
-        ev.dead_letters(invalid.where(F.col("batch_no") == n), n) for n in fx.BATCHES
-    ]
+    texts = ev.dead_letters(invalid, F.col("batch_no"))
     schema = T.StructType(
         [
             *m.EVENT_SCHEMA.fields,
@@ -93,7 +90,6 @@ def dlq_records(spark, folder):
             T.StructField("batch_id", T.IntegerType()),
         ]
     )
-    texts = reduce(DataFrame.unionByName, letters)
     return texts.select(F.inline_outer(F.array(F.from_json("value", schema))))
 
 
@@ -189,8 +185,6 @@ def new_lake(spark: SparkSession, purpose: str) -> ParquetLake:
 
 def build_lake(spark: SparkSession, folder: str, dedup_in_batch: bool = True) -> ParquetLake:
     """A lake that took in the three arrival batches one after the other."""
-    from fieldpulse.plans.batch import BatchOptions
-
     lake = new_lake(spark, "lake")
     records = fx.raw_records(spark, folder)
     for n in fx.BATCHES:
@@ -229,7 +223,7 @@ def silver_literal_merge(spark, folder):
 
 
 def gold_rebuild(spark, folder):
-    """Row counts and totals of the gold tables after a rebuild from silver."""
+    """The gold tables after a rebuild from silver."""
     lake = new_lake(spark, "rebuild")
     lake.append(m.SILVER, stamped(silver(spark, folder), FIRST_BATCH_AT))
     rebuild_gold(lake, processed_at=FIRST_BATCH_AT)
@@ -237,12 +231,12 @@ def gold_rebuild(spark, folder):
 
 
 def gold_rows(lake: ParquetLake) -> DataFrame:
-    """All rows of the four gold tables in one common shape."""
+    """All rows of the four gold tables in one common shape; rows without a count count one."""
     nothing = {
         "sensor_id": F.lit(None).cast("string"),
         "site": F.lit(None).cast("string"),
         "at_time": F.lit(None).cast("timestamp"),
-        "events": F.lit(None).cast("long"),
+        "events": F.lit(1).cast("long"),
         "temperature": F.lit(None).cast("double"),
         "humidity": F.lit(None).cast("double"),
         "label": F.lit(None).cast("string"),
@@ -333,23 +327,20 @@ def stream_lake(spark: SparkSession, folder: str) -> ParquetLake:
 
 
 def stream_end_to_end(spark, folder):
-    """Gold rows, silver ids and dead letters the streaming job left behind."""
+    """Gold rows, silver events and dead letters the streaming job left behind."""
     lake = stream_lake(spark, folder)
     gold = gold_rows(lake)
-    missing = [
-        F.lit(None).cast(f.dataType).alias(f.name)
-        for f in gold.schema.fields
-        if f.name not in ("table_name", "label")
-    ]
-    ids = lake.read(m.SILVER).select(
-        F.lit(m.SILVER).alias("table_name"), F.col("event_id").alias("label"), *missing
+    event = ["sensor_id", "site", F.col("event_time").alias("at_time"), "temperature", "humidity"]
+    one = F.lit(1).cast("long").alias("events")
+    landed = lake.read(m.SILVER).select(
+        F.lit(m.SILVER).alias("table_name"), F.col("event_id").alias("label"), one, *event
     )
     letters = (
         FileDeadLetters(f"{lake.root}/dead_letters")
         .read(spark)
-        .select(F.lit("dead_letters").alias("table_name"), F.col(ev.ERROR).alias("label"), *missing)
+        .select(F.lit("dead_letters").alias("table_name"), F.col(ev.ERROR).alias("label"), one, *event)
     )
-    return gold.unionByName(ids).unionByName(letters)
+    return gold.unionByName(landed).unionByName(letters)
 
 
 # -- reports ----------------------------------------------------------------------------------
@@ -359,13 +350,6 @@ def _report(name: str) -> Query:
     return lambda spark, folder: report(incremental_lake(spark, folder), name)
 
 
-def report_frames(spark, folder, name):
-    """The same report without a lake."""
-    table, newest_by, ties = REPORTS[name]
-    frame = silver if table == m.SILVER else GOLD[table]
-    return newest_rows(frame(spark, folder), newest_by, ties)
-
-
 def ingest(spark, folder):
     judged = ingest_contract(fx.arrivals(spark, folder), now=FIRST_BATCH_AT)
     return judged.select("src_id", "batch_no", "accepted", "reject_reason", "event_time")

@@ -49,10 +49,11 @@ def with_event_id(events: DataFrame) -> DataFrame:
 
 
 def dead_letters(
-    invalid: DataFrame, batch_id: int, raw_column: str | None = None
+    invalid: DataFrame, batch_id: int | Column, raw_column: str | None = None
 ) -> DataFrame:
     """One JSON text per invalid event.  ``raw_column`` adds the original text, if kept."""
-    fields = [*m.EVENT_COLUMNS, ERROR, F.lit(batch_id).cast("int").alias("batch_id")]
+    batch = batch_id if isinstance(batch_id, Column) else F.lit(batch_id)
+    fields = [*m.EVENT_COLUMNS, ERROR, batch.cast("int").alias("batch_id")]
     if raw_column:
         fields.append(raw_column)
     return invalid.select(F.to_json(F.struct(*fields)).alias("value"))

@@ -2,6 +2,7 @@
 
 import json
 import uuid
+from dataclasses import replace
 
 import pytest
 
@@ -62,6 +63,26 @@ def test_restart_resumes_and_late_events_count(spark, config):
     assert spark.table(f"{config.schema}.{m.SITE_MINUTE}").count() == 2
 
 
+def test_a_backlog_is_worked_off_in_several_batches(spark, config):
+    config = replace(config, source_options={"maxFilesPerTrigger": "1"})
+    for day in (1, 2):
+        drop(config, ("s", "a", 1.0, 1.0, f"2024-01-0{day}T00:00:01Z"), "broken")
+    run(spark, config)
+    assert rows_of(config.dead_letters.read(spark), "batch_id") == [(0,), (1,)]
+    assert table(spark, config, m.SITE_MINUTE).count() == 2
+
+
+def test_the_continuous_trigger(spark, config):
+    drop(config, ("s", "a", 1.0, 1.0, "2024-01-01T00:00:01Z"))
+    query = start_stream(spark, replace(config, until_drained=False, trigger="1 second"))
+    try:
+        query.processAllAvailable()
+        assert query.isActive
+    finally:
+        query.stop()
+    assert table(spark, config, m.SENSOR_LATEST).count() == 1
+
+
 def test_a_failed_batch_is_run_again_after_restart(spark, config, monkeypatch):
     drop(config, ("s", "a", 1.0, 1.0, "2024-01-01T00:00:01Z"), "broken")
     with monkeypatch.context() as patch:
