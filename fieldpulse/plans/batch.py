@@ -23,7 +23,7 @@ from fieldpulse.operators.sizing import EVENT_ID_BYTES, ROW_BYTES, is_small, sma
 from fieldpulse.operators.upserts import absent_rows
 from fieldpulse.plans.together import together
 from fieldpulse.sources.lake import Lake, stamped
-from fieldpulse.sources.scope import HourScope, SlotScope
+from fieldpulse.sources.scope import MINUTE_SECONDS, HourScope, SlotScope
 
 
 class DeadLetterSink(Protocol):
@@ -73,7 +73,7 @@ class Touched:
         key_bytes, slots = sensor_windows.agg(
             F.sum(names + ROW_BYTES), F.collect_set(hash_slot("sensor_id"))
         ).first()
-        hours = HourScope.of(sensor_windows, "window_start")
+        hours = HourScope.of(sensor_windows, "window_start", MINUTE_SECONDS)
         return cls(sensor_windows, key_bytes, SlotScope(tuple(sorted(slots))), hours)
 
     @property
@@ -153,7 +153,7 @@ def _refresh_gold(lake: Lake, touched: Touched, limits: m.Limits, now: datetime)
     def latest() -> None:
         ours = partials.join(touched.sensors, "sensor_id", "left_semi")
         newest = status.newest_times(ours)
-        silver_then = lake.scan(m.SILVER, HourScope.of(newest))
+        silver_then = lake.scan(m.SILVER, HourScope.of(newest, "event_time"))
         current = lake.scan(m.SENSOR_LATEST, touched.slots)
         statuses = status.advance_latest_status(
             status.at_newest(silver_then, small(newest, touched.key_bytes)),
@@ -180,7 +180,7 @@ def insert_absent_events(
     """Append the events whose id silver does not have.
 
     Equal ids imply equal event times (the time is the last part of the hashed text, and years
-    from 0001 on are written uniquely), so looking only into the hours of the batch is exact.
+    from 0001 on are written uniquely), so looking only at the times of the batch is exact.
     """
     source = ev.first_per_id(valid) if dedup_in_batch else valid
     silver = lake.scan(m.SILVER, hours)

@@ -45,7 +45,7 @@ def rebuild_gold(
         newest = status.newest_times(partials).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             (size,) = newest.agg(F.sum(F.octet_length("sensor_id") + ROW_BYTES)).first()
-            recent = lake.scan(m.SILVER, HourScope.of(newest))
+            recent = lake.scan(m.SILVER, HourScope.of(newest, "event_time"))
             candidates = status.at_newest(recent, small(newest, size or 0))
             statuses = status.sensor_latest_status(candidates, limits)
             lake.overwrite(m.SENSOR_LATEST, stamped(statuses, now))

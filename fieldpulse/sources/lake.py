@@ -25,7 +25,7 @@ from fieldpulse.functions.timegrid import hash_slot, utc_day, utc_hour
 from fieldpulse.model import TABLES, TableSpec
 from fieldpulse.operators.upserts import upserted
 from fieldpulse.sources.files import delete_tree, path_exists
-from fieldpulse.sources.scope import Scope
+from fieldpulse.sources.scope import Hour, HourScope, Scope
 
 
 class Lake(Protocol):
@@ -37,7 +37,7 @@ class Lake(Protocol):
     def on(self, spark: SparkSession) -> Lake: ...
     def read(self, table: str, scope: Scope | None = None) -> DataFrame: ...
     def scan(self, table: str, scope: Scope | None = None) -> DataFrame: ...
-    def newest_hours(self, table: str) -> list[tuple[int, int]] | None: ...
+    def newest_hours(self, table: str) -> list[Hour] | None: ...
     def append(self, table: str, rows: DataFrame) -> None: ...
     def upsert(self, table: str, rows: DataFrame, scope: Scope) -> None: ...
     def overwrite(self, table: str, rows: DataFrame) -> None: ...
@@ -61,7 +61,11 @@ class ParquetLake:
     # -- definition ---------------------------------------------------------------------
 
     def create(self) -> ParquetLake:
-        """Create what is missing, register partitions on disk, finish interrupted upserts."""
+        """Create what is missing, register partitions on disk, finish interrupted upserts.
+
+        The session then writes timestamps in the Parquet type that has statistics.
+        """
+        self.spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
         for schema in (self.schema, self.file_schema):
             location = f"{self.root}/_schemas/{schema}"
             self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{location}'")
@@ -110,7 +114,7 @@ class ParquetLake:
     # -- reading ------------------------------------------------------------------------
 
     def read(self, table: str, scope: Scope | None = None) -> DataFrame:
-        """Contract columns of a table, cut to the partitions in scope.
+        """Contract columns of a table, cut to the rows in scope.
 
         Looks for changes by other sessions first.  That drops cached frames which depend on
         the table, so the steps of a batch use :meth:`scan`.
@@ -121,19 +125,24 @@ class ParquetLake:
     def scan(self, table: str, scope: Scope | None = None) -> DataFrame:
         """Like :meth:`read`, for the writer of the lake: sees the session's own writes."""
         spec = TABLES[table]
-        rows = self.spark.read.table(self._files(spec))
-        if scope is not None:
-            rows = rows.where(scope.predicate())
+        rows = self._partitions(spec, scope)
+        if isinstance(scope, HourScope):
+            rows = rows.where(scope.spans(F.col(spec.clock)))
         return rows.select(*spec.column_names)
 
-    def newest_hours(self, table: str) -> list[tuple[int, int]]:
-        """(day, hour) partitions of a time-partitioned table, newest first; metadata only."""
+    def _partitions(self, spec: TableSpec, scope: Scope | None) -> DataFrame:
+        rows = self.spark.read.table(self._files(spec))
+        return rows if scope is None else rows.where(scope.partitions())
+
+    def newest_hours(self, table: str) -> list[Hour]:
+        """Partitions of a time-partitioned table, newest first; metadata only."""
         named = F.str_to_map("partition", F.lit("/"), F.lit("="))
         hours = self.spark.sql(f"SHOW PARTITIONS {self._files(TABLES[table])}").select(
             F.unix_date(named["part_day"].cast("date")).alias("day"),
             named["part_hour"].cast("int").alias("hour"),
         )
-        return [tuple(row) for row in hours.orderBy(F.desc("day"), F.desc("hour")).collect()]
+        newest_first = hours.orderBy(F.desc("day"), F.desc("hour")).collect()
+        return [Hour.whole(*row) for row in newest_first]
 
     # -- writing ------------------------------------------------------------------------
 
@@ -158,10 +167,14 @@ class ParquetLake:
         self._laid_out(spec, rows).write.insertInto(self._files(spec))
 
     def upsert(self, table: str, rows: DataFrame, scope: Scope) -> None:
-        """Replace rows with equal keys and add the others; ``scope`` covers all of ``rows``."""
+        """Replace rows with equal keys and add the others; ``scope`` covers all of ``rows``.
+
+        The touched partitions are rewritten as a whole.
+        """
         spec = TABLES[table]
         self._publish_staged(spec)
-        merged = upserted(self.scan(table, scope), rows, spec.keys)
+        whole = self._partitions(spec, scope).select(*spec.column_names)
+        merged = upserted(whole, rows, spec.keys)
         self._stage(spec, merged)
         self._publish(spec)
 

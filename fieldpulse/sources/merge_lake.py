@@ -64,7 +64,7 @@ class MergeLake:
     def scan(self, table: str, scope: Scope | None = None) -> DataFrame:
         rows = self.spark.read.table(self.view(table))
         if isinstance(scope, HourScope):
-            rows = rows.where(scope.time_predicate(F.col(TABLES[table].clock)))
+            rows = rows.where(scope.spans(F.col(TABLES[table].clock)))
         return rows
 
     def newest_hours(self, table: str) -> None:
@@ -77,7 +77,7 @@ class MergeLake:
         spec = TABLES[table]
         matches = [F.col(f"{table}.{key}") == F.col(f"source.{key}") for key in spec.keys]
         if isinstance(scope, HourScope):
-            matches.append(scope.time_predicate(F.col(f"{table}.{spec.clock}")))
+            matches.append(scope.spans(F.col(f"{table}.{spec.clock}")))
         (
             rows.select(*spec.column_names)
             .alias("source")

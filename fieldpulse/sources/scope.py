@@ -1,9 +1,8 @@
-"""Which partitions a batch touches, as a filter that prunes partitions at planning time."""
+"""Which part of the tables a batch touches, as filters that prune at planning time."""
 
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -14,72 +13,84 @@ from pyspark.sql import functions as F
 from fieldpulse.functions.timegrid import utc_day, utc_hour
 
 MAX_HOURS = 2_000
+MAX_SPANS = 50
+HOUR_SECONDS = 3600
+MINUTE_SECONDS = 60
+
+
+@dataclass(frozen=True, order=True)
+class Hour:
+    """One partition of the time tables and the touched span in it.
+
+    The day is counted from the epoch; ``first`` and ``end`` are seconds since the epoch, the
+    end not included.
+    """
+
+    day: int
+    hour: int
+    first: int
+    end: int
+
+    @classmethod
+    def whole(cls, day: int, hour: int) -> Hour:
+        first = (day * 24 + hour) * HOUR_SECONDS
+        return cls(day, hour, first, first + HOUR_SECONDS)
 
 
 @dataclass(frozen=True)
 class HourScope:
-    """Touched (day, hour) partitions; days are counted from the epoch.
+    """Touched (day, hour) partitions with the span of time touched in each.
 
     Up to ``MAX_HOURS`` of them are listed; a batch that touches more is covered by the range of
-    its days.  Either way every touched partition is inside, so the filter loses no row.
+    its days.  Either way everything touched is inside, so the filters lose no row.
     """
 
-    hours: tuple[tuple[int, int], ...] = ()
+    hours: tuple[Hour, ...] = ()
     days: tuple[int, int] | None = None
 
     @classmethod
-    def of(cls, events: DataFrame, clock: str = "event_time", limit: int = MAX_HOURS) -> HourScope:
-        touched = events.select(
-            F.unix_date(utc_day(clock)).alias("day"), utc_hour(clock).alias("hour")
-        )
-        listed = touched.distinct().limit(limit + 1).collect()
+    def of(
+        cls, rows: DataFrame, clock: str, lasting: int = 1, limit: int = MAX_HOURS
+    ) -> HourScope:
+        """Scope of rows that each last ``lasting`` seconds from the second of their clock."""
+        second = F.unix_seconds(clock)
+        day, hour = F.unix_date(utc_day(clock)).alias("day"), utc_hour(clock).alias("hour")
+        spans = rows.groupBy(day, hour).agg(F.min(second), F.max(second) + F.lit(lasting))
+        listed = spans.limit(limit + 1).collect()
         if len(listed) <= limit:
-            return cls(hours=tuple(sorted((row.day, row.hour) for row in listed)))
-        first, last = touched.agg(F.min("day"), F.max("day")).first()
+            return cls(hours=tuple(sorted(Hour(*row) for row in listed)))
+        first, last = rows.agg(F.min(day), F.max(day)).first()
         return cls(days=(first, last))
 
-    def predicate(self) -> Column:
+    def partitions(self) -> Column:
+        """All rows of the touched partitions."""
         if self.days is not None:
             return F.col("part_day").between(*(_day(d) for d in self.days))
-        by_day: dict[int, list[int]] = defaultdict(list)
-        for day, hour in self.hours:
-            by_day[day].append(hour)
-        days_by_hours: dict[tuple[int, ...], list[int]] = defaultdict(list)
-        for day, hours in by_day.items():
-            days_by_hours[tuple(hours)].append(day)
-        parts = [
+        hours_of: dict[int, list[int]] = defaultdict(list)
+        for hour in self.hours:
+            hours_of[hour.day].append(hour.hour)
+        days_with: dict[tuple[int, ...], list[int]] = defaultdict(list)
+        for day, hours in hours_of.items():
+            days_with[tuple(hours)].append(day)
+        return _any(
             F.col("part_day").isin([_day(d) for d in days]) & F.col("part_hour").isin(list(hours))
-            for hours, days in days_by_hours.items()
-        ]
-        return reduce(or_, parts) if parts else F.lit(False)
-
-    def time_predicate(self, clock: Column) -> Column:
-        """The same restriction as time ranges, for tables without partition columns."""
-        if self.days is not None:
-            spans = [(self.days[0] * 24, (self.days[1] + 1) * 24)]
-        else:
-            spans = _merged(day * 24 + hour for day, hour in self.hours)
-        parts = [(clock >= _hour(low)) & (clock < _hour(high)) for low, high in spans]
-        return reduce(or_, parts) if parts else F.lit(False)
+            for hours, days in days_with.items()
+        )
 
+    def spans(self, clock: Column) -> Column:
+        """Rows in the touched spans, by the clock column itself.
 
-def _merged(hours: Iterable[int]) -> list[tuple[int, int]]:
-    """Neighbouring hours joined to half-open spans."""
-    spans: list[tuple[int, int]] = []
-    for hour in sorted(hours):
-        if spans and spans[-1][1] == hour:
-            spans[-1] = (spans[-1][0], hour + 1)
+        Parquet skips row groups outside of them, so of an hour that fills up over time only the
+        recent files are read.  Many spans are joined to one to keep the filter short.
+        """
+        if self.days is not None:
+            first, last = self.days
+            spans = [(first * 24 * HOUR_SECONDS, (last + 1) * 24 * HOUR_SECONDS)]
         else:
-            spans.append((hour, hour + 1))
-    return spans
-
-
-def _hour(hours_since_epoch: int) -> Column:
-    return F.timestamp_seconds(F.lit(hours_since_epoch * 3600))
-
-
-def _day(days_since_epoch: int) -> Column:
-    return F.date_from_unix_date(F.lit(days_since_epoch))
+            spans = [(hour.first, hour.end) for hour in self.hours]
+        if len(spans) > MAX_SPANS:
+            spans = [(min(first for first, _ in spans), max(end for _, end in spans))]
+        return _any((clock >= _second(first)) & (clock < _second(end)) for first, end in spans)
 
 
 @dataclass(frozen=True)
@@ -88,8 +99,20 @@ class SlotScope:
 
     slots: tuple[int, ...]
 
-    def predicate(self) -> Column:
+    def partitions(self) -> Column:
         return F.col("part_slot").isin(list(self.slots))
 
 
 Scope = HourScope | SlotScope
+
+
+def _any(conditions) -> Column:
+    return reduce(or_, conditions, F.lit(False))
+
+
+def _second(seconds_since_epoch: int) -> Column:
+    return F.timestamp_seconds(F.lit(seconds_since_epoch))
+
+
+def _day(days_since_epoch: int) -> Column:
+    return F.date_from_unix_date(F.lit(days_since_epoch))

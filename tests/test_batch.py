@@ -210,7 +210,7 @@ def test_sizes_are_measured(make_events):
     rows = [("s", "äb", 1.0, 1.0, f"2024-01-01T0{h}:00:0{i}") for h in range(2) for i in range(5)]
     touched = plan.Touched.of(windows.affected_sensor_windows(make_events(*rows)))
     assert touched.key_bytes == 2 * (4 + sizing.ROW_BYTES)
-    assert [h for _, h in touched.hours.hours] == [0, 1]
+    assert [(h.hour, h.end - h.first) for h in touched.hours.hours] == [(0, 60), (1, 60)]
     assert len(touched.slots.slots) == 1
 
 

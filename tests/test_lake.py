@@ -75,10 +75,10 @@ def test_extreme_event_times(spark, make_raw, lake):
     assert parsed.where("event_time IS NOT NULL").count() == 3
     lake.append(m.SILVER, stamped(parsed, NOW))
     for limit in (10, 1):
-        scope = HourScope.of(parsed, limit=limit)
+        scope = HourScope.of(parsed, "event_time", limit=limit)
         assert lake.read(m.SILVER, scope).count() == 3
     again = ParquetLake(spark, lake.root, f"{lake.schema}_again").create()
-    assert again.read(m.SILVER, HourScope.of(parsed)).count() == 3
+    assert again.read(m.SILVER, HourScope.of(parsed, "event_time")).count() == 3
     assert len(again.newest_hours(m.SILVER)) == 3
 
 
@@ -86,13 +86,13 @@ def test_scope_prunes_partitions(make_events, lake):
     rows = [("s", "a", 1.0, 1.0, f"2024-01-0{d}T0{h}:00:01") for d in (1, 2) for h in range(4)]
     lake.append(m.SILVER, stamped(identified(make_events, *rows), NOW))
     batch = make_events(rows[0], rows[1], rows[5])
-    scope = HourScope.of(batch)
+    scope = HourScope.of(batch, "event_time")
     frame = lake.read(m.SILVER, scope)
     assert frame.count() == 3
     assert "InMemoryFileIndex(3 paths)" in plan_of(frame)
-    ranged = lake.read(m.SILVER, HourScope.of(batch, limit=1))
+    ranged = lake.read(m.SILVER, HourScope.of(batch, "event_time", limit=1))
     assert ranged.count() == 8
-    assert lake.read(m.SILVER, HourScope.of(batch.where("false"))).count() == 0
+    assert lake.read(m.SILVER, HourScope.of(batch.where("false"), "event_time")).count() == 0
 
 
 def sensor_rows(make_events, now, *rows):
@@ -172,7 +172,7 @@ def site_rows(make_events, now, *rows):
 def test_upsert_leaves_other_partitions_alone(make_events, lake):
     monday, tuesday = ("s", "a", 1.0, 1.0, "2024-01-01T00:00:01"), ("s", "a", 2.0, 1.0, "2024-01-02T05:00:01")
     for row in (monday, tuesday):
-        lake.upsert(m.SITE_MINUTE, site_rows(make_events, NOW, row), HourScope.of(make_events(row)))
+        lake.upsert(m.SITE_MINUTE, site_rows(make_events, NOW, row), HourScope.of(make_events(row), "event_time"))
     assert rows_of(lake.read(m.SITE_MINUTE), "avg_temperature") == [(1.0,), (2.0,)]
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fieldpulse import model as m
 from fieldpulse.sources.merge_lake import PARTITIONING, MergeLake
-from fieldpulse.sources.scope import HourScope, SlotScope
+from fieldpulse.sources.scope import Hour, HourScope, SlotScope
 from fieldpulse.streaming.job import StreamConfig
 from tests.conftest import rows_of
 
@@ -39,10 +39,10 @@ def test_scan_is_cut_to_the_hours_in_scope(spark, make_events, plain):
     events = make_events(*rows)
     silver = events.selectExpr("'x' event_id", "*", "event_time processed_at")
     silver.write.insertInto(plain.view(m.SILVER))
-    scope = HourScope.of(make_events(rows[0], rows[1], rows[3]))
+    scope = HourScope.of(make_events(rows[0], rows[1], rows[3]), "event_time")
     hours = plain.scan(m.SILVER, scope).select(F.hour("event_time"))
     assert rows_of(hours) == [(0,), (1,), (5,)]
-    assert plain.scan(m.SILVER, HourScope.of(events, limit=1)).count() == 4
+    assert plain.scan(m.SILVER, HourScope.of(events, "event_time", limit=1)).count() == 4
     assert plain.scan(m.SILVER, HourScope()).count() == 0
     assert plain.scan(m.SENSOR_LATEST, SlotScope((1,))).count() == 0
 
@@ -50,7 +50,7 @@ def test_scan_is_cut_to_the_hours_in_scope(spark, make_events, plain):
 def test_upsert_is_a_merge_on_the_keys(spark, plain):
     rows = spark.table(plain.view(m.SITE_MINUTE))
     with pytest.raises(UnsupportedOperationException, match="MERGE INTO"):
-        plain.upsert(m.SITE_MINUTE, rows, HourScope(hours=((19723, 1),)))
+        plain.upsert(m.SITE_MINUTE, rows, HourScope(hours=(Hour.whole(19723, 1),)))
 
 
 def test_the_job_opens_the_named_schema(spark):

@@ -82,11 +82,34 @@ def test_id_lookup_reads_only_ids(silver, make_events, size, joins):
 
 
 def test_scope_reaches_the_scan(lake, silver, make_events):
-    scope = HourScope.of(make_events(("s", "a", 1.0, 1.0, "2024-01-01T02:59:59")))
+    scope = HourScope.of(make_events(("s", "a", 1.0, 1.0, "2024-01-01T02:59:59")), "event_time")
     plan = plan_of(minutes.sensor_minute(minutes.minute_partials(lake.scan(m.SILVER, scope))))
     assert "InMemoryFileIndex(1 paths)" in plan
 
 
+def test_spans_reach_the_parquet_reader(spark, lake, make_events):
+    for minute in (10, 50):
+        row = ("s", "a", 1.0, 1.0, f"2024-01-01T02:{minute}:30")
+        events = ev.with_event_id(make_events(row))
+        lake.append(m.SILVER, stamped(events, at("2024-06-01T00:00:00")))
+    scope = HourScope.of(make_events(("s", "a", 1.0, 1.0, "2024-01-01T02:50:00")), "event_time", 60)
+    found = lake.scan(m.SILVER, scope)
+    assert "GreaterThanOrEqual(event_time" in plan_of(found)
+    assert "LessThan(event_time" in plan_of(found)
+    assert found.count() == 1
+
+
+def test_upsert_reads_whole_partitions(lake, make_events):
+    """The span of a scope must not reach the partitions an upsert rewrites."""
+    rows = [("s", "a", 1.0, 1.0, f"2024-01-01T02:{minute}:30") for minute in (10, 50)]
+    for row in rows:
+        events = make_events(row)
+        touched = HourScope.of(windows.affected_site_windows(events), "window_start", 60)
+        sites = minutes.site_minute(minutes.minute_partials(events))
+        lake.upsert(m.SITE_MINUTE, stamped(sites, at("2024-06-01T00:00:00")), touched)
+    assert lake.read(m.SITE_MINUTE).count() == 2
+
+
 def test_rows_are_gathered_per_partition_before_writing(lake, silver):
     plan = plan_of(lake._laid_out(m.TABLES[m.SILVER], silver))
     assert "REBALANCE_PARTITIONS_BY_COL" in plan
