@@ -14,7 +14,8 @@ def tables():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(q.QUERIES) <= set(entry_points.queries())
+    assert set(q.QUERIES) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(q.QUERIES))
