@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fieldpulse.llm import bpe
+from fieldpulse.llm import bpe, language, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,13 +17,33 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def remainder_is(divisor: int, value: int) -> Column:
+    """Whether crc32 of the document's id as text leaves ``value``; false without an id."""
+    rest = F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+    return F.coalesce(rest == value, F.lit(False))
+
+
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    documents, held_out = table(spark, folder, "documents"), remainder_is(3, 1)
+    model = language.learn(documents.where(~held_out))
+    return language.identify(documents, model).withColumn("held_out", held_out)
+
+
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.round_trip(table(spark, folder, "documents"), path)
 
 
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents, held_out = table(spark, folder, "documents"), remainder_is(4, 2)
+    sample = quality.labelled_sample(documents.where(~held_out), table(spark, folder, "labels"))
+    return quality.score(documents, quality.train(*sample)).withColumn("held_out", held_out)
+
+
 QUERIES: dict[str, Query] = {
+    "op2_language": op2_language,
     "op4_bpe": op4_bpe,
+    "op5_quality": op5_quality,
 }
 
 ORACLES: dict[str, str] = {}
