@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldpulse.llm import bpe, language, quality
+from fieldpulse.llm import bpe, fingerprint, language, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,10 @@ def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(documents, model).withColumn("held_out", held_out)
 
 
+def op3_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint.edited_neighbours(table(spark, folder, "documents"))
+
+
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.round_trip(table(spark, folder, "documents"), path)
@@ -42,6 +46,7 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_language": op2_language,
+    "op3_fingerprint": op3_fingerprint,
     "op4_bpe": op4_bpe,
     "op5_quality": op5_quality,
 }

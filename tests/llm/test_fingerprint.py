@@ -1,0 +1,97 @@
+"""The walk against a plain one, likeness against edits, neighbours against a sort."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from fieldpulse.llm import fingerprint as fp
+from fieldpulse.llm.queries import QUERIES
+from tests.conftest import SMALLEST
+
+
+def plain_walk(text):
+    """One text, one step at a time."""
+    level = int(fp.own_level(np.array([len(text)]))[0])
+    at, out = 0, []
+    for step in range(3 * len(text)):
+        if at == len(text):
+            break
+        sign = (ord(text[at]) * 0x9E3779B1 >> 16) & 0xFF
+        if (step + 1) % (1 << level) == 0:
+            out.append(sign)
+        at += int(fp._moves()[step % fp._PERIOD, sign % fp._SIGNS])
+    return level, bytes(out)
+
+
+def some_text(pick, size):
+    return "".join(pick.choice("abcdefghij klmno é日") for _ in range(size))
+
+
+def test_texts_walk_together_as_alone():
+    pick = random.Random(1)
+    texts = [some_text(pick, n) for n in (0, 1, 2, 3, 50, 700, 700, 5000, *range(60))]
+    assert fp._walk_texts(texts) == [plain_walk(t) for t in texts]
+
+
+def test_edits_keep_most_samples():
+    pick = random.Random(2)
+    text, other = some_text(pick, 4000), some_text(pick, 4000)
+    edited = text[:1000] + "xyz" + text[1000:2500] + text[2520:]
+    one, near, far = fp._walk_texts([text, edited, other])
+    assert fp.likeness(one, one) == 1.0
+    assert fp.likeness(one, near, banded=False) > 0.5 > fp.likeness(one, far, banded=False)
+    longer = fp._walk_texts([text + some_text(pick, 2500)])[0]
+    assert longer[0] != one[0] and 0.5 < fp.likeness(one, longer) < 0.9
+    assert fp.parsed(fp.shown(one)) == one
+
+
+def neighbours_by_sort(rows):
+    rows = sorted(rows, key=lambda r: -r[0])
+    for (doc, text), (_, after) in zip(rows, rows[1:] + rows[:1]):
+        gone = len(text) // 3
+        yield doc, text, text[: len(text) - gone] + after[:gone], after
+
+
+@pytest.mark.parametrize("bucket_chars", [20_000, 1 << 30])
+def test_query(spark, monkeypatch, bucket_chars):
+    monkeypatch.setattr(fp, "BUCKET_CHARS", bucket_chars)
+    documents = spark.read.parquet(f"{SMALLEST}/documents.parquet").select("doc_id", "text")
+    found = {r.doc_id: r for r in QUERIES["op3_fingerprint"](spark, SMALLEST).collect()}
+    expected = list(neighbours_by_sort([(r.doc_id, r.text or "") for r in documents.collect()]))
+    assert len(found) == len(expected)
+    for doc, text, edited, after in expected:
+        row = found[doc]
+        assert row.n_chars == len(text)
+        assert row.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        own, changed, other = map(plain_walk, (text, edited, after))
+        assert (row.fingerprint, row.edited_fingerprint) == (fp.shown(own), fp.shown(changed))
+        assert row.near_edited == fp.likeness(own, changed)
+        assert row.near_next == fp.likeness(own, other)
+    long = [found[d] for d, text, *_ in expected if len(text) > 300]
+    assert np.mean([r.near_edited for r in long]) > 0.6 > 0.2 > np.mean([r.near_next for r in long])
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, "x"), (2, "", "x"), (3, "same text", "x"), (3, "same text", "x"), (None, "abc", "x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, bucket string")
+    found = fp.edited_neighbours(frame).collect()
+    assert len(found) == 5
+    prints = {(r.doc_id, r.fingerprint) for r in found}
+    assert (1, "0:") in prints and (2, "0:") in prints and len(prints) == 4
+    assert fp.edited_neighbours(frame.limit(0)).count() == 0
+    single = fp.edited_neighbours(frame.where("doc_id = 2")).collect()
+    assert [(r.near_edited, r.near_next) for r in single] == [(1.0, 1.0)]
+
+
+def test_near_documents(spark):
+    pick = random.Random(4)
+    text = some_text(pick, 1000)
+    rows = [(1, text), (2, text), (3, text[:-5] + "xxxxx"), (4, some_text(pick, 1000)), (5, None), (6, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    prints = fp.fingerprints(frame)
+    links = {(r.doc_id, r.near_id) for r in fp.near_documents(prints).collect()}
+    assert links == {(2, 1), (3, 1), (6, 5)}
+    assert fp.near_documents(prints.where(F.lit(False))).count() == 0
