@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldpulse.llm import bpe, fingerprint, language, quality
+from fieldpulse.llm import bpe, fingerprint, language, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,11 +44,17 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(documents, quality.train(*sample)).withColumn("held_out", held_out)
 
 
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack_documents(table(spark, folder, "documents"), path)
+
+
 QUERIES: dict[str, Query] = {
     "op2_language": op2_language,
     "op3_fingerprint": op3_fingerprint,
     "op4_bpe": op4_bpe,
     "op5_quality": op5_quality,
+    "op10_packing": op10_packing,
 }
 
 ORACLES: dict[str, str] = {}
