@@ -114,26 +114,25 @@ def score_block(block: Block, model: Model) -> np.ndarray:
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame) -> tuple[list[str], list[int]]:
-    """Whole texts and labels of a bounded number of documents, the same for any partitioning."""
-    marked = (
+    """Whole texts and labels of a bounded number of documents, the same for any partitioning.
+
+    Only ids and labels are sorted; the chosen ids travel to the texts, not the other way.
+    """
+    chosen = (
         labels.where("quality in (0, 1) and doc_id is not null")
         .groupBy("doc_id")
         .agg(F.min("quality").cast("int").alias("quality"))
-    )
-    known = documents.select("doc_id", "text").join(marked, "doc_id")
-    first = (
-        known.select("doc_id", "quality", F.length("text").alias("size"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "size")
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(SAMPLE_ROWS)
-        .toPandas()
-    )
-    first = first[first["size"].fillna(0).cumsum() <= SAMPLE_CHARS]
-    wanted = F.broadcast(
-        documents.sparkSession.createDataFrame(
-            [(int(i),) for i in first["doc_id"].unique()], "doc_id long"
-        )
+        .collect()
     )
-    rows = known.join(wanted, "doc_id", "left_semi").orderBy("doc_id", F.xxhash64("text")).toPandas()
+    session = documents.sparkSession
+    marks = F.broadcast(session.createDataFrame(chosen, "doc_id long, quality int"))
+    known = documents.select("doc_id", "text").join(marks, "doc_id")
+    order = [F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")]
+    sizes = known.orderBy(*order).select(F.coalesce(F.length("text"), F.lit(0)).alias("n"))
+    fits = int((sizes.toPandas()["n"].cumsum() <= SAMPLE_CHARS).sum())
+    rows = known.orderBy(*order).limit(fits).toPandas()
     return rows["text"].fillna("").tolist(), rows["quality"].tolist()
 
 

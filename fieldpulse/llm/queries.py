@@ -40,7 +40,8 @@ def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     documents, held_out = table(spark, folder, "documents"), remainder_is(4, 2)
-    sample = quality.labelled_sample(documents.where(~held_out), table(spark, folder, "labels"))
+    labels = table(spark, folder, "labels").where(~held_out)
+    sample = quality.labelled_sample(documents.where(~held_out), labels)
     return quality.score(documents, quality.train(*sample)).withColumn("held_out", held_out)
 
 
