@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldpulse.llm import bpe, fingerprint, language, packing, quality
+from fieldpulse.llm import bpe, fingerprint, language, packing, quality, repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +45,10 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(documents, quality.train(*sample)).withColumn("held_out", held_out)
 
 
+def op6_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.digests(table(spark, folder, "documents"))
+
+
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack_documents(table(spark, folder, "documents"), path)
@@ -55,6 +59,7 @@ QUERIES: dict[str, Query] = {
     "op3_fingerprint": op3_fingerprint,
     "op4_bpe": op4_bpe,
     "op5_quality": op5_quality,
+    "op6_repeats": op6_repeats,
     "op10_packing": op10_packing,
 }
 
