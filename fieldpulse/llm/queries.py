@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldpulse.llm import bpe, fingerprint, language, packing, quality, repeats
+from fieldpulse.llm import bpe, fingerprint, language, near_sets, packing, quality, repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +49,10 @@ def op6_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.digests(table(spark, folder, "documents"))
 
 
+def op8_near_sets(spark: SparkSession, folder: str) -> DataFrame:
+    return near_sets.near_components(table(spark, folder, "documents"))
+
+
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack_documents(table(spark, folder, "documents"), path)
@@ -60,6 +64,7 @@ QUERIES: dict[str, Query] = {
     "op4_bpe": op4_bpe,
     "op5_quality": op5_quality,
     "op6_repeats": op6_repeats,
+    "op8_near_sets": op8_near_sets,
     "op10_packing": op10_packing,
 }
 
