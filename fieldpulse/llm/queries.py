@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldpulse.llm import bpe, fingerprint, language, near_sets, packing, quality, repeats
+from fieldpulse.llm import bpe, fingerprint, language, near_sets, near_vectors, packing, quality, repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +53,10 @@ def op8_near_sets(spark: SparkSession, folder: str) -> DataFrame:
     return near_sets.near_components(table(spark, folder, "documents"))
 
 
+def op9_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, folder, "embeddings"))
+
+
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack_documents(table(spark, folder, "documents"), path)
@@ -65,6 +69,7 @@ QUERIES: dict[str, Query] = {
     "op5_quality": op5_quality,
     "op6_repeats": op6_repeats,
     "op8_near_sets": op8_near_sets,
+    "op9_near_vectors": op9_near_vectors,
     "op10_packing": op10_packing,
 }
 
