@@ -41,7 +41,7 @@ from fieldpulse.llm.blocks import blocks, mixed, owners, range_hashes, spread, w
 WINDOW = 20
 ROUNDS = 2
 #: Keys a task gathers before it resolves its own copies and sends them.
-KEYS_AT_ONCE = 1_000_000
+KEYS_AT_ONCE = 200_000
 _LAST_ID = np.iinfo(np.int64).max
 _STEP = np.uint64(0x9FB21C651E98DF25)
 _STEP_INVERSE = np.uint64(pow(0x9FB21C651E98DF25, -1, 1 << 64))
@@ -213,7 +213,7 @@ def _without_own_copies(entries: np.ndarray, hashes: np.ndarray) -> tuple[np.nda
     """Entries that another of the task equals in key, place and all windows, but for the first one."""
     many = entries["many"].astype(np.int64)
     ends = np.cumsum(many)
-    print_ = range_hashes(hashes.view(np.uint8), 4 * (ends - many), 4 * ends)
+    print_ = _Sequences(hashes.astype(np.uint64)).hashes(ends - many, ends)
     print_ = mixed(print_ ^ entries["key"]) + (entries["first"] - entries["at"]).astype(np.uint64)
     order = np.lexsort((entries["first"], entries["twin"], entries["doc"], print_))
     later = np.zeros(len(entries), bool)
