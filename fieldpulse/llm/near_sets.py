@@ -5,19 +5,20 @@ A document is the set of its distinct three-word shingles.  Two documents link w
 
 *Who is compared.*  With an order of all shingles, linked sets share one of their first
 ``n - ceil(n * PERCENT / 100) + 1`` (prefix filter, exact for any order).  Here a shingle comes the
-earlier the rarer its rarest word is in the whole corpus, so that common phrases and shared passages
-come last and prefixes meet only in near copies.  Sharing a prefix shingle with a size that allows a
-link joins documents into candidate groups; copies of one set are represented by one document, and
-within a shared shingle only neighbours by size are joined, so a shingle of any frequency costs one
-edge per document.
-
-*How they are compared.*  Shingles are hashed into ``GROUPS`` groups; a document's counts per group
-are a point.  The points of a tile (at most about ``TILE`` documents of a candidate group) form an
-R-tree; the sum of coordinate minima bounds the overlap of two points, and of any two below two
-boxes when taken over the boxes' upper corners.  What the bound leaves is verified on the sets.
-Pairs that are connected already are not verified again, so a group of near copies costs about one
-verification per document.  Larger groups are cut into tiles by size, and tiles whose sizes allow a
-link are joined pair by pair, each in a task of its own.  No link is lost at any step.
+earlier the rarer its rarest word is in the whole corpus, so that common phrases come last.  The
+documents that share a prefix shingle form a group, cut where neighbours by size differ too much
+for a link; groups of the same documents are one, and copies of one set are represented by one
+document.
+
+*How they are compared.*  Shingles are hashed into groups (the more, the larger the set); a
+document's counts per group are a point.  The points of a group of documents form an R-tree; the
+sum of coordinate minima bounds the overlap of two points, and of any two below two boxes when taken
+over the boxes' upper corners.  Pairs that the bound leaves join documents into families, whose sets
+are then fetched and verified exactly, again along an R-tree.  Pairs that are connected already are
+neither bounded nor verified again, so a family of near copies costs about one verification per
+document.  Groups and families of more than about ``TILE`` documents are cut into tiles by size, and
+tiles whose sizes allow a link are joined pair by pair, each in a task of its own.  No link is lost
+at any step.
 
 Defined results: null, empty and wordless texts have no shingle and link with nothing; one or two
 words are one shingle; texts of any length are read whole, the document being the unit of memory;
@@ -30,18 +31,18 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldpulse.llm.blocks import blocks, lowered, mixed, owners, range_hashes, words_of
-from fieldpulse.llm.graphs import Forest, components, spanning
+from fieldpulse.llm.blocks import blocks, lowered, mixed, owners, range_hashes, spread, words_of
+from fieldpulse.llm.graphs import Forest, components
 from fieldpulse.session import work_folder
 
 SHINGLE = 3
 PERCENT = 90
 GROUPS = 64
+PER_GROUP = 64
 LEAF = 16
 TILE = 512
 #: Words that make up more than one in so many of all words are told apart by frequency: at most so many.
@@ -156,7 +157,8 @@ _ENTRY = np.dtype([("token", "<u8"), ("doc", "<i8"), ("size", "<i4")])
 
 
 def _sets_and_candidates(documents: DataFrame) -> DataFrame:
-    """Rows of two kinds in one table: documents ``(doc, size, one, two)`` and edges ``(doc, other)``."""
+    """Rows of two kinds in one table: documents ``(doc, size, one, two, points)``, and the members
+    ``(doc, size, job, many)`` of groups that share a shingle."""
     spark = documents.sparkSession
     targets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     shared = spark.sparkContext.broadcast(frequent_words(documents))
@@ -194,6 +196,7 @@ def _sets_and_candidates(documents: DataFrame) -> DataFrame:
                         pa.array(sizes.astype(np.int64)),
                         pa.array(one.view(np.int64)),
                         pa.array(two.view(np.int64)),
+                        pa.array(points_of(hashes, first), pa.binary()),
                     ],
                     names,
                 )
@@ -226,49 +229,90 @@ def _sets_and_candidates(documents: DataFrame) -> DataFrame:
             packed = batch.column(1)
             parts += [np.frombuffer(x, _ENTRY) for x in packed.drop_null().to_pylist()]
             rows = batch.filter(packed.is_null())
-            yield pa.RecordBatch.from_arrays([*rows.columns[2:], pa.nulls(rows.num_rows, pa.int64())], found)
-        entries = np.concatenate(parts)
-        edges = spanning(candidate_edges(entries))
-        a, b = ([e[i] for e in edges] for i in (0, 1))
-        gone = pa.nulls(len(edges), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), gone, gone, gone, pa.array(b, pa.int64())], found)
-
-    kinds = [pa.int64()] * 4
-    names = ["target", "packed", "doc", "size", "one", "two"]
-    found = ["doc", "size", "one", "two", "other"]
+            none = [pa.nulls(rows.num_rows, pa.int64()), pa.nulls(rows.num_rows, pa.int32())]
+            yield pa.RecordBatch.from_arrays([*rows.columns[2:], *none], found)
+        job, doc, size, many = groups_of(np.concatenate(parts))
+        gone = pa.nulls(len(job), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(doc),
+                pa.array(size.astype(np.int64)),
+                gone,
+                gone,
+                pa.nulls(len(job), pa.binary()),
+                pa.array(job.view(np.int64)),
+                pa.array(many.astype(np.int32)),
+            ],
+            found,
+        )
+
+    kinds = [pa.int64()] * 4 + [pa.binary()]
+    names = ["target", "packed", "doc", "size", "one", "two", "points"]
+    found = ["doc", "size", "one", "two", "points", "job", "many"]
     rows = documents.select(F.col("doc_id").cast("long").alias("doc"), "text")
-    sent = rows.mapInArrow(send, "target int, packed binary, doc long, size long, one long, two long")
+    row = "doc long, size long, one long, two long, points binary"
+    sent = rows.mapInArrow(send, f"target int, packed binary, {row}")
     folder = work_folder(spark, "near_sets")
-    sent.repartitionById(targets, F.col("target")).mapInArrow(
-        resolve, "doc long, size long, one long, two long, other long"
-    ).write.parquet(folder)
+    dealt = sent.repartitionById(targets, F.col("target"))
+    dealt.mapInArrow(resolve, f"{row}, job long, many int").write.parquet(folder)
     return spark.read.parquet(folder)
 
 
-def candidate_edges(entries: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Neighbours by size among the documents of a token, where the sizes allow a link."""
+def groups_of(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Group, document, its size and the group's for all groups of documents that share a token.
+
+    A group ends where the next larger document is too large for a link.
+    """
     entries = entries[np.lexsort((entries["doc"], entries["size"], entries["token"]))]
+    twice = np.zeros(len(entries), bool)
     low, high = entries[:-1], entries[1:]
-    near = (low["token"] == high["token"]) & (low["doc"] != high["doc"])
-    near &= low["size"].astype(np.int64) * 100 >= high["size"].astype(np.int64) * PERCENT
-    pairs = np.unique(np.stack([low["doc"][near], high["doc"][near]], 1), axis=0)
-    return map(tuple, pairs.tolist())
+    same = low["token"] == high["token"]
+    twice[1:] = same & (low["doc"] == high["doc"]) & (low["size"] == high["size"])
+    new = np.ones(len(entries), bool)
+    new[1:] = ~(same & (low["size"].astype(np.int64) * 100 >= high["size"].astype(np.int64) * PERCENT))
+    group = np.cumsum(new) - 1
+    entries, group = entries[~twice], group[~twice]
+    cuts = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
+    many = np.diff(np.append(cuts, len(group)))
+    names = mixed(np.add.reduceat(mixed(entries["doc"].view(np.uint64)), cuts)) if len(cuts) else np.zeros(0, np.uint64)
+    names = names + many.astype(np.uint64)
+    _, first = np.unique(names, return_index=True)
+    first = first[many[first] > 1]
+    at = spread(cuts[first], many[first])
+    return np.repeat(names[first], many[first]), entries["doc"][at], entries["size"][at], np.repeat(many[first], many[first])
 
 
 # -- the R-tree join of a tile or two -----------------------------------------------------------------
 
 
+def points_of(hashes: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """Counts per hash group of each set; sets of more than ``GROUPS * PER_GROUP`` have more groups."""
+    sizes = np.diff(first)
+    doublings = np.ceil(np.log2(np.maximum(sizes, 1) / (GROUPS * PER_GROUP))).clip(0).astype(np.int64)
+    wide = GROUPS << doublings
+    base = np.cumsum(wide) - wide
+    of = owners(first)
+    group = (hashes & (wide[of] - 1).astype(np.uint64)).astype(np.int64)
+    counts = np.bincount(base[of] + group, minlength=int(wide.sum())).astype("<u2").tobytes()
+    return [counts[2 * a : 2 * (a + b)] for a, b in zip(base.tolist(), wide.tolist())]
+
+
+def folded(points: list[bytes]) -> np.ndarray:
+    """Points as rows, folded to the smallest number of groups among them."""
+    least = min(map(len, points), default=0) // 2
+    return np.array([np.frombuffer(p, "<u2").reshape(-1, least).sum(0) for p in points], np.int32)
+
+
 class CountTree:
-    """Documents as points of counts per group, packed into boxes by size."""
+    """Points of counts per group, packed into boxes by size."""
 
-    def __init__(self, sets: list[np.ndarray]):
-        self.sizes = np.array([len(s) for s in sets], np.int64)
-        self.order = np.argsort(self.sizes, kind="stable")
-        points = [np.bincount((s % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS) for s in sets]
-        self.points = np.array(points, np.int32).reshape(len(sets), GROUPS)[self.order]
-        cuts = np.arange(0, len(sets), LEAF)
-        self.upper = np.maximum.reduceat(self.points, cuts) if len(sets) else self.points
-        self.least = self.sizes[self.order][cuts] if len(sets) else self.sizes
+    def __init__(self, points: np.ndarray, sizes: np.ndarray):
+        self.sizes = sizes
+        self.order = np.argsort(sizes, kind="stable")
+        self.points = points[self.order]
+        cuts = np.arange(0, len(sizes), LEAF)
+        self.upper = np.maximum.reduceat(self.points, cuts) if len(sizes) else self.points
+        self.least = self.sizes[self.order][cuts]
 
     def leaf(self, number: int) -> np.ndarray:
         return self.order[number * LEAF : (number + 1) * LEAF]
@@ -287,20 +331,21 @@ def linked(one: np.ndarray, two: np.ndarray) -> bool:
     return int((two[at] == one).sum()) >= needed(len(one), len(two))
 
 
-def tree_links(sets: list[np.ndarray], docs: list[int], side: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Links that connect what is connected among sets, or between sets of side 0 and of side 1.
+def tree_links(
+    points: list[bytes], sizes: list[int], docs: list[int], side: np.ndarray | None = None, sets: list | None = None
+) -> list[tuple[int, int]]:
+    """Links that connect what is connected among documents, or between those of side 0 and side 1.
 
-    A link between documents that earlier links connect is not looked for.
+    A pair links if the bound allows it and, where ``sets`` are given, if they do.  A link between
+    documents that earlier links connect is not looked for.
     """
     forest = Forest()
-    trees = [CountTree(sets)]
-    which = [np.arange(len(sets))]
-    if side is not None:
-        which = [np.flatnonzero(side == 0), np.flatnonzero(side == 1)]
-        trees = [CountTree([sets[i] for i in w]) for w in which]
-    left, right, mine, other = trees[0], trees[-1], which[0], which[-1]
-    if not len(mine) or not len(other):
+    every, size = folded(points), np.array(sizes, np.int64)
+    which = [np.arange(len(docs))] if side is None else [np.flatnonzero(side == 0), np.flatnonzero(side == 1)]
+    if not all(map(len, which)):
         return []
+    trees = [CountTree(every[w], size[w]) for w in which]
+    left, right, mine, other = trees[0], trees[-1], which[0], which[-1]
     for a in range(len(left.upper)):
         bound = np.minimum(left.upper[a], right.upper).sum(1)
         close = bound >= needed(left.least[a], right.least)
@@ -308,20 +353,22 @@ def tree_links(sets: list[np.ndarray], docs: list[int], side: np.ndarray | None
             close[:a] = False
         for b in np.flatnonzero(close).tolist():
             rows, columns = left.leaf(a), right.leaf(b)
-            points = right.points[b * LEAF : b * LEAF + len(columns)]
             own = left.points[a * LEAF : a * LEAF + len(rows)]
-            shared = np.minimum(own[:, None], points[None]).sum(2)
+            shared = np.minimum(own[:, None], right.points[None, b * LEAF : b * LEAF + len(columns)]).sum(2)
             good = shared >= needed(left.sizes[rows][:, None], right.sizes[columns][None])
             for i, j in zip(*(x.tolist() for x in np.nonzero(good))):
                 one, two = int(mine[rows[i]]), int(other[columns[j]])
-                if (side is not None or one != two) and forest.root(docs[one]) != forest.root(docs[two]):
-                    if linked(sets[one], sets[two]):
+                if one != two and forest.root(docs[one]) != forest.root(docs[two]):
+                    if sets is None or linked(sets[one], sets[two]):
                         forest.join(docs[one], docs[two])
     return forest.stars()
 
 
-def _tiles(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members with the tile they belong to, and the pairs of different tiles that may link."""
+def _tiled(members: DataFrame) -> DataFrame:
+    """Jobs ``cluster, one, two, doc, side`` for clusters of any size, cut into tiles by size.
+
+    A tile is joined with itself (``one = two``) and with each other tile whose sizes allow a link.
+    """
     by_size = members.groupBy("cluster", "size").agg(F.count("*").alias("n"))
     before = F.sum("n").over(
         Window.partitionBy("cluster").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
@@ -332,40 +379,40 @@ def _tiles(members: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.floor(F.coalesce(before, F.lit(0)) / TILE).alias("step"),
         F.ceil(F.col("n") / TILE).alias("splits"),
     )
-    tiled = members.join(steps, ["cluster", "size"]).withColumn(
-        "tile", F.struct("step", F.pmod(F.xxhash64("doc"), F.col("splits")).alias("split"))
-    )
+    split = F.pmod(F.xxhash64("doc"), F.col("splits")).alias("split")
+    tiled = members.join(steps, ["cluster", "size"]).withColumn("tile", F.struct("step", split))
     boxes = tiled.groupBy("cluster", "tile").agg(F.min("size").alias("low"), F.max("size").alias("high"))
     other = boxes.select("cluster", *[F.col(c).alias(f"other_{c}") for c in ("tile", "low", "high")])
     pairs = boxes.join(other, "cluster").where(
         (F.col("tile") < F.col("other_tile"))
-        & (F.col("low") * 100 >= 0)
         & (F.least("high", "other_high") * 100 >= F.greatest("low", "other_low") * PERCENT)
     )
-    return tiled, pairs.select("cluster", "tile", "other_tile")
+    pairs = pairs.select("cluster", F.col("tile").alias("one"), F.col("other_tile").alias("two"))
 
+    def side(number: int, name: str) -> DataFrame:
+        joined = tiled.withColumnRenamed("tile", name).join(pairs, ["cluster", name])
+        return joined.select("cluster", "one", "two", "doc", F.lit(number).alias("side"))
 
-def _links(documents: DataFrame, members: DataFrame) -> DataFrame:
-    """Links ``a, b`` within the clusters of ``members(cluster, doc, size)``."""
-    tiled, pairs = _tiles(members)
-    alone = tiled.select(
-        "cluster", "doc", F.col("tile").alias("one"), F.col("tile").alias("two"), F.lit(0).alias("side")
-    )
-    lefts = tiled.join(pairs, ["cluster", "tile"]).select(
-        "cluster", "doc", F.col("tile").alias("one"), F.col("other_tile").alias("two"), F.lit(0).alias("side")
-    )
-    rights = tiled.join(pairs.withColumnsRenamed({"tile": "one", "other_tile": "tile"}), ["cluster", "tile"]).select(
-        "cluster", "doc", "one", F.col("tile").alias("two"), F.lit(1).alias("side")
+    alone = tiled.select("cluster", F.col("tile").alias("one"), F.col("tile").alias("two"), "doc", F.lit(0).alias("side"))
+    return alone.unionByName(side(0, "one")).unionByName(side(1, "two"))
+
+
+def _jobs(members: DataFrame) -> DataFrame:
+    """``job, doc, side, alone`` of the members of clusters; only large ones are cut into tiles."""
+    small = members.where(F.col("many") <= TILE).select(
+        F.col("cluster").alias("job"), "doc", F.lit(0).alias("side"), F.lit(True).alias("alone")
     )
-    jobs = alone.unionByName(lefts).unionByName(rights)
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc"), "text")
-    dealt = (
-        texts.join(jobs.hint("shuffle_hash"), "doc")
-        .withColumn("job", F.xxhash64("cluster", "one", "two"))
-        .repartition("job")
-        .sortWithinPartitions("job")
-        .select("job", "doc", "side", (F.col("one") == F.col("two")).alias("alone"), "text")
+    large = _tiled(members.where(F.col("many") > TILE)).select(
+        F.xxhash64("cluster", "one", "two").alias("job"),
+        "doc",
+        "side",
+        (F.col("one") == F.col("two")).alias("alone"),
     )
+    return small.unionByName(large)
+
+
+def _solved(rows: DataFrame, solve) -> DataFrame:
+    """Links ``a, b`` that ``solve(table of one job)`` finds; rows of a job stand together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -375,35 +422,59 @@ def _links(documents: DataFrame, members: DataFrame) -> DataFrame:
             jobs = rest.column("job").to_numpy()
             last = int(np.searchsorted(jobs, jobs[-1])) if len(jobs) else 0
             if last:
-                yield from solved(rest.slice(0, last))
+                yield solved(rest.slice(0, last))
                 rest = rest.slice(last)
         if rest is not None and len(rest):
-            yield from solved(rest)
+            yield solved(rest)
 
-    def solved(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    def solved(table: pa.Table) -> pa.RecordBatch:
         jobs = table.column("job").to_numpy()
         cuts = [0, *(np.flatnonzero(jobs[1:] != jobs[:-1]) + 1).tolist(), len(jobs)]
-        found = []
-        for a, b in zip(cuts, cuts[1:]):
-            rows, sets = table.slice(a, b - a), []
-            for block in blocks(rows.column("text").combine_chunks()):
-                hashes, first = sets_of(*word_hashes(block))
-                ends = first.tolist()
-                sets += [np.sort(hashes[x:y]) for x, y in zip(ends, ends[1:])]
-            docs = rows.column("doc").to_pylist()
-            alone = rows.column("alone")[0].as_py()
-            found += tree_links(sets, docs, None if alone else rows.column("side").to_numpy())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["a", "b"]
-        )
+        found = [link for a, b in zip(cuts, cuts[1:]) for link in solve(table.slice(a, b - a))]
+        return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    return rows.repartition("job").sortWithinPartitions("job").mapInArrow(run, "a long, b long")
+
+
+def _side(table: pa.Table) -> np.ndarray | None:
+    return None if table.column("alone")[0].as_py() else table.column("side").to_numpy()
 
-    return dealt.mapInArrow(run, "a long, b long")
+
+def _possible(points: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs that the bound on their points allows, as stars of each job."""
+
+    def solve(table: pa.Table) -> list[tuple[int, int]]:
+        docs, sizes = table.column("doc").to_pylist(), table.column("size").to_pylist()
+        own = table.column("points").to_pylist()
+        if len(docs) == 2:  # most groups
+            if docs[0] == docs[1] or needed(*sizes) > np.minimum(*folded(own)).sum():
+                return []
+            return [(max(docs), min(docs))]
+        return tree_links(own, sizes, docs, _side(table))
+
+    return _solved(_jobs(members).join(points, "doc"), solve)
+
+
+def _links(documents: DataFrame, members: DataFrame) -> DataFrame:
+    """Verified links within clusters, as stars of each job."""
+
+    def solve(table: pa.Table) -> list[tuple[int, int]]:
+        sets, points = [], []
+        for block in blocks(table.column("text").combine_chunks()):
+            hashes, first = sets_of(*word_hashes(block))
+            ends = first.tolist()
+            sets += [np.sort(hashes[a:b]) for a, b in zip(ends, ends[1:])]
+            points += points_of(hashes, first)
+        return tree_links(points, list(map(len, sets)), table.column("doc").to_pylist(), _side(table), sets)
+
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc"), "text")
+    return _solved(texts.join(_jobs(members).hint("shuffle_hash"), "doc"), solve)
 
 
 def near_components(documents: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``documents``."""
     rows = _sets_and_candidates(documents)
-    sets = rows.where("other is null")
+    sets = rows.where("job is null")
     known = sets.where("doc is not null and size > 0")
     same = ["size", "one", "two"]
     first = known.groupBy(*same).agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
@@ -414,11 +485,12 @@ def near_components(documents: DataFrame) -> DataFrame:
         joined = edges.join(other, column, "left")
         return joined.withColumn(column, F.coalesce(f"{column}_first", column)).drop(f"{column}_first")
 
-    edges = rows.where("other is not null").select(F.col("doc").alias("a"), F.col("other").alias("b"))
-    edges = represented(represented(edges, "a"), "b").where("a != b").distinct()
-    clusters = components(edges)
-    members = clusters.join(known.select("doc", "size").distinct(), clusters["node"] == F.col("doc")).select(
-        F.col("component").alias("cluster"), "doc", "size"
+    groups = rows.where("job is not null").select(F.col("job").alias("cluster"), "doc", "size", "many").distinct()
+    possible = _possible(known.select("doc", "size", "points").distinct(), groups)
+    clusters = components(represented(represented(possible, "a"), "b"))
+    sized = clusters.join(clusters.groupBy("component").agg(F.count("*").alias("many")), "component")
+    members = sized.join(known.select("doc", "size").distinct(), sized["node"] == F.col("doc")).select(
+        F.col("component").alias("cluster"), "doc", "size", "many"
     )
     links = _links(documents, members).unionByName(copies.select(F.col("doc").alias("a"), F.col("first").alias("b")))
     found = components(links).withColumnsRenamed({"node": "doc"})

@@ -77,11 +77,16 @@ def test_tree_finds_what_all_pairs_find(sides):
             sets.append(np.unique(np.append(base[pick.random(len(base)) > 0.02], pick.integers(0, 99, 1).astype(np.uint64))))
     side = np.arange(len(sets)) % 2 if sides else None
     docs = list(range(len(sets)))
+    first = np.cumsum([0, *map(len, sets)])
+    points = near_sets.points_of(np.concatenate(sets), first)
+    sizes = list(map(len, sets))
     every = [
         (i, j) for i in docs for j in docs[:i] if near_sets.linked(sets[i], sets[j]) and (not sides or side[i] != side[j])
     ]
     assert len(every) > 20
-    assert sorted(near_sets.tree_links(sets, docs, side)) == sorted(spanning(every))
+    assert sorted(near_sets.tree_links(points, sizes, docs, side, sets)) == sorted(spanning(every))
+    allowed = near_sets.tree_links(points, sizes, docs, side)
+    assert len(spanning(every + allowed)) == len(allowed)
 
 
 def test_smallest_overlap_that_links():
