@@ -107,7 +107,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
 
 def score_block(block: Block, model: Model) -> np.ndarray:
     buckets, of = features_of(block)
-    total = np.bincount(of, model.weights[buckets], block.size)
+    total = np.bincount(of, model.weights[buckets], block.size).astype(np.float64)
     count = np.bincount(of, minlength=block.size)
     raw = model.bias + total / np.maximum(count, 1)
     return 1 / (1 + np.exp(-np.clip(raw, -500, 500)))

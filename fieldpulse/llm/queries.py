@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldpulse.llm import bpe, fingerprint, language, near_sets, near_vectors, packing, quality, repeats
+from fieldpulse.llm import bpe, fingerprint, language, language_model, near_sets, near_vectors, packing, quality, repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,11 @@ def remainder_is(divisor: int, value: int) -> Column:
     return F.coalesce(rest == value, F.lit(False))
 
 
+def op1_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return language_model.score(table(spark, folder, "documents"), remainder_is(7, 2), path)
+
+
 def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     documents, held_out = table(spark, folder, "documents"), remainder_is(3, 1)
     model = language.learn(documents.where(~held_out))
@@ -63,6 +68,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_language_model": op1_language_model,
     "op2_language": op2_language,
     "op3_fingerprint": op3_fingerprint,
     "op4_bpe": op4_bpe,
