@@ -20,6 +20,7 @@ import base64
 import hashlib
 import heapq
 import unicodedata
+from array import array
 from collections.abc import Callable, Iterator
 from functools import cache
 
@@ -80,6 +81,10 @@ def _classes() -> np.ndarray:
     return table
 
 
+def visible(sign: str) -> bool:
+    return _classes()[ord(sign)] < _BLANK
+
+
 def _symbols(codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Symbols of texts that stand one after the other, an end symbol in each place of ``ends``."""
     kinds = _classes()[codes]
@@ -193,20 +198,32 @@ def merge_ids(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class PieceCache:
-    """Ids of pieces as little-endian 32-bit bytes; emptied when it holds too many."""
+    """Ids of pieces as little-endian 32-bit bytes.
+
+    Two generations: what was used since the last change and what was used before it.  When the
+    younger one is full the older one goes, so frequent pieces stay and memory is bounded.
+    """
 
     def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], most: int = CACHED_PIECES):
-        self._encode, self._most, self._known = encode, most, {}
+        self._encode, self._half = encode, most // 2
+        self._young: dict[bytes, bytes] = {}
+        self._old: dict[bytes, bytes] = {}
 
     def __call__(self, pieces: list[bytes]) -> list[bytes]:
-        new = [p for p in pieces if p not in self._known]
-        if new:
-            if len(self._known) + len(new) > self._most:
-                self._known = {}
-                new = pieces
-            for piece, ids in zip(new, self._encode(new)):
-                self._known[piece] = np.array(ids, "<u4").tobytes()
-        return [self._known[p] for p in pieces]
+        young, old = self._young, self._old
+        new = []
+        for piece in pieces:
+            if piece not in young:
+                if piece in old:
+                    young[piece] = old[piece]
+                else:
+                    new.append(piece)
+        for piece, ids in zip(new, self._encode(new) if new else []):
+            young[piece] = array("I", ids).tobytes()
+        found = [young[p] for p in pieces]
+        if len(young) > self._half:
+            self._old, self._young = young, {}
+        return found
 
 
 def encode_block(block: Block, known: PieceCache) -> tuple[np.ndarray, np.ndarray]:

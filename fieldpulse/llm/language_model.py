@@ -43,7 +43,7 @@ SHARE = 32
 FAN_IN = 16
 FREQUENT = 500_000
 ROWS_AT_ONCE = 1_000_000
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
 _ENTRY = np.dtype([("word", "<u8"), ("row", "<i8"), ("times", "<u4"), ("trained", "<u4")])
 _PART = np.dtype([("row", "<i8"), ("known", "<i8"), ("base", "<f8")])
 
@@ -55,7 +55,7 @@ def subword_encoder(path: str) -> PieceCache:
     """Ids of words by the public ranks, without a pattern that splits words first."""
     whole = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=load_ranks(path), special_tokens={})
     return PieceCache(
-        lambda words: whole.encode_ordinary_batch([" " + w.decode("utf-8") for w in words], num_threads=1), CACHED_WORDS
+        lambda words: [whole.encode_ordinary(" " + w.decode("utf-8")) for w in words], CACHED_WORDS
     )
 
 

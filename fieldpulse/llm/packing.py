@@ -187,12 +187,34 @@ def lower_bound(histogram: dict[int, int], capacity: int = CAPACITY) -> int:
 
 
 def piece_encoder(path: str) -> tuple[Tokenizer, bpe.PieceCache]:
-    """The library's ids of pre-tokenised pieces; each distinct piece is encoded once."""
+    """The library's ids of pre-tokenised pieces; each distinct piece is encoded once.
+
+    Pieces of a blank and something visible split where they were joined, so the library gets them
+    as one text and tells the piece of each id; others go one by one.
+    """
     library = Tokenizer.from_file(path)
 
+    def joined(texts: list[str]) -> list[list[int]]:
+        whole = library.encode("".join(texts), add_special_tokens=False)
+        of = np.array(whole.word_ids, np.int64)
+        cuts = np.searchsorted(of, np.arange(len(texts) + 1)).tolist()
+        if len(of) and of[-1] != len(texts) - 1:
+            raise ValueError("pieces do not split where they were joined")
+        ids = whole.ids
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+
     def encode(pieces: list[bytes]) -> list[list[int]]:
         texts = [p.decode("utf-8") for p in pieces]
-        return [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        found: list[list[int]] = [[]] * len(texts)
+        together = [i for i, t in enumerate(texts) if len(t) > 1 and t[0] == " " and bpe.visible(t[1])]
+        apart = sorted(set(range(len(texts))) - set(together))
+        for low in range(0, len(together), 10_000):
+            some = together[low : low + 10_000]
+            for i, ids in zip(some, joined([texts[i] for i in some])):
+                found[i] = ids
+        for i, e in zip(apart, library.encode_batch_fast([texts[i] for i in apart], add_special_tokens=False)):
+            found[i] = e.ids
+        return found
 
     return library, bpe.PieceCache(encode)
 
