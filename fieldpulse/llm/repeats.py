@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -253,13 +254,14 @@ def repeated_spans(documents: DataFrame, window: int = WINDOW) -> DataFrame:
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, held_hashes, held_many, turn = [], [], 0, 0
+        task = TaskContext.get().partitionId()
 
         def flush() -> Iterator[pa.RecordBatch]:
             entries, hashes = np.concatenate(held), np.concatenate(held_hashes)
             later, of_window = _without_own_copies(entries, hashes)
             # What is known to repeat goes straight on, as ranges, to the targets in turn.
             known = entries[later].copy()
-            to = [turn % targets]
+            to = [(task + turn) % targets]
             raw = [b"S" + _packed(known, np.zeros(0, np.uint32))]
             entries, hashes = entries[~later], hashes[~of_window]
             many = entries["many"].astype(np.int64)
