@@ -36,6 +36,8 @@ REFERENCE_CHARS = 50_000
 SAMPLE_DOCUMENTS = 300
 RUN = 512
 LETTERS = 60
+#: A text of a learned language needs about 2 to 4 bits a letter here, random letters over 6.
+ACCEPTED_BITS = 6.0
 UNKNOWN = "und"
 
 Model = tuple[tuple[str, str], ...]
@@ -201,6 +203,39 @@ def learn(documents: DataFrame) -> Model:
     return tuple(sorted((name, text) for name, text in found.items() if text.strip()))
 
 
+def estimates(own: Parser, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of the best language, score and bits per letter of each document of a block."""
+    if not own.names:
+        return np.zeros(block.size, np.int64), np.zeros(block.size), np.full(block.size, np.nan)
+    bits, letters = own.estimate(block)
+    order = np.sort(bits, 0)
+    second = order[1] if len(order) > 1 else np.full(block.size, np.inf)
+    some = letters > 0
+    return (
+        np.where(some, bits.argmin(0), len(own.names)),
+        np.where(some, 1 / (1 + order[0] / np.maximum(second, 1e-12)), 0.0),
+        np.where(some, order[0], np.nan),
+    )
+
+
+def accepted(documents: DataFrame, model: Model, most_bits: float = ACCEPTED_BITS) -> DataFrame:
+    """The documents written in a learned language, with all their columns.
+
+    Rejected are those without a letter and those whose best estimate is over ``most_bits`` bits per
+    letter: no learned language explains their text.
+    """
+    place = documents.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = parser(model)
+        for batch in batches:
+            for block in blocks(batch.column(place)):
+                _, _, bits = estimates(own, block)
+                yield batch.slice(block.first, block.size).filter(pa.array(bits <= most_bits))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def identify(documents: DataFrame, model: Model) -> DataFrame:
     """``doc_id, lang_pred, score, bits`` of every document."""
 
@@ -209,17 +244,7 @@ def identify(documents: DataFrame, model: Model) -> DataFrame:
         names = np.array([*own.names, UNKNOWN], object)
         for batch in batches:
             for block in blocks(batch.column(1)):
-                bits, letters = own.estimate(block) if own.names else (None, None)
-                if bits is None:
-                    best, score = np.full(block.size, 0), np.zeros(block.size)
-                    least = np.full(block.size, np.nan)
-                else:
-                    best = np.where(letters > 0, bits.argmin(0), len(own.names))
-                    order = np.sort(bits, 0)
-                    second = order[1] if len(order) > 1 else np.full(block.size, np.inf)
-                    share = 1 / (1 + order[0] / np.maximum(second, 1e-12))
-                    score = np.where(letters > 0, share, 0.0)
-                    least = np.where(letters > 0, order[0], np.nan)
+                best, score, least = estimates(own, block)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(block.first, block.size),

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from fieldpulse.llm import attention
 from fieldpulse.llm.blocks import Block, blocks, lowered, mixed, owners, range_hashes, spread, words_of
 from fieldpulse.llm.bpe import PieceCache, load_ranks
+from fieldpulse.llm.exchange import targets_for
 from fieldpulse.session import work_folder
 
 START_DOCUMENTS = 600
@@ -222,7 +223,7 @@ def score(documents: DataFrame, held_out: Column, path: str) -> DataFrame:
     Columns ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
     """
     spark = documents.sparkSession
-    targets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    targets = targets_for(documents)
     training = documents.where(~held_out & F.col("doc_id").isNotNull())
     model, words = learn(training, path)
     ends = training.count()

@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from fieldpulse.llm.blocks import blocks, lowered, mixed, owners, range_hashes, spread, words_of
 from fieldpulse.llm.graphs import Forest, components
+from fieldpulse.llm.exchange import targets_for
 from fieldpulse.session import work_folder
 
 SHINGLE = 3
@@ -160,7 +161,7 @@ def _sets_and_candidates(documents: DataFrame) -> DataFrame:
     """Rows of two kinds in one table: documents ``(doc, size, one, two, points)``, and the members
     ``(doc, size, job, many)`` of groups that share a shingle."""
     spark = documents.sparkSession
-    targets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    targets = targets_for(documents)
     shared = spark.sparkContext.broadcast(frequent_words(documents))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -499,3 +500,10 @@ def near_components(documents: DataFrame) -> DataFrame:
         F.col("size").alias("n_shingles"),
         F.coalesce("component", "doc").alias("component_id"),
     )
+
+
+def representatives(documents: DataFrame) -> DataFrame:
+    """The smallest document of each component, and rows without an id, with all their columns."""
+    kept = near_components(documents).where("doc_id = component_id").select("doc_id").distinct()
+    known = documents.where("doc_id is not null").join(kept.hint("shuffle_hash"), "doc_id", "left_semi")
+    return known.unionByName(documents.where("doc_id is null"))

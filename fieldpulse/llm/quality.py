@@ -157,3 +157,17 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
     return documents.select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, score double, predicted int"
     )
+
+
+def accepted(documents: DataFrame, model: Model) -> DataFrame:
+    """The documents whose score is at least ``ACCEPTED_FROM``, with all their columns."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+    place = documents.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(batch.column(place), 1 << 20):
+                good = score_block(block, shared.value) >= ACCEPTED_FROM
+                yield batch.slice(block.first, block.size).filter(pa.array(good))
+
+    return documents.mapInArrow(run, documents.schema)

@@ -37,7 +37,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldpulse.llm.blocks import blocks, mixed, owners, range_hashes, spread, words_of
+from fieldpulse.llm.blocks import blocks, mixed, range_hashes, spread, words_of
+from fieldpulse.llm.exchange import targets_for
 
 WINDOW = 20
 ROUNDS = 2
@@ -249,8 +250,7 @@ def identity(id_col: str = "doc_id", text_col: str = "text") -> tuple[Column, Co
 
 def repeated_spans(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     """``doc, twin, start, stop``: word ranges that repeat earlier text; ranges may overlap."""
-    spark = documents.sparkSession
-    targets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    targets = targets_for(documents)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, held_hashes, held_many, turn = [], [], 0, 0
