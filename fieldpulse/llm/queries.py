@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldpulse.llm import bpe, fingerprint, language, language_model, near_sets, near_vectors, packing, quality, repeats
+from fieldpulse.llm import (
+    bpe,
+    fingerprint,
+    language,
+    language_model,
+    near_sets,
+    near_vectors,
+    packing,
+    quality,
+    repeats,
+)
+from fieldpulse.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES", "remainder_is", "table"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,5 +91,3 @@ QUERIES: dict[str, Query] = {
     "op9_near_vectors": op9_near_vectors,
     "op10_packing": op10_packing,
 }
-
-ORACLES: dict[str, str] = {}
