@@ -16,6 +16,7 @@ from fieldpulse.llm import (
     near_sets,
     near_vectors,
     packing,
+    page_text,
     quality,
     repeats,
 )
@@ -67,6 +68,10 @@ def op6_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.digests(table(spark, folder, "documents"))
 
 
+def op7_page_text(spark: SparkSession, folder: str) -> DataFrame:
+    return page_text.extract(table(spark, folder, "pages"))
+
+
 def op8_near_sets(spark: SparkSession, folder: str) -> DataFrame:
     return near_sets.near_components(table(spark, folder, "documents"))
 
@@ -87,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op4_bpe": op4_bpe,
     "op5_quality": op5_quality,
     "op6_repeats": op6_repeats,
+    "op7_page_text": op7_page_text,
     "op8_near_sets": op8_near_sets,
     "op9_near_vectors": op9_near_vectors,
     "op10_packing": op10_packing,
