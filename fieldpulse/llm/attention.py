@@ -22,8 +22,8 @@ import numpy as np
 SIZE = 24
 HEADS = 1
 WIDTH = 32
-CONTEXT = 6
-BATCH = 64
+CONTEXT = 4
+BATCH = 128
 RATE = 0.2
 HEAD = 240
 CLUSTERS = 16
@@ -43,7 +43,10 @@ def cluster_starts(ranks: int) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Weights by name, and the rank of every id; the last id is the edge of texts."""
+    """Weights by name, and the rank of every id, -1 for ids the model does not have.
+
+    The last id is the edge of texts.
+    """
 
     weights: dict[str, np.ndarray]
     ranks: np.ndarray
@@ -53,27 +56,31 @@ class Model:
         return len(self.ranks) - 1
 
     def starts(self) -> np.ndarray:
-        return cluster_starts(len(self.ranks))
+        return cluster_starts(len(self.weights["bias"]))
 
 
-def new_model(counts: np.ndarray, seed: int = 1) -> Model:
-    """A model that starts at the smoothed shares of the ids; ``counts`` has the edge id last."""
+def new_model(counts: np.ndarray, kept: np.ndarray | None = None, seed: int = 1) -> Model:
+    """A model of the ids ``kept`` (all by default) that starts at their smoothed shares.
+
+    ``counts`` has the edge id, which is always kept, last.
+    """
     pick = np.random.default_rng(seed)
-    order = np.argsort(-counts, kind="stable")
-    ranks = np.empty(len(counts), np.int64)
-    ranks[order] = np.arange(len(counts))
+    kept = np.arange(len(counts)) if kept is None else np.union1d(kept, [len(counts) - 1])
+    order = kept[np.argsort(-counts[kept], kind="stable")]
+    ranks = np.full(len(counts), -1, np.int64)
+    ranks[order] = np.arange(len(order))
     shares = counts[order] + 0.1
-    starts = cluster_starts(len(counts))
+    starts = cluster_starts(len(order))
     clusters = np.array([shares[a:b].sum() for a, b in zip(starts, starts[1:])])
     even = SIZE**-0.5
     weights = {
-        "ids": pick.normal(0, 0.3, (len(counts), SIZE)),
+        "ids": pick.normal(0, 0.3, (len(order), SIZE)),
         "query": pick.normal(0, even, (SIZE, SIZE)),
         "key": pick.normal(0, even, (SIZE, SIZE)),
         "value": pick.normal(0, even, (SIZE, SIZE)),
         "back": pick.normal(0, even, (SIZE, SIZE)),
         "distance": -0.7 * np.abs(np.arange(WIDTH)[None] - np.arange(HEADS)[:, None]),
-        "output": pick.normal(0, 0.1, (len(counts), SIZE)),
+        "output": pick.normal(0, 0.1, (len(order), SIZE)),
         "bias": np.log(shares / shares.sum()),
         "cluster": pick.normal(0, 0.1, (CLUSTERS, SIZE)),
         "cluster_bias": np.log(np.maximum(clusters, 1e-9) / shares.sum()),

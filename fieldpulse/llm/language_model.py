@@ -1,13 +1,14 @@
 """LM scoring (operator 1): a causal self-attention model over subword ids, and exact word counts.
 
 Words are lower-cased and written as public byte-level BPE ids, a leading space first; the model of
-:mod:`fieldpulse.llm.attention` gives the probability of the ids of a text and its end.  Training:
+:mod:`fieldpulse.llm.attention` gives the probability of the ids of a text and its end.  It has the
+``VOCABULARY`` most frequent ids of its first training texts, and others are spelled in bytes.
+Training:
 
 * a start on the driver, on at most ``START_DOCUMENTS`` whole training texts chosen by a hash (a
   documented bound);
 * one pass over all training texts on the executors: every task goes on from the start with one
-  window in ``SHARE`` of each batch of windows, drawn by a fixed rule, and the tasks' weights are
-  averaged by the number of places they learned from, in rounds of ``FAN_IN``, so neither a task nor
+  document in ``SHARE``, in turn, and the tasks' weights are averaged by the number of places they learned from, in rounds of ``FAN_IN``, so neither a task nor
   the driver ever holds more than that many models.  What is gathered grows with the input.
 
 The same pass counts words.  Words that make up more than one in ``FREQUENT`` of all words (so at
@@ -40,6 +41,7 @@ from fieldpulse.session import work_folder
 
 START_DOCUMENTS = 600
 START_CHARS = 3_000_000
+VOCABULARY = 8_192
 SHARE = 32
 FAN_IN = 16
 FREQUENT = 500_000
@@ -52,12 +54,23 @@ _PART = np.dtype([("row", "<i8"), ("known", "<i8"), ("base", "<f8")])
 # -- texts to words and ids --------------------------------------------------------------------------
 
 
-def subword_encoder(path: str) -> PieceCache:
-    """Ids of words by the public ranks, without a pattern that splits words first."""
-    whole = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=load_ranks(path), special_tokens={})
-    return PieceCache(
-        lambda words: [whole.encode_ordinary(" " + w.decode("utf-8")) for w in words], CACHED_WORDS
-    )
+def subword_encoder(path: str, ranks: np.ndarray | None = None) -> PieceCache:
+    """Ids of words by the public ranks, without a pattern that splits words first.
+
+    Ids that a model's ``ranks`` do not have are spelled byte by byte.
+    """
+    public = load_ranks(path)
+    whole = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=public, special_tokens={})
+    missing = set() if ranks is None else set(np.flatnonzero(ranks < 0).tolist())
+
+    def ids_of(word: bytes) -> list[int]:
+        ids = whole.encode_ordinary(" " + word.decode("utf-8"))
+        if missing.isdisjoint(ids):
+            return ids
+        spelled = ([public[bytes([b])] for b in whole.decode_single_token_bytes(i)] if i in missing else [i] for i in ids)
+        return [j for own in spelled for j in own]
+
+    return PieceCache(lambda words: [ids_of(w) for w in words], CACHED_WORDS)
 
 
 def _edge(path: str) -> int:
@@ -97,17 +110,18 @@ def _start(training: DataFrame, path: str) -> attention.Model:
     chosen = first["doc_id"][first["size"].cumsum() <= START_CHARS].unique().tolist()
     wanted = F.broadcast(training.sparkSession.createDataFrame([(int(i),) for i in chosen], "doc_id long"))
     texts = training.join(wanted, "doc_id", "left_semi").orderBy(*order).select("text").toPandas()["text"]
-    known, parts = subword_encoder(path), []
-    for block in blocks(pa.array(texts.tolist(), pa.string())):
-        parts.append(Text(block).ids(known))
-    counts = np.zeros(_edge(path) + 1, np.int64)
-    for ids, first in parts:
-        counts += np.bincount(ids, minlength=len(counts))
-        counts[-1] += len(first) - 1
-    model = attention.new_model(counts)
-    trainer = attention.Trainer(model)
-    for ids, first in parts:
-        trainer.learn(ids, first)
+    words = [Text(block) for block in blocks(pa.array(texts.tolist(), pa.string()))]
+    known, counts = subword_encoder(path), np.zeros(_edge(path) + 1, np.int64)
+    for text in words:
+        counts += np.bincount(text.ids(known)[0], minlength=len(counts))
+        counts[-1] += text.size
+    # The model has the most frequent ids, and all bytes, so that it can spell everything.
+    seen = np.argsort(-counts, kind="stable")[:VOCABULARY]
+    letters = [rank for token, rank in load_ranks(path).items() if len(token) == 1]
+    model = attention.new_model(counts, np.union1d(seen[counts[seen] > 0], letters))
+    trainer, known = attention.Trainer(model), subword_encoder(path, model.ranks)
+    for text in words:
+        trainer.learn(*text.ids(known))
     return model
 
 
@@ -150,6 +164,16 @@ def _averaged(models: DataFrame, folder: str) -> bytes | None:
             return bytes(rows[0].weights) if rows else None
 
 
+def summed(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct words and their numbers; the first words stand for ``counts``, all others for one."""
+    weights = np.ones(len(words), np.int64)
+    weights[: len(counts)] = counts
+    order = np.argsort(words)
+    words = words[order]
+    first = np.flatnonzero(np.append(True, words[1:] != words[:-1])[: len(words)])
+    return words[first], np.add.reduceat(weights[order], first) if len(first) else weights
+
+
 def learn(training: DataFrame, path: str) -> tuple[attention.Model, DataFrame]:
     """The model, and the table ``word, n`` of all words of the training texts."""
     spark = training.sparkSession
@@ -158,15 +182,11 @@ def learn(training: DataFrame, path: str) -> tuple[attention.Model, DataFrame]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = attention.Model({n: w.copy() for n, w in shared.value.weights.items()}, shared.value.ranks)
-        trainer, known = attention.Trainer(model, attention.RATE / 2), subword_encoder(path)
+        trainer, known = attention.Trainer(model, attention.RATE / 2), subword_encoder(path, model.ranks)
         words, counts, held, places, number = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0, 0
 
         def merged() -> tuple[np.ndarray, np.ndarray]:
-            every = np.concatenate([words, *held])
-            found, which = np.unique(every, return_inverse=True)
-            weights = np.ones(len(every))
-            weights[: len(words)] = counts
-            return found, np.bincount(which, weights, len(found)).astype(np.int64)
+            return summed(np.concatenate([words, *held]), counts)
 
         def counted() -> pa.RecordBatch:
             none = [pa.nulls(len(words), pa.binary()), pa.nulls(len(words), pa.int64())]
@@ -234,7 +254,7 @@ def score(documents: DataFrame, held_out: Column, path: str) -> DataFrame:
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, (frequent, counts) = shared.value
-        known = subword_encoder(path)
+        known = subword_encoder(path, model.ranks)
         row = TaskContext.get().partitionId() << 40
         held, many = [], 0
 

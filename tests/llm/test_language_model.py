@@ -133,6 +133,18 @@ def test_training_helps_on_other_text(spark):
     assert at.score_texts(model, *held).sum() > 0.85 * before
 
 
+def test_ids_that_the_model_lacks_are_spelled():
+    every = lm.subword_encoder(PATH)([b"the", b"zygomorphic"])
+    public = lm.load_ranks(PATH)
+    names = {rank: token for token, rank in public.items()}
+    ranks = np.full(lm._edge(PATH) + 1, -1)
+    ranks[[public[bytes([b])] for b in range(256)]] = 0
+    ranks[np.frombuffer(every[0], "<u4")] = 0
+    some = [np.frombuffer(x, "<u4") for x in lm.subword_encoder(PATH, ranks)([b"the", b"zygomorphic"])]
+    assert some[0].tolist() == np.frombuffer(every[0], "<u4").tolist()
+    assert b"".join(names[i] for i in some[1].tolist()) == b" zygomorphic" and (ranks[some[1]] == 0).all()
+
+
 def test_query(spark):
     documents = spark.read.parquet(f"{SMALLEST}/documents.parquet").select("doc_id", "text").collect()
     expected = plain_base([tuple(r) for r in documents])
