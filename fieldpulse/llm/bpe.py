@@ -61,6 +61,8 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
 
 
 _AFTER, _BEGINS = _tables()
+#: The symbol of each class where the neighbours do not matter.
+_ALONE = np.array([_L, _N, _O, _Q, _JOIN, _LONE], np.uint8)
 
 
 @cache
@@ -81,27 +83,19 @@ def _classes() -> np.ndarray:
     return table
 
 
-def visible(sign: str) -> bool:
-    return _classes()[ord(sign)] < _BLANK
-
-
 def _symbols(codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Symbols of texts that stand one after the other, an end symbol in each place of ``ends``."""
     kinds = _classes()[codes]
-    symbols = kinds.copy()
+    symbols = _ALONE[kinds]
     white = kinds >= _BLANK
-    follows = np.ones(len(codes), bool)
-    follows[:-1] = white[1:]
+    follows = np.empty(len(codes), bool)
+    follows[:-1], follows[-1] = white[1:], True
     follows[ends - 1] = True
-    symbols[white] = np.where(
-        follows[white], _RUN, np.where(kinds[white] == _BLANK, _JOIN, _LONE)
-    )
-    symbols[kinds <= _OTHER] = kinds[kinds <= _OTHER]
+    symbols[white & follows] = _RUN
     quotes = np.flatnonzero(kinds == _QUOTE)
     quotes = quotes[quotes + 1 < len(codes)]
     one = codes[quotes + 1]
     two = codes[np.minimum(quotes + 2, len(codes) - 1)]
-    symbols[kinds == _QUOTE] = _Q
     symbols[quotes[np.isin(one, [ord(c) for c in "stmd"])]] = _Q2
     pair = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
     symbols[quotes[pair]] = _Q3

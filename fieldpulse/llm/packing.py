@@ -21,6 +21,7 @@ its own; an empty table gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,6 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -186,36 +188,38 @@ def lower_bound(histogram: dict[int, int], capacity: int = CAPACITY) -> int:
 # -- documents to pieces, pieces to places -------------------------------------------------------
 
 
+def _ranks_of(library: Tokenizer) -> dict[bytes, int] | None:
+    """The merge ranks of a byte-level model if its ids are ranks: bytes first, then merges in order."""
+    model = json.loads(library.to_str())["model"]
+    vocabulary, merges = model["vocab"], model["merges"]
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
+    names = sorted(vocabulary, key=vocabulary.get)[: 256 + len(pairs)]
+    ordered = [a + b for a, b in pairs] == names[256:]
+    if not ordered or [vocabulary[n] for n in names] != list(range(len(names))):
+        return None
+    # Byte-level models write the printable bytes of Latin-1 as they are, others from 256 on.
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    signs = {chr(b): b for b in plain}
+    signs |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(plain))}
+    return {bytes(signs[c] for c in name): rank for rank, name in enumerate(names)}
+
+
 def piece_encoder(path: str) -> tuple[Tokenizer, bpe.PieceCache]:
     """The library's ids of pre-tokenised pieces; each distinct piece is encoded once.
 
-    Pieces of a blank and something visible split where they were joined, so the library gets them
-    as one text and tells the piece of each id; others go one by one.
+    A model whose ids are merge ranks is applied by those ranks, which is faster for single pieces.
     """
     library = Tokenizer.from_file(path)
-
-    def joined(texts: list[str]) -> list[list[int]]:
-        whole = library.encode("".join(texts), add_special_tokens=False)
-        of = np.array(whole.word_ids, np.int64)
-        cuts = np.searchsorted(of, np.arange(len(texts) + 1)).tolist()
-        if len(of) and of[-1] != len(texts) - 1:
-            raise ValueError("pieces do not split where they were joined")
-        ids = whole.ids
-        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+    ranks = _ranks_of(library)
 
     def encode(pieces: list[bytes]) -> list[list[int]]:
         texts = [p.decode("utf-8") for p in pieces]
-        found: list[list[int]] = [[]] * len(texts)
-        together = [i for i, t in enumerate(texts) if len(t) > 1 and t[0] == " " and bpe.visible(t[1])]
-        apart = sorted(set(range(len(texts))) - set(together))
-        for low in range(0, len(together), 10_000):
-            some = together[low : low + 10_000]
-            for i, ids in zip(some, joined([texts[i] for i in some])):
-                found[i] = ids
-        for i, e in zip(apart, library.encode_batch_fast([texts[i] for i in apart], add_special_tokens=False)):
-            found[i] = e.ids
-        return found
+        if ranks is not None:
+            return [by_rank.encode_ordinary(t) for t in texts]
+        return [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    if ranks is not None:
+        by_rank = tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
     return library, bpe.PieceCache(encode)
 
 

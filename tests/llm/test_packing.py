@@ -105,6 +105,11 @@ def test_query(spark):
     assert bound <= used <= bound * 1.02 + 1
 
 
+def test_ranks_of_the_library_are_those_of_the_public_file():
+    ranks = packing._ranks_of(Tokenizer.from_file(PATH))
+    assert ranks == packing.bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 def test_odd_rows(spark):
     rows = [(1, None, 1), (2, "", 1), (3, "a <|endoftext|> b", 1), (3, "same same", 1), (None, "same " * 40, 1)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, offset int").repartition(3)
