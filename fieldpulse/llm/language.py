@@ -32,12 +32,16 @@ from pyspark.sql import functions as F
 
 from fieldpulse.llm.blocks import Block, blocks
 
-REFERENCE_CHARS = 50_000
-SAMPLE_DOCUMENTS = 300
+REFERENCE_CHARS = 20_000
+SAMPLE_DOCUMENTS = 120
+#: Bytes of text that are parsed together.
+BLOCK = 1 << 20
 RUN = 512
 LETTERS = 60
-#: A text of a learned language needs about 2 to 4 bits a letter here, random letters over 6.
-ACCEPTED_BITS = 6.0
+#: A text of a learned language needs about 3 bits a letter, random letters over 6.4; estimates for
+#: fewer than ``JUDGED_LETTERS`` letters vary too much to reject a text.
+ACCEPTED_BITS = 6.3
+JUDGED_LETTERS = 200
 UNKNOWN = "und"
 
 Model = tuple[tuple[str, str], ...]
@@ -109,13 +113,15 @@ class Parser:
         parts, self.roots, base = [], [], 0
         for _, text in model:
             states = suffix_automaton([codes.get(c, 2) for c in text])
-            table = np.full((len(states), self.width), -1, np.int64)
+            table = np.full((len(states), self.width), -1, np.int32)
+            size = len(states)
             rows = [i for i, s in enumerate(states) for _ in s]
             table[rows, [c for s in states for c in s]] = [t for s in states for t in s.values()]
+            del rows
             table[:, 2] = -1
             first = np.where(table[0] >= 0, table[0], 0)  # where a new phrase goes
-            alone = (table[0] < 0).astype(np.int64)  # a letter the language never has
-            ends = np.ones((len(states), 1), np.int64)
+            alone = (table[0] < 0).astype(np.int32)  # a letter the language never has
+            ends = np.ones((len(states), 1), np.int32)
             ends[0] = 0
             entry = np.where(
                 table >= 0,
@@ -125,7 +131,7 @@ class Parser:
             entry[:, 0] = (np.arange(len(states)) + base) * self.width * 4
             parts.append(entry.astype(np.int32))
             self.roots.append(base * self.width)
-            base += len(states)
+            base += size
         self.table = np.concatenate(parts).ravel() if parts else np.zeros(0, np.int32)
         self.bits = np.array([np.log2(max(2, len(text))) for _, text in model])
 
@@ -203,10 +209,11 @@ def learn(documents: DataFrame) -> Model:
     return tuple(sorted((name, text) for name, text in found.items() if text.strip()))
 
 
-def estimates(own: Parser, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Number of the best language, score and bits per letter of each document of a block."""
+def estimates(own: Parser, block: Block) -> tuple[np.ndarray, ...]:
+    """Number of the best language, score, bits per letter and letters of each document of a block."""
     if not own.names:
-        return np.zeros(block.size, np.int64), np.zeros(block.size), np.full(block.size, np.nan)
+        none = np.zeros(block.size, np.int64)
+        return none, np.zeros(block.size), np.full(block.size, np.nan), none
     bits, letters = own.estimate(block)
     order = np.sort(bits, 0)
     second = order[1] if len(order) > 1 else np.full(block.size, np.inf)
@@ -215,23 +222,26 @@ def estimates(own: Parser, block: Block) -> tuple[np.ndarray, np.ndarray, np.nda
         np.where(some, bits.argmin(0), len(own.names)),
         np.where(some, 1 / (1 + order[0] / np.maximum(second, 1e-12)), 0.0),
         np.where(some, order[0], np.nan),
+        letters,
     )
 
 
 def accepted(documents: DataFrame, model: Model, most_bits: float = ACCEPTED_BITS) -> DataFrame:
     """The documents written in a learned language, with all their columns.
 
-    Rejected are those without a letter and those whose best estimate is over ``most_bits`` bits per
-    letter: no learned language explains their text.
+    Rejected are those without a letter, and those of at least ``JUDGED_LETTERS`` letters whose best
+    estimate is over ``most_bits`` bits per letter: no learned language explains their text.
     """
     place = documents.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = parser(model)
         for batch in batches:
-            for block in blocks(batch.column(place)):
-                _, _, bits = estimates(own, block)
-                yield batch.slice(block.first, block.size).filter(pa.array(bits <= most_bits))
+            for block in blocks(batch.column(place), BLOCK):
+                _, _, bits, letters = estimates(own, block)
+                good = (letters > 0) & ((letters < JUDGED_LETTERS) | (bits <= most_bits))
+                good &= len(own.names) > 0
+                yield batch.slice(block.first, block.size).filter(pa.array(good))
 
     return documents.mapInArrow(run, documents.schema)
 
@@ -243,8 +253,8 @@ def identify(documents: DataFrame, model: Model) -> DataFrame:
         own = parser(model)
         names = np.array([*own.names, UNKNOWN], object)
         for batch in batches:
-            for block in blocks(batch.column(1)):
-                best, score, least = estimates(own, block)
+            for block in blocks(batch.column(1), BLOCK):
+                best, score, least, _ = estimates(own, block)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(block.first, block.size),

@@ -36,6 +36,8 @@ RATE = 0.5
 SAMPLE_ROWS = 3_000
 SAMPLE_CHARS = 16_000_000
 ACCEPTED_FROM = 0.7
+#: Bytes of text whose features are made together.
+BLOCK = 1 << 19
 
 _REPEATED = np.uint64(1)
 
@@ -74,7 +76,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     if not texts or len(set(labels)) < 2:
         return Model(np.zeros(BUCKETS, np.float32), 0.0)
     sparse = []
-    for block in blocks(pa.array(texts, pa.string())):
+    for block in blocks(pa.array(texts, pa.string()), BLOCK):
         buckets, of = features_of(block)
         order = np.argsort(of, kind="stable")
         cuts = np.searchsorted(of[order], np.arange(block.size + 1))
@@ -142,7 +144,7 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch.column(1), 1 << 20):
+            for block in blocks(batch.column(1), BLOCK):
                 scores = score_block(block, shared.value)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -166,7 +168,7 @@ def accepted(documents: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch.column(place), 1 << 20):
+            for block in blocks(batch.column(place), BLOCK):
                 good = score_block(block, shared.value) >= ACCEPTED_FROM
                 yield batch.slice(block.first, block.size).filter(pa.array(good))
 

@@ -64,7 +64,7 @@ def test_run_packs_all(spark, stages):
 
 def test_odd_rows(spark):
     rows = [(1, None, "en", "s", 0), (None, "good words here", None, None, None), (2, "", "en", "s", 0)]
-    rows += [(3, "12 34", "en", "s", 5), (4, "good words here", "en", "s", 15), (5, "qq zx jk vw " * 9, "xx", "s", 9)]
+    rows += [(3, "12 34", "en", "s", 5), (4, "good words here", "en", "s", 15), (5, "qq zx jk vw " * 30, "xx", "s", 9)]
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     docs = spark.createDataFrame(rows, schema)
     model = language.learn(docs.where("lang = 'en'"))
