@@ -68,7 +68,7 @@ def test_odd_rows(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     docs = spark.createDataFrame(rows, schema)
     model = language.learn(docs.where("lang = 'en'"))
-    assert {r.text for r in language.accepted(docs, model).collect()} == {"good words here"}
+    assert {r.text for r in language.accepted(docs, model, 3.0).collect()} == {"good words here"}
     assert near_sets.representatives(docs).count() == 6
     assert repeats.without_repeats(docs).count() == 6
     for _, stage in corpus_pipeline.STAGES[1:]:
