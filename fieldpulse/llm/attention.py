@@ -19,13 +19,13 @@ from dataclasses import dataclass
 
 import numpy as np
 
-SIZE = 24
+SIZE = 16
 HEADS = 1
 WIDTH = 32
 CONTEXT = 4
 BATCH = 128
 RATE = 0.2
-HEAD = 240
+HEAD = 112
 CLUSTERS = 16
 #: Places whose softmax is computed together.
 HELD = 1 << 17
@@ -132,13 +132,20 @@ def _log_softmax(rows: np.ndarray, vectors: np.ndarray, bias: np.ndarray, chosen
     """Log shares of the chosen columns; the rows' last column is 1 and takes the bias."""
     table = np.ascontiguousarray(np.append(vectors, bias[:, None], 1).T)
     found = np.empty(len(rows), np.float32)
-    at_once = max(64, (1 << 18) // max(1, len(bias)))  # so many rows stay in the processor's cache
-    for low in range(0, len(rows), at_once):
-        raw = rows[low : low + at_once] @ table
-        if raw.max(initial=0) > 60:  # else no sum can overflow
-            raw -= raw.max(1, keepdims=True)
-        own = raw[np.arange(len(raw)), chosen[low : low + at_once]]
-        found[low : low + at_once] = own - np.log(np.exp(raw, out=raw).sum(1))
+    at_once = max(64, (1 << 17) // max(1, len(bias)))  # so many rows stay in the processor's cache
+    ones = np.ones(len(bias), np.float32)
+    with np.errstate(over="ignore"):
+        for low in range(0, len(rows), at_once):
+            some = slice(low, low + at_once)
+            raw = rows[some] @ table
+            own = raw[np.arange(len(raw)), chosen[some]]
+            total = np.exp(raw, out=raw) @ ones
+            if not np.isfinite(total).all():
+                raw = rows[some] @ table
+                raw -= raw.max(1, keepdims=True)
+                own = raw[np.arange(len(raw)), chosen[some]]
+                total = np.exp(raw, out=raw) @ ones
+            found[some] = own - np.log(total)
     return found
 
 

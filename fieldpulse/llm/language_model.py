@@ -42,7 +42,7 @@ from fieldpulse.session import work_folder
 START_DOCUMENTS = 600
 START_CHARS = 3_000_000
 VOCABULARY = 8_192
-SHARE = 32
+SHARE = 48
 FAN_IN = 16
 FREQUENT = 500_000
 ROWS_AT_ONCE = 1_000_000
