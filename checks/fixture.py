@@ -33,6 +33,10 @@ case when event_type = 'signup' and k % 10 = 1 then null
 _EVENT_TIME = f"""
 case when event_type = 'view' and k = 13 then null
      else timestamp_micros({_EPOCH} + ((unix_micros(at) - {_EPOCH}) div 60000) * 1000) end"""
+# The variant for clocks that restart: every 400th event is dated soon after the epoch.
+_STRAY_TIME = f"""
+case when event_id % 400 = 3 then timestamp_micros(event_id * 1000000 * 1800)
+     else {_EVENT_TIME} end"""
 # The batches one event arrives in: its own, and a second one for every tenth event.
 _ARRIVALS = """
 case when event_id % 10 = 0
@@ -57,7 +61,7 @@ def _numbered(rows: DataFrame) -> DataFrame:
     )
 
 
-def arrivals(spark: SparkSession, folder: str) -> DataFrame:
+def arrivals(spark: SparkSession, folder: str, stray: bool = False) -> DataFrame:
     """src_id, batch_no and the five event columns, one row per arrival."""
     return _numbered(spread(_events(spark, folder))).select(
         F.col("event_id").alias("src_id"),
@@ -65,15 +69,15 @@ def arrivals(spark: SparkSession, folder: str) -> DataFrame:
         F.expr(_SITE).alias("site"),
         F.expr(_TEMPERATURE).alias("temperature"),
         F.expr(_HUMIDITY).alias("humidity"),
-        F.expr(_EVENT_TIME).alias("event_time"),
+        F.expr(_STRAY_TIME if stray else _EVENT_TIME).alias("event_time"),
         F.explode(F.expr(_ARRIVALS)).alias("batch_no"),
     )
 
 
-def raw_records(spark: SparkSession, folder: str) -> DataFrame:
+def raw_records(spark: SparkSession, folder: str, stray: bool = False) -> DataFrame:
     """The arrivals as the producer sends them: JSON text in ``value``."""
     record = F.to_json(F.struct(*m.EVENT_COLUMNS))
-    return arrivals(spark, folder).select("src_id", "batch_no", record.alias("value"))
+    return arrivals(spark, folder, stray).select("src_id", "batch_no", record.alias("value"))
 
 
 def request_log(spark: SparkSession, folder: str) -> DataFrame:

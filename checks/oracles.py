@@ -156,19 +156,55 @@ _LATEST_STAMPED = f"""
   select sensor_latest_status.*, {_STAMP}
   from sensor_latest_status join sensor_stamps using (sensor_id)"""
 
-_GOLD_ROWS = """
-  select 'sensor_minute' as table_name, sensor_id, site, window_start as at_time,
-    event_count as events, avg_temperature as temperature, avg_humidity as humidity,
-    cast(null as varchar) as label from sensor_minute
-  union all
-  select 'site_minute', null, site, window_start, event_count, avg_temperature, avg_humidity,
-    null from site_minute
-  union all
-  select 'site_alert_minute', null, site, window_start, 1, null, null, alert_level
-    from site_alert_minute
-  union all
-  select 'sensor_latest_status', sensor_id, site, event_time, 1, temperature, humidity, status
-    from sensor_latest_status"""
+_GOLD_COLUMNS = {
+    "sensor_id": "varchar", "site": "varchar", "window_start": "timestamp", "window_end": "timestamp",
+    "event_count": "bigint", "avg_temperature": "double", "avg_humidity": "double",
+    "last_event_time": "timestamp", "active_sensors": "bigint", "high_temp_events": "bigint",
+    "critical_temp_events": "bigint", "high_humidity_events": "bigint", "alert_level": "varchar",
+    "event_time": "timestamp", "temperature": "double", "humidity": "double", "status": "varchar",
+}
+_EVENT = ["sensor_id", "site", "event_time", "temperature", "humidity"]
+_HAS = {
+    "sensor_minute": "sensor_id site window_start window_end event_count avg_temperature avg_humidity "
+    "last_event_time",
+    "site_minute": "site window_start window_end event_count active_sensors avg_temperature avg_humidity "
+    "high_temp_events critical_temp_events high_humidity_events",
+    "site_alert_minute": "site window_start window_end high_temp_events critical_temp_events "
+    "high_humidity_events alert_level",
+    "sensor_latest_status": "sensor_id site event_time temperature humidity status",
+}
+
+
+def _shape(name: str, has: str, also: str) -> str:
+    columns = [c if c in has.split() else f"cast(null as {t}) as {c}" for c, t in _GOLD_COLUMNS.items()]
+    return f"select '{name}' as table_name, {', '.join(columns)}{also}"
+
+
+def _gold_rows(sources: dict[str, str], also: str = "") -> str:
+    return " union all ".join(f"{_shape(t, _HAS[t], also)} from ({s})" for t, s in sources.items())
+
+
+_STAMPED_ROWS = _gold_rows(
+    {
+        "sensor_minute": _SENSOR_MINUTE_STAMPED,
+        "site_minute": _SITE_MINUTE_STAMPED,
+        "site_alert_minute": _SITE_ALERT_STAMPED,
+        "sensor_latest_status": _LATEST_STAMPED,
+    },
+    ", processed_at",
+)
+_ONE_STAMP = ", timestamp '2024-06-01 00:00:00' as processed_at"
+_PLAIN = {t: f"select * from {t}" for t in _HAS}
+
+# The second batch once more, eleven seconds after the first: its keys get that stamp.
+_REPLAY_STAMPS = _STAMPS.replace("max(batch_no)", "max(if(batch_no = 1, 11, batch_no))")
+
+_STRAY_ARRIVALS = _FIRST_ARRIVALS.replace(
+    "case when event_type = 'view' and k = 13 then null",
+    "case when event_id % 400 = 3 then make_timestamp(event_id * 1000000 * 1800)\n"
+    "         when event_type = 'view' and k = 13 then null",
+)
+_STRAY = [_NUMBERED, _STRAY_ARRIVALS, _ARRIVALS, _CLASSIFIED, _VALID, _SILVER, *_GOLD, _STAMPS]
 
 _LITERAL = """
 seen_0 as (
@@ -251,7 +287,28 @@ ORACLES: dict[str, str] = {
     "site_minute": _gold("select * from site_minute"),
     "site_alert_minute": _gold("select * from site_alert_minute"),
     "sensor_latest_status": _gold("select * from sensor_latest_status"),
-    "gold_rebuild": _gold(_GOLD_ROWS),
+    "gold_rebuild": _gold(_gold_rows(_PLAIN, _ONE_STAMP)),
+    "gold_large": _stamped(_STAMPED_ROWS),
+    "gold_after_compaction": _stamped(_STAMPED_ROWS),
+    "gold_stray_times": _with(_STRAY, _STAMPED_ROWS),
+    "silver_stray_times": _with(_STRAY, _SILVER_STAMPED),
+    "silver_insert_if_absent_large": _stamped(_SILVER_STAMPED),
+    "batch_replay": _with(_BASE + _GOLD + [_REPLAY_STAMPS], _STAMPED_ROWS),
+    "all_invalid_batch": _base(
+        "select validation_error as name, count(*) as found from classified "
+        "where validation_error is not null group by all union all "
+        "select unnest(['sensor_events_validated', 'sensor_minute', 'site_minute', "
+        "'site_alert_minute', 'sensor_latest_status']), 0"
+    ),
+    "dlq_reprocessed": _base(
+        "select sensor_id, site, temperature, humidity, event_time, validation_error, "
+        "cast(batch_no as integer) as batch_id from classified where validation_error is not null"
+    ),
+    "adhoc_sql": _gold(
+        "select site, date_trunc('hour', a.window_start)::timestamp as hour, a.alert_level, "
+        "count(*) as minutes, cast(sum(event_count) as bigint) as events "
+        "from site_alert_minute a join site_minute s using (site, window_start) group by all"
+    ),
     "silver_insert_if_absent": _stamped(_SILVER_STAMPED),
     "sensor_minute_upsert": _stamped(_SENSOR_MINUTE_STAMPED),
     "site_minute_upsert": _stamped(_SITE_MINUTE_STAMPED),
@@ -264,14 +321,10 @@ ORACLES: dict[str, str] = {
         )
     ),
     "stream_end_to_end": _gold(
-        _GOLD_ROWS
-        + """
-  union all
-  select 'sensor_events_validated', sensor_id, site, event_time, 1, temperature, humidity, event_id
-    from silver
-  union all
-  select 'dead_letters', sensor_id, site, event_time, 1, temperature, humidity, validation_error
-    from classified where validation_error is not null"""
+        f"select *, cast(null as varchar) as label from ({_gold_rows(_PLAIN)}) union all "
+        f"{_shape('sensor_events_validated', ' '.join(_EVENT), ', event_id')} from silver union all "
+        f"{_shape('dead_letters', ' '.join(_EVENT), ', validation_error')} from classified "
+        "where validation_error is not null"
     ),
     "report_latest_events": _stamped(
         _SILVER_STAMPED + " order by event_time desc, event_id limit 20"
@@ -321,3 +374,4 @@ ORACLES: dict[str, str] = {
         "select status, count(*) as requests from request_log group by status",
     ),
 }
+ORACLES["request_log_report_small_steps"] = ORACLES["request_log_report"]

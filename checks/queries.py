@@ -20,7 +20,7 @@ from fieldpulse import model as m
 from fieldpulse.operators import events as ev
 from fieldpulse.operators import minutes, requests, status, windows
 from fieldpulse.operators.ingest import ingest_contract
-from fieldpulse.operators.upserts import absent_rows
+from fieldpulse.operators.upserts import first_batch_rows
 from fieldpulse.plans.batch import BatchOptions, process_batch
 from fieldpulse.plans.rebuild import rebuild_gold
 from fieldpulse.plans.reports import report
@@ -104,41 +104,30 @@ def silver_dedup(spark, folder):
 # -- windows and scoping ----------------------------------------------------------------------
 
 
-def _per_batch(build: Callable[[DataFrame], DataFrame]) -> Query:
-    """Apply ``build`` to the valid events of each arrival batch and mark the result."""
+def affected_sensor_windows(spark, folder):
+    return windows.affected_sensor_windows(valid(spark, folder), per=("batch_no",))
 
-    def query(spark: SparkSession, folder: str) -> DataFrame:
-        events = valid(spark, folder)
-        parts = [
-            build(events.where(F.col("batch_no") == n)).withColumn("batch_no", F.lit(n))
-            for n in fx.BATCHES
-        ]
-        return reduce(DataFrame.unionByName, parts)
 
-    return query
+def affected_site_windows(spark, folder):
+    return windows.affected_site_windows(valid(spark, folder), per=("batch_no",))
 
 
-affected_sensor_windows = _per_batch(windows.affected_sensor_windows)
-affected_site_windows = _per_batch(windows.affected_site_windows)
-affected_sensors = _per_batch(windows.affected_sensors)
+def affected_sensors(spark, folder):
+    return windows.affected_sensors(valid(spark, folder), per=("batch_no",))
 
 
-def _silver_in(touched: Callable[[DataFrame], DataFrame], keys: list[str]) -> Query:
+def _silver_in(touched: Query, keys: list[str]) -> Query:
     """All of silver against the windows of each arrival batch."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
         rows = windows.with_window_start(silver(spark, folder)).select("event_id", *keys)
-        return _per_batch(lambda batch: windows.in_windows(rows, touched(batch), keys))(
-            spark, folder
-        )
+        return windows.in_windows_per(rows, touched(spark, folder), keys, "batch_no")
 
     return query
 
 
-silver_in_affected_sensor_windows = _silver_in(
-    windows.affected_sensor_windows, windows.SENSOR_KEYS
-)
-silver_in_affected_site_windows = _silver_in(windows.affected_site_windows, windows.SITE_KEYS)
+silver_in_affected_sensor_windows = _silver_in(affected_sensor_windows, windows.SENSOR_KEYS)
+silver_in_affected_site_windows = _silver_in(affected_site_windows, windows.SITE_KEYS)
 
 
 # -- gold ------------------------------------------------------------------------------------
@@ -174,7 +163,9 @@ GOLD: dict[str, Query] = {
 
 # -- the tables after three batches -----------------------------------------------------------
 
-_built: dict[tuple[str, str], ParquetLake] = {}
+_built: dict[tuple, ParquetLake] = {}
+
+LARGE = BatchOptions(broadcast_bytes=0)
 
 
 def new_lake(spark: SparkSession, purpose: str) -> ParquetLake:
@@ -183,43 +174,68 @@ def new_lake(spark: SparkSession, purpose: str) -> ParquetLake:
     return ParquetLake(spark, work_folder(spark, purpose), schema).create()
 
 
-def build_lake(spark: SparkSession, folder: str, dedup_in_batch: bool = True) -> ParquetLake:
+def build_lake(
+    spark: SparkSession, folder: str, options: BatchOptions = BatchOptions(), stray: bool = False
+) -> ParquetLake:
     """A lake that took in the three arrival batches one after the other."""
     lake = new_lake(spark, "lake")
-    records = fx.raw_records(spark, folder)
+    records = fx.raw_records(spark, folder, stray)
     for n in fx.BATCHES:
-        process_batch(
-            lake,
-            records.where(F.col("batch_no") == n).select("value"),
-            batch_id=n,
-            dead_letters=FileDeadLetters(f"{lake.root}/dead_letters"),
-            options=BatchOptions(dedup_in_batch=dedup_in_batch),
-            processed_at=batch_time(n),
-        )
+        take_batch(lake, records, n, options)
     return lake
 
 
-def incremental_lake(spark: SparkSession, folder: str) -> ParquetLake:
-    """The lake of :func:`build_lake`, built once per application and input folder."""
-    key = (spark.sparkContext.applicationId, folder)
+def take_batch(
+    lake: ParquetLake, records: DataFrame, n: int, options: BatchOptions = BatchOptions(), again: int = 0
+) -> None:
+    process_batch(
+        lake,
+        records.where(F.col("batch_no") == n).select("value"),
+        batch_id=n,
+        dead_letters=letters_of(lake),
+        run="fixture",
+        options=options,
+        processed_at=batch_time(n + again),
+    )
+
+
+def letters_of(lake: ParquetLake) -> FileDeadLetters:
+    return FileDeadLetters(f"{lake.root}/dead_letters")
+
+
+def kept_lake(spark: SparkSession, folder: str, *variant) -> ParquetLake:
+    """The lake of :func:`build_lake`, built once per application, input folder and variant."""
+    key = (spark.sparkContext.applicationId, folder, *variant)
     if key not in _built:
-        _built[key] = build_lake(spark, folder)
+        _built[key] = build_lake(spark, folder, *variant)
     return _built[key].on(spark)
 
 
-def _table_after_batches(table: str) -> Query:
-    return lambda spark, folder: incremental_lake(spark, folder).read(table)
+def _table_after_batches(table: str, *variant) -> Query:
+    return lambda spark, folder: kept_lake(spark, folder, *variant).read(table)
 
 
 def silver_literal_merge(spark, folder):
     """Silver as three insert-only merges leave it when a batch may repeat an id."""
     events = valid(spark, folder).select("event_id", *m.EVENT_COLUMNS, "batch_no")
-    seen = events.where(F.col("batch_no") == fx.BATCHES[0])
-    for n in fx.BATCHES[1:]:
-        batch = events.where(F.col("batch_no") == n)
-        fresh = absent_rows(batch, seen, "event_id", target_unique=False)
-        seen = seen.unionByName(fresh)
-    return seen
+    return first_batch_rows(events, "event_id", "batch_no")
+
+
+def gold_rows(lake: ParquetLake, stamps: bool = True) -> DataFrame:
+    """All rows of the four gold tables in one shape, with every contract column."""
+    columns: dict[str, str] = {}
+    for table in GOLD:
+        columns |= dict(m.TABLES[table].columns)
+    if not stamps:
+        del columns["processed_at"]
+    parts = []
+    for table in GOLD:
+        rows = lake.read(table)
+        shape = [
+            F.col(c) if c in rows.columns else F.lit(None).cast(kind).alias(c) for c, kind in columns.items()
+        ]
+        parts.append(rows.select(F.lit(table).alias("table_name"), *shape))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def gold_rebuild(spark, folder):
@@ -230,62 +246,34 @@ def gold_rebuild(spark, folder):
     return gold_rows(lake)
 
 
-def gold_rows(lake: ParquetLake) -> DataFrame:
-    """All rows of the four gold tables in one common shape; rows without a count count one."""
-    nothing = {
-        "sensor_id": F.lit(None).cast("string"),
-        "site": F.lit(None).cast("string"),
-        "at_time": F.lit(None).cast("timestamp"),
-        "events": F.lit(1).cast("long"),
-        "temperature": F.lit(None).cast("double"),
-        "humidity": F.lit(None).cast("double"),
-        "label": F.lit(None).cast("string"),
-    }
-    shapes = {
-        m.SENSOR_MINUTE: {
-            "sensor_id": "sensor_id",
-            "site": "site",
-            "at_time": "window_start",
-            "events": "event_count",
-            "temperature": "avg_temperature",
-            "humidity": "avg_humidity",
-        },
-        m.SITE_MINUTE: {
-            "site": "site",
-            "at_time": "window_start",
-            "events": "event_count",
-            "temperature": "avg_temperature",
-            "humidity": "avg_humidity",
-        },
-        m.SITE_ALERT_MINUTE: {"site": "site", "at_time": "window_start", "label": "alert_level"},
-        m.SENSOR_LATEST: {
-            "sensor_id": "sensor_id",
-            "site": "site",
-            "at_time": "event_time",
-            "temperature": "temperature",
-            "humidity": "humidity",
-            "label": "status",
-        },
-    }
-    parts = []
-    for table, shape in shapes.items():
-        columns = {**nothing, **{name: F.col(source) for name, source in shape.items()}}
-        aliased = [column.alias(name) for name, column in columns.items()]
-        parts.append(lake.read(table).select(F.lit(table).alias("table_name"), *aliased))
-    return reduce(DataFrame.unionByName, parts)
+def gold_large(spark, folder):
+    """The gold tables of batches whose joins all take their form for big batches."""
+    return gold_rows(kept_lake(spark, folder, LARGE))
+
+
+def gold_stray_times(spark, folder):
+    """The gold tables of batches with event times decades apart."""
+    return gold_rows(kept_lake(spark, folder, BatchOptions(), True))
+
+
+def gold_after_compaction(spark, folder):
+    """The gold tables and silver after all hours were compacted."""
+    lake = build_lake(spark, folder)
+    lake.compact(datetime(2100, 1, 1, tzinfo=timezone.utc))
+    return gold_rows(lake)
 
 
 def gold_incremental_equals_rebuild(spark, folder):
-    """Per gold table: rows kept up batch by batch, rows of a one-shot build, rows that differ."""
-    lake = incremental_lake(spark, folder)
+    """Per gold table: rows kept up batch by batch, rows after a rebuild, rows that differ."""
+    lake, other = kept_lake(spark, folder), new_lake(spark, "rebuilt")
+    other.append(m.SILVER, lake.read(m.SILVER))
+    rebuild_gold(other)
     parts = []
-    for table, build in GOLD.items():
-        rebuilt = build(spark, folder)
-        kept = lake.read(table).select(*rebuilt.columns)
-        marked = kept.withColumn("side", F.lit(1)).unionByName(
-            rebuilt.withColumn("side", F.lit(-1))
-        )
-        balance = marked.groupBy(*rebuilt.columns).agg(
+    for table in GOLD:
+        columns = [c for c in m.TABLES[table].column_names if c != "processed_at"]
+        kept, rebuilt = lake.read(table).select(*columns), other.read(table).select(*columns)
+        marked = kept.withColumn("side", F.lit(1)).unionByName(rebuilt.withColumn("side", F.lit(-1)))
+        balance = marked.groupBy(*columns).agg(
             F.sum("side").alias("surplus"),
             F.count_if(F.col("side") == 1).alias("kept"),
             F.count_if(F.col("side") == -1).alias("rebuilt"),
@@ -300,6 +288,47 @@ def gold_incremental_equals_rebuild(spark, folder):
     return reduce(DataFrame.unionByName, parts)
 
 
+def batch_replay(spark, folder):
+    """The gold tables after the second batch came once more at the end."""
+    lake = build_lake(spark, folder)
+    take_batch(lake, fx.raw_records(spark, folder), 1, again=10)
+    return gold_rows(lake)
+
+
+def all_invalid_batch(spark, folder):
+    """Rows per table, and dead letters per reason, after a batch of invalid records only."""
+    lake = new_lake(spark, "invalid")
+    judged = classified(spark, folder)
+    bad = ev.invalid_events(judged).select(F.to_json(F.struct(*m.EVENT_COLUMNS)).alias("value"))
+    letters = letters_of(lake)
+    process_batch(lake, bad, 0, letters, "fixture")
+    count = F.count(F.lit(1)).alias("found")
+    tables = [lake.read(t).agg(count).select(F.lit(t).alias("name"), "found") for t in m.TABLES]
+    reasons = letters.read(spark).groupBy(F.col(ev.ERROR).alias("name")).agg(count)
+    return reduce(DataFrame.unionByName, [*tables, reasons])
+
+
+def dlq_reprocessed(spark, folder):
+    """The dead letters of the batches, fed back as raw records and judged again."""
+    lake = kept_lake(spark, folder, BatchOptions(keep_raw=True))
+    records = letters_of(lake).as_records(spark)
+    return ev.classify(ev.parse_events(records, ("batch_id",)))
+
+
+def adhoc_sql(spark, folder):
+    """SQL of a reader over the views: alerts of each site per hour beside its events."""
+    lake = kept_lake(spark, folder)
+    return spark.sql(
+        f"""
+        SELECT a.site, date_trunc('HOUR', a.window_start) AS hour, a.alert_level,
+               count(*) AS minutes, sum(s.event_count) AS events
+        FROM {lake.view(m.SITE_ALERT_MINUTE)} a
+        JOIN {lake.view(m.SITE_MINUTE)} s USING (site, window_start)
+        GROUP BY ALL
+        """
+    )
+
+
 # -- streaming --------------------------------------------------------------------------------
 
 
@@ -313,7 +342,7 @@ def stream_lake(spark: SparkSession, folder: str) -> ParquetLake:
         checkpoint=f"{lake.root}/checkpoint",
         source_format="text",
         source_path=inbox,
-        dead_letters=FileDeadLetters(f"{lake.root}/dead_letters"),
+        dead_letters=letters_of(lake),
         schema=lake.schema,
         until_drained=True,
     )
@@ -329,25 +358,21 @@ def stream_lake(spark: SparkSession, folder: str) -> ParquetLake:
 def stream_end_to_end(spark, folder):
     """Gold rows, silver events and dead letters the streaming job left behind."""
     lake = stream_lake(spark, folder)
-    gold = gold_rows(lake)
-    event = ["sensor_id", "site", F.col("event_time").alias("at_time"), "temperature", "humidity"]
-    one = F.lit(1).cast("long").alias("events")
+    gold = gold_rows(lake, stamps=False).withColumn("label", F.lit(None).cast("string"))
     landed = lake.read(m.SILVER).select(
-        F.lit(m.SILVER).alias("table_name"), F.col("event_id").alias("label"), one, *event
+        F.lit(m.SILVER).alias("table_name"), F.col("event_id").alias("label"), *m.EVENT_COLUMNS
     )
-    letters = (
-        FileDeadLetters(f"{lake.root}/dead_letters")
-        .read(spark)
-        .select(F.lit("dead_letters").alias("table_name"), F.col(ev.ERROR).alias("label"), one, *event)
+    letters = letters_of(lake).read(spark).select(
+        F.lit("dead_letters").alias("table_name"), F.col(ev.ERROR).alias("label"), *m.EVENT_COLUMNS
     )
-    return gold.unionByName(landed).unionByName(letters)
+    return gold.unionByName(landed, True).unionByName(letters, True)
 
 
 # -- reports ----------------------------------------------------------------------------------
 
 
 def _report(name: str) -> Query:
-    return lambda spark, folder: report(incremental_lake(spark, folder), name)
+    return lambda spark, folder: report(kept_lake(spark, folder), name)
 
 
 def ingest(spark, folder):
@@ -359,6 +384,11 @@ def request_log_report(spark, folder):
     return requests.request_log_report(fx.request_log(spark, folder))
 
 
+def request_log_report_small_steps(spark, folder):
+    """The same with a last step so small that the percentile takes several rounds."""
+    return requests.request_log_report(fx.request_log(spark, folder), final_rows=3)
+
+
 def request_log_status_counts(spark, folder):
     return requests.status_counts(fx.request_log(spark, folder))
 
@@ -386,7 +416,16 @@ QUERIES: dict[str, Query] = {
     "site_minute_upsert": _table_after_batches(m.SITE_MINUTE),
     "site_alert_minute_upsert": _table_after_batches(m.SITE_ALERT_MINUTE),
     "sensor_latest_status_upsert": _table_after_batches(m.SENSOR_LATEST),
+    "silver_insert_if_absent_large": _table_after_batches(m.SILVER, LARGE),
+    "gold_large": gold_large,
+    "gold_stray_times": gold_stray_times,
+    "silver_stray_times": _table_after_batches(m.SILVER, BatchOptions(), True),
+    "gold_after_compaction": gold_after_compaction,
     "gold_incremental_equals_rebuild": gold_incremental_equals_rebuild,
+    "batch_replay": batch_replay,
+    "all_invalid_batch": all_invalid_batch,
+    "dlq_reprocessed": dlq_reprocessed,
+    "adhoc_sql": adhoc_sql,
     "stream_end_to_end": stream_end_to_end,
     "report_latest_events": _report("latest_events"),
     "report_sensor_minute": _report("sensor_minute"),
@@ -395,6 +434,7 @@ QUERIES: dict[str, Query] = {
     "report_sensor_status": _report("sensor_status"),
     "ingest_contract": ingest,
     "request_log_report": request_log_report,
+    "request_log_report_small_steps": request_log_report_small_steps,
     "request_log_status_counts": request_log_status_counts,
 }
 

@@ -20,7 +20,7 @@ def alert_level() -> Column:
     """Humidity alone raises a warning, never a critical alert."""
     return _graded(
         critical=F.col("critical_temp_events") > 0,
-        warning=F.greatest("high_temp_events", "high_humidity_events") > 0,
+        warning=(F.col("high_temp_events") > 0) | (F.col("high_humidity_events") > 0),
     )
 
 

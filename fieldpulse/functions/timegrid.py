@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 from fieldpulse import model as m
 
-LATEST_SLOTS = 64
-
 
 def window_start(column: str | Column, width: str = m.MINUTE) -> Column:
     return F.window(column, width)["start"]
@@ -33,7 +31,3 @@ def utc_day(column: str | Column) -> Column:
 
 def utc_hour(column: str | Column) -> Column:
     return F.pmod(_hours_since_epoch(column), F.lit(24)).cast("int")
-
-
-def hash_slot(*keys: str, slots: int = LATEST_SLOTS) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(slots)).cast("int")

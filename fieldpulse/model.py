@@ -9,7 +9,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
-# Fixed values.  Names, bounds, formats and defaults that results depend on.
+# Fixed values.  Names, bounds, formats and defaults that results depend on, down to the table
+# contracts at the end.
 # ---------------------------------------------------------------------------
 MISSING_SENSOR = "missing_sensor_id"
 MISSING_SITE = "missing_site"
@@ -77,9 +78,8 @@ DEFAULT_LIMITS = Limits()
 class TableSpec:
     """Contract of one table.
 
-    ``clock`` is the timestamp column whose UTC day and hour partition the table; a table
-    without one is partitioned by a hash slot of its merge keys.  Both are functions of the
-    merge key, so an update can never move a row to another partition.
+    ``clock`` is the timestamp column whose UTC day and hour partition the table.  It is part of
+    the merge key, or fixed by it, so an update can never move a row to another partition.
     """
 
     name: str
@@ -94,24 +94,13 @@ class TableSpec:
 
     @property
     def partition_columns(self) -> tuple[tuple[str, str], ...]:
-        if self.clock is None:
-            return (("part_slot", "INT"),)
-        return (("part_day", "DATE"), ("part_hour", "INT"))
+        return () if self.clock is None else (("part_day", "DATE"), ("part_hour", "INT"))
 
     @property
     def partition_names(self) -> list[str]:
         return [name for name, _ in self.partition_columns]
 
 
-_WINDOW = (("window_start", "TIMESTAMP"), ("window_end", "TIMESTAMP"))
-_ALERT_COUNTS = (
-    ("high_temp_events", "BIGINT"),
-    ("critical_temp_events", "BIGINT"),
-    ("high_humidity_events", "BIGINT"),
-)
-_AVERAGES = (("avg_temperature", "DOUBLE"), ("avg_humidity", "DOUBLE"))
-_PROCESSED = (("processed_at", "TIMESTAMP"),)
-
 TABLES: dict[str, TableSpec] = {
     spec.name: spec
     for spec in (
@@ -124,7 +113,7 @@ TABLES: dict[str, TableSpec] = {
                 ("temperature", "DOUBLE"),
                 ("humidity", "DOUBLE"),
                 ("event_time", "TIMESTAMP"),
-                *_PROCESSED,
+                ("processed_at", "TIMESTAMP"),
             ),
             keys=("event_id",),
             clock="event_time",
@@ -135,11 +124,13 @@ TABLES: dict[str, TableSpec] = {
             columns=(
                 ("sensor_id", "STRING"),
                 ("site", "STRING"),
-                *_WINDOW,
+                ("window_start", "TIMESTAMP"),
+                ("window_end", "TIMESTAMP"),
                 ("event_count", "BIGINT"),
-                *_AVERAGES,
+                ("avg_temperature", "DOUBLE"),
+                ("avg_humidity", "DOUBLE"),
                 ("last_event_time", "TIMESTAMP"),
-                *_PROCESSED,
+                ("processed_at", "TIMESTAMP"),
             ),
             keys=("sensor_id", "site", "window_start", "window_end"),
             clock="window_start",
@@ -149,12 +140,16 @@ TABLES: dict[str, TableSpec] = {
             name=SITE_MINUTE,
             columns=(
                 ("site", "STRING"),
-                *_WINDOW,
+                ("window_start", "TIMESTAMP"),
+                ("window_end", "TIMESTAMP"),
                 ("event_count", "BIGINT"),
                 ("active_sensors", "BIGINT"),
-                *_AVERAGES,
-                *_ALERT_COUNTS,
-                *_PROCESSED,
+                ("avg_temperature", "DOUBLE"),
+                ("avg_humidity", "DOUBLE"),
+                ("high_temp_events", "BIGINT"),
+                ("critical_temp_events", "BIGINT"),
+                ("high_humidity_events", "BIGINT"),
+                ("processed_at", "TIMESTAMP"),
             ),
             keys=("site", "window_start", "window_end"),
             clock="window_start",
@@ -164,10 +159,13 @@ TABLES: dict[str, TableSpec] = {
             name=SITE_ALERT_MINUTE,
             columns=(
                 ("site", "STRING"),
-                *_WINDOW,
-                *_ALERT_COUNTS,
+                ("window_start", "TIMESTAMP"),
+                ("window_end", "TIMESTAMP"),
+                ("high_temp_events", "BIGINT"),
+                ("critical_temp_events", "BIGINT"),
+                ("high_humidity_events", "BIGINT"),
                 ("alert_level", "STRING"),
-                *_PROCESSED,
+                ("processed_at", "TIMESTAMP"),
             ),
             keys=("site", "window_start", "window_end"),
             clock="window_start",
@@ -182,7 +180,7 @@ TABLES: dict[str, TableSpec] = {
                 ("temperature", "DOUBLE"),
                 ("humidity", "DOUBLE"),
                 ("status", "STRING"),
-                *_PROCESSED,
+                ("processed_at", "TIMESTAMP"),
             ),
             keys=("sensor_id",),
             sort=("sensor_id",),

@@ -10,10 +10,10 @@ EVENT_ID_BYTES = 96  # 64 hex digits and the overhead of a row
 ROW_BYTES = 64  # overhead and timestamps of a key row, beside its names
 
 
-def is_small(max_bytes: int | None) -> bool:
+def is_small(max_bytes: int | None, limit: int = BROADCAST_BYTES) -> bool:
     """``max_bytes`` is a proven upper bound of a side's size, None if nothing is known."""
-    return max_bytes is not None and max_bytes <= BROADCAST_BYTES
+    return max_bytes is not None and max_bytes <= limit
 
 
-def small(side: DataFrame, max_bytes: int | None) -> DataFrame:
-    return F.broadcast(side) if is_small(max_bytes) else side
+def small(side: DataFrame, max_bytes: int | None, limit: int = BROADCAST_BYTES) -> DataFrame:
+    return F.broadcast(side) if is_small(max_bytes, limit) else side

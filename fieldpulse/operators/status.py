@@ -7,15 +7,20 @@ from pyspark.sql import functions as F
 
 from fieldpulse import model as m
 from fieldpulse.functions.severity import sensor_status
-from fieldpulse.operators.events import latest_per_sensor, with_event_id
+from fieldpulse.operators.events import latest_per_sensor
 
 _MEASURED = ["sensor_id", "site", "event_time", "temperature", "humidity"]
 
 
 def sensor_latest_status(events: DataFrame, limits: m.Limits = m.DEFAULT_LIMITS) -> DataFrame:
     """From identified events: the newest row per sensor with its status."""
+    return latest_events(events, limits).drop("event_id")
+
+
+def latest_events(events: DataFrame, limits: m.Limits = m.DEFAULT_LIMITS) -> DataFrame:
+    """The same with the id of the event, which decides between events of equal time."""
     newest = latest_per_sensor(events.select("event_id", *_MEASURED))
-    return newest.select(*_MEASURED, sensor_status(limits).alias("status"))
+    return newest.select("event_id", *_MEASURED, sensor_status(limits).alias("status"))
 
 
 def newest_times(partials: DataFrame) -> DataFrame:
@@ -27,18 +32,3 @@ def at_newest(events: DataFrame, newest: DataFrame) -> DataFrame:
     """The rows at the newest time of their sensor."""
     rows = events.select("event_id", *_MEASURED)
     return rows.join(newest, ["sensor_id", "event_time"], "left_semi")
-
-
-def advance_latest_status(
-    candidates: DataFrame,
-    current: DataFrame,
-    limits: m.Limits = m.DEFAULT_LIMITS,
-) -> DataFrame:
-    """New status of sensors without reading their history.
-
-    ``candidates`` are silver rows at the newest time of each sensor inside the minutes a batch
-    touched, ``current`` their rows of the status table.  Silver only grows, so the newest row
-    of a sensor is one of those.  The tie-break id of a current row follows from its own columns.
-    """
-    known = with_event_id(current.select(*_MEASURED))
-    return sensor_latest_status(latest_per_sensor(candidates).unionByName(known), limits)

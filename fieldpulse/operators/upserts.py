@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldpulse.operators.sizing import is_small
+from fieldpulse.operators.sizing import BROADCAST_BYTES, is_small
 
 
 def absent_rows(
@@ -16,6 +16,7 @@ def absent_rows(
     key: str,
     source_key_bytes: int | None = None,
     target_unique: bool = True,
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Source rows whose key is not in the target.
 
@@ -24,7 +25,7 @@ def absent_rows(
     Otherwise both sides are shuffled on the key; a target that repeats keys is reduced before.
     """
     present = target.select(key)
-    if is_small(source_key_bytes):
+    if is_small(source_key_bytes, limit):
         wanted = F.broadcast(source.select(key).distinct())
         present = present.join(wanted, key, "left_semi").distinct()
     elif not target_unique:
@@ -36,3 +37,12 @@ def upserted(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataF
     """The target after its rows with a key in ``source`` were replaced and the rest added."""
     kept = target.join(source.select(*keys), list(keys), "left_anti")
     return kept.select(*target.columns).unionByName(source.select(*target.columns))
+
+
+def first_batch_rows(rows: DataFrame, key: str, batch: str) -> DataFrame:
+    """What insert-only merges of batches one after the other leave: the first batch's rows of a key.
+
+    A batch's own repeats stay.  Spark drops later batches' rows before the shuffle and after it.
+    """
+    place = F.rank().over(Window.partitionBy(key).orderBy(batch))
+    return rows.withColumn("_place", place).where("_place = 1").drop("_place")

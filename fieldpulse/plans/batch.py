@@ -7,6 +7,7 @@ after a crash half way, therefore repairs whatever the first attempt left out.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import Protocol
@@ -16,14 +17,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldpulse import model as m
-from fieldpulse.functions.timegrid import hash_slot
 from fieldpulse.operators import events as ev
 from fieldpulse.operators import minutes, status, windows
-from fieldpulse.operators.sizing import EVENT_ID_BYTES, ROW_BYTES, is_small, small
+from fieldpulse.operators.sizing import (
+    BROADCAST_BYTES,
+    EVENT_ID_BYTES,
+    ROW_BYTES,
+    is_small,
+    small,
+)
 from fieldpulse.operators.upserts import absent_rows
 from fieldpulse.plans.together import together
 from fieldpulse.sources.lake import Lake, stamped
-from fieldpulse.sources.scope import MINUTE_SECONDS, HourScope, SlotScope
+from fieldpulse.sources.scope import MINUTE_SECONDS, HourScope, by_hour
 
 
 class DeadLetterSink(Protocol):
@@ -35,6 +41,8 @@ class BatchOptions:
     limits: m.Limits = m.DEFAULT_LIMITS
     dedup_in_batch: bool = True
     keep_raw: bool = False
+    #: Sides of joins up to this size, measured, are broadcast.
+    broadcast_bytes: int = BROADCAST_BYTES
 
 
 @dataclass(frozen=True)
@@ -64,17 +72,15 @@ class Touched:
 
     sensor_windows: DataFrame
     key_bytes: int
-    slots: SlotScope
     hours: HourScope
+    limit: int = BROADCAST_BYTES
 
     @classmethod
-    def of(cls, sensor_windows: DataFrame) -> Touched:
+    def of(cls, sensor_windows: DataFrame, limit: int = BROADCAST_BYTES) -> Touched:
+        """One aggregation: a row per touched hour with its span and the size of its keys."""
         names = F.octet_length("sensor_id") + F.octet_length("site")
-        key_bytes, slots = sensor_windows.agg(
-            F.sum(names + ROW_BYTES), F.collect_set(hash_slot("sensor_id"))
-        ).first()
-        hours = HourScope.of(sensor_windows, "window_start", MINUTE_SECONDS)
-        return cls(sensor_windows, key_bytes, SlotScope(tuple(sorted(slots))), hours)
+        hours = by_hour(sensor_windows, "window_start", MINUTE_SECONDS, F.sum(names + ROW_BYTES)).collect()
+        return cls(sensor_windows, sum(h[4] for h in hours), HourScope.from_rows(hours), limit)
 
     @property
     def site_windows(self) -> DataFrame:
@@ -82,7 +88,7 @@ class Touched:
 
     @property
     def sensors(self) -> DataFrame:
-        return small(self.sensor_windows.select("sensor_id").distinct(), self.key_bytes)
+        return small(self.sensor_windows.select("sensor_id").distinct(), self.key_bytes, self.limit)
 
 
 def classified_batch(raw: DataFrame, options: BatchOptions) -> DataFrame:
@@ -98,11 +104,15 @@ def process_batch(
     raw: DataFrame,
     batch_id: int,
     dead_letters: DeadLetterSink | None = None,
-    run: str = "batch",
+    run: str | None = None,
     options: BatchOptions = BatchOptions(),
     processed_at: datetime | None = None,
 ) -> BatchProfile:
-    """Apply one batch of raw records (column ``value``) to the lake."""
+    """Apply one batch of raw records (column ``value``) to the lake.
+
+    ``run`` names the stream or backfill in the dead letters: a batch given again with the same run
+    and id replaces its letters.  Without it every call keeps letters of its own.
+    """
     now = processed_at or datetime.now(timezone.utc)
     classified = classified_batch(raw, options).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -111,7 +121,7 @@ def process_batch(
             letters = ev.dead_letters(
                 ev.invalid_events(classified), batch_id, "raw_value" if options.keep_raw else None
             )
-            dead_letters.write(letters, run, batch_id)
+            dead_letters.write(letters, run or uuid.uuid4().hex, batch_id)
         if profile.valid:
             valid = ev.valid_events(classified).select("event_id", *m.EVENT_COLUMNS)
             _land(lake, valid, profile.id_bytes, options, now)
@@ -125,8 +135,8 @@ def _land(
 ) -> None:
     sensor_windows = windows.affected_sensor_windows(valid).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        touched = Touched.of(sensor_windows)
-        insert_absent_events(lake, valid, touched.hours, id_bytes, options.dedup_in_batch, now)
+        touched = Touched.of(sensor_windows, options.broadcast_bytes)
+        insert_absent_events(lake, valid, touched.hours, id_bytes, options, now)
         _refresh_gold(lake, touched, options.limits, now)
     finally:
         sensor_windows.unpersist()
@@ -139,7 +149,9 @@ def _refresh_gold(lake: Lake, touched: Touched, limits: m.Limits, now: datetime)
 
     def sensor_minutes() -> None:
         keys = windows.SENSOR_KEYS
-        changed = windows.in_windows(partials, touched.sensor_windows, keys, touched.key_bytes)
+        changed = windows.in_windows(
+            partials, touched.sensor_windows, keys, touched.key_bytes, touched.limit
+        )
         rows = stamped(minutes.sensor_minute(changed), now)
         lake.upsert(m.SENSOR_MINUTE, rows, touched.hours)
 
@@ -154,13 +166,8 @@ def _refresh_gold(lake: Lake, touched: Touched, limits: m.Limits, now: datetime)
         ours = partials.join(touched.sensors, "sensor_id", "left_semi")
         newest = status.newest_times(ours)
         silver_then = lake.scan(m.SILVER, HourScope.of(newest, "event_time"))
-        current = lake.scan(m.SENSOR_LATEST, touched.slots)
-        statuses = status.advance_latest_status(
-            status.at_newest(silver_then, small(newest, touched.key_bytes)),
-            current.join(touched.sensors, "sensor_id", "left_semi"),
-            limits,
-        )
-        lake.upsert(m.SENSOR_LATEST, stamped(statuses, now), touched.slots)
+        candidates = status.at_newest(silver_then, small(newest, touched.key_bytes, touched.limit))
+        lake.advance(stamped(status.latest_events(candidates, limits), now))
 
     try:
         together(lake.spark, sensor_minutes, site_aggregates, alert_levels, latest)
@@ -174,7 +181,7 @@ def insert_absent_events(
     valid: DataFrame,
     hours: HourScope,
     id_bytes: int | None,
-    dedup_in_batch: bool,
+    options: BatchOptions,
     now: datetime,
 ) -> None:
     """Append the events whose id silver does not have.
@@ -182,9 +189,11 @@ def insert_absent_events(
     Equal ids imply equal event times (the time is the last part of the hashed text, and years
     from 0001 on are written uniquely), so looking only at the times of the batch is exact.
     """
-    source = ev.first_per_id(valid) if dedup_in_batch else valid
+    source = ev.first_per_id(valid) if options.dedup_in_batch else valid
     silver = lake.scan(m.SILVER, hours)
-    fresh = absent_rows(source, silver, "event_id", id_bytes, target_unique=dedup_in_batch)
+    fresh = absent_rows(
+        source, silver, "event_id", id_bytes, options.dedup_in_batch, options.broadcast_bytes
+    )
     lake.append(m.SILVER, stamped(fresh, now))
 
 
@@ -197,7 +206,7 @@ def affected_partials(
     applied after it, so that only aggregated rows are shuffled for the join.
     """
     rows, keys = windows.with_window_start(silver), windows.SITE_KEYS
-    if is_small(touched.key_bytes):
-        rows = windows.in_windows(rows, touched.site_windows, keys, touched.key_bytes)
+    if is_small(touched.key_bytes, touched.limit):
+        rows = windows.in_windows(rows, touched.site_windows, keys, touched.key_bytes, touched.limit)
         return minutes.minute_partials(rows, limits)
     return windows.in_windows(minutes.minute_partials(rows, limits), touched.site_windows, keys)

@@ -5,12 +5,14 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldpulse import model as m
 from fieldpulse.operators import minutes, status
 from fieldpulse.operators.sizing import ROW_BYTES, small
 from fieldpulse.plans.together import together
+from fieldpulse.sources.files import delete_tree
 from fieldpulse.sources.lake import Lake, stamped
 from fieldpulse.sources.scope import HourScope
 
@@ -20,7 +22,7 @@ def rebuild_gold(
     limits: m.Limits = m.DEFAULT_LIMITS,
     processed_at: datetime | None = None,
 ) -> None:
-    """Overwrite the four gold tables.
+    """Overwrite the four gold tables.  A reader sees each row either old or new.
 
     Silver is read once: the minute state is written out and everything else starts from the
     written copy, which also survives lost executors.  For the latest status only the hours of
@@ -29,17 +31,22 @@ def rebuild_gold(
     now = processed_at or datetime.now(timezone.utc)
     scratch = lake.scratch("minute_partials")
     silver = lake.read(m.SILVER)
-    minutes.minute_partials(silver, limits).write.mode("overwrite").parquet(scratch)
+    try:
+        minutes.minute_partials(silver, limits).write.mode("overwrite").parquet(scratch)
+        _rebuild_from(lake, lake.spark.read.parquet(scratch), limits, now)
+    finally:
+        delete_tree(lake.spark, scratch)
 
-    partials = lake.spark.read.parquet(scratch)
+
+def _rebuild_from(lake: Lake, partials: DataFrame, limits: m.Limits, now: datetime) -> None:
 
     def sensor_minutes() -> None:
         lake.overwrite(m.SENSOR_MINUTE, stamped(minutes.sensor_minute(partials), now))
 
     def site_minutes() -> None:
-        lake.overwrite(m.SITE_MINUTE, stamped(minutes.site_minute(partials), now))
-        alerts = minutes.site_alert_minute(lake.scan(m.SITE_MINUTE))
-        lake.overwrite(m.SITE_ALERT_MINUTE, stamped(alerts, now))
+        sites = minutes.site_minute(partials)
+        lake.overwrite(m.SITE_MINUTE, stamped(sites, now))
+        lake.overwrite(m.SITE_ALERT_MINUTE, stamped(minutes.site_alert_minute(sites), now))
 
     def latest() -> None:
         newest = status.newest_times(partials).persist(StorageLevel.MEMORY_AND_DISK)
@@ -47,8 +54,7 @@ def rebuild_gold(
             (size,) = newest.agg(F.sum(F.octet_length("sensor_id") + ROW_BYTES)).first()
             recent = lake.scan(m.SILVER, HourScope.of(newest, "event_time"))
             candidates = status.at_newest(recent, small(newest, size or 0))
-            statuses = status.sensor_latest_status(candidates, limits)
-            lake.overwrite(m.SENSOR_LATEST, stamped(statuses, now))
+            lake.overwrite(m.SENSOR_LATEST, stamped(status.latest_events(candidates, limits), now))
         finally:
             newest.unpersist()
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from itertools import islice
+
 from pyspark.sql import DataFrame
 
 from fieldpulse import model as m
 from fieldpulse.operators.reports import REPORTS, newest_rows
 from fieldpulse.sources.lake import Lake
-from fieldpulse.sources.scope import HourScope
+from fieldpulse.sources.scope import Hour, HourScope
 
 
 def report(lake: Lake, name: str, rows: int = m.REPORT_ROWS) -> DataFrame:
@@ -20,9 +22,10 @@ def report(lake: Lake, name: str, rows: int = m.REPORT_ROWS) -> DataFrame:
     hours = lake.newest_hours(table) if m.TABLES[table].clock == newest_by else None
     if hours is None:
         return newest_rows(lake.read(table), newest_by, ties, rows)
-    taken = 1
+    taken: list[Hour] = []
     while True:
-        newest = lake.read(table, HourScope(hours=tuple(hours[:taken])))
-        if taken >= len(hours) or newest.limit(rows).count() >= rows:
+        more = list(islice(hours, max(1, len(taken))))
+        taken += more
+        newest = lake.read(table, HourScope(tuple(taken)))
+        if not more or newest.limit(rows).count() >= rows:
             return newest_rows(newest, newest_by, ties, rows)
-        taken *= 2

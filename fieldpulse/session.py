@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # The type of Parquet timestamps that has statistics, on which the pruning of row groups rests.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # One micro-batch has more generated classes than the default cache (100) can hold.
     "spark.sql.codegen.cache.maxEntries": "1000",
 }
@@ -30,6 +32,22 @@ def build_session(
     return builder.getOrCreate()
 
 
+#: Settings without which results differ, or writes and reads degrade, with the values that will do.
+REQUIRED = {
+    "spark.sql.session.timeZone": ("UTC", "Etc/UTC", "Z", "GMT", "+00:00"),
+    "spark.sql.adaptive.enabled": ("true",),
+    "spark.sql.parquet.outputTimestampType": ("TIMESTAMP_MICROS",),
+}
+
+
+def require_settings(spark: SparkSession) -> None:
+    """Event ids are hashed from text in the session zone, so another zone gives other ids; hot hours
+    are split by adaptive execution; pruning needs timestamps with statistics."""
+    for key, values in REQUIRED.items():
+        if (value := spark.conf.get(key)) not in values:
+            raise ValueError(f"{key} must be {values[0]}, not {value}")
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder under the shared ``spark.checkpoint.dir``.
 

@@ -15,6 +15,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(location)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it does not exist."""
+    fs, location = _resolve(spark, path)
+    if not fs.exists(location):
+        return []
+    return [status.getPath().getName() for status in fs.listStatus(location)]
+
+
 def delete_tree(spark: SparkSession, path: str) -> None:
     fs, location = _resolve(spark, path)
     fs.delete(location, True)

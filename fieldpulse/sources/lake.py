@@ -1,19 +1,25 @@
-"""The five tables as partitioned Parquet tables of the session catalog.
+"""The five tables as Parquet tables of the session catalog that are only ever appended to.
 
 Readers use the views of the ``reporting`` schema, which show exactly the contract columns.  The
-files belong to tables of a second schema that add the derived partition columns.  The catalog
-knows the partitions, so a read with a partition filter lists only the folders it needs.
-
-Overwriting replaces only the partitions in the written rows; that mode is an option of the tables.
-
-Each lake has one writer.  Appends and partition overwrites are single Spark jobs, so lost
-executors only cost task retries.  An upsert first writes the merged partitions beside the table
-and then copies them over the old ones; if the driver dies in between, the finished copy is
-published at the next start.
+files belong to tables of a second schema, partitioned by UTC day and hour.  The catalog knows the
+partitions, so a read with a partition filter lists only the folders it needs.
+
+Gold rows are appended with the time of writing, and the views show the newest row of each key (for
+the latest status: the row of the newest event).  A batch writes the rows it changed and nothing
+else, reads no gold, and never takes a file away from a reader.  A row of a key that is gone is
+marked as such.
+
+:meth:`ParquetLake.compact` rewrites hours that are over, apart from the batches: one row per key,
+few files.  It first writes the merged partitions beside the table and then copies them over the
+old ones; if the driver dies in between, the finished copy is published before the table is written
+again.  Each lake has one writer.  Appends are single Spark jobs, so lost executors only cost task
+retries.
 """
 
 from __future__ import annotations
 
+import time
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from datetime import datetime
 from typing import Protocol
@@ -21,11 +27,11 @@ from typing import Protocol
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldpulse.functions.timegrid import hash_slot, utc_day, utc_hour
-from fieldpulse.model import TABLES, TableSpec
-from fieldpulse.operators.upserts import upserted
-from fieldpulse.sources.files import delete_tree, path_exists
-from fieldpulse.sources.scope import Hour, HourScope, Scope
+from fieldpulse.functions.timegrid import utc_day, utc_hour
+from fieldpulse.model import SENSOR_LATEST, SILVER, TABLES, TableSpec
+from fieldpulse.session import require_settings
+from fieldpulse.sources.files import children, delete_tree, path_exists
+from fieldpulse.sources.scope import Hour, HourScope
 
 
 class Lake(Protocol):
@@ -35,15 +41,35 @@ class Lake(Protocol):
 
     def create(self) -> Lake: ...
     def on(self, spark: SparkSession) -> Lake: ...
-    def read(self, table: str, scope: Scope | None = None) -> DataFrame: ...
-    def scan(self, table: str, scope: Scope | None = None) -> DataFrame: ...
-    def newest_hours(self, table: str) -> list[Hour] | None: ...
+    def read(self, table: str, scope: HourScope | None = None) -> DataFrame: ...
+    def scan(self, table: str, scope: HourScope | None = None) -> DataFrame: ...
+    def newest_hours(self, table: str) -> Iterator[Hour] | None: ...
     def append(self, table: str, rows: DataFrame) -> None: ...
-    def upsert(self, table: str, rows: DataFrame, scope: Scope) -> None: ...
+    def upsert(self, table: str, rows: DataFrame, scope: HourScope) -> None: ...
+    def advance(self, rows: DataFrame) -> None: ...
     def overwrite(self, table: str, rows: DataFrame) -> None: ...
     def scratch(self, name: str) -> str: ...
 
 
+#: Columns of the gold files that the views do not show.
+_HIDDEN = (("event_id", "STRING"), ("written_at", "BIGINT"), ("gone", "BOOLEAN"))
+_last_write = 0
+
+
+def _write_time() -> int:
+    """Microseconds since the epoch, later with every call."""
+    global _last_write
+    _last_write = max(_last_write + 1, time.time_ns() // 1000)
+    return _last_write
+
+
+def _hidden(spec: TableSpec) -> list[tuple[str, str]]:
+    """The event id only where it decides which row is the newest."""
+    if spec.name == SILVER:
+        return []
+    return [c for c in _HIDDEN if c[0] != "event_id" or spec.name == SENSOR_LATEST]
+
+
 @dataclass(frozen=True)
 class ParquetLake:
     spark: SparkSession
@@ -61,11 +87,10 @@ class ParquetLake:
     # -- definition ---------------------------------------------------------------------
 
     def create(self) -> ParquetLake:
-        """Create what is missing, register partitions on disk, finish interrupted upserts.
+        """Create what is missing, and finish an interrupted compaction.
 
-        The session then writes timestamps in the Parquet type that has statistics.
+        Only a catalog that does not know a table yet looks for its partitions in the folders.
         """
-        self.spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
         for schema in (self.schema, self.file_schema):
             location = f"{self.root}/_schemas/{schema}"
             self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{location}'")
@@ -75,19 +100,37 @@ class ParquetLake:
         return self
 
     def _create_table(self, spec: TableSpec) -> None:
-        columns = ", ".join(f"{n} {t}" for n, t in (*spec.columns, *spec.partition_columns))
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self._files(spec)} ({columns}) USING parquet "
-            f"OPTIONS (partitionOverwriteMode 'dynamic') "
-            f"PARTITIONED BY ({', '.join(spec.partition_names)}) "
-            f"LOCATION '{self._location(spec)}'"
-        )
+        if not self.spark.catalog.tableExists(self._files(spec)):
+            columns = [*spec.columns, *_hidden(spec), *spec.partition_columns]
+            parts = f"PARTITIONED BY ({', '.join(spec.partition_names)})" if spec.clock else ""
+            self.spark.sql(
+                f"CREATE TABLE {self._files(spec)} ({', '.join(f'{n} {t}' for n, t in columns)}) "
+                f"USING parquet OPTIONS (partitionOverwriteMode 'dynamic') {parts} "
+                f"LOCATION '{self._location(spec)}'"
+            )
+            if spec.clock and path_exists(self.spark, self._location(spec)):
+                self.spark.sql(f"ALTER TABLE {self._files(spec)} RECOVER PARTITIONS")
         self._check_location(spec)
-        if path_exists(self.spark, self._location(spec)):
-            self.spark.sql(f"ALTER TABLE {self._files(spec)} RECOVER PARTITIONS")
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self.view(spec.name)} AS "
-            f"SELECT {', '.join(spec.column_names)} FROM {self._files(spec)}"
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.view(spec.name)} AS {self._newest(spec)}")
+
+    def _newest(self, spec: TableSpec) -> str:
+        """The rows that count.  Partition columns are window keys, so filters on them still prune."""
+        columns = ", ".join(spec.column_names)
+        if spec.name == SILVER:
+            return f"SELECT {columns} FROM {self._files(spec)}"
+        if spec.name == SENSOR_LATEST:  # the newest event, but the stamp of the newest batch
+            shown = [c for c in spec.column_names if c not in ("sensor_id", "processed_at")]
+            order = "struct(-unix_micros(event_time) AS t, event_id, -written_at AS w)"
+            newest = f"min_by(struct({', '.join(shown)}, gone), {order})"
+            return (
+                f"SELECT sensor_id, {', '.join(f'newest.{c}' for c in shown)}, processed_at FROM ("
+                f"SELECT sensor_id, {newest} AS newest, max_by(processed_at, written_at) AS processed_at "
+                f"FROM {self._files(spec)} GROUP BY sensor_id) WHERE NOT newest.gone"
+            )
+        keys = ", ".join((*spec.partition_names, *spec.keys))
+        return (
+            f"SELECT {columns} FROM (SELECT *, row_number() OVER (PARTITION BY {keys} "
+            f"ORDER BY written_at DESC) AS age FROM {self._files(spec)}) WHERE age = 1 AND NOT gone"
         )
 
     def _check_location(self, spec: TableSpec) -> None:
@@ -113,7 +156,7 @@ class ParquetLake:
 
     # -- reading ------------------------------------------------------------------------
 
-    def read(self, table: str, scope: Scope | None = None) -> DataFrame:
+    def read(self, table: str, scope: HourScope | None = None) -> DataFrame:
         """Contract columns of a table, cut to the rows in scope.
 
         Looks for changes by other sessions first.  That drops cached frames which depend on
@@ -122,27 +165,38 @@ class ParquetLake:
         self.spark.catalog.refreshTable(self._files(TABLES[table]))
         return self.scan(table, scope)
 
-    def scan(self, table: str, scope: Scope | None = None) -> DataFrame:
+    def scan(self, table: str, scope: HourScope | None = None) -> DataFrame:
         """Like :meth:`read`, for the writer of the lake: sees the session's own writes."""
         spec = TABLES[table]
-        rows = self._partitions(spec, scope)
-        if isinstance(scope, HourScope):
-            rows = rows.where(scope.spans(F.col(spec.clock)))
+        if scope is None or spec.clock is None:
+            return self.spark.read.table(self.view(table))
+        rows = self._rows(spec).where(scope.partitions()).where(scope.spans(F.col(spec.clock)))
         return rows.select(*spec.column_names)
 
-    def _partitions(self, spec: TableSpec, scope: Scope | None) -> DataFrame:
-        rows = self.spark.read.table(self._files(spec))
-        return rows if scope is None else rows.where(scope.partitions())
-
-    def newest_hours(self, table: str) -> list[Hour]:
-        """Partitions of a time-partitioned table, newest first; metadata only."""
-        named = F.str_to_map("partition", F.lit("/"), F.lit("="))
-        hours = self.spark.sql(f"SHOW PARTITIONS {self._files(TABLES[table])}").select(
-            F.unix_date(named["part_day"].cast("date")).alias("day"),
-            named["part_hour"].cast("int").alias("hour"),
-        )
-        newest_first = hours.orderBy(F.desc("day"), F.desc("hour")).collect()
-        return [Hour.whole(*row) for row in newest_first]
+    def _rows(self, spec: TableSpec) -> DataFrame:
+        """The rows of the view together with the partition columns."""
+        if not spec.partition_names:
+            return self.spark.read.table(self.view(spec.name))
+        names = ", ".join((*spec.column_names, *spec.partition_names))
+        shown = self._newest(spec).replace(f"SELECT {', '.join(spec.column_names)}", f"SELECT {names}", 1)
+        return self.spark.sql(shown)
+
+    def newest_hours(self, table: str) -> Iterator[Hour]:
+        """Partitions of a time-partitioned table, newest first; looks at days as they are needed."""
+        spec = TABLES[table]
+        day_number = {}
+        for name in children(self.spark, self._location(spec)):
+            if name.startswith("part_day="):
+                text = name.removeprefix("part_day=")
+                day_number[text] = self._day_number(text)
+        for text in sorted(day_number, key=day_number.get, reverse=True):
+            folder = f"{self._location(spec)}/part_day={text}"
+            hours = [int(n.removeprefix("part_hour=")) for n in children(self.spark, folder) if "=" in n]
+            for hour in sorted(hours, reverse=True):
+                yield Hour.whole(day_number[text], hour)
+
+    def _day_number(self, text: str) -> int:
+        return self.spark._jvm.java.time.LocalDate.parse(text).toEpochDay()
 
     # -- writing ------------------------------------------------------------------------
 
@@ -152,47 +206,85 @@ class ParquetLake:
         The rebalance step is adaptive: it splits a big partition over several tasks and packs
         small ones together, so a hot hour is not written by one task.
         """
-        if spec.clock is None:
-            values = [hash_slot(*spec.keys)]
-        else:
-            values = [utc_day(spec.clock), utc_hour(spec.clock)]
-        named = [v.alias(n) for v, n in zip(values, spec.partition_names)]
-        placed = rows.select(*spec.column_names, *named)
+        names = [*spec.column_names, *[n for n, _ in _hidden(spec)]]
+        values = [utc_day(spec.clock), utc_hour(spec.clock)] if spec.clock else []
+        placed = rows.select(*names, *[v.alias(n) for v, n in zip(values, spec.partition_names)])
         return placed.hint("rebalance", *spec.partition_names).sortWithinPartitions(
             *spec.partition_names, *spec.sort
         )
 
     def append(self, table: str, rows: DataFrame) -> None:
+        require_settings(self.spark)
         spec = TABLES[table]
+        self._publish_staged(spec)
         self._laid_out(spec, rows).write.insertInto(self._files(spec))
 
-    def upsert(self, table: str, rows: DataFrame, scope: Scope) -> None:
-        """Replace rows with equal keys and add the others; ``scope`` covers all of ``rows``.
+    def upsert(self, table: str, rows: DataFrame, scope: HourScope) -> None:
+        """Add rows that replace those with equal keys; nothing is read or rewritten."""
+        self.append(table, _written(rows))
 
-        The touched partitions are rewritten as a whole.
-        """
-        spec = TABLES[table]
-        self._publish_staged(spec)
-        whole = self._partitions(spec, scope).select(*spec.column_names)
-        merged = upserted(whole, rows, spec.keys)
-        self._stage(spec, merged)
-        self._publish(spec)
+    def advance(self, rows: DataFrame) -> None:
+        """Add candidates for the latest status, with the id of their event."""
+        self.append(SENSOR_LATEST, _written(rows))
 
     def overwrite(self, table: str, rows: DataFrame) -> None:
-        """Replace the whole table, including partitions that ``rows`` no longer has."""
+        """Replace the whole table by one append: the new rows, and a mark for each key that goes.
+
+        Readers see every row either old or new.  :meth:`compact` drops what is outdated.
+        """
         spec = TABLES[table]
-        self._stage(spec, rows)
-        delete_tree(self.spark, self._location(spec))
-        self._publish(spec)
-        self.spark.sql(f"MSCK REPAIR TABLE {self._files(spec)} SYNC PARTITIONS")
+        lost = self._rows(spec).select(*spec.column_names).join(rows.select(*spec.keys), list(spec.keys), "left_anti")
+        if "event_id" in [n for n, _ in _hidden(spec)]:
+            lost = lost.withColumn("event_id", F.lit(None).cast("string"))
+        now = _write_time()
+        written, marks = _written(rows, now), _written(lost, now, gone=True)
+        self.append(table, written.unionByName(marks.select(*written.columns)))
+
+    def compact(self, until: datetime, *tables: str) -> None:
+        """Rewrite partitions of hours before ``until`` that have several files: one row per key.
+
+        The latest status, which has no partitions, is rewritten as a whole.
+        """
+        last = int(until.timestamp()) // 3600
+        for spec in map(TABLES.get, tables or TABLES):
+            self._publish_staged(spec)
+            self.spark.catalog.refreshTable(self._files(spec))
+            kept = self._kept(spec)
+            if spec.clock:
+                files = self.spark.read.table(self._files(spec)).select(*spec.partition_names, "_metadata.file_path")
+                hour = F.unix_date("part_day") * 24 + F.col("part_hour")
+                many = files.where(hour < last).distinct().groupBy(*spec.partition_names).count()
+                todo = many.where("count > 1").select(*spec.partition_names)
+                if todo.isEmpty():
+                    continue
+                kept = kept.join(F.broadcast(todo), spec.partition_names, "left_semi")
+            self._stage(spec, kept)
+            self._publish(spec)
+
+    def _kept(self, spec: TableSpec) -> DataFrame:
+        """The stored rows that the view depends on, with their hidden columns."""
+        rows = self.spark.read.table(self._files(spec))
+        if spec.name == SILVER:
+            return rows
+        if spec.name == SENSOR_LATEST:
+            order = F.struct(-F.unix_micros("event_time"), F.col("event_id"), -F.col("written_at"))
+            whole = F.struct(*[c for c in rows.columns if c not in ("sensor_id", "processed_at", "written_at")])
+            newest = rows.groupBy("sensor_id").agg(
+                F.min_by(whole, order).alias("newest"),
+                F.max_by("processed_at", "written_at").alias("processed_at"),
+                F.max("written_at").alias("written_at"),
+            )
+            return newest.select("sensor_id", "newest.*", "processed_at", "written_at").where(~F.col("gone"))
+        keys = [*spec.partition_names, *spec.keys]
+        others = F.struct(*[c for c in rows.columns if c not in keys])
+        newest = rows.groupBy(*keys).agg(F.max_by(others, "written_at").alias("newest"))
+        return newest.select(*keys, "newest.*").where(~F.col("gone"))
 
     def _stage(self, spec: TableSpec, rows: DataFrame) -> None:
-        (
-            self._laid_out(spec, rows)
-            .write.mode("overwrite")
-            .partitionBy(*spec.partition_names)
-            .parquet(self._staging(spec))
-        )
+        writer = self._laid_out(spec, rows).write.mode("overwrite")
+        if spec.partition_names:
+            writer = writer.partitionBy(*spec.partition_names)
+        writer.parquet(self._staging(spec))
 
     def _publish(self, spec: TableSpec) -> None:
         table = self.spark.read.table(self._files(spec))
@@ -201,10 +293,15 @@ class ParquetLake:
         delete_tree(self.spark, self._staging(spec))
 
     def _publish_staged(self, spec: TableSpec) -> None:
-        """Finish an upsert whose merged partitions are complete but perhaps not published."""
+        """Finish a compaction whose merged partitions are complete but perhaps not published."""
         if path_exists(self.spark, f"{self._staging(spec)}/_SUCCESS"):
             self._publish(spec)
 
 
 def stamped(rows: DataFrame, processed_at: datetime) -> DataFrame:
     return rows.withColumn("processed_at", F.lit(processed_at).cast("timestamp"))
+
+
+def _written(rows: DataFrame, at: int | None = None, gone: bool = False) -> DataFrame:
+    at = _write_time() if at is None else at
+    return rows.withColumns({"written_at": F.lit(at).cast("long"), "gone": F.lit(gone)})

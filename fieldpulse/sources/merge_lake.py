@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldpulse import model as m
+from fieldpulse.functions.identity import event_id
 from fieldpulse.model import TABLES
 from fieldpulse.session import work_folder
-from fieldpulse.sources.scope import HourScope, Scope
+from fieldpulse.sources.scope import RANGES, HourScope
 
 # Partitioning of existing tables.
 PARTITIONING = {
@@ -58,13 +59,13 @@ class MergeLake:
     def scratch(self, name: str) -> str:
         return work_folder(self.spark, name)
 
-    def read(self, table: str, scope: Scope | None = None) -> DataFrame:
+    def read(self, table: str, scope: HourScope | None = None) -> DataFrame:
         return self.scan(table, scope)
 
-    def scan(self, table: str, scope: Scope | None = None) -> DataFrame:
+    def scan(self, table: str, scope: HourScope | None = None) -> DataFrame:
         rows = self.spark.read.table(self.view(table))
-        if isinstance(scope, HourScope):
-            rows = rows.where(scope.spans(F.col(TABLES[table].clock)))
+        if scope is not None and TABLES[table].clock:
+            rows = rows.where(scope.spans(F.col(TABLES[table].clock), RANGES))
         return rows
 
     def newest_hours(self, table: str) -> None:
@@ -73,11 +74,10 @@ class MergeLake:
     def append(self, table: str, rows: DataFrame) -> None:
         rows.select(*TABLES[table].column_names).writeTo(self.view(table)).append()
 
-    def upsert(self, table: str, rows: DataFrame, scope: Scope) -> None:
+    def upsert(self, table: str, rows: DataFrame, scope: HourScope) -> None:
         spec = TABLES[table]
         matches = [F.col(f"{table}.{key}") == F.col(f"source.{key}") for key in spec.keys]
-        if isinstance(scope, HourScope):
-            matches.append(scope.spans(F.col(f"{table}.{spec.clock}")))
+        matches.append(scope.spans(F.col(f"{table}.{spec.clock}"), RANGES))
         (
             rows.select(*spec.column_names)
             .alias("source")
@@ -89,6 +89,36 @@ class MergeLake:
             .merge()
         )
 
+    def advance(self, rows: DataFrame) -> None:
+        """A status gives way to a newer event; an older event only renews the stamp.
+
+        The names between which all sensors of the batch lie let the format skip files.
+        """
+        table = m.SENSOR_LATEST
+        names = TABLES[table].column_names
+        first, last = rows.agg(F.min("sensor_id"), F.max("sensor_id")).first()
+        if first is None:
+            return
+        new, old = (lambda c, side=side: F.col(f"{side}.{c}") for side in ("source", table))
+        later = (new("event_time") > old("event_time")) | (
+            (new("event_time") == old("event_time")) & (new("event_id") <= event_id(f"{table}."))
+        )
+        (
+            rows.select(*names, "event_id")
+            .alias("source")
+            .mergeInto(
+                self.view(table),
+                (old("sensor_id") == new("sensor_id")) & old("sensor_id").between(first, last),
+            )
+            .whenMatched(later)
+            .update({c: new(c) for c in names})
+            .whenMatched()
+            .update({"processed_at": new("processed_at")})
+            .whenNotMatched()
+            .insert({c: new(c) for c in names})
+            .merge()
+        )
+
     def overwrite(self, table: str, rows: DataFrame) -> None:
         written = rows.select(*TABLES[table].column_names)
         written.writeTo(self.view(table)).overwrite(F.lit(True))

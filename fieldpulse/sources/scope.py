@@ -1,8 +1,8 @@
-"""Which part of the tables a batch touches, as filters that prune at planning time."""
+"""Which part of the time tables a batch touches, as filters that prune at planning time."""
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -12,11 +12,17 @@ from pyspark.sql import functions as F
 
 from fieldpulse.functions.timegrid import utc_day, utc_hour
 
-MAX_HOURS = 2_000
-MAX_SPANS = 50
+#: Partitions are listed one by one up to here; more are covered by ranges.
+LISTED_HOURS = 10_000
+#: Ranges a filter is made of at most; what they add lies in the narrowest gaps.
+RANGES = 200
+#: Ranges for the scan of Parquet files, which tests each of them on every row group.
+SCAN_RANGES = 50
 HOUR_SECONDS = 3600
 MINUTE_SECONDS = 60
 
+Range = tuple[int, int]
+
 
 @dataclass(frozen=True, order=True)
 class Hour:
@@ -36,74 +42,71 @@ class Hour:
         first = (day * 24 + hour) * HOUR_SECONDS
         return cls(day, hour, first, first + HOUR_SECONDS)
 
+    @property
+    def number(self) -> int:
+        return self.day * 24 + self.hour
+
+
+def covered(ranges: Sequence[Range], most: int) -> list[Range]:
+    """At most ``most`` ranges that cover sorted ranges and leave out the widest gaps between them.
+
+    A stray range far from the others so costs one range, and nothing in between.
+    """
+    gaps = [(after[0] - before[1], i) for i, (before, after) in enumerate(zip(ranges, ranges[1:]))]
+    kept = {i for gap, i in sorted(gaps, reverse=True)[: most - 1] if gap > 0}
+    found: list[Range] = []
+    for i, (first, end) in enumerate(ranges):
+        if found and i - 1 not in kept:
+            found[-1] = (found[-1][0], max(found[-1][1], end))
+        else:
+            found.append((first, end))
+    return found
+
 
 @dataclass(frozen=True)
 class HourScope:
-    """Touched (day, hour) partitions with the span of time touched in each.
+    """The touched (day, hour) partitions with the span of time touched in each.
 
-    Up to ``MAX_HOURS`` of them are listed; a batch that touches more is covered by the range of
-    its days.  Either way everything touched is inside, so the filters lose no row.
+    Everything touched is inside the filters, so they lose no row.
     """
 
     hours: tuple[Hour, ...] = ()
-    days: tuple[int, int] | None = None
 
     @classmethod
-    def of(
-        cls, rows: DataFrame, clock: str, lasting: int = 1, limit: int = MAX_HOURS
-    ) -> HourScope:
+    def of(cls, rows: DataFrame, clock: str, lasting: int = 1) -> HourScope:
         """Scope of rows that each last ``lasting`` seconds from the second of their clock."""
-        second = F.unix_seconds(clock)
-        day, hour = F.unix_date(utc_day(clock)).alias("day"), utc_hour(clock).alias("hour")
-        spans = rows.groupBy(day, hour).agg(F.min(second), F.max(second) + F.lit(lasting))
-        listed = spans.limit(limit + 1).collect()
-        if len(listed) <= limit:
-            return cls(hours=tuple(sorted(Hour(*row) for row in listed)))
-        first, last = rows.agg(F.min(day), F.max(day)).first()
-        return cls(days=(first, last))
+        return cls.from_rows(by_hour(rows, clock, lasting).collect())
+
+    @classmethod
+    def from_rows(cls, rows: Iterable) -> HourScope:
+        """From rows that begin with the columns of :func:`by_hour`."""
+        return cls(tuple(sorted(Hour(*row[:4]) for row in rows)))
 
     def partitions(self) -> Column:
         """All rows of the touched partitions."""
-        if self.days is not None:
-            return F.col("part_day").between(*(_day(d) for d in self.days))
-        hours_of: dict[int, list[int]] = defaultdict(list)
-        for hour in self.hours:
-            hours_of[hour.day].append(hour.hour)
-        days_with: dict[tuple[int, ...], list[int]] = defaultdict(list)
-        for day, hours in hours_of.items():
-            days_with[tuple(hours)].append(day)
-        return _any(
-            F.col("part_day").isin([_day(d) for d in days]) & F.col("part_hour").isin(list(hours))
-            for hours, days in days_with.items()
-        )
-
-    def spans(self, clock: Column) -> Column:
+        number = F.unix_date("part_day") * 24 + F.col("part_hour")
+        if len(self.hours) <= LISTED_HOURS:
+            return number.isin([h.number for h in self.hours]) & F.col("part_day").isin(
+                [_day(d) for d in sorted({h.day for h in self.hours})]
+            )
+        ranges = covered([(h.number, h.number + 1) for h in sorted(self.hours)], RANGES)
+        return _any((number >= first) & (number < end) for first, end in ranges)
+
+    def spans(self, clock: Column, most: int = SCAN_RANGES) -> Column:
         """Rows in the touched spans, by the clock column itself.
 
         Parquet skips row groups outside of them, so of an hour that fills up over time only the
-        recent files are read.  Many spans are joined to one to keep the filter short.
+        recent files are read.
         """
-        if self.days is not None:
-            first, last = self.days
-            spans = [(first * 24 * HOUR_SECONDS, (last + 1) * 24 * HOUR_SECONDS)]
-        else:
-            spans = [(hour.first, hour.end) for hour in self.hours]
-        if len(spans) > MAX_SPANS:
-            spans = [(min(first for first, _ in spans), max(end for _, end in spans))]
+        spans = covered([(hour.first, hour.end) for hour in sorted(self.hours)], most)
         return _any((clock >= _second(first)) & (clock < _second(end)) for first, end in spans)
 
 
-@dataclass(frozen=True)
-class SlotScope:
-    """Touched hash slots; there are never more than the fixed number of slots."""
-
-    slots: tuple[int, ...]
-
-    def partitions(self) -> Column:
-        return F.col("part_slot").isin(list(self.slots))
-
-
-Scope = HourScope | SlotScope
+def by_hour(rows: DataFrame, clock: str, lasting: int, *measures: Column) -> DataFrame:
+    """One row per touched hour: day, hour, first and last second, and aggregates beside them."""
+    second = F.unix_seconds(clock)
+    day, hour = F.unix_date(utc_day(clock)).alias("day"), utc_hour(clock).alias("hour")
+    return rows.groupBy(day, hour).agg(F.min(second), F.max(second) + F.lit(lasting), *measures)
 
 
 def _any(conditions) -> Column:

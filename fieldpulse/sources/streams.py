@@ -48,8 +48,8 @@ def open_batch(
 def spread(scan: DataFrame, factor: int = 16) -> DataFrame:
     """Spread a scan with fewer splits than cores, since parsing costs more than moving it.
 
-    Each split is cut at most ``factor`` fold.  A scan that fills the cores is left alone, so
-    big inputs are never shuffled here.
+    Each split is cut at most ``factor`` fold.  A scan that fills the cores is left alone; a big
+    input is shuffled here only if it comes as a few files that cannot be split.
     """
     splits = scan.rdd.getNumPartitions()
     wanted = min(scan.sparkSession.sparkContext.defaultParallelism, splits * factor)

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fieldpulse.model import Limits
 from fieldpulse.plans.batch import BatchOptions, DeadLetterSink, process_batch
+from fieldpulse.session import require_settings
 from fieldpulse.sources.dead_letters import KafkaDeadLetters
 from fieldpulse.sources.lake import Lake, ParquetLake
 from fieldpulse.sources.merge_lake import MergeLake
@@ -26,9 +27,6 @@ DEFAULT_TOPIC = "sensor-events"
 DEFAULT_DEAD_LETTER_TOPIC = "sensor-events-dlq"
 DEFAULT_TRIGGER = "15 seconds"
 
-# Upper bound of records per micro-batch, so that a long backlog is worked off in steps.
-DEFAULT_MAX_OFFSETS = 50_000_000
-
 
 @dataclass(frozen=True)
 class StreamConfig:
@@ -58,7 +56,7 @@ class StreamConfig:
         options = kafka_options(
             servers,
             env.get("KAFKA_TOPIC", DEFAULT_TOPIC),
-            int(env.get("MAX_OFFSETS_PER_TRIGGER", DEFAULT_MAX_OFFSETS)),
+            int(env.get("MAX_OFFSETS_PER_TRIGGER", 0)),
             int(env.get("MIN_PARTITIONS", 0)),
         )
         letters = KafkaDeadLetters(servers, env.get("KAFKA_DLQ_TOPIC", DEFAULT_DEAD_LETTER_TOPIC))
@@ -77,15 +75,8 @@ class StreamConfig:
         return ParquetLake(spark, self.root, self.schema)
 
 
-def require_utc(spark: SparkSession) -> None:
-    """Event ids are hashed from text in the session zone; another zone gives other ids."""
-    zone = spark.conf.get("spark.sql.session.timeZone")
-    if zone not in ("UTC", "Etc/UTC", "Z", "GMT", "+00:00"):
-        raise ValueError(f"spark.sql.session.timeZone must be UTC, not {zone}")
-
-
 def start_stream(spark: SparkSession, config: StreamConfig) -> StreamingQuery:
-    require_utc(spark)
+    require_settings(spark)
     lake = config.open_lake(spark).create()
     records = open_stream(
         spark, config.source_format, config.source_options, config.source_path

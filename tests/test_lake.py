@@ -5,9 +5,10 @@ import pytest
 from fieldpulse import model as m
 from fieldpulse.operators import events as ev
 from fieldpulse.plans.reports import report
+from fieldpulse.sources import scope as scopes
 from fieldpulse.sources.files import delete_tree, path_exists
 from fieldpulse.sources.lake import ParquetLake, stamped
-from fieldpulse.sources.scope import HourScope, SlotScope
+from fieldpulse.sources.scope import HourScope, covered
 from tests.conftest import at, rows_of
 
 NOW = at("2024-06-01T00:00:00")
@@ -69,17 +70,19 @@ def test_odd_names_survive_a_round_trip(make_events, lake):
 EXTREME = ["0001-01-01T00:00:00Z", "1969-12-31T23:30:00Z", "+12024-02-03T04:05:06Z"]
 
 
-def test_extreme_event_times(spark, make_raw, lake):
+def test_extreme_event_times(spark, make_raw, lake, monkeypatch):
     texts = [f'{{"sensor_id":"s","site":"a","event_time":"{t}"}}' for t in EXTREME]
     parsed = ev.with_event_id(ev.parse_events(make_raw(*texts)))
     assert parsed.where("event_time IS NOT NULL").count() == 3
     lake.append(m.SILVER, stamped(parsed, NOW))
-    for limit in (10, 1):
-        scope = HourScope.of(parsed, "event_time", limit=limit)
+    for listed in (10, 1):
+        monkeypatch.setattr(scopes, "LISTED_HOURS", listed)
+        scope = HourScope.of(parsed, "event_time")
         assert lake.read(m.SILVER, scope).count() == 3
     again = ParquetLake(spark, lake.root, f"{lake.schema}_again").create()
     assert again.read(m.SILVER, HourScope.of(parsed, "event_time")).count() == 3
-    assert len(again.newest_hours(m.SILVER)) == 3
+    newest = list(again.newest_hours(m.SILVER))
+    assert len(newest) == 3 and newest == sorted(newest, reverse=True)
 
 
 def test_scope_prunes_partitions(make_events, lake):
@@ -90,64 +93,128 @@ def test_scope_prunes_partitions(make_events, lake):
     frame = lake.read(m.SILVER, scope)
     assert frame.count() == 3
     assert "InMemoryFileIndex(3 paths)" in plan_of(frame)
-    ranged = lake.read(m.SILVER, HourScope.of(batch, "event_time", limit=1))
-    assert ranged.count() == 8
     assert lake.read(m.SILVER, HourScope.of(batch.where("false"), "event_time")).count() == 0
 
 
-def sensor_rows(make_events, now, *rows):
-    from fieldpulse.operators import status
+def test_a_stray_time_opens_one_more_partition(spark, make_events, lake, monkeypatch):
+    """3,000 hours and one of 1970, listed or in ranges: only touched partitions are opened."""
+    times = spark.range(3000).selectExpr("timestamp_seconds(1640995200 + id * 3600) t").union(
+        spark.sql("SELECT timestamp_seconds(5)")
+    )
+    other = spark.sql("SELECT timestamp_seconds(864000) t")
+    event = "'s' sensor_id", "'a' site", "1D temperature", "1D humidity", "t event_time"
+    events = times.union(other).selectExpr(*event)
+    lake.append(m.SILVER, stamped(ev.with_event_id(events.where("hour(event_time) < 2")), NOW))
+    scope = HourScope.of(times.selectExpr(*event), "event_time")
+    assert len(scope.hours) == 3001
+    stored = events.where("hour(event_time) < 2 AND event_time != timestamp_seconds(864000)").count()
+    for listed in (10_000, 100):
+        monkeypatch.setattr(scopes, "LISTED_HOURS", listed)
+        found = lake.read(m.SILVER, scope)
+        assert f"InMemoryFileIndex({stored} paths)" in plan_of(found)
+        assert found.count() == stored
+
+
+def test_ranges_keep_the_widest_gaps():
+    ranges = [(0, 1), (2, 3), (10, 11), (11, 12), (50, 60)]
+    assert covered(ranges, 9) == [(0, 1), (2, 3), (10, 12), (50, 60)]
+    assert covered(ranges, 3) == [(0, 3), (10, 12), (50, 60)]
+    assert covered(ranges, 2) == [(0, 12), (50, 60)]
+    assert covered([], 3) == []
 
-    return stamped(status.sensor_latest_status(identified(make_events, *rows)), now)
 
+def sensor_rows(make_events, now, *rows):
+    from fieldpulse.operators import status
 
-def slots(*names):
-    return SlotScope(tuple(range(64)))
+    return stamped(status.latest_events(identified(make_events, *rows)), now)
 
 
-def test_upsert_replaces_by_key_and_keeps_the_rest(make_events, lake):
+def test_the_newest_event_counts_and_the_newest_batch_stamps(make_events, lake):
     time = "2024-01-01T00:00:0"
-    first = sensor_rows(make_events, NOW, ("s", "a", 1.0, 1.0, time + "1"), ("t", "a", 1.0, 1.0, time + "1"))
-    lake.upsert(m.SENSOR_LATEST, first, slots())
-    second = sensor_rows(make_events, LATER, ("s", "b", 50.0, 1.0, time + "2"), ("u", "a", 1.0, 1.0, time + "1"))
-    lake.upsert(m.SENSOR_LATEST, second, slots())
-    found = lake.read(m.SENSOR_LATEST).selectExpr(
-        "sensor_id", "site", "status", "unix_seconds(processed_at) = 1717200001"
-    )
-    assert rows_of(found) == [
-        ("s", "b", "critical", True), ("t", "a", "normal", False), ("u", "a", "normal", True)
-    ]
-    assert not path_exists(lake.spark, lake._staging(m.TABLES[m.SENSOR_LATEST]))
-
-
-def test_an_interrupted_upsert_is_finished_at_the_next_start(make_events, lake, monkeypatch):
-    time = "2024-01-01T00:00:01"
-    lake.upsert(m.SENSOR_LATEST, sensor_rows(make_events, NOW, ("s", "a", 1.0, 1.0, time)), slots())
-    later = sensor_rows(make_events, LATER, ("t", "a", 1.0, 1.0, time))
-
-    def crash(self, spec):
+    lake.advance(sensor_rows(make_events, NOW, ("s", "a", 1.0, 1.0, time + "1"), ("t", "a", 1.0, 1.0, time + "1")))
+    lake.advance(sensor_rows(make_events, LATER, ("s", "b", 50.0, 1.0, time + "2"), ("u", "a", 1.0, 1.0, time + "1")))
+    lake.advance(sensor_rows(make_events, LATER, ("t", "c", 50.0, 1.0, time + "0")))
+
+    def found():
+        columns = "sensor_id", "site", "status", "unix_seconds(processed_at) = 1717200001"
+        return rows_of(lake.read(m.SENSOR_LATEST).selectExpr(*columns))
+
+    expected = [("s", "b", "critical", True), ("t", "a", "normal", True), ("u", "a", "normal", True)]
+    assert found() == expected
+    lake.compact(NOW)
+    assert found() == expected
+    assert lake.spark.read.table(f"{lake.file_schema}.{m.SENSOR_LATEST}").count() == 3
+
+
+def two_versions(make_events, lake):
+    """Silver and site minutes of two hours, the first of them written twice."""
+    rows = [("s", "a", 1.0, 1.0, f"2024-01-01T0{h}:00:01") for h in (0, 1)]
+    scope = HourScope.of(make_events(*rows), "event_time")
+    for now, some in ((NOW, rows), (LATER, rows[:1])):
+        lake.append(m.SILVER, stamped(identified(make_events, *[(*r[:2], float(len(some)), *r[3:]) for r in some]), now))
+        lake.upsert(m.SITE_MINUTE, site_rows(make_events, now, *some), scope)
+
+
+def all_rows(lake):
+    return {t: rows_of(lake.read(t)) for t in (m.SILVER, m.SITE_MINUTE)}
+
+
+def files_of(lake, table):
+    rows = lake.spark.read.table(f"{lake.file_schema}.{table}").select("part_hour", "_metadata.file_path")
+    counts = rows.distinct().groupBy("part_hour").count()
+    return dict(rows_of(counts))
+
+
+def test_compaction_keeps_what_readers_see(make_events, lake):
+    two_versions(make_events, lake)
+    before = all_rows(lake)
+    assert files_of(lake, m.SITE_MINUTE)[0] == 2
+    lake.compact(at("2024-01-01T00:59:59"))  # no hour is over
+    assert files_of(lake, m.SITE_MINUTE)[0] == 2
+    lake.compact(at("2024-01-01T01:00:00"))
+    for table in before:
+        assert files_of(lake, table) == {0: 1, 1: 1}
+    assert all_rows(lake) == before
+    assert not path_exists(lake.spark, f"{lake.root}/_staging/{m.SITE_MINUTE}")
+    late = ("t", "a", 9.0, 1.0, "2024-01-01T00:00:30")
+    lake.append(m.SILVER, stamped(identified(make_events, late), LATER))
+    assert lake.read(m.SILVER).count() == len(before[m.SILVER]) + 1
+
+
+@pytest.mark.parametrize("step", ["_stage", "_publish"])
+def test_an_interrupted_compaction_loses_nothing(make_events, lake, monkeypatch, step):
+    two_versions(make_events, lake)
+    before = all_rows(lake)
+
+    def crash(self, *args):
         raise RuntimeError("driver lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(ParquetLake, "_publish", crash)
+        patch.setattr(ParquetLake, step, crash)
         with pytest.raises(RuntimeError):
-            lake.upsert(m.SENSOR_LATEST, later, slots())
-    # the worst case: the old partitions are gone and the new ones are not there yet
-    spec = m.TABLES[m.SENSOR_LATEST]
-    delete_tree(lake.spark, lake._location(spec))
-    lake.create()
-    assert rows_of(lake.read(m.SENSOR_LATEST), "sensor_id") == [("s",), ("t",)]
+            lake.compact(LATER, m.SITE_MINUTE)
+    assert all_rows(lake) == before
+    if step == "_publish":
+        # the worst case: the old partitions are gone and the new ones are not there yet
+        delete_tree(lake.spark, lake._location(m.TABLES[m.SITE_MINUTE]) + "/part_day=2024-01-01/part_hour=0")
+    # whatever writes next finishes the work first
+    late = ("t", "a", 9.0, 1.0, "2024-01-01T00:30:00")
+    lake.upsert(m.SITE_MINUTE, site_rows(make_events, LATER, late), HourScope())
+    found = all_rows(lake)
+    assert found[m.SILVER] == before[m.SILVER]
+    assert len(found[m.SITE_MINUTE]) == len(before[m.SITE_MINUTE]) + 1
+    assert set(before[m.SITE_MINUTE]) <= set(found[m.SITE_MINUTE])
 
 
 def test_half_written_staging_is_ignored(spark, make_events, lake):
-    spec = m.TABLES[m.SENSOR_LATEST]
+    spec = m.TABLES[m.SITE_MINUTE]
     spark.range(5).write.parquet(lake._staging(spec))
     delete_tree(spark, f"{lake._staging(spec)}/_SUCCESS")
     lake.create()
-    assert lake.read(m.SENSOR_LATEST).count() == 0
+    assert lake.read(m.SITE_MINUTE).count() == 0
     row = ("s", "a", 1.0, 1.0, "2024-01-01T00:00:01")
-    lake.upsert(m.SENSOR_LATEST, sensor_rows(make_events, NOW, row), slots())
-    assert lake.read(m.SENSOR_LATEST).count() == 1
+    lake.upsert(m.SITE_MINUTE, site_rows(make_events, NOW, row), HourScope())
+    assert lake.read(m.SITE_MINUTE).count() == 1
 
 
 def test_report_reads_only_the_newest_partitions(make_events, lake):
@@ -181,4 +248,29 @@ def test_overwrite_replaces_everything(make_events, lake):
     lake.overwrite(m.SITE_MINUTE, site_rows(make_events, NOW, *rows))
     lake.overwrite(m.SITE_MINUTE, site_rows(make_events, LATER, rows[1]))
     assert rows_of(lake.read(m.SITE_MINUTE), "avg_temperature") == [(2.0,)]
-    assert len(lake.newest_hours(m.SITE_MINUTE)) == 1
+    lake.compact(at("2024-02-01T00:00:00"))
+    assert rows_of(lake.read(m.SITE_MINUTE), "avg_temperature") == [(2.0,)]
+    lake.overwrite(m.SITE_MINUTE, site_rows(make_events, LATER, rows[0]))
+    assert rows_of(lake.read(m.SITE_MINUTE), "avg_temperature") == [(1.0,)]
+
+
+def test_settings_are_checked_when_writing(spark, make_events, lake):
+    key = "spark.sql.parquet.outputTimestampType"
+    spark.conf.set(key, "INT96")
+    try:
+        with pytest.raises(ValueError, match="TIMESTAMP_MICROS"):
+            lake.append(m.SILVER, stamped(identified(make_events, ("s", "a", 1.0, 1.0, "2024-01-01T00:00:01")), NOW))
+    finally:
+        spark.conf.set(key, "TIMESTAMP_MICROS")
+
+
+def test_a_known_table_is_not_searched_again(spark, make_events, lake, monkeypatch):
+    statements, sql = [], type(spark).sql
+
+    def noted(self, text, *args, **more):
+        statements.append(text)
+        return sql(self, text, *args, **more)
+
+    monkeypatch.setattr(type(spark), "sql", noted)
+    lake.create()
+    assert statements and not any("RECOVER" in s or "MSCK" in s for s in statements)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fieldpulse import model as m
 from fieldpulse.sources.merge_lake import PARTITIONING, MergeLake
-from fieldpulse.sources.scope import Hour, HourScope, SlotScope
+from fieldpulse.sources.scope import Hour, HourScope
 from fieldpulse.streaming.job import StreamConfig
 from tests.conftest import rows_of
 
@@ -42,9 +42,20 @@ def test_scan_is_cut_to_the_hours_in_scope(spark, make_events, plain):
     scope = HourScope.of(make_events(rows[0], rows[1], rows[3]), "event_time")
     hours = plain.scan(m.SILVER, scope).select(F.hour("event_time"))
     assert rows_of(hours) == [(0,), (1,), (5,)]
-    assert plain.scan(m.SILVER, HourScope.of(events, "event_time", limit=1)).count() == 4
     assert plain.scan(m.SILVER, HourScope()).count() == 0
-    assert plain.scan(m.SENSOR_LATEST, SlotScope((1,))).count() == 0
+    assert plain.scan(m.SENSOR_LATEST, scope).count() == 0
+
+
+def test_a_stray_time_costs_one_range(spark, make_events, plain):
+    """3,000 hours and one event of 1970: the days in between are not asked for."""
+    hours = [Hour.whole(19000 + n // 24, n % 24) for n in range(3000)]
+    scope = HourScope((Hour(0, 1, 3600, 3601), *hours))
+    rows = [("s", "a", 1.0, 1.0, t) for t in ("1970-01-01T01:00:00", "1999-01-01T00:00:00", "2022-01-09T00:00:00")]
+    silver = make_events(*rows).selectExpr("'x' event_id", "*", "event_time processed_at")
+    silver.write.insertInto(plain.view(m.SILVER))
+    found = plain.scan(m.SILVER, scope)
+    assert rows_of(found.select(F.year("event_time"))) == [(1970,), (2022,)]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count(">= ") == 2
 
 
 def test_upsert_is_a_merge_on_the_keys(spark, plain):
@@ -53,6 +64,19 @@ def test_upsert_is_a_merge_on_the_keys(spark, plain):
         plain.upsert(m.SITE_MINUTE, rows, HourScope(hours=(Hour.whole(19723, 1),)))
 
 
+def test_the_latest_status_is_a_merge_by_time(spark, make_events, plain):
+    from fieldpulse.operators import events as ev
+    from fieldpulse.operators import status
+    from fieldpulse.sources.lake import stamped
+    from tests.conftest import at
+
+    events = ev.with_event_id(make_events(("s", "a", 1.0, 1.0, "2024-01-01T00:00:01")))
+    rows = stamped(status.latest_events(events), at("2024-06-01T00:00:00"))
+    with pytest.raises(UnsupportedOperationException, match="MERGE INTO"):
+        plain.advance(rows)
+    plain.advance(rows.where("false"))
+
+
 def test_the_job_opens_the_named_schema(spark):
     config = StreamConfig.from_env({"LAKE_SCHEMA": "lake.reporting", "CHECKPOINT_PATH": "/c"})
     assert config.open_lake(spark) == MergeLake(spark, "lake.reporting")

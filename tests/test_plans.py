@@ -6,9 +6,9 @@ from fieldpulse import model as m
 from fieldpulse.operators import events as ev
 from fieldpulse.operators import minutes, status, windows
 from fieldpulse.operators.upserts import absent_rows
-from fieldpulse.sources.lake import stamped
+from fieldpulse.sources.lake import ParquetLake, stamped
 from fieldpulse.sources.scope import HourScope
-from tests.conftest import at
+from tests.conftest import at, rows_of
 
 BIG, SMALL = 10**12, 1000
 
@@ -99,8 +99,39 @@ def test_spans_reach_the_parquet_reader(spark, lake, make_events):
     assert found.count() == 1
 
 
-def test_upsert_reads_whole_partitions(lake, make_events):
-    """The span of a scope must not reach the partitions an upsert rewrites."""
+def test_minute_rows_are_written_without_reading_any(lake, make_events, monkeypatch):
+    """A batch appends the rows it changed; it neither lists nor opens partitions of gold."""
+    first, second = (("s", "a", t, 1.0, "2024-01-01T02:10:30") for t in (1.0, 3.0))
+    plans, laid_out = [], ParquetLake._laid_out
+
+    def noted(self, spec, rows):
+        frame = laid_out(self, spec, rows)
+        plans.append(plan_of(frame))
+        return frame
+
+    monkeypatch.setattr(ParquetLake, "_laid_out", noted)
+    for number, row in enumerate((first, second)):
+        events = make_events(row)
+        touched = HourScope.of(windows.affected_site_windows(events), "window_start", 60)
+        sites = minutes.site_minute(minutes.minute_partials(events))
+        lake.upsert(m.SITE_MINUTE, stamped(sites, at(f"2024-06-01T00:00:0{number}")), touched)
+    assert len(plans) == 2 and not any("FileScan" in p for p in plans)
+    assert rows_of(lake.read(m.SITE_MINUTE), "avg_temperature") == [(3.0,)]
+    assert lake.spark.read.table(f"{lake.file_schema}.{m.SITE_MINUTE}").count() == 2
+
+
+def test_a_filter_on_the_window_prunes_through_the_view(lake, make_events):
+    rows = [("s", "a", 1.0, 1.0, f"2024-01-01T0{h}:10:30") for h in range(5)]
+    sites = minutes.site_minute(minutes.minute_partials(make_events(*rows)))
+    scope = HourScope.of(make_events(*rows), "event_time")
+    lake.upsert(m.SITE_MINUTE, stamped(sites, at("2024-06-01T00:00:00")), scope)
+    one = HourScope.of(make_events(rows[2]), "event_time")
+    assert "InMemoryFileIndex(1 paths)" in plan_of(lake.scan(m.SITE_MINUTE, one).select("site"))
+    later = lake.read(m.SITE_MINUTE).where("window_start >= '2024-01-01T03:00:00'")
+    assert "GreaterThanOrEqual(window_start" in plan_of(later) and later.count() == 2
+
+
+def test_whole_partitions_of_scopes_in_two_spans(lake, make_events):
     rows = [("s", "a", 1.0, 1.0, f"2024-01-01T02:{minute}:30") for minute in (10, 50)]
     for row in rows:
         events = make_events(row)

@@ -45,5 +45,5 @@ def test_known_counts(spark):
 
 
 def test_literal_lake_equals_the_literal_merge(spark):
-    lake = q.build_lake(spark, SMALLEST, dedup_in_batch=False)
+    lake = q.build_lake(spark, SMALLEST, q.BatchOptions(dedup_in_batch=False))
     assert lake.read("sensor_events_validated").count() == 829
