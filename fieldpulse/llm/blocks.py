@@ -13,7 +13,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
+#: For encoders, which look up each distinct word of a block once.
+ENCODED_BYTES = 2 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -48,9 +50,10 @@ def blocks(texts: pa.Array, most: int = BLOCK_BYTES) -> Iterator[Block]:
         texts = texts.combine_chunks()
     if len(texts) == 0:
         return
-    texts = texts.cast(pa.large_string()).fill_null("")
+    if texts.null_count or not pa.types.is_string(texts.type):
+        texts = texts.cast(pa.string()).fill_null("")
     _, ends, content = texts.buffers()
-    offsets = np.frombuffer(ends, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    offsets = np.frombuffer(ends, np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
     data = np.frombuffer(content, np.uint8) if content is not None else np.zeros(0, np.uint8)
     at = 0
     while at < len(texts):

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from fieldpulse.llm.blocks import Block, blocks, range_hashes, spread
+from fieldpulse.llm.blocks import ENCODED_BYTES, Block, blocks, range_hashes, spread
 
 CACHED_PIECES = 700_000
 SHORT_PIECE = 48
@@ -275,7 +275,7 @@ def encode(documents: DataFrame, path: str, id_col: str = "doc_id", text_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, decode = encoder(path), Decoder(load_ranks(path))
         for batch in batches:
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(1), ENCODED_BYTES):
                 ids, first = encode_block(block, known)
                 _, at = decode(ids)
                 rows = [(first[i], first[i + 1]) for i in range(block.size)]
@@ -300,7 +300,7 @@ def round_trip(documents: DataFrame, path: str, id_col: str = "doc_id", text_col
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, decode = encoder(path), Decoder(load_ranks(path))
         for batch in batches:
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(1), ENCODED_BYTES):
                 ids, first = encode_block(block, known)
                 data, at = decode(ids)
                 raw, plain = ids.tobytes(), data.tobytes()

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldpulse.llm import attention
-from fieldpulse.llm.blocks import Block, blocks, lowered, mixed, owners, range_hashes, spread, words_of
+from fieldpulse.llm.blocks import ENCODED_BYTES, Block, blocks, lowered, mixed, owners, range_hashes, spread, words_of
 from fieldpulse.llm.bpe import PieceCache, load_ranks
 from fieldpulse.llm.exchange import targets_for
 from fieldpulse.session import work_folder
@@ -193,7 +193,7 @@ def learn(training: DataFrame, path: str) -> tuple[attention.Model, DataFrame]:
             return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts), *none], names)
 
         for batch in batches:
-            for block in blocks(batch.column(0)):
+            for block in blocks(batch.column(0), ENCODED_BYTES):
                 text = Text(block)
                 held.append(text.hashes)
                 if sum(map(len, held)) > ROWS_AT_ONCE:
@@ -268,7 +268,7 @@ def score(documents: DataFrame, held_out: Column, path: str) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(raw, pa.binary()), *none], names)
 
         for batch in batches:
-            for block in blocks(batch.column(2)):
+            for block in blocks(batch.column(2), ENCODED_BYTES):
                 own = slice(block.first, block.first + block.size)
                 text = Text(block)
                 ids, first = text.ids(known)

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from fieldpulse.llm import bpe
-from fieldpulse.llm.blocks import Block, blocks
+from fieldpulse.llm.blocks import ENCODED_BYTES, Block, blocks
 from fieldpulse.session import work_folder
 
 CAPACITY = 1024
@@ -255,7 +255,7 @@ def pieces(documents: DataFrame, path: str, capacity: int = CAPACITY, with_ids:
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             docs = batch.column(0).to_pylist()
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(1), ENCODED_BYTES):
                 rows = []
                 for i, ids in enumerate(_documents_of(block, library, known, special)):
                     total = len(ids) + 1
