@@ -25,6 +25,7 @@ the model is untrained; an empty table gives no rows; further columns are ignore
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -42,11 +43,12 @@ from fieldpulse.session import work_folder
 START_DOCUMENTS = 600
 START_CHARS = 3_000_000
 VOCABULARY = 8_192
-SHARE = 48
+SHARE = 64
 FAN_IN = 16
 FREQUENT = 500_000
 ROWS_AT_ONCE = 1_000_000
 CACHED_WORDS = 600_000
+_COUNT = np.dtype([("word", "<u8"), ("n", "<u4")])
 _ENTRY = np.dtype([("word", "<u8"), ("row", "<i8"), ("times", "<u4"), ("trained", "<u4")])
 _PART = np.dtype([("row", "<i8"), ("known", "<i8"), ("base", "<f8")])
 
@@ -63,14 +65,17 @@ def subword_encoder(path: str, ranks: np.ndarray | None = None) -> PieceCache:
     whole = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=public, special_tokens={})
     missing = set() if ranks is None else set(np.flatnonzero(ranks < 0).tolist())
 
-    def ids_of(word: bytes) -> list[int]:
-        ids = whole.encode_ordinary(" " + word.decode("utf-8"))
+    def spelled(ids: list[int]) -> list[int]:
         if missing.isdisjoint(ids):
             return ids
-        spelled = ([public[bytes([b])] for b in whole.decode_single_token_bytes(i)] if i in missing else [i] for i in ids)
-        return [j for own in spelled for j in own]
+        parts = ([public[bytes([b])] for b in whole.decode_single_token_bytes(i)] if i in missing else [i] for i in ids)
+        return [j for own in parts for j in own]
 
-    return PieceCache(lambda words: [ids_of(w) for w in words], CACHED_WORDS)
+    def encode(words: list[bytes]) -> list[list[int]]:
+        found = [whole.encode_ordinary(t) for t in (b"\n " + b"\n ".join(words)).decode("utf-8").split("\n")[1:]]
+        return list(map(spelled, found)) if missing else found
+
+    return PieceCache(encode, CACHED_WORDS)
 
 
 def _edge(path: str) -> int:
@@ -174,8 +179,29 @@ def summed(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return words[first], np.add.reduceat(weights[order], first) if len(first) else weights
 
 
-def learn(training: DataFrame, path: str) -> tuple[attention.Model, DataFrame]:
-    """The model, and the table ``word, n`` of all words of the training texts."""
+def packed_rows(entries: np.ndarray, keys: np.ndarray, targets: int, others: list, names: list[str]) -> pa.RecordBatch:
+    """Entries as one binary value per target, which a hash of their keys decides; nulls for others."""
+    target = (mixed(keys.astype(np.uint64)) % np.uint64(targets)).astype(np.int64)
+    order = np.argsort(target, kind="stable")
+    cuts = np.searchsorted(target[order], np.arange(targets + 1))
+    some = [t for t in range(targets) if cuts[t] < cuts[t + 1]]
+    raw = [entries[order[cuts[t] : cuts[t + 1]]].tobytes() for t in some]
+    none = [pa.nulls(len(some), k) for k in others]
+    return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(raw, pa.binary()), *none], names)
+
+
+@dataclass
+class Learned:
+    """The model, the number of words and of distinct words, and the frequent ones with their counts."""
+
+    model: attention.Model
+    total: int
+    distinct: int
+    frequent: tuple[np.ndarray, np.ndarray]
+
+
+def learn(training: DataFrame, path: str, targets: int) -> Learned:
+    """One pass over all training texts, and the sums of what its tasks counted."""
     spark = training.sparkSession
     start = _start(training, path)
     shared = spark.sparkContext.broadcast(start)
@@ -183,21 +209,20 @@ def learn(training: DataFrame, path: str) -> tuple[attention.Model, DataFrame]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = attention.Model({n: w.copy() for n, w in shared.value.weights.items()}, shared.value.ranks)
         trainer, known = attention.Trainer(model, attention.RATE / 2), subword_encoder(path, model.ranks)
-        words, counts, held, places, number = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0, 0
-
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            return summed(np.concatenate([words, *held]), counts)
+        words, counts, held, places, number, total = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0, 0, 0
 
         def counted() -> pa.RecordBatch:
-            none = [pa.nulls(len(words), pa.binary()), pa.nulls(len(words), pa.int64())]
-            return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts), *none], names)
+            entries = np.zeros(len(words), _COUNT)
+            entries["word"], entries["n"] = words, counts
+            return packed_rows(entries, words, targets, [pa.int64(), pa.binary(), pa.int64()], names)
 
         for batch in batches:
             for block in blocks(batch.column(0), ENCODED_BYTES):
                 text = Text(block)
                 held.append(text.hashes)
+                total += len(text.hashes)
                 if sum(map(len, held)) > ROWS_AT_ONCE:
-                    words, counts = merged()
+                    words, counts = summed(np.concatenate([words, *held]), counts)
                     held = []
                     if len(words) > ROWS_AT_ONCE:
                         yield counted()
@@ -208,33 +233,55 @@ def learn(training: DataFrame, path: str) -> tuple[attention.Model, DataFrame]:
                 part = blocks(pa.array([block.text(i).decode("utf-8") for i in some.tolist()], pa.string()))
                 for own in part:
                     places += trainer.learn(*Text(own).ids(known))
-        words, counts = merged()
+        words, counts = summed(np.concatenate([words, *held]), counts)
         yield counted()
-        if places:
-            weights = pa.array([_packed(model.weights)], pa.binary())
-            gone = pa.nulls(1, pa.int64())
-            yield pa.RecordBatch.from_arrays([gone, gone, weights, pa.array([places])], names)
-
-    names = ["word", "n", "weights", "places"]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.nulls(1, pa.int32()),
+                pa.nulls(1, pa.binary()),
+                pa.array([total]),
+                pa.array([_packed(model.weights) if places else None], pa.binary()),
+                pa.array([places]),
+            ],
+            names,
+        )
+
+    names = ["target", "packed", "total", "weights", "places"]
     folder = work_folder(spark, "language_model")
-    rows = training.select("text").mapInArrow(run, "word long, n long, weights binary, places long")
+    rows = training.select("text").mapInArrow(run, "target int, packed binary, total long, weights binary, places long")
     rows.write.parquet(f"{folder}/learned")
     learned = spark.read.parquet(f"{folder}/learned")
     mean = _averaged(learned.where("weights is not null"), folder)
     model = attention.Model(_unpacked(mean, start.weights), start.ranks) if mean else start
-    counts = learned.where("word is not null").groupBy("word").agg(F.sum("n").alias("n"))
-    counts.write.parquet(f"{folder}/words")
-    return model, spark.read.parquet(f"{folder}/words")
+    total = int(learned.agg(F.sum("total")).first()[0] or 0)
+    least = total // FREQUENT  # more of them than this are at most FREQUENT words
 
-
-# -- scoring -------------------------------------------------------------------------------------------
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [np.zeros(0, _COUNT)]
+        for batch in batches:
+            parts += [np.frombuffer(x, _COUNT) for x in batch.column(1).to_pylist()]
+        entries = np.concatenate(parts)
+        words, n = summed(entries["word"], entries["n"])
+        often = n > least
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([len(words)] + [0] * int(often.sum()), pa.int64()),
+                pa.array([0, *words[often].view(np.int64).tolist()], pa.int64()),
+                pa.array([0, *n[often].tolist()], pa.int64()),
+            ],
+            ["distinct", "word", "n"],
+        )
+
+    counts = learned.where("packed is not null").select("target", "packed")
+    counts = counts.repartitionById(targets, F.col("target"))
+    found = counts.mapInArrow(add_up, "distinct long, word long, n long").toPandas()
+    often = found[found["n"] > 0]  # the others tell how many words a task has
+    hashes = often["word"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return Learned(model, total, int(found["distinct"].sum()), (hashes[order], often["n"].to_numpy(np.int64)[order]))
 
 
-def _frequent(words: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
-    rows = words.where(F.col("n") > total // FREQUENT).toPandas()
-    hashes = rows["word"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    return hashes[order], rows["n"].to_numpy(np.int64)[order]
+# -- scoring -------------------------------------------------------------------------------------------
 
 
 def score(documents: DataFrame, held_out: Column, path: str) -> DataFrame:
@@ -245,11 +292,10 @@ def score(documents: DataFrame, held_out: Column, path: str) -> DataFrame:
     spark = documents.sparkSession
     targets = targets_for(documents)
     training = documents.where(~held_out & F.col("doc_id").isNotNull())
-    model, words = learn(training, path)
+    learned = learn(training, path, targets)
     ends = training.count()
-    count, total = words.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    tokens, distinct = int(total) + ends, int(count) + (ends > 0)
-    shared = spark.sparkContext.broadcast((model, _frequent(words, int(total))))
+    tokens, distinct = learned.total + ends, learned.distinct + (ends > 0)
+    shared = spark.sparkContext.broadcast((learned.model, learned.frequent))
     floor = float(np.log10(tokens + distinct + 1))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,15 +304,6 @@ def score(documents: DataFrame, held_out: Column, path: str) -> DataFrame:
         row = TaskContext.get().partitionId() << 40
         held, many = [], 0
 
-        def packed(entries: np.ndarray) -> pa.RecordBatch:
-            target = (mixed(entries["word"]) % np.uint64(targets)).astype(np.int64)
-            order = np.argsort(target, kind="stable")
-            cuts = np.searchsorted(target[order], np.arange(targets + 1))
-            some = [t for t in range(targets) if cuts[t] < cuts[t + 1]]
-            raw = [entries[order[cuts[t] : cuts[t + 1]]].tobytes() for t in some]
-            none = [pa.nulls(len(some), k) for k in kinds[2:]]
-            return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(raw, pa.binary()), *none], names)
-
         for batch in batches:
             for block in blocks(batch.column(2), ENCODED_BYTES):
                 own = slice(block.first, block.first + block.size)
@@ -306,10 +343,10 @@ def score(documents: DataFrame, held_out: Column, path: str) -> DataFrame:
                 held.append(entries)
                 many += len(entries)
                 if many > ROWS_AT_ONCE // 2:
-                    yield packed(np.concatenate(held))
+                    yield packed_rows(every := np.concatenate(held), every["word"], targets, kinds[2:], names)
                     held, many = [], 0
         if many:
-            yield packed(np.concatenate(held))
+            yield packed_rows(every := np.concatenate(held), every["word"], targets, kinds[2:], names)
 
     def count_rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [np.zeros(0, _ENTRY)]
@@ -326,13 +363,7 @@ def score(documents: DataFrame, held_out: Column, path: str) -> DataFrame:
         found["row"] = rows
         found["base"] = np.bincount(of, entries["times"] * np.log10(n + 1), len(rows))
         found["known"] = np.bincount(of, np.where(n > 0, entries["times"], 0), len(rows))
-        target = (mixed(rows.astype(np.uint64)) % np.uint64(targets)).astype(np.int64)
-        order = np.argsort(target, kind="stable")
-        cuts = np.searchsorted(target[order], np.arange(targets + 1))
-        some = [t for t in range(targets) if cuts[t] < cuts[t + 1]]
-        raw = [found[order[cuts[t] : cuts[t + 1]]].tobytes() for t in some]
-        none = [pa.nulls(len(some), k) for k in kinds[2:]]
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(raw, pa.binary()), *none], names)
+        yield packed_rows(found, rows, targets, kinds[2:], names)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, whole = [np.zeros(0, _PART)], []

@@ -157,6 +157,15 @@ def test_query(spark):
         assert r.score < 0
 
 
+def test_frequent_words_are_found(spark):
+    rows = [("common " * 50 + f"rare{i}",) for i in range(40)]
+    learned = lm.learn(spark.createDataFrame(rows, "text string").withColumn("doc_id", lm.F.lit(1)).repartition(3), PATH, 5)
+    (block,) = blocks(pa.array(["common"]))
+    assert (learned.total, learned.distinct) == (2040, 41)
+    found = dict(zip(*(x.tolist() for x in learned.frequent)))
+    assert found[int(lm.Text(block).hashes[0])] == 2000 and len(found) == 41
+
+
 def test_rare_and_frequent_words_count_alike(spark, monkeypatch):
     rows = [(i, " ".join(f"w{(i * j) % 37}" for j in range(i % 11))) for i in range(60)]
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
