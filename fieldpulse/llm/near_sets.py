@@ -478,8 +478,12 @@ def near_components(documents: DataFrame) -> DataFrame:
     sets = rows.where("job is null")
     known = sets.where("doc is not null and size > 0")
     same = ["size", "one", "two"]
+    # Written, so that the join has a shuffle of its own on either side and can split a hot set.
+    folder = f"{work_folder(documents.sparkSession, 'near_copies')}/first"
     first = known.groupBy(*same).agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-    copies = known.join(first.where("first != last"), same).where("doc != first").select("doc", "first").distinct()
+    first.where("first != last").select(*same, "first").write.parquet(folder)
+    first = documents.sparkSession.read.parquet(folder)
+    copies = known.join(first, same).where("doc != first").select("doc", "first").distinct()
 
     def represented(edges: DataFrame, column: str) -> DataFrame:
         other = copies.select(F.col("doc").alias(column), F.col("first").alias(f"{column}_first"))
