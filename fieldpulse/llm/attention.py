@@ -14,7 +14,7 @@ together under a causal mask.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -161,10 +161,13 @@ def log_chances(model: Model, hidden: np.ndarray, ranks: np.ndarray) -> np.ndarr
     return found / np.float32(np.log(10))
 
 
-def windows_of(model: Model, ids: np.ndarray, first: np.ndarray, stride: int = WIDTH - CONTEXT) -> Iterator[tuple]:
+def windows_of(
+    model: Model, ids: np.ndarray, first: np.ndarray, stride: int = WIDTH - CONTEXT, mixed_up: bool = False
+) -> Iterator[tuple]:
     """Ranks before, target ranks and scored places of all windows of texts given by ``first``.
 
     A text ends with the edge, and one stands before it; yields batches with each window's text.
+    For training the windows of all texts are mixed up.
     """
     sizes = np.diff(first)
     edge = model.ranks[model.edge]
@@ -179,6 +182,9 @@ def windows_of(model: Model, ids: np.ndarray, first: np.ndarray, stride: int = W
     fresh = np.where(number > 0, WIDTH - stride, 0)
     # Short windows together, so that few places are only filled up.
     order = np.argsort(stop - start, kind="stable")
+    if mixed_up:
+        order = np.random.default_rng(len(order)).permutation(len(order))
+        order = order[np.argsort((stop - start)[order] == WIDTH, kind="stable")]
     for low in range(0, len(order), BATCH):
         some = order[low : low + BATCH]
         wide = int((stop[some] - start[some]).max())
@@ -217,24 +223,25 @@ class Trainer:
 
     _BY_ROW = ("ids", "output")
 
-    def __init__(self, model: Model, rate: float = RATE):
+    def __init__(self, model: Model, rate: float = RATE, sums: dict[str, np.ndarray] | None = None):
+        """``sums`` of squared changes let a trainer go on where another one stopped."""
         self.model, self.rate = model, np.float32(rate)
-        self._sums = {
+        self.sums = {n: x.copy() for n, x in sums.items()} if sums else {
             n: np.full((len(w), 1) if n in self._BY_ROW else w.shape, 1e-2, np.float32)
             for n, w in model.weights.items()
         }
 
     def _move(self, name: str, change: np.ndarray, rows: np.ndarray | slice = slice(None)) -> None:
         squares = change * change
-        self._sums[name][rows] += squares.mean(1, keepdims=True) if name in self._BY_ROW else squares
-        self.model.weights[name][rows] -= self.rate * change / np.sqrt(self._sums[name][rows])
+        self.sums[name][rows] += squares.mean(1, keepdims=True) if name in self._BY_ROW else squares
+        self.model.weights[name][rows] -= self.rate * change / np.sqrt(self.sums[name][rows])
 
     def step(self, before: np.ndarray, target: np.ndarray, scored: np.ndarray) -> None:
         model, w = self.model, self.model.weights
         inside, query, key, value, share, total, mixed, hidden = _forward(model, before)
         flat, ranks = scored.ravel(), target[scored]
         used = hidden[flat]
-        scale = np.float32(64 / max(1, len(ranks)))
+        scale = np.float32(1 / WIDTH)  # so that a small batch makes a small step
         place, second = _places(model, ranks)
 
         def part(rows, vectors, bias, chosen):
@@ -279,15 +286,10 @@ class Trainer:
         for name, change, rows in moves:
             self._move(name, change, rows)
 
-    def learn(
-        self, ids: np.ndarray, first: np.ndarray, keep: Callable[[int], np.ndarray] | None = None, at_once: int = 64
-    ) -> int:
-        """One pass over the windows that ``keep`` chooses of each batch; returns how many places."""
+    def learn(self, ids: np.ndarray, first: np.ndarray, at_once: int = 64) -> int:
+        """One pass over all windows, mixed up; returns how many places they have."""
         places = 0
-        for _, before, target, scored in windows_of(self.model, ids, first, WIDTH):
-            if keep is not None:
-                chosen = keep(len(before))
-                before, target, scored = before[chosen], target[chosen], scored[chosen]
+        for _, before, target, scored in windows_of(self.model, ids, first, WIDTH, mixed_up=True):
             for low in range(0, len(before), at_once):
                 part = slice(low, low + at_once)
                 self.step(before[part], target[part], scored[part])

@@ -40,8 +40,9 @@ from fieldpulse.llm.bpe import PieceCache, load_ranks
 from fieldpulse.llm.exchange import targets_for
 from fieldpulse.session import work_folder
 
-START_DOCUMENTS = 600
-START_CHARS = 3_000_000
+START_DOCUMENTS = 2_000
+START_CHARS = 5_000_000
+START_PASSES = 3
 VOCABULARY = 8_192
 SHARE = 64
 FAN_IN = 16
@@ -108,7 +109,7 @@ class Text:
 # -- training ----------------------------------------------------------------------------------------
 
 
-def _start(training: DataFrame, path: str) -> attention.Model:
+def _start(training: DataFrame, path: str) -> attention.Trainer:
     order = [F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")]
     ids = training.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("size"), F.xxhash64("text").alias("tie"))
     first = ids.orderBy(F.xxhash64("doc_id"), "doc_id", "tie").limit(START_DOCUMENTS).toPandas()
@@ -125,9 +126,10 @@ def _start(training: DataFrame, path: str) -> attention.Model:
     letters = [rank for token, rank in load_ranks(path).items() if len(token) == 1]
     model = attention.new_model(counts, np.union1d(seen[counts[seen] > 0], letters))
     trainer, known = attention.Trainer(model), subword_encoder(path, model.ranks)
-    for text in words:
-        trainer.learn(*text.ids(known))
-    return model
+    for _ in range(START_PASSES):
+        for text in words:
+            trainer.learn(*text.ids(known))
+    return trainer
 
 
 def _packed(weights: dict[str, np.ndarray]) -> bytes:
@@ -203,14 +205,21 @@ class Learned:
 def learn(training: DataFrame, path: str, targets: int) -> Learned:
     """One pass over all training texts, and the sums of what its tasks counted."""
     spark = training.sparkSession
-    start = _start(training, path)
-    shared = spark.sparkContext.broadcast(start)
+    trained = _start(training, path)
+    start = trained.model
+    shared = spark.sparkContext.broadcast((start, trained.sums))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = attention.Model({n: w.copy() for n, w in shared.value.weights.items()}, shared.value.ranks)
-        trainer, known = attention.Trainer(model, attention.RATE / 2), subword_encoder(path, model.ranks)
+        begun, sums = shared.value
+        model = attention.Model({n: w.copy() for n, w in begun.weights.items()}, begun.ranks)
+        trainer, known = attention.Trainer(model, attention.RATE / 2, sums), subword_encoder(path, model.ranks)
+        chosen: list[bytes] = []
         words, counts, held, places, number, total = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0, 0, 0
 
+        def learn_from(texts: list[bytes]) -> int:
+            parts = blocks(pa.array([t.decode("utf-8") for t in texts], pa.string()), 2 * ENCODED_BYTES)
+            return sum(trainer.learn(*Text(part).ids(known)) for part in parts)
+
         def counted() -> pa.RecordBatch:
             entries = np.zeros(len(words), _COUNT)
             entries["word"], entries["n"] = words, counts
@@ -227,12 +236,13 @@ def learn(training: DataFrame, path: str, targets: int) -> Learned:
                     if len(words) > ROWS_AT_ONCE:
                         yield counted()
                         words, counts = words[:0], counts[:0]
-                # One document in SHARE of a block, in turn, learns with all its windows.
-                some = np.arange(number % SHARE, block.size, SHARE)
+                # One document in SHARE, in turn, is learned from, many together.
+                chosen += [block.text(i) for i in range(-number % SHARE, block.size, SHARE)]
                 number += block.size
-                part = blocks(pa.array([block.text(i).decode("utf-8") for i in some.tolist()], pa.string()))
-                for own in part:
-                    places += trainer.learn(*Text(own).ids(known))
+                if sum(map(len, chosen)) > ENCODED_BYTES:
+                    places += learn_from(chosen)
+                    chosen = []
+        places += learn_from(chosen)
         words, counts = summed(np.concatenate([words, *held]), counts)
         yield counted()
         yield pa.RecordBatch.from_arrays(
