@@ -197,18 +197,23 @@ def repeats(entries: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return found
 
 
-def spans(entries: np.ndarray, found: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Repeats as word ranges: document, twin, first word, word after the last."""
+def spans(entries: np.ndarray, found: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+    """Repeats as word ranges, merged per document: document, twin, first word, word after the last."""
     many = entries["many"].astype(np.int64)
     entry = np.repeat(np.arange(len(entries)), many)
     start = entries["first"][entry] + np.arange(len(found)) - (np.cumsum(many) - many)[entry]
-    at = np.flatnonzero(found)
-    new = np.ones(len(at), bool)
-    new[1:] = (at[1:] != at[:-1] + 1) | (entry[at[1:]] != entry[at[:-1]])
+    return _merged(entries["doc"][entry[found]], entries["twin"][entry[found]], start[found], window)
+
+
+def _merged(doc: np.ndarray, twin: np.ndarray, start: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+    """Windows that touch or overlap in a document as one range."""
+    order = np.lexsort((start, twin, doc))
+    doc, twin, start = doc[order], twin[order], start[order]
+    new = np.ones(len(start), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (twin[1:] != twin[:-1]) | (start[1:] > start[:-1] + window)
     head = np.flatnonzero(new)
-    tail = np.append(head[1:], len(at))[: len(head)] - 1
-    of = entry[at[head]] if len(at) else np.zeros(0, np.int64)
-    return entries["doc"][of], entries["twin"][of], start[at[head]], start[at[tail]] + window
+    tail = np.append(head[1:], len(start))[: len(head)] - 1
+    return doc[head], twin[head], start[head], start[tail] + window
 
 
 def _without_own_copies(entries: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -260,7 +265,9 @@ def repeated_spans(documents: DataFrame, window: int = WINDOW) -> DataFrame:
             entries, hashes = np.concatenate(held), np.concatenate(held_hashes)
             later, of_window = _without_own_copies(entries, hashes)
             # What is known to repeat goes straight on, as ranges, to the targets in turn.
-            known = entries[later].copy()
+            doc, twin, start, stop = spans(entries, of_window, window)
+            known = np.zeros(len(doc), _ENTRY)
+            known["doc"], known["twin"], known["first"], known["at"] = doc, twin, start, stop
             to = [(task + turn) % targets]
             raw = [b"S" + _packed(known, np.zeros(0, np.uint32))]
             entries, hashes = entries[~later], hashes[~of_window]
@@ -303,7 +310,7 @@ def repeated_spans(documents: DataFrame, window: int = WINDOW) -> DataFrame:
             for raw in batch.column(1).to_pylist():
                 own, own_hashes = _unpacked(raw[1:])
                 if raw[:1] == b"S":
-                    yield _span_batch((own["doc"], own["twin"], own["first"], own["first"] + own["many"].astype(np.int32) + (window - 1)))
+                    yield _span_batch((own["doc"], own["twin"], own["first"], own["at"]))
                 else:
                     entries.append(own)
                     hashes.append(own_hashes)
