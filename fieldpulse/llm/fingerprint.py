@@ -8,7 +8,8 @@ all texts of a block are written side by side, one step at a time.
 
 A fingerprint keeps the outputs at sampled steps: on level ``l`` every ``2 ** l``-th step, so each
 level is contained in the one below; a text uses the level that leaves between half of ``SAMPLES``
-and ``SAMPLES`` of them, and texts of different lengths are compared at the coarser level.  Likeness is the share of equal outputs among the samples of the longer walk.
+and ``SAMPLES`` of them, and texts of different lengths are compared at the coarser level.  Likeness
+is the share of equal outputs among the samples of the longer walk.
 Bands are groups of ``BAND`` neighbouring samples; two texts are compared only if they share a band,
 and have likeness 0 otherwise.
 

@@ -5,11 +5,12 @@ Words are lower-cased and written as public byte-level BPE ids, a leading space
 ``VOCABULARY`` most frequent ids of its first training texts, and others are spelled in bytes.
 Training:
 
-* a start on the driver, on at most ``START_DOCUMENTS`` whole training texts chosen by a hash (a
-  documented bound);
+* a start on the driver, ``START_PASSES`` over at most ``START_DOCUMENTS`` whole training texts chosen
+  by a hash (a documented bound);
 * one pass over all training texts on the executors: every task goes on from the start with one
-  document in ``SHARE``, in turn, and the tasks' weights are averaged by the number of places they learned from, in rounds of ``FAN_IN``, so neither a task nor
-  the driver ever holds more than that many models.  What is gathered grows with the input.
+  document in ``SHARE``, in turn, and the tasks' weights are averaged by the number of places they
+  learned from, in rounds of ``FAN_IN``, so neither a task nor the driver ever holds more than that
+  many models.  What is gathered grows with the input.
 
 The same pass counts words.  Words that make up more than one in ``FREQUENT`` of all words (so at
 most that many, a bound that does not grow) travel to the scoring tasks.  All other words are sent,
