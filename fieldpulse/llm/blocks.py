@@ -7,6 +7,7 @@ its own).
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,6 +26,7 @@ _LOWER[ord("A") : ord("Z") + 1] += 32
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BYTES = np.random.default_rng(20240601).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_C = ctypes.CDLL(None)
 _powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
 
 
@@ -62,6 +64,14 @@ def blocks(texts: pa.Array, most: int = BLOCK_BYTES) -> Iterator[Block]:
         low = int(offsets[at])
         yield Block(at, data[low : int(offsets[to])], offsets[at : to + 1] - low)
         at = to
+    _give_back()
+
+
+def _give_back() -> None:
+    """Return freed memory to the system; Python workers live on between tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_C, "malloc_trim"):
+        _C.malloc_trim(0)
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -74,7 +84,7 @@ def mixed(values: np.ndarray) -> np.ndarray:
 def _powers_up_to(size: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers
     if len(_powers[0]) < size:
-        size = 1 << int(size - 1).bit_length()
+        size = -(-size // 65_536) * 65_536
         up, down = np.full(size, _BASE), np.full(size, _BASE_INVERSE)
         up[0] = down[0] = 1
         _powers = np.multiply.accumulate(up), np.multiply.accumulate(down)

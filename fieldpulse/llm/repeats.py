@@ -200,9 +200,11 @@ def repeats(entries: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 def spans(entries: np.ndarray, found: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
     """Repeats as word ranges, merged per document: document, twin, first word, word after the last."""
     many = entries["many"].astype(np.int64)
-    entry = np.repeat(np.arange(len(entries)), many)
-    start = entries["first"][entry] + np.arange(len(found)) - (np.cumsum(many) - many)[entry]
-    return _merged(entries["doc"][entry[found]], entries["twin"][entry[found]], start[found], window)
+    at = np.flatnonzero(found)
+    ends = np.cumsum(many)
+    entry = np.searchsorted(ends, at, side="right")
+    start = entries["first"][entry] + at - (ends - many)[entry]
+    return _merged(entries["doc"][entry], entries["twin"][entry], start, window)
 
 
 def _merged(doc: np.ndarray, twin: np.ndarray, start: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
