@@ -17,6 +17,10 @@ from fieldpulse.llm import language, near_sets, packing, quality, repeats
 from fieldpulse.llm.queries import remainder_is
 from fieldpulse.session import work_folder
 
+#: Words a shingle, and the percentage of shared shingles, that make near copies in a corpus.
+NEAR_SHINGLE = 5
+NEAR_PERCENT = 80
+
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the quality classifier rejects."""
@@ -32,7 +36,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest document of each group of near copies."""
-    return near_sets.representatives(docs)
+    return near_sets.representatives(docs, NEAR_SHINGLE, NEAR_PERCENT)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,10 +1,11 @@
 """N-gram Jaccard join (operator 8): a count-vector R-tree over exact candidate groups.
 
-A document is the set of its distinct three-word shingles.  Two documents link when
-``100 * |A & B| >= PERCENT * |A | B|``; the result is the connected component of every document.
+A document is the set of its distinct shingles of ``shingle`` words.  Two documents link when
+``100 * |A & B| >= percent * |A | B|``; the result is the connected component of every document.
+Both are parameters: by default ``SHINGLE`` and ``PERCENT``, the contract of the query.
 
 *Who is compared.*  With an order of all shingles, linked sets share one of their first
-``n - ceil(n * PERCENT / 100) + 1`` (prefix filter, exact for any order).  Here a shingle comes the
+``n - ceil(n * percent / 100) + 1`` (prefix filter, exact for any order).  Here a shingle comes the
 earlier the rarer its rarest word is in the whole corpus, so that common phrases come last.  The
 documents that share a prefix shingle form a group, cut where neighbours by size differ too much
 for a link; groups of the same documents are one, and copies of one set are represented by one
@@ -20,8 +21,8 @@ document.  Groups and families of more than about ``TILE`` documents are cut int
 tiles whose sizes allow a link are joined pair by pair, each in a task of its own.  No link is lost
 at any step.
 
-Defined results: null, empty and wordless texts have no shingle and link with nothing; one or two
-words are one shingle; texts of any length are read whole, the document being the unit of memory;
+Defined results: null, empty and wordless texts have no shingle and link with nothing; fewer words
+than a shingle has are one shingle; texts of any length are read whole, the document being the unit of memory;
 rows with the same id are one node and each gets its own ``n_shingles``; rows without an id have no
 component; an empty table gives no rows; further columns are ignored.
 """
@@ -57,34 +58,36 @@ def word_hashes(block) -> tuple[np.ndarray, np.ndarray]:
     return range_hashes(data, words.starts, words.ends), words.offsets
 
 
-def shingles_of(words: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def shingles_of(
+    words: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash, first word and document of every shingle, repeats included."""
     sizes = np.diff(offsets)
     of = owners(offsets)
-    full = np.flatnonzero((np.arange(len(words)) + SHINGLE <= offsets[1:][of]) if len(words) else np.zeros(0, bool))
+    full = np.flatnonzero((np.arange(len(words)) + shingle <= offsets[1:][of]) if len(words) else np.zeros(0, bool))
     hashes = np.zeros(len(full), np.uint64)
-    for i in range(SHINGLE):
+    for i in range(shingle):
         hashes = mixed(hashes * np.uint64(0xD1342543DE82EF95) + words[full + i] + np.uint64(i + 1))
-    short = np.flatnonzero((sizes > 0) & (sizes < SHINGLE))
+    short = np.flatnonzero((sizes > 0) & (sizes < shingle))
     alone = np.zeros(len(short), np.uint64)
-    for i in range(SHINGLE - 1):
+    for i in range(shingle - 1):
         more = sizes[short] > i
         alone[more] = mixed(alone[more] * np.uint64(0xD1342543DE82EF95) + words[offsets[:-1][short[more]] + i] + np.uint64(i + 1))
     alone = mixed(alone + sizes[short].astype(np.uint64))
     return np.append(hashes, alone), np.append(full, offsets[:-1][short]), np.append(of[full], short)
 
 
-def sets_of(words: np.ndarray, offsets: np.ndarray, classes: np.ndarray | None = None):
+def sets_of(words: np.ndarray, offsets: np.ndarray, classes: np.ndarray | None = None, shingle: int = SHINGLE):
     """Distinct shingles of each document in the order of rarity, and where each document starts.
 
     ``classes`` has the frequency class of every word; the class of a shingle is its rarest word's.
     """
-    hashes, first, of = shingles_of(words, offsets)
+    hashes, first, of = shingles_of(words, offsets, shingle)
     place = hashes >> np.uint64(6)
     if classes is not None:
         last = offsets[1:][of] - 1
         rarest = classes[first]
-        for i in range(1, SHINGLE):
+        for i in range(1, shingle):
             rarest = np.minimum(rarest, classes[np.minimum(first + i, last)])
         place = place | (rarest.astype(np.uint64) << np.uint64(58))
     order = np.argsort(place, kind="stable")
@@ -95,8 +98,8 @@ def sets_of(words: np.ndarray, offsets: np.ndarray, classes: np.ndarray | None =
     return hashes[new], np.searchsorted(of[new], np.arange(len(offsets)))
 
 
-def prefix_size(n):
-    return n - -(-n * PERCENT // 100) + 1
+def prefix_size(n, percent: int = PERCENT):
+    return n - -(-n * percent // 100) + 1
 
 
 # -- word frequencies -----------------------------------------------------------------------------
@@ -157,7 +160,7 @@ def classes_of(words: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np
 _ENTRY = np.dtype([("token", "<u8"), ("doc", "<i8"), ("size", "<i4")])
 
 
-def _sets_and_candidates(documents: DataFrame) -> DataFrame:
+def _sets_and_candidates(documents: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Rows of two kinds in one table: documents ``(doc, size, one, two, points)``, and the members
     ``(doc, size, job, many)`` of groups that share a shingle."""
     spark = documents.sparkSession
@@ -183,7 +186,7 @@ def _sets_and_candidates(documents: DataFrame) -> DataFrame:
             numbers, known = docs.fill_null(-1).to_numpy(), docs.is_valid().to_numpy(zero_copy_only=False)
             for block in blocks(batch.column(1)):
                 words, offsets = word_hashes(block)
-                hashes, first = sets_of(words, offsets, classes_of(words, shared.value))
+                hashes, first = sets_of(words, offsets, classes_of(words, shared.value), shingle)
                 sizes = np.diff(first)
                 one = np.add.reduceat(np.append(mixed(hashes), np.uint64(0)), first[:-1])
                 two = np.add.reduceat(np.append(mixed(hashes ^ np.uint64(0xABCDEF12345)), np.uint64(0)), first[:-1])
@@ -210,7 +213,7 @@ def _sets_and_candidates(documents: DataFrame) -> DataFrame:
                         seen[key] = True
                     else:
                         fresh[i] = True
-                prefix = np.where(fresh, prefix_size(sizes), 0)
+                prefix = np.where(fresh, prefix_size(sizes, percent), 0)
                 at = np.repeat(first[:-1] - np.cumsum(prefix) + prefix, prefix) + np.arange(prefix.sum())
                 entries = np.zeros(len(at), _ENTRY)
                 entries["token"] = hashes[at]
@@ -232,7 +235,7 @@ def _sets_and_candidates(documents: DataFrame) -> DataFrame:
             rows = batch.filter(packed.is_null())
             none = [pa.nulls(rows.num_rows, pa.int64()), pa.nulls(rows.num_rows, pa.int32())]
             yield pa.RecordBatch.from_arrays([*rows.columns[2:], *none], found)
-        job, doc, size, many = groups_of(np.concatenate(parts))
+        job, doc, size, many = groups_of(np.concatenate(parts), percent)
         gone = pa.nulls(len(job), pa.int64())
         yield pa.RecordBatch.from_arrays(
             [
@@ -259,7 +262,9 @@ def _sets_and_candidates(documents: DataFrame) -> DataFrame:
     return spark.read.parquet(folder)
 
 
-def groups_of(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def groups_of(
+    entries: np.ndarray, percent: int = PERCENT
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Group, document, its size and the group's for all groups of documents that share a token.
 
     A group ends where the next larger document is too large for a link.
@@ -270,7 +275,7 @@ def groups_of(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     same = low["token"] == high["token"]
     twice[1:] = same & (low["doc"] == high["doc"]) & (low["size"] == high["size"])
     new = np.ones(len(entries), bool)
-    new[1:] = ~(same & (low["size"].astype(np.int64) * 100 >= high["size"].astype(np.int64) * PERCENT))
+    new[1:] = ~(same & (low["size"].astype(np.int64) * 100 >= high["size"].astype(np.int64) * percent))
     group = np.cumsum(new) - 1
     entries, group = entries[~twice], group[~twice]
     cuts = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
@@ -319,21 +324,26 @@ class CountTree:
         return self.order[number * LEAF : (number + 1) * LEAF]
 
 
-def needed(one, two):
-    """The overlap two sets of these sizes need: ``100 o >= PERCENT (one + two - o)``."""
-    return -(-(one + two) * PERCENT // (100 + PERCENT))
+def needed(one, two, percent: int = PERCENT):
+    """The overlap two sets of these sizes need: ``100 o >= percent (one + two - o)``."""
+    return -(-(one + two) * percent // (100 + percent))
 
 
-def linked(one: np.ndarray, two: np.ndarray) -> bool:
+def linked(one: np.ndarray, two: np.ndarray, percent: int = PERCENT) -> bool:
     """Exact check on two sorted sets."""
     if len(one) > len(two):
         one, two = two, one
     at = np.minimum(np.searchsorted(two, one), len(two) - 1)
-    return int((two[at] == one).sum()) >= needed(len(one), len(two))
+    return int((two[at] == one).sum()) >= needed(len(one), len(two), percent)
 
 
 def tree_links(
-    points: list[bytes], sizes: list[int], docs: list[int], side: np.ndarray | None = None, sets: list | None = None
+    points: list[bytes],
+    sizes: list[int],
+    docs: list[int],
+    side: np.ndarray | None = None,
+    sets: list | None = None,
+    percent: int = PERCENT,
 ) -> list[tuple[int, int]]:
     """Links that connect what is connected among documents, or between those of side 0 and side 1.
 
@@ -349,23 +359,23 @@ def tree_links(
     left, right, mine, other = trees[0], trees[-1], which[0], which[-1]
     for a in range(len(left.upper)):
         bound = np.minimum(left.upper[a], right.upper).sum(1)
-        close = bound >= needed(left.least[a], right.least)
+        close = bound >= needed(left.least[a], right.least, percent)
         if side is None:
             close[:a] = False
         for b in np.flatnonzero(close).tolist():
             rows, columns = left.leaf(a), right.leaf(b)
             own = left.points[a * LEAF : a * LEAF + len(rows)]
             shared = np.minimum(own[:, None], right.points[None, b * LEAF : b * LEAF + len(columns)]).sum(2)
-            good = shared >= needed(left.sizes[rows][:, None], right.sizes[columns][None])
+            good = shared >= needed(left.sizes[rows][:, None], right.sizes[columns][None], percent)
             for i, j in zip(*(x.tolist() for x in np.nonzero(good))):
                 one, two = int(mine[rows[i]]), int(other[columns[j]])
                 if one != two and forest.root(docs[one]) != forest.root(docs[two]):
-                    if sets is None or linked(sets[one], sets[two]):
+                    if sets is None or linked(sets[one], sets[two], percent):
                         forest.join(docs[one], docs[two])
     return forest.stars()
 
 
-def _tiled(members: DataFrame) -> DataFrame:
+def _tiled(members: DataFrame, percent: int) -> DataFrame:
     """Jobs ``cluster, one, two, doc, side`` for clusters of any size, cut into tiles by size.
 
     A tile is joined with itself (``one = two``) and with each other tile whose sizes allow a link.
@@ -386,7 +396,7 @@ def _tiled(members: DataFrame) -> DataFrame:
     other = boxes.select("cluster", *[F.col(c).alias(f"other_{c}") for c in ("tile", "low", "high")])
     pairs = boxes.join(other, "cluster").where(
         (F.col("tile") < F.col("other_tile"))
-        & (F.least("high", "other_high") * 100 >= F.greatest("low", "other_low") * PERCENT)
+        & (F.least("high", "other_high") * 100 >= F.greatest("low", "other_low") * percent)
     )
     pairs = pairs.select("cluster", F.col("tile").alias("one"), F.col("other_tile").alias("two"))
 
@@ -398,12 +408,12 @@ def _tiled(members: DataFrame) -> DataFrame:
     return alone.unionByName(side(0, "one")).unionByName(side(1, "two"))
 
 
-def _jobs(members: DataFrame) -> DataFrame:
+def _jobs(members: DataFrame, percent: int) -> DataFrame:
     """``job, doc, side, alone`` of the members of clusters; only large ones are cut into tiles."""
     small = members.where(F.col("many") <= TILE).select(
         F.col("cluster").alias("job"), "doc", F.lit(0).alias("side"), F.lit(True).alias("alone")
     )
-    large = _tiled(members.where(F.col("many") > TILE)).select(
+    large = _tiled(members.where(F.col("many") > TILE), percent).select(
         F.xxhash64("cluster", "one", "two").alias("job"),
         "doc",
         "side",
@@ -441,40 +451,41 @@ def _side(table: pa.Table) -> np.ndarray | None:
     return None if table.column("alone")[0].as_py() else table.column("side").to_numpy()
 
 
-def _possible(points: DataFrame, members: DataFrame) -> DataFrame:
+def _possible(points: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """Pairs that the bound on their points allows, as stars of each job."""
 
     def solve(table: pa.Table) -> list[tuple[int, int]]:
         docs, sizes = table.column("doc").to_pylist(), table.column("size").to_pylist()
         own = table.column("points").to_pylist()
         if len(docs) == 2:  # most groups
-            if docs[0] == docs[1] or needed(*sizes) > np.minimum(*folded(own)).sum():
+            if docs[0] == docs[1] or needed(*sizes, percent) > np.minimum(*folded(own)).sum():
                 return []
             return [(max(docs), min(docs))]
-        return tree_links(own, sizes, docs, _side(table))
+        return tree_links(own, sizes, docs, _side(table), percent=percent)
 
-    return _solved(_jobs(members).join(points, "doc"), solve)
+    return _solved(_jobs(members, percent).join(points, "doc"), solve)
 
 
-def _links(documents: DataFrame, members: DataFrame) -> DataFrame:
+def _links(documents: DataFrame, members: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Verified links within clusters, as stars of each job."""
 
     def solve(table: pa.Table) -> list[tuple[int, int]]:
         sets, points = [], []
         for block in blocks(table.column("text").combine_chunks()):
-            hashes, first = sets_of(*word_hashes(block))
+            hashes, first = sets_of(*word_hashes(block), shingle=shingle)
             ends = first.tolist()
             sets += [np.sort(hashes[a:b]) for a, b in zip(ends, ends[1:])]
             points += points_of(hashes, first)
-        return tree_links(points, list(map(len, sets)), table.column("doc").to_pylist(), _side(table), sets)
+        sizes, docs = list(map(len, sets)), table.column("doc").to_pylist()
+        return tree_links(points, sizes, docs, _side(table), sets, percent)
 
     texts = documents.select(F.col("doc_id").cast("long").alias("doc"), "text")
-    return _solved(texts.join(_jobs(members).hint("shuffle_hash"), "doc"), solve)
+    return _solved(texts.join(_jobs(members, percent).hint("shuffle_hash"), "doc"), solve)
 
 
-def near_components(documents: DataFrame) -> DataFrame:
+def near_components(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``documents``."""
-    rows = _sets_and_candidates(documents)
+    rows = _sets_and_candidates(documents, shingle, percent)
     sets = rows.where("job is null")
     known = sets.where("doc is not null and size > 0")
     same = ["size", "one", "two"]
@@ -491,13 +502,13 @@ def near_components(documents: DataFrame) -> DataFrame:
         return joined.withColumn(column, F.coalesce(f"{column}_first", column)).drop(f"{column}_first")
 
     groups = rows.where("job is not null").select(F.col("job").alias("cluster"), "doc", "size", "many").distinct()
-    possible = _possible(known.select("doc", "size", "points").distinct(), groups)
+    possible = _possible(known.select("doc", "size", "points").distinct(), groups, percent)
     clusters = components(represented(represented(possible, "a"), "b"))
     sized = clusters.join(clusters.groupBy("component").agg(F.count("*").alias("many")), "component")
     members = sized.join(known.select("doc", "size").distinct(), sized["node"] == F.col("doc")).select(
         F.col("component").alias("cluster"), "doc", "size", "many"
     )
-    links = _links(documents, members).unionByName(copies.select(F.col("doc").alias("a"), F.col("first").alias("b")))
+    links = _links(documents, members, shingle, percent).unionByName(copies.select(F.col("doc").alias("a"), F.col("first").alias("b")))
     found = components(links).withColumnsRenamed({"node": "doc"})
     return sets.join(found, "doc", "left").select(
         F.col("doc").alias("doc_id"),
@@ -506,8 +517,8 @@ def near_components(documents: DataFrame) -> DataFrame:
     )
 
 
-def representatives(documents: DataFrame) -> DataFrame:
+def representatives(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The smallest document of each component, and rows without an id, with all their columns."""
-    kept = near_components(documents).where("doc_id = component_id").select("doc_id").distinct()
+    kept = near_components(documents, shingle, percent).where("doc_id = component_id").select("doc_id").distinct()
     known = documents.where("doc_id is not null").join(kept.hint("shuffle_hash"), "doc_id", "left_semi")
     return known.unionByName(documents.where("doc_id is null"))

@@ -73,7 +73,7 @@ def op7_page_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_near_sets(spark: SparkSession, folder: str) -> DataFrame:
-    return near_sets.near_components(table(spark, folder, "documents"))
+    return near_sets.near_components(table(spark, folder, "documents"), shingle=3, percent=90)
 
 
 def op9_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
