@@ -22,7 +22,7 @@ import numpy as np
 SIZE = 16
 HEADS = 1
 WIDTH = 32
-CONTEXT = 4
+CONTEXT = 6
 BATCH = 128
 RATE = 0.2
 HEAD = 112

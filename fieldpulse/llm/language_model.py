@@ -2,17 +2,17 @@
 
 Words are lower-cased and written as public byte-level BPE ids, a leading space first; the model of
 :mod:`fieldpulse.llm.attention` gives the probability of the ids of a text and its end.  It has the
-``VOCABULARY`` most frequent ids of its first training texts, and others are spelled in bytes.
+``VOCABULARY`` most frequent ids of all training texts, and others are spelled in bytes.
 Training:
 
+* a count of the ids of all training texts, for the vocabulary;
 * a start on the driver, ``START_PASSES`` over at most ``START_DOCUMENTS`` whole training texts chosen
   by a hash (a documented bound);
-* one pass over all training texts on the executors: every task goes on from the start with one
-  document in ``SHARE``, in turn, and the tasks' weights are averaged by the number of places they
-  learned from, in rounds of ``FAN_IN``, so neither a task nor the driver ever holds more than that
-  many models.  What is gathered grows with the input.
+* one pass over all training texts on the executors: every task goes on from the start with all
+  its documents, and the tasks' weights are averaged by the number of places they learned from, in
+  rounds of ``FAN_IN``, so neither a task nor the driver ever holds more than that many models.
 
-The same pass counts words.  Words that make up more than one in ``FREQUENT`` of all words (so at
+The last pass counts words.  Words that make up more than one in ``FREQUENT`` of all words (so at
 most that many, a bound that does not grow) travel to the scoring tasks.  All other words are sent,
 packed, to the task that owns their hash, which counts them in the training texts and sends each
 row's part of its base score on; a second exchange adds up the rows.  Texts are never shuffled.
@@ -45,7 +45,6 @@ START_DOCUMENTS = 2_000
 START_CHARS = 5_000_000
 START_PASSES = 3
 VOCABULARY = 8_192
-SHARE = 64
 FAN_IN = 16
 FREQUENT = 500_000
 ROWS_AT_ONCE = 1_000_000
@@ -110,6 +109,25 @@ class Text:
 # -- training ----------------------------------------------------------------------------------------
 
 
+def _id_counts(training: DataFrame, path: str) -> np.ndarray:
+    """How often all training texts have each id, and at the end the number of texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, counts = subword_encoder(path), np.zeros(_edge(path) + 1, np.int64)
+        for batch in batches:
+            for block in blocks(batch.column(0), ENCODED_BYTES):
+                text = Text(block)
+                counts += np.bincount(text.ids(known)[0], minlength=len(counts))
+                counts[-1] += text.size
+        seen = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(counts[seen])], ["id", "n"])
+
+    rows = training.select("text").mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(_edge(path) + 1, np.int64)
+    counts[rows["id"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
+    return counts
+
+
 def _start(training: DataFrame, path: str) -> attention.Trainer:
     order = [F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")]
     ids = training.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("size"), F.xxhash64("text").alias("tie"))
@@ -118,10 +136,7 @@ def _start(training: DataFrame, path: str) -> attention.Trainer:
     wanted = F.broadcast(training.sparkSession.createDataFrame([(int(i),) for i in chosen], "doc_id long"))
     texts = training.join(wanted, "doc_id", "left_semi").orderBy(*order).select("text").toPandas()["text"]
     words = [Text(block) for block in blocks(pa.array(texts.tolist(), pa.string()))]
-    known, counts = subword_encoder(path), np.zeros(_edge(path) + 1, np.int64)
-    for text in words:
-        counts += np.bincount(text.ids(known)[0], minlength=len(counts))
-        counts[-1] += text.size
+    counts = _id_counts(training, path)
     # The model has the most frequent ids, and all bytes, so that it can spell everything.
     seen = np.argsort(-counts, kind="stable")[:VOCABULARY]
     letters = [rank for token, rank in load_ranks(path).items() if len(token) == 1]
@@ -214,12 +229,7 @@ def learn(training: DataFrame, path: str, targets: int) -> Learned:
         begun, sums = shared.value
         model = attention.Model({n: w.copy() for n, w in begun.weights.items()}, begun.ranks)
         trainer, known = attention.Trainer(model, attention.RATE / 2, sums), subword_encoder(path, model.ranks)
-        chosen: list[bytes] = []
-        words, counts, held, places, number, total = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0, 0, 0
-
-        def learn_from(texts: list[bytes]) -> int:
-            parts = blocks(pa.array([t.decode("utf-8") for t in texts], pa.string()), 2 * ENCODED_BYTES)
-            return sum(trainer.learn(*Text(part).ids(known)) for part in parts)
+        words, counts, held, places, total = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0, 0
 
         def counted() -> pa.RecordBatch:
             entries = np.zeros(len(words), _COUNT)
@@ -237,13 +247,7 @@ def learn(training: DataFrame, path: str, targets: int) -> Learned:
                     if len(words) > ROWS_AT_ONCE:
                         yield counted()
                         words, counts = words[:0], counts[:0]
-                # One document in SHARE, in turn, is learned from, many together.
-                chosen += [block.text(i) for i in range(-number % SHARE, block.size, SHARE)]
-                number += block.size
-                if sum(map(len, chosen)) > ENCODED_BYTES:
-                    places += learn_from(chosen)
-                    chosen = []
-        places += learn_from(chosen)
+                places += trainer.learn(*text.ids(known))
         words, counts = summed(np.concatenate([words, *held]), counts)
         yield counted()
         yield pa.RecordBatch.from_arrays(
