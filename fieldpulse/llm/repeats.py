@@ -11,10 +11,11 @@ So a window of ``window`` words has an interior of symbols that every copy of th
 same place.  Its anchor is the interior symbol of the last round with the smallest hash; its key
 names that symbol with one word of context per round on both sides, which the margin guarantees to
 lie inside the window.  Neighbouring windows share anchors: about one key per seven words is sent
-(a window with nothing left inside, as in one long run, is its own key).  Each key carries a 32-bit
+(a window with nothing left inside, as in one long run, is its own key).  Each key carries a 64-bit
 hash of every window it stands for.  Windows are equal if key, place relative to the anchor and
 hash agree; of equal ones all but the first, by document id and start, are repeats.  Two different
-windows that share their anchor words are taken for equal with a chance of 2^-32.
+windows that share their anchor words are taken for equal with a chance of 2^-64, so a phrase in a
+billion otherwise different documents gives 0.03 false repeats at a place.
 
 Keys travel packed, one array per task and target; copies within a task are resolved there, so a
 passage that very many documents share costs one entry per task, not one per document.
@@ -130,14 +131,14 @@ def keys_of(words: np.ndarray, offsets: np.ndarray, window: int = WINDOW):
     """The keys of all windows of documents whose word hashes stand one after the other.
 
     Per key: its hash, the word number of its place, its first window and how many windows in a row
-    it stands for; and a 32-bit hash per window of the documents, in order of ``windows``.
+    it stands for; and a 64-bit hash per window of the documents, in order of ``windows``.
     """
     sizes = np.diff(offsets)
     many = np.maximum(sizes - window + 1, 0)
     windows = spread(offsets[:-1], many)
     if not len(windows):
         none = np.zeros(0, np.int64)
-        return none.astype(np.uint64), none, none, none, none.astype(np.uint32)
+        return none.astype(np.uint64), none, none, none, none.astype(np.uint64)
     plain = _Sequences(words)
     whole = plain.hashes(windows, windows + window)
     symbols, starts = words, np.arange(len(words))
@@ -159,7 +160,7 @@ def keys_of(words: np.ndarray, offsets: np.ndarray, window: int = WINDOW):
     ends = np.append(starts[1:], len(words))
     at[good] = starts[of[good]]
     key[good] = plain.hashes(at[good] - ROUNDS, ends[of[good]] + ROUNDS)
-    return key, at, first, np.diff(np.append(head, len(windows))), (whole >> np.uint64(32)).astype(np.uint32)
+    return key, at, first, np.diff(np.append(head, len(windows))), whole
 
 
 # -- repeats among keys ---------------------------------------------------------------------------
@@ -222,7 +223,7 @@ def _without_own_copies(entries: np.ndarray, hashes: np.ndarray) -> tuple[np.nda
     """Entries that another of the task equals in key, place and all windows, but for the first one."""
     many = entries["many"].astype(np.int64)
     ends = np.cumsum(many)
-    print_ = _Sequences(hashes.astype(np.uint64)).hashes(ends - many, ends)
+    print_ = _Sequences(hashes).hashes(ends - many, ends)
     print_ = mixed(print_ ^ entries["key"]) + (entries["first"] - entries["at"]).astype(np.uint64)
     order = np.lexsort((entries["first"], entries["twin"], entries["doc"], print_))
     later = np.zeros(len(entries), bool)
@@ -231,13 +232,13 @@ def _without_own_copies(entries: np.ndarray, hashes: np.ndarray) -> tuple[np.nda
 
 
 def _packed(entries: np.ndarray, hashes: np.ndarray) -> bytes:
-    return len(entries).to_bytes(8, "little") + entries.tobytes() + hashes.astype("<u4").tobytes()
+    return len(entries).to_bytes(8, "little") + entries.tobytes() + hashes.astype("<u8").tobytes()
 
 
 def _unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     size = int.from_bytes(raw[:8], "little")
     cut = 8 + size * _ENTRY.itemsize
-    return np.frombuffer(raw[8:cut], _ENTRY), np.frombuffer(raw[cut:], "<u4")
+    return np.frombuffer(raw[8:cut], _ENTRY), np.frombuffer(raw[cut:], "<u8")
 
 
 _SPAN = "doc long, twin int, start int, stop int"
@@ -271,7 +272,7 @@ def repeated_spans(documents: DataFrame, window: int = WINDOW) -> DataFrame:
             known = np.zeros(len(doc), _ENTRY)
             known["doc"], known["twin"], known["first"], known["at"] = doc, twin, start, stop
             to = [(task + turn) % targets]
-            raw = [b"S" + _packed(known, np.zeros(0, np.uint32))]
+            raw = [b"S" + _packed(known, np.zeros(0, np.uint64))]
             entries, hashes = entries[~later], hashes[~of_window]
             many = entries["many"].astype(np.int64)
             first = np.cumsum(many) - many
@@ -307,7 +308,7 @@ def repeated_spans(documents: DataFrame, window: int = WINDOW) -> DataFrame:
             yield from flush()
 
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries, hashes = [np.zeros(0, _ENTRY)], [np.zeros(0, np.uint32)]
+        entries, hashes = [np.zeros(0, _ENTRY)], [np.zeros(0, np.uint64)]
         for batch in batches:
             for raw in batch.column(1).to_pylist():
                 own, own_hashes = _unpacked(raw[1:])
