@@ -21,7 +21,6 @@ towards 1 for a clear winner; ``bits`` is the smallest estimate itself, null for
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -37,7 +36,6 @@ SAMPLE_DOCUMENTS = 120
 #: Bytes of text that are parsed together.
 BLOCK = 1 << 20
 RUN = 512
-LETTERS = 60
 #: A text of a learned language needs about 3 bits a letter, random letters over 6.4; estimates for
 #: fewer than ``JUDGED_LETTERS`` letters vary too much to reject a text.
 ACCEPTED_BITS = 6.3
@@ -93,57 +91,88 @@ def suffix_automaton(text: list[int]) -> list[dict[int, int]]:
     return after
 
 
+def _placed(state: np.ndarray, symbol: np.ndarray, states: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of transitions laid over each other in one table, none on a slot of another's.
+
+    Returns where the row of each state begins, the slot of each transition (``state`` is sorted),
+    and for each slot of the table the state that has it, -1 for none.
+    """
+    degree = np.bincount(state, minlength=states)
+    first = np.cumsum(degree) - degree
+    reach = int(symbol.max(initial=0)) + 1
+    owner = np.full(4 * len(state) + 2 * reach, -1, np.int32)
+    begin, pick = np.zeros(states, np.int32), np.random.default_rng(1)
+    for many in np.unique(degree[degree > 0])[::-1].tolist():
+        todo = np.flatnonzero(degree == many)
+        rows = symbol[first[todo][:, None] + np.arange(many)]
+        while len(todo):
+            trial = pick.integers(0, len(owner) - reach, len(todo))
+            slots = trial[:, None] + rows
+            free = np.flatnonzero((owner[slots] < 0).all(1))
+            own, wanted = todo[free].astype(np.int32)[:, None], slots[free]
+            owner[wanted] = own
+            held = owner[wanted] == own
+            won = held.all(1)
+            owner[wanted[~won][held[~won]]] = -1
+            begin[todo[free[won]]] = trial[free[won]]
+            rest = np.ones(len(todo), bool)
+            rest[free[won]] = False
+            todo, rows = todo[rest], rows[rest]
+    return begin, begin[state] + symbol, owner
+
+
 class Parser:
-    """The automata of all languages in one table.
+    """The automata of all languages in one table, which has a slot for each transition.
 
-    An entry holds ``4 * offset of the next state + phrases that end here``.  Symbols: 0 pads a
-    run and changes nothing, 1 is a separator, 2 an unknown letter.
+    Every letter that any reference text has is a symbol, so the table grows with the texts and not
+    with the alphabets.  Symbols: 0 pads a run and changes nothing, 1 is a separator, 2 a letter that
+    no reference text has.
     """
 
     def __init__(self, model: Model):
         self.names = [name for name, _ in model]
-        counts = Counter("".join(text for _, text in model).replace(" ", ""))
-        known = [c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:LETTERS]]
+        known = sorted(set("".join(text for _, text in model)) - {" "})
         codes = {c: i + 3 for i, c in enumerate(known)} | {" ": 1}
-        self.symbols = np.where(_folded() > 0, 2, 1).astype(np.uint8)
-        folded = {ord(c): i for c, i in codes.items() if c != " "}
-        for code, symbol in folded.items():
-            self.symbols[_folded() == code] = symbol
-        self.width = len(known) + 3
-        parts, self.roots, base = [], [], 0
-        for _, text in model:
-            states = suffix_automaton([codes.get(c, 2) for c in text])
-            table = np.full((len(states), self.width), -1, np.int32)
-            size = len(states)
-            rows = [i for i, s in enumerate(states) for _ in s]
-            table[rows, [c for s in states for c in s]] = [t for s in states for t in s.values()]
-            del rows
-            table[:, 2] = -1
-            first = np.where(table[0] >= 0, table[0], 0)  # where a new phrase goes
-            alone = (table[0] < 0).astype(np.int32)  # a letter the language never has
-            ends = np.ones((len(states), 1), np.int32)
-            ends[0] = 0
-            entry = np.where(
-                table >= 0,
-                (table + base) * self.width * 4,
-                (first[None] + base) * self.width * 4 + alone[None] + ends,
-            )
-            entry[:, 0] = (np.arange(len(states)) + base) * self.width * 4
-            parts.append(entry.astype(np.int32))
-            self.roots.append(base * self.width)
-            base += size
-        self.table = np.concatenate(parts).ravel() if parts else np.zeros(0, np.int32)
+        kind = np.uint16 if len(known) < 65_000 else np.uint32
+        own = np.zeros(0x110000, kind)
+        own[[ord(c) for c in known]] = np.arange(3, len(known) + 3)
+        own = own[_folded()]
+        self.symbols = np.where(own > 0, own, np.where(_folded() > 0, 2, 1)).astype(kind)
+        parts, roots, base = [], [], 0
+        self.first = np.zeros((len(model), len(known) + 3), np.int32)  # where a new phrase goes
+        for number, (_, text) in enumerate(model):
+            states = suffix_automaton([codes[c] for c in text])
+            many = np.fromiter(map(len, states), np.int64, len(states))
+            symbol = np.fromiter((c for s in states for c in s), np.int32, int(many.sum()))
+            target = np.fromiter((t for s in states for t in s.values()), np.int32, int(many.sum()))
+            parts.append((np.repeat(np.arange(len(states), dtype=np.int32) + base, many), symbol, target + base))
+            self.first[number] = base
+            self.first[number, symbol[: many[0]]] = target[: many[0]] + base
+            roots.append(base)
+            base += len(states)
+            del states
+        self.roots = np.array(roots, np.int32)
+        none = np.zeros(0, np.int32)
+        state, symbol, target = (np.concatenate([none, *x]) for x in (zip(*parts) if parts else [(), (), ()]))
+        self.begin, slots, self.owner = _placed(state, symbol, base)
+        self.target = np.zeros(len(self.owner), np.int32)
+        self.target[slots] = target
         self.bits = np.array([np.log2(max(2, len(text))) for _, text in model])
 
     def phrases(self, runs: np.ndarray) -> np.ndarray:
         """Phrases of each run (columns) in each language (rows); ``runs`` has a row per step."""
-        roots = np.array(self.roots, np.int32)[:, None]
+        roots = self.roots[:, None]
         state = np.repeat(roots, runs.shape[1], 1)
         count = np.zeros(state.shape, np.int32)
         for step in runs:
-            entry = self.table[state + step]
-            count += entry & 3
-            state = entry >> 2
+            slot = self.begin[state] + step
+            goes_on = self.owner[slot] == state
+            fresh = self.first[:, step]
+            ends = ~goes_on & (step > 0)
+            # The phrase so far, and a letter the language never has, which is a phrase alone.
+            count += ends & (state != roots)
+            count += ends & (fresh == roots)
+            state = np.where(goes_on, self.target[slot], np.where(ends, fresh, state))
         return count + (state != roots)
 
     def estimate(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -164,7 +193,7 @@ class Parser:
         stop = np.minimum(start + RUN, np.repeat(first[1:], many))
         of = np.repeat(np.arange(block.size), many)
         total = np.zeros((len(self.names), block.size))
-        padded = np.append(symbols, np.zeros(RUN, np.uint8))
+        padded = np.append(symbols, np.zeros(RUN, symbols.dtype))
         order = np.argsort(start - stop, kind="stable")
         for low in range(0, len(order), 4096):
             some = order[low : low + 4096]
