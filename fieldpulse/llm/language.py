@@ -17,6 +17,10 @@ language everything is ``und``; equal texts get equal results; ties go to the fi
 name; texts of any length are parsed whole; an empty table gives no rows; further columns are
 ignored.  ``score`` is ``second / (best + second)`` of the two smallest estimates: 0.5 for a tie,
 towards 1 for a clear winner; ``bits`` is the smallest estimate itself, null for ``und``.
+
+Whether a text is in a learned language at all is told by a limit on ``bits`` for its length, since
+estimates of short texts vary more.  It is set from held-out text: either half of every reference is
+cut into pieces, which are parsed with the other halves.
 """
 
 from __future__ import annotations
@@ -31,15 +35,16 @@ from pyspark.sql import functions as F
 
 from fieldpulse.llm.blocks import Block, blocks
 
-REFERENCE_CHARS = 20_000
-SAMPLE_DOCUMENTS = 120
+REFERENCE_CHARS = 50_000
+SAMPLE_DOCUMENTS = 300
 #: Bytes of text that are parsed together.
 BLOCK = 1 << 20
 RUN = 512
-#: A text of a learned language needs about 3 bits a letter, random letters over 6.4; estimates for
-#: fewer than ``JUDGED_LETTERS`` letters vary too much to reject a text.
-ACCEPTED_BITS = 6.3
-JUDGED_LETTERS = 200
+#: Lengths at which the limit for texts of a learned language is set.
+LENGTHS = (2, 5, 10, 20, 40, 80, 160, 320, 640, 1280)
+#: The limit is so many times what nine in ten pieces of each learned language need; the rest may be
+#: text in another language under a wrong label.
+TOLERANCE = 1.5
 UNKNOWN = "und"
 
 Model = tuple[tuple[str, str], ...]
@@ -212,6 +217,27 @@ def parser(model: Model) -> Parser:
     return Parser(model)
 
 
+@lru_cache(2)
+def limits(model: Model) -> np.ndarray:
+    """The most bits a letter of texts of at least each of ``LENGTHS`` letters in a learned language."""
+    halves = [[text[: len(text) // 2] for _, text in model], [text[len(text) // 2 :] for _, text in model]]
+    found = np.full(len(LENGTHS), np.nan)
+    for known, held_out in (halves, halves[::-1]):
+        own = Parser(tuple((name, text) for (name, _), text in zip(model, known)))
+        for i, size in enumerate(LENGTHS):
+            for text in held_out:
+                pieces = pa.array([text[at : at + size] for at in range(0, len(text) - size + 1, size)], pa.string())
+                needs = [estimates(own, block)[2] for block in blocks(pieces, BLOCK)]
+                needs = np.concatenate([np.zeros(0), *needs])
+                needs = needs[~np.isnan(needs)]
+                if len(needs):
+                    found[i] = np.fmax(found[i], np.quantile(needs, 0.9))
+    for i in range(len(found)):  # without a piece of that length, the limit of shorter ones
+        if np.isnan(found[i]):
+            found[i] = found[i - 1] if i else np.inf
+    return found * TOLERANCE
+
+
 def learn(documents: DataFrame) -> Model:
     """Reference text of each language of ``documents(doc_id, text, lang)``, bounded per language."""
     texts = documents.where("lang is not null and text is not null")
@@ -255,21 +281,22 @@ def estimates(own: Parser, block: Block) -> tuple[np.ndarray, ...]:
     )
 
 
-def accepted(documents: DataFrame, model: Model, most_bits: float = ACCEPTED_BITS) -> DataFrame:
+def accepted(documents: DataFrame, model: Model, most_bits: float | None = None) -> DataFrame:
     """The documents written in a learned language, with all their columns.
 
-    Rejected are those without a letter, and those of at least ``JUDGED_LETTERS`` letters whose best
-    estimate is over ``most_bits`` bits per letter: no learned language explains their text.
+    Rejected are those without a letter, and those whose best estimate is over ``most_bits`` bits per
+    letter, by default over the limit for their length: no learned language explains their text.
     """
     place = documents.columns.index("text")
+    most = limits(model) if most_bits is None else np.full(len(LENGTHS), most_bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = parser(model)
         for batch in batches:
             for block in blocks(batch.column(place), BLOCK):
                 _, _, bits, letters = estimates(own, block)
-                good = (letters > 0) & ((letters < JUDGED_LETTERS) | (bits <= most_bits))
-                good &= len(own.names) > 0
+                at = np.maximum(np.searchsorted(LENGTHS, letters, side="right") - 1, 0)
+                good = (letters > 0) & (bits <= most[at]) & (len(own.names) > 0)
                 yield batch.slice(block.first, block.size).filter(pa.array(good))
 
     return documents.mapInArrow(run, documents.schema)
