@@ -2,8 +2,8 @@
 
 Vectors of equal label and dimension are compared by cosine in double precision.  Equal vectors are
 collapsed first and counted, so a vector that a third of all rows share is one node.  Each label is
-cut into overlapping shards: k-means centres (fitted on a bounded sample of at most ``SAMPLE``
-vectors over all labels), and every vector joins the shards of its ``overlap`` nearest centres.
+cut into overlapping shards: k-means centres (fitted on a sample of ``SAMPLE`` vectors over all labels,
+or four for each centre if that is more), and every vector joins the shards of its ``overlap`` nearest centres.
 
 In each shard a flat graph is built by robust pruning: of the nearest and some random members a
 vector keeps one after the other, dropping those that a kept one is nearer to by ``ALPHA``.  The
@@ -12,9 +12,11 @@ shards: a greedy search from the medoid with a beam, and from the vectors found
 through all neighbours in range.  What is linked was compared exactly; a pair that meets in two
 shards is counted in the smaller one.
 
-The graph may miss links, so recall is audited: ``AUDITED`` vectors, chosen by a hash, are compared
-with all rows, and if the graphs found less than ``RECALL`` of their links, the search is done anew
-with more overlap and a wider beam.
+The graph may miss links, so recall is audited label by label: ``AUDITED`` vectors of each, chosen by
+a hash, are compared with all rows, and up to ``MOST_AUDITED`` until ``LINKED`` of them have links.  If
+the graphs found on average less than ``RECALL`` of a vector's links, the search is done anew with
+more overlap and a wider beam; labels that are short after ``ATTEMPTS`` are compared exactly, in
+blocks of ``EXACT`` vectors.
 
 Defined results: a vector that is null, empty, zero or has null or non-finite components, and any
 vector without a label, links with nothing; rows with the same id are one node of several vectors,
@@ -27,7 +29,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldpulse.llm.graphs import components, spanning
@@ -44,6 +46,9 @@ STRANGERS = 16
 ALPHA = 1.2
 BEAM = 24
 AUDITED = 200
+LINKED = 50
+MOST_AUDITED = 12_800
+EXACT = 2_000
 RECALL = 0.95
 ATTEMPTS = 3
 
@@ -150,15 +155,18 @@ def _usable() -> object:
 
 def _centres(nodes: DataFrame, sizes: dict[str, int]) -> dict[str, np.ndarray]:
     """k-means centres of every label, one for ``SHARD`` vectors."""
-    sample = nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("place", "vector").toPandas()
     total, found = sum(sizes.values()), {}
+    enough = max(SAMPLE, 4 * min(CENTRES, -(-total // SHARD)))
+    sample = nodes.orderBy(F.xxhash64("node"), "node").limit(enough)
+    sample = sample.select("place", F.col("vector").cast("array<float>").alias("vector")).toPandas()
     share = min(1.0, SHARD * CENTRES / max(1, total))
     for place, rows in sample.groupby("place"):
         many = max(1, min(round(sizes[place] * share / SHARD), len(rows) // 4))
         points = unit(np.array(rows["vector"].tolist(), np.float64))
         centres = points[np.random.default_rng(3).permutation(len(points))[:many]]
         for _ in range(6 if many > 1 else 0):
-            nearest = (points @ centres.T).argmax(1)
+            cuts = range(0, len(points), 512)
+            nearest = np.concatenate([(points[low : low + 512] @ centres.T).argmax(1) for low in cuts])
             sums = np.zeros_like(centres)
             np.add.at(sums, nearest, points)
             norms = np.sqrt((sums * sums).sum(1, keepdims=True))
@@ -239,28 +247,83 @@ def _searched(shards: DataFrame, graph: DataFrame, beam: int, near: float) -> Da
 # -- the operator -------------------------------------------------------------------------------------
 
 
-def _audit(nodes: DataFrame, links: DataFrame, near: float) -> float:
-    """Share of the true links of some nodes that were found, by comparing them with all rows."""
-    asked = nodes.orderBy(F.xxhash64("node", F.lit(11)), "node").limit(AUDITED)
-    queries = asked.join(links, "node", "left").select("node", "place", "vector", "links").toPandas()
-    if not len(queries):
-        return 1.0
-    queries["vector"] = list(map(lambda v: unit(np.array([v], np.float64))[0], queries["vector"]))
-    shared = nodes.sparkSession.sparkContext.broadcast({p: g for p, g in queries.groupby("place")})
+def _recalls(nodes: DataFrame, links: DataFrame, near: float) -> dict[str, float]:
+    """For each label the mean share of their true links that were found of some nodes that have links.
+
+    The nodes are compared with all rows.  Where few have links, more are asked.
+    """
+    last = Window.partitionBy("place").orderBy(F.xxhash64("node", F.lit(11)), "node")
+    ranked = nodes.select("place", "node", F.row_number().over(last).alias("turn"))
+    spark, known, places, low, high = nodes.sparkSession, [], None, 0, AUDITED
+    while low < MOST_AUDITED and (places is None or places):
+        asked = ranked.where((F.col("turn") > low) & (F.col("turn") <= high))
+        asked = asked if places is None else asked.where(F.col("place").isin(places))
+        queries = asked.drop("place", "turn").join(nodes, "node").join(links, "node", "left")
+        queries = queries.select("node", "place", "vector", "links").toPandas()
+        if not len(queries):
+            break
+        shared = spark.sparkContext.broadcast(
+            {p: (g["node"].to_numpy(), unit(np.array(g["vector"].tolist(), np.float64))) for p, g in queries.groupby("place")}
+        )
 
-    def run(batches):
-        for batch in batches:
-            for place, rows in batch.groupby("place"):
-                if (own := shared.value.get(place)) is not None:
-                    points = unit(np.array(rows["vector"].tolist(), np.float64))
-                    close = np.stack(own["vector"].tolist()) @ points.T >= near
-                    close &= own["node"].to_numpy()[:, None] != rows["node"].to_numpy()[None]
-                    yield pd.DataFrame({"node": own["node"], "true": close @ rows["weight"].to_numpy()})
+        def run(batches):
+            for batch in batches:
+                for place, rows in batch.groupby("place"):
+                    if (own := shared.value.get(place)) is not None:
+                        points = unit(np.array(rows["vector"].tolist(), np.float64))
+                        others, weights = rows["node"].to_numpy(), rows["weight"].to_numpy()
+                        for at in range(0, len(own[0]), 256):
+                            asking = own[0][at : at + 256]
+                            close = own[1][at : at + 256] @ points.T >= near
+                            close &= asking[:, None] != others[None]
+                            yield pd.DataFrame({"node": asking, "true": close @ weights})
+
+        rows = nodes if places is None else nodes.where(F.col("place").isin(places))
+        true = rows.select("place", "node", "vector", "weight").mapInPandas(run, "node long, true long")
+        true = true.groupBy("node").agg(F.sum("true").alias("true")).toPandas()
+        known.append(queries.drop(columns="vector").merge(true, on="node", how="left").fillna({"links": 0, "true": 0}))
+        every = pd.concat(known)
+        some = every[every["true"] > 0]
+        linked, seen = some.groupby("place").size(), queries["place"].unique()
+        places = [p for p in seen if linked.get(p, 0) < LINKED and (queries["place"] == p).sum() == high - low]
+        low, high = high, min(4 * high, MOST_AUDITED)
+    if not known:
+        return {}
+    return (some["links"] / some["true"]).groupby(some["place"]).mean().to_dict()
+
+
+def _exact(nodes: DataFrame, sizes: dict[str, int], near: float) -> DataFrame:
+    """What ``_searched`` gives, from all pairs of the nodes, in a task for each pair of blocks."""
+    blocks = F.create_map(*[F.lit(x) for p, n in sizes.items() for x in (p, -(-n // EXACT))])[F.col("place")]
+    own = nodes.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)).alias("with")
+    dealt = own.select("place", "node", "vector", "weight", "own", other)
+    dealt = dealt.withColumns({"one": F.least("own", "with"), "two": F.greatest("own", "with")})
 
-    true = nodes.select("place", "node", "vector", "weight").mapInPandas(run, "node long, true long")
-    true = true.groupBy("node").agg(F.sum("true").alias("true")).toPandas()
-    both = queries.merge(true, on="node", how="left").fillna({"links": 0, "true": 0})
-    return float(both["links"].sum() / both["true"].sum()) if both["true"].sum() else 1.0
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("node", ignore_index=True)
+        ids, weights, of = (group[c].to_numpy() for c in ("node", "weight", "own"))
+        vectors = unit(np.array(group["vector"].tolist(), np.float64))
+        apart = group["one"].iloc[0] != group["two"].iloc[0]
+        counts, stars = np.zeros(len(ids), np.int64), []
+        for low in range(0, len(ids), 256):
+            close = vectors[low : low + 256] @ vectors.T >= near
+            close[np.arange(len(close)), np.arange(low, low + len(close))] = False
+            if apart:
+                close &= of[low : low + 256][:, None] != of[None]
+            counts[low : low + 256] = close @ weights
+            a, b = np.nonzero(close)
+            stars = spanning([*stars, *zip(ids[a + low].tolist(), ids[b].tolist())])
+        linked = np.flatnonzero(counts)
+        return pd.DataFrame(
+            {
+                "node": np.append(ids[linked], [s[0] for s in stars]).astype(np.int64),
+                "links": np.append(counts[linked], np.zeros(len(stars))).astype(np.int64),
+                "other": pd.array([None] * len(linked) + [s[1] for s in stars], dtype="Int64"),
+            }
+        )
+
+    return dealt.groupBy("place", "one", "two").applyInPandas(run, "node long, links long, other long")
 
 
 def near_vectors(embeddings: DataFrame, near: float = NEAR) -> DataFrame:
@@ -284,9 +347,16 @@ def near_vectors(embeddings: DataFrame, near: float = NEAR) -> DataFrame:
         _searched(shards, _graph(shards), beam, near).write.parquet(f"{folder}/links{attempt}")
         found = spark.read.parquet(f"{folder}/links{attempt}")
         links = found.groupBy("node").agg(F.sum("links").alias("links"))
-        if _audit(nodes, links, near) >= RECALL:
+        short = [place for place, recall in _recalls(nodes, links, near).items() if recall < RECALL]
+        if not short:
             break
         overlap, beam = overlap + 1, 2 * beam
+    if short:
+        missed = nodes.where(F.col("place").isin(short))
+        _exact(missed, {p: sizes[p] for p in short}, near).write.parquet(f"{folder}/exact")
+        found = found.join(missed.select("node"), "node", "left_anti")
+        found = found.unionByName(spark.read.parquet(f"{folder}/exact"))
+        links = found.groupBy("node").agg(F.sum("links").alias("links"))
     stars = found.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b"))
     copies = usable.join(nodes.select("place", "embedding", "node", "weight"), ["place", "embedding"])
     own = copies.join(links, "node", "left").groupBy("vec_id").agg(
