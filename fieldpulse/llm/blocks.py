@@ -8,7 +8,7 @@ its own).
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -74,6 +74,15 @@ def _give_back() -> None:
         _C.malloc_trim(0)
 
 
+def that_fit(sizes: Iterable[int], most: int) -> list[bool]:
+    """Which of some texts fit into ``most`` together, in turn; one that does not is skipped."""
+    fits = []
+    for size in sizes:
+        fits.append(size <= most)
+        most -= size if fits[-1] else 0
+    return fits
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """Spread 64-bit values (the finaliser of splitmix64)."""
     values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldpulse.llm import attention
-from fieldpulse.llm.blocks import ENCODED_BYTES, Block, blocks, lowered, mixed, owners, range_hashes, spread, words_of
+from fieldpulse.llm.blocks import ENCODED_BYTES, Block, blocks, lowered, mixed, owners, range_hashes, spread, that_fit, words_of
 from fieldpulse.llm.bpe import PieceCache, load_ranks
 from fieldpulse.llm.exchange import targets_for
 from fieldpulse.session import work_folder
@@ -132,7 +132,7 @@ def _start(training: DataFrame, path: str) -> attention.Trainer:
     order = [F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")]
     ids = training.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("size"), F.xxhash64("text").alias("tie"))
     first = ids.orderBy(F.xxhash64("doc_id"), "doc_id", "tie").limit(START_DOCUMENTS).toPandas()
-    chosen = first["doc_id"][first["size"].cumsum() <= START_CHARS].unique().tolist()
+    chosen = first["doc_id"][np.array(that_fit(first["size"].tolist(), START_CHARS), bool)].unique().tolist()
     wanted = F.broadcast(training.sparkSession.createDataFrame([(int(i),) for i in chosen], "doc_id long"))
     texts = training.join(wanted, "doc_id", "left_semi").orderBy(*order).select("text").toPandas()["text"]
     words = [Text(block) for block in blocks(pa.array(texts.tolist(), pa.string()))]

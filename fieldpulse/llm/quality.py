@@ -23,10 +23,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldpulse.llm.blocks import Block, blocks, lowered, mixed, owners, range_hashes, words_of
+from fieldpulse.llm.blocks import Block, blocks, lowered, mixed, owners, range_hashes, that_fit, words_of
 
 BUCKETS = 1 << 17
 DIMENSIONS = 8
@@ -132,9 +132,17 @@ def labelled_sample(documents: DataFrame, labels: DataFrame) -> tuple[list[str],
     marks = F.broadcast(session.createDataFrame(chosen, "doc_id long, quality int"))
     known = documents.select("doc_id", "text").join(marks, "doc_id")
     order = [F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")]
-    sizes = known.orderBy(*order).select(F.coalesce(F.length("text"), F.lit(0)).alias("n"))
-    fits = int((sizes.toPandas()["n"].cumsum() <= SAMPLE_CHARS).sum())
-    rows = known.orderBy(*order).limit(fits).toPandas()
+    size = F.coalesce(F.length("text"), F.lit(0)).alias("n")
+    sizes = known.orderBy(*order).select("doc_id", F.xxhash64("text").alias("tie"), size).toPandas()
+    some = sizes[np.array(that_fit(sizes["n"].tolist(), SAMPLE_CHARS), bool)]
+    # Equal rows are told apart by their number, so that no more of them come than fit.
+    some = some.groupby(["doc_id", "tie"], as_index=False).size()
+    wanted = session.createDataFrame(
+        [(int(d), int(t), int(n)) for d, t, n in some.itertuples(index=False)], "doc_id long, tie long, many long"
+    )
+    turn = F.row_number().over(Window.partitionBy("doc_id", "tie").orderBy("doc_id"))
+    rows = known.withColumn("tie", F.xxhash64("text")).join(F.broadcast(wanted), ["doc_id", "tie"])
+    rows = rows.withColumn("turn", turn).where("turn <= many").orderBy(*order).select("doc_id", "text", "quality").toPandas()
     return rows["text"].fillna("").tolist(), rows["quality"].tolist()
 
 
