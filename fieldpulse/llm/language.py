@@ -182,6 +182,11 @@ class Parser:
 
     def estimate(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """Bits per letter for each document (columns) and language; letters of each document."""
+        bits, _, letters = self.estimate_both(block)
+        return bits, letters
+
+    def estimate_both(self, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``estimate``, and between them the bits per letter with the best language of every run."""
         codes = np.frombuffer(block.data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
         lead = np.flatnonzero((block.data & 0xC0) != 0x80)
         first = np.searchsorted(lead, block.offsets)
@@ -197,7 +202,7 @@ class Parser:
         start = np.repeat(first[:-1] - RUN * (np.cumsum(many) - many), many) + RUN * np.arange(many.sum())
         stop = np.minimum(start + RUN, np.repeat(first[1:], many))
         of = np.repeat(np.arange(block.size), many)
-        total = np.zeros((len(self.names), block.size))
+        total, least = np.zeros((len(self.names), block.size)), np.zeros(block.size)
         padded = np.append(symbols, np.zeros(RUN, symbols.dtype))
         order = np.argsort(start - stop, kind="stable")
         for low in range(0, len(order), 4096):
@@ -207,9 +212,11 @@ class Parser:
             runs = padded[start[some][None] + steps]
             runs[steps >= (stop - start)[some][None]] = 0
             counts = self.phrases(runs)
+            least += np.bincount(of[some], (counts * self.bits[:, None]).min(0), block.size)
             for language in range(len(self.names)):
                 total[language] += np.bincount(of[some], counts[language], block.size)
-        return total * self.bits[:, None] / np.maximum(letters, 1), letters
+        many = np.maximum(letters, 1)
+        return total * self.bits[:, None] / many, least / many, letters
 
 
 @lru_cache(2)
@@ -282,9 +289,9 @@ def estimates(own: Parser, block: Block) -> tuple[np.ndarray, ...]:
 
 
 def accepted(documents: DataFrame, model: Model, most_bits: float | None = None) -> DataFrame:
-    """The documents written in a learned language, with all their columns.
+    """The documents written in learned languages, each run in its own, with all their columns.
 
-    Rejected are those without a letter, and those whose best estimate is over ``most_bits`` bits per
+    Rejected are those without a letter, and those whose estimate is over ``most_bits`` bits per
     letter, by default over the limit for their length: no learned language explains their text.
     """
     place = documents.columns.index("text")
@@ -294,9 +301,11 @@ def accepted(documents: DataFrame, model: Model, most_bits: float | None = None)
         own = parser(model)
         for batch in batches:
             for block in blocks(batch.column(place), BLOCK):
-                _, _, bits, letters = estimates(own, block)
+                if not own.names:
+                    continue
+                _, bits, letters = own.estimate_both(block)
                 at = np.maximum(np.searchsorted(LENGTHS, letters, side="right") - 1, 0)
-                good = (letters > 0) & (bits <= most[at]) & (len(own.names) > 0)
+                good = (letters > 0) & (bits <= most[at])
                 yield batch.slice(block.first, block.size).filter(pa.array(good))
 
     return documents.mapInArrow(run, documents.schema)

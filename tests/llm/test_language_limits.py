@@ -47,3 +47,9 @@ def test_junk_goes_however_short(spark, documents):
 def test_limits_fall_with_the_length(documents):
     found = language.limits(language.learn(documents))
     assert found[2] > found[3] > found[4] > found[6] and 4 < found[-1] < 5
+
+
+def test_text_in_two_learned_languages_stays(spark, documents):
+    long = [documents.where(F.col("lang") == x).where("n_chars > 1200").orderBy("doc_id").first().text for x in ("en", "fr")]
+    docs = spark.createDataFrame([(1, f"{long[0][:1200]} {long[1][:1200]}")], "doc_id long, text string")
+    assert share_kept(docs, language.learn(documents)) == 1
