@@ -19,6 +19,7 @@ from fieldpulse.llm import (
     page_text,
     quality,
     repeats,
+    token_counts,
 )
 from fieldpulse.llm.oracles import ORACLES
 
@@ -85,6 +86,11 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), path)
 
 
+def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.count_tokens(table(spark, folder, "documents"), path, limit=512)
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_model": op1_language_model,
     "op2_language": op2_language,
@@ -96,4 +102,5 @@ QUERIES: dict[str, Query] = {
     "op8_near_sets": op8_near_sets,
     "op9_near_vectors": op9_near_vectors,
     "op10_packing": op10_packing,
+    "op13_token_counts": op13_token_counts,
 }
