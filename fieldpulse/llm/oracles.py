@@ -60,4 +60,42 @@ select doc_id, len(shingles)::bigint n_shingles, component_id
 from sets join (select doc_id, min(other) component_id from reached group by doc_id) using (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op6_repeats": REPEATS, "op8_near_sets": NEAR_SETS}
+_ASSIGNED = """select vec_id, p, x, least.d d, least.e e from (
+    select vec_id, p, any_value(parts.x) x,
+      min({{'d': list_inner_product(parts.x, parts.x) + list_inner_product(book.x, book.x)
+        - 2 * list_inner_product(parts.x, book.x), 'e': e}}) least
+    from parts join {book} book using (p) group by vec_id, p)"""
+
+_IMPROVED = """
+), near{n} as materialized ({assigned}
+), sums{n} as (
+  select p, e, i, floor(sum(c) / count(*)) mean
+  from (select p, e, unnest(x) c, generate_subscripts(x, 1) i from near{n}) group by p, e, i
+), book{next} as materialized (
+  select p, e, coalesce(moved.x, book.x) x from book{n} book
+  left join (select p, e, list(mean order by i) x from sums{n} group by p, e) moved using (p, e)"""
+
+_ROUNDS = "".join(
+    _IMPROVED.format(n=n, next=n + 1, assigned=_ASSIGNED.format(book=f"book{n}")) for n in range(4)
+)
+
+VECTOR_CODES = f"""
+with kept as (
+  select vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::double)) v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), parts as materialized (
+  select vec_id, p, v[p * len(v) // 4 + 1 : (p + 1) * len(v) // 4] x from kept, unnest(range(4)) t(p)
+), book0 as materialized (
+  select p, row_number() over (partition by p order by vec_id) - 1 e, x from parts qualify e < 256{_ROUNDS}
+), near4 as materialized ({_ASSIGNED.format(book="book4")}
+), coded as (
+  select vec_id, string_agg(printf('%02x', e), '' order by p) code, sum(d)::bigint error from near4 group by vec_id
+), digest as (
+  select sha256(string_agg(n::bigint::varchar, ',' order by p, e, i)) codebooks_sha256
+  from (select p, e, unnest(x) n, generate_subscripts(x, 1) i from book4)
+)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint label_error, codebooks_sha256
+from coded join kept using (vec_id), digest
+"""
+
+ORACLES: dict[str, str] = {"op6_repeats": REPEATS, "op8_near_sets": NEAR_SETS, "op12_vector_codes": VECTOR_CODES}

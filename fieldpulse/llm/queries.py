@@ -20,6 +20,7 @@ from fieldpulse.llm import (
     quality,
     repeats,
     token_counts,
+    vector_codes,
 )
 from fieldpulse.llm.oracles import ORACLES
 
@@ -86,6 +87,10 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), path)
 
 
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.compress(table(spark, folder, "embeddings"))
+
+
 def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.count_tokens(table(spark, folder, "documents"), path, limit=512)
@@ -102,5 +107,6 @@ QUERIES: dict[str, Query] = {
     "op8_near_sets": op8_near_sets,
     "op9_near_vectors": op9_near_vectors,
     "op10_packing": op10_packing,
+    "op12_vector_codes": op12_vector_codes,
     "op13_token_counts": op13_token_counts,
 }
