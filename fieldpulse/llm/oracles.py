@@ -98,4 +98,40 @@ select vec_id, code, error, (sum(error) over (partition by label))::bigint label
 from coded join kept using (vec_id), digest
 """
 
-ORACLES: dict[str, str] = {"op6_repeats": REPEATS, "op8_near_sets": NEAR_SETS, "op12_vector_codes": VECTOR_CODES}
+PHRASES = r"""
+with pieces as (
+  select coalesce(lang, 'und') lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) piece
+  from documents
+), words as (
+  select lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') w from pieces
+), places as (
+  select lang, w, unnest(range(1, len(w) + 1)) i from words
+), counts as materialized (
+  select lang, size, array_to_string(w[i : i + size - 1], ' ') phrase, w[i : i + size - 1] w, count(*)::hugeint f
+  from places, unnest(range(1, 4)) s(size) where i + size - 1 <= len(w) group by all
+), candidates as (
+  select lang, size, phrase, w, f a from counts where size >= 2 and f >= 10
+), cuts as (
+  select c.lang, c.phrase, c.a, k, l.f l, r.f r, (1000000 * a * a) // (l.f * r.f) score
+  from candidates c, unnest(range(1, 3)) t(k)
+  join counts l on l.lang = c.lang and l.size = k and l.phrase = array_to_string(c.w[:k], ' ')
+  join counts r on r.lang = c.lang and r.size = c.size - k and r.phrase = array_to_string(c.w[k + 1 :], ' ')
+  where k < c.size
+), least as (
+  select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), covered as (
+  select distinct c.lang, c.phrase from candidates c join candidates o
+    on o.lang = c.lang and o.size = 3 and c.size = 2 and c.phrase in (array_to_string(o.w[:2], ' '), array_to_string(o.w[2:], ' '))
+  where 100 * o.a >= 50 * c.a
+), ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) rank
+  from least anti join covered using (lang, phrase)
+)
+select lang, rank::bigint rank, phrase, a::bigint a, l::bigint l, r::bigint r, n, score::bigint score
+from ranked join (select lang, sum(f)::bigint n from counts where size = 1 group by lang) using (lang)
+where rank <= 2000
+"""
+
+ORACLES: dict[str, str] = {"op6_repeats": REPEATS, "op8_near_sets": NEAR_SETS, "op11_phrases": PHRASES, "op12_vector_codes": VECTOR_CODES}

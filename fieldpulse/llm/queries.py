@@ -17,6 +17,7 @@ from fieldpulse.llm import (
     near_vectors,
     packing,
     page_text,
+    phrases,
     quality,
     repeats,
     token_counts,
@@ -87,6 +88,10 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), path)
 
 
+def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
 def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return vector_codes.compress(table(spark, folder, "embeddings"))
 
@@ -107,6 +112,7 @@ QUERIES: dict[str, Query] = {
     "op8_near_sets": op8_near_sets,
     "op9_near_vectors": op9_near_vectors,
     "op10_packing": op10_packing,
+    "op11_phrases": op11_phrases,
     "op12_vector_codes": op12_vector_codes,
     "op13_token_counts": op13_token_counts,
 }
