@@ -32,20 +32,22 @@ def build_session(
     return builder.getOrCreate()
 
 
-#: Settings without which results differ, or writes and reads degrade, with the values that will do.
-REQUIRED = {
-    "spark.sql.session.timeZone": ("UTC", "Etc/UTC", "Z", "GMT", "+00:00"),
-    "spark.sql.adaptive.enabled": ("true",),
-    "spark.sql.parquet.outputTimestampType": ("TIMESTAMP_MICROS",),
-}
+#: Names of the zone event ids are written in.
+UTC_NAMES = ("UTC", "Etc/UTC", "Z", "GMT", "+00:00")
+_ZONE, _TIMESTAMPS = "spark.sql.session.timeZone", "spark.sql.parquet.outputTimestampType"
+
 
+def prepare_writes(spark: SparkSession) -> None:
+    """Make a session fit for writing tables, whoever built it.
 
-def require_settings(spark: SparkSession) -> None:
-    """Event ids are hashed from text in the session zone, so another zone gives other ids; hot hours
-    are split by adaptive execution; pruning needs timestamps with statistics."""
-    for key, values in REQUIRED.items():
-        if (value := spark.conf.get(key)) not in values:
-            raise ValueError(f"{key} must be {values[0]}, not {value}")
+    The type of Parquet timestamps is set once and stays, since writes run side by side.  The zone is
+    only checked: event ids are hashed from text in the session zone, so rows planned in another zone
+    already have other ids.
+    """
+    if (zone := spark.conf.get(_ZONE)) not in UTC_NAMES:
+        raise ValueError(f"event ids need UTC, not {zone}: spark.conf.set('{_ZONE}', 'UTC') before reading events")
+    if spark.conf.get(_TIMESTAMPS) != SETTINGS[_TIMESTAMPS]:
+        spark.conf.set(_TIMESTAMPS, SETTINGS[_TIMESTAMPS])
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:

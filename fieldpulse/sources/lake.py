@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from fieldpulse.functions.timegrid import utc_day, utc_hour
 from fieldpulse.model import SENSOR_LATEST, SILVER, TABLES, TableSpec
-from fieldpulse.session import require_settings
+from fieldpulse.session import prepare_writes
 from fieldpulse.sources.files import children, delete_tree, path_exists
 from fieldpulse.sources.scope import Hour, HourScope
 
@@ -214,7 +214,7 @@ class ParquetLake:
         )
 
     def append(self, table: str, rows: DataFrame) -> None:
-        require_settings(self.spark)
+        prepare_writes(rows.sparkSession)
         spec = TABLES[table]
         self._publish_staged(spec)
         self._laid_out(spec, rows).write.insertInto(self._files(spec))
@@ -281,6 +281,7 @@ class ParquetLake:
         return newest.select(*keys, "newest.*").where(~F.col("gone"))
 
     def _stage(self, spec: TableSpec, rows: DataFrame) -> None:
+        prepare_writes(rows.sparkSession)
         writer = self._laid_out(spec, rows).write.mode("overwrite")
         if spec.partition_names:
             writer = writer.partitionBy(*spec.partition_names)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from fieldpulse import model as m
 from fieldpulse.functions.identity import event_id
 from fieldpulse.model import TABLES
-from fieldpulse.session import work_folder
+from fieldpulse.session import prepare_writes, work_folder
 from fieldpulse.sources.scope import RANGES, HourScope
 
 # Partitioning of existing tables.
@@ -72,9 +72,11 @@ class MergeLake:
         return None
 
     def append(self, table: str, rows: DataFrame) -> None:
+        prepare_writes(rows.sparkSession)
         rows.select(*TABLES[table].column_names).writeTo(self.view(table)).append()
 
     def upsert(self, table: str, rows: DataFrame, scope: HourScope) -> None:
+        prepare_writes(rows.sparkSession)
         spec = TABLES[table]
         matches = [F.col(f"{table}.{key}") == F.col(f"source.{key}") for key in spec.keys]
         matches.append(scope.spans(F.col(f"{table}.{spec.clock}"), RANGES))
@@ -94,6 +96,7 @@ class MergeLake:
 
         The names between which all sensors of the batch lie let the format skip files.
         """
+        prepare_writes(rows.sparkSession)
         table = m.SENSOR_LATEST
         names = TABLES[table].column_names
         first, last = rows.agg(F.min("sensor_id"), F.max("sensor_id")).first()
@@ -120,5 +123,6 @@ class MergeLake:
         )
 
     def overwrite(self, table: str, rows: DataFrame) -> None:
+        prepare_writes(rows.sparkSession)
         written = rows.select(*TABLES[table].column_names)
         written.writeTo(self.view(table)).overwrite(F.lit(True))

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fieldpulse.model import Limits
 from fieldpulse.plans.batch import BatchOptions, DeadLetterSink, process_batch
-from fieldpulse.session import require_settings
+from fieldpulse.session import prepare_writes
 from fieldpulse.sources.dead_letters import KafkaDeadLetters
 from fieldpulse.sources.lake import Lake, ParquetLake
 from fieldpulse.sources.merge_lake import MergeLake
@@ -76,7 +76,7 @@ class StreamConfig:
 
 
 def start_stream(spark: SparkSession, config: StreamConfig) -> StreamingQuery:
-    require_settings(spark)
+    prepare_writes(spark)
     lake = config.open_lake(spark).create()
     records = open_stream(
         spark, config.source_format, config.source_options, config.source_path

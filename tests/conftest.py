@@ -31,6 +31,15 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture
+def plain_session(spark):
+    """A session as Spark itself makes it, without this library's settings."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.parquet.outputTimestampType", "INT96")
+    session.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    return session
+
+
 @pytest.fixture
 def lake(spark, tmp_path):
     return ParquetLake(spark, str(tmp_path / "lake"), f"r_{uuid.uuid4().hex[:8]}").create()

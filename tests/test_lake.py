@@ -1,5 +1,9 @@
 """Tables: definition, layout, pruning, upsert and recovery."""
 
+import uuid
+from pathlib import Path
+
+import pyarrow.parquet as pq
 import pytest
 
 from fieldpulse import model as m
@@ -254,14 +258,27 @@ def test_overwrite_replaces_everything(make_events, lake):
     assert rows_of(lake.read(m.SITE_MINUTE), "avg_temperature") == [(1.0,)]
 
 
-def test_settings_are_checked_when_writing(spark, make_events, lake):
-    key = "spark.sql.parquet.outputTimestampType"
-    spark.conf.set(key, "INT96")
-    try:
-        with pytest.raises(ValueError, match="TIMESTAMP_MICROS"):
-            lake.append(m.SILVER, stamped(identified(make_events, ("s", "a", 1.0, 1.0, "2024-01-01T00:00:01")), NOW))
-    finally:
-        spark.conf.set(key, "TIMESTAMP_MICROS")
+def test_a_plain_session_can_write(plain_session, tmp_path):
+    """Built without this library: the writer provides the timestamp type, files have statistics."""
+    lake = ParquetLake(plain_session, str(tmp_path / "lake"), f"p_{uuid.uuid4().hex[:8]}").create()
+    plain_session.conf.set("spark.sql.session.timeZone", "UTC")
+    row = [("s", "a", 1.0, 1.0, at("2024-01-01T00:00:01"))]
+    events = ev.with_event_id(plain_session.createDataFrame(row, m.EVENT_SCHEMA))
+    lake.append(m.SILVER, stamped(events, NOW))
+    assert lake.read(m.SILVER).count() == 1
+    (file,) = Path(lake.root, m.SILVER).rglob("*.parquet")
+    group = pq.ParquetFile(file).metadata.row_group(0)
+    clock = next(c for c in map(group.column, range(group.num_columns)) if c.path_in_schema == "event_time")
+    assert clock.physical_type == "INT64" and clock.is_stats_set
+
+
+def test_another_zone_is_refused(plain_session, tmp_path):
+    plain_session.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    lake = ParquetLake(plain_session, str(tmp_path / "lake"), f"p_{uuid.uuid4().hex[:8]}").create()
+    row = [("s", "a", 1.0, 1.0, at("2024-01-01T00:00:01"))]
+    events = ev.with_event_id(plain_session.createDataFrame(row, m.EVENT_SCHEMA))
+    with pytest.raises(ValueError, match="UTC, not Asia/Tokyo"):
+        lake.append(m.SILVER, stamped(events, NOW))
 
 
 def test_a_known_table_is_not_searched_again(spark, make_events, lake, monkeypatch):

@@ -24,6 +24,14 @@ def test_query_equals_its_sql(spark, tables, name):
     assert differences(frame, tables, entry_points.oracle_sql()[name]) is None
 
 
+@pytest.mark.parametrize("name", list(q.QUERIES))
+def test_query_equals_its_sql_in_a_plain_session(plain_session, tables, name, monkeypatch):
+    """As the first query of a session that its caller built: nothing is taken over from others."""
+    monkeypatch.setattr(q, "_built", {})
+    frame = entry_points.queries()[name](plain_session, SMALLEST)
+    assert differences(frame, tables, entry_points.oracle_sql()[name]) is None
+
+
 def test_entry_point(spark):
     assert entry_points.entry(spark).count() == 692
 
