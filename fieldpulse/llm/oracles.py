@@ -113,18 +113,21 @@ with pieces as (
   from places, unnest(range(1, 4)) s(size) where i + size - 1 <= len(w) group by all
 ), candidates as (
   select lang, size, phrase, w, f a from counts where size >= 2 and f >= 10
+), cut as materialized (
+  select lang, phrase, a, size, k, array_to_string(w[:k], ' ') head, array_to_string(w[k + 1 :], ' ') rest
+  from (select *, unnest(range(1, size)) k from candidates)
 ), cuts as (
   select c.lang, c.phrase, c.a, k, l.f l, r.f r, (1000000 * a * a) // (l.f * r.f) score
-  from candidates c, unnest(range(1, 3)) t(k)
-  join counts l on l.lang = c.lang and l.size = k and l.phrase = array_to_string(c.w[:k], ' ')
-  join counts r on r.lang = c.lang and r.size = c.size - k and r.phrase = array_to_string(c.w[k + 1 :], ' ')
-  where k < c.size
+  from cut c
+  join counts l on l.lang = c.lang and l.phrase = head
+  join counts r on r.lang = c.lang and r.phrase = rest
 ), least as (
   select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), inside as (
+  select lang, unnest([array_to_string(w[:2], ' '), array_to_string(w[2:], ' ')]) phrase, a longer
+  from candidates where size = 3
 ), covered as (
-  select distinct c.lang, c.phrase from candidates c join candidates o
-    on o.lang = c.lang and o.size = 3 and c.size = 2 and c.phrase in (array_to_string(o.w[:2], ' '), array_to_string(o.w[2:], ' '))
-  where 100 * o.a >= 50 * c.a
+  select distinct lang, phrase from candidates join inside using (lang, phrase) where 100 * longer >= 50 * a
 ), ranked as (
   select *, row_number() over (partition by lang order by score desc, a desc, phrase) rank
   from least anti join covered using (lang, phrase)
