@@ -334,7 +334,7 @@ def path_counts(documents: DataFrame, least: int, text_col: str = "text", lang_c
                 yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), stored], ["range", "automaton"])
 
     dealt = texts.mapInArrow(shards, "range int, automaton binary")
-    gathered = dealt.repartition(ranges, "range").sortWithinPartitions("range")
+    gathered = dealt.repartitionById(ranges, "range").sortWithinPartitions("range")
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, stored in _by_range(batches):
