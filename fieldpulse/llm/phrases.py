@@ -47,6 +47,8 @@ CHARS_PER_RANGE = 12 << 20
 SAMPLED_PER_RANGE = 128
 #: Requests that a prefix may gather in one task, at least.
 LEAST_SHARE = 1000
+#: Groups in which the phrases of a language are ranked before they are ranked together.
+DEALS = 32
 UNKNOWN_LANGUAGE = "und"
 
 _BITS = 21
@@ -548,8 +550,12 @@ def collocations(
 ) -> DataFrame:
     """The best ``top`` phrases of each language, with counts of the phrase, its parts and all words."""
     counts = path_counts(documents, least, text_col, lang_col)
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    best = scored(counts, inside_percent).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    order = F.desc("score"), F.desc("a"), F.asc("phrase")
+    deal = F.pmod(F.xxhash64("phrase"), F.lit(DEALS))
+    best = scored(counts, inside_percent)
+    for by in (["lang", deal], ["lang"]):  # the last ranking sees at most DEALS times top rows of a language
+        place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+        best = best.withColumn("rank", place).where(F.col("rank") <= top)
     totals = counts.where("s1 = 0").select("lang", F.col("f").alias("n"))
     names = ["lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"]
     return best.join(totals, "lang").select(*names)
