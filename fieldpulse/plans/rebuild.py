@@ -44,9 +44,12 @@ def _rebuild_from(lake: Lake, partials: DataFrame, limits: m.Limits, now: dateti
         lake.overwrite(m.SENSOR_MINUTE, stamped(minutes.sensor_minute(partials), now))
 
     def site_minutes() -> None:
-        sites = minutes.site_minute(partials)
-        lake.overwrite(m.SITE_MINUTE, stamped(sites, now))
-        lake.overwrite(m.SITE_ALERT_MINUTE, stamped(minutes.site_alert_minute(sites), now))
+        sites = minutes.site_minute(partials).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            lake.overwrite(m.SITE_MINUTE, stamped(sites, now))
+            lake.overwrite(m.SITE_ALERT_MINUTE, stamped(minutes.site_alert_minute(sites), now))
+        finally:
+            sites.unpersist()
 
     def latest() -> None:
         newest = status.newest_times(partials).persist(StorageLevel.MEMORY_AND_DISK)

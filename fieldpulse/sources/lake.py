@@ -1,37 +1,44 @@
-"""The five tables as Parquet tables of the session catalog that are only ever appended to.
+"""The five tables as Parquet tables of the session catalog that batches only ever append to.
 
 Readers use the views of the ``reporting`` schema, which show exactly the contract columns.  The
-files belong to tables of a second schema, partitioned by UTC day and hour.  The catalog knows the
-partitions, so a read with a partition filter lists only the folders it needs.
-
-Gold rows are appended with the time of writing, and the views show the newest row of each key (for
-the latest status: the row of the newest event).  A batch writes the rows it changed and nothing
-else, reads no gold, and never takes a file away from a reader.  A row of a key that is gone is
-marked as such.
-
-:meth:`ParquetLake.compact` rewrites hours that are over, apart from the batches: one row per key,
-few files.  It first writes the merged partitions beside the table and then copies them over the
-old ones; if the driver dies in between, the finished copy is published before the table is written
-again.  Each lake has one writer.  Appends are single Spark jobs, so lost executors only cost task
-retries.
+files belong to tables of a second schema, partitioned by UTC day, hour and level: level 0 is what
+batches appended, level 1 what a compaction made of it.  The catalog knows the partitions, so a read
+with a partition filter lists only the folders it needs.
+
+Gold rows are appended with a version, and the newest row of each key counts (for the latest status:
+the row of the newest event).  A version is the number after the largest one in the tables, which the
+writer reads once; it owes nothing to a clock, so a writer on another machine goes on where the last
+one ended.  A batch writes the rows it changed and nothing else, reads no gold, and never takes a file
+away from a reader.  A row of a key that is gone is marked as such.
+
+:meth:`ParquetLake.compact` turns hours that are over into level 1: one row per key, few files.  The
+views read level 1 as it is and look for newest rows only in the other hours, so what a read costs
+follows the rows, not the batches.  An hour that gets rows again after its compaction is *reopened*: the
+views name it before the first row is written, and find its newest rows in both levels.  The latest
+status is kept in buckets of sensors instead of hours; a compaction rewrites those that got rows.
+
+A compaction first writes the merged partitions beside the table and then publishes them; if the
+driver dies in between, the finished copy is published before the table is written again.  Each lake
+has one writer at a time, which opens it with :meth:`ParquetLake.create`.  Appends are single Spark
+jobs, so lost executors only cost task retries.
 """
 
 from __future__ import annotations
 
-import time
-from collections.abc import Iterator
-from dataclasses import dataclass, replace
+import threading
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 from typing import Protocol
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldpulse.functions.timegrid import utc_day, utc_hour
 from fieldpulse.model import SENSOR_LATEST, SILVER, TABLES, TableSpec
 from fieldpulse.session import prepare_writes
 from fieldpulse.sources.files import children, delete_tree, path_exists
-from fieldpulse.sources.scope import Hour, HourScope
+from fieldpulse.sources.scope import LISTED_HOURS, RANGES, Hour, HourScope, covered
 
 
 class Lake(Protocol):
@@ -48,26 +55,58 @@ class Lake(Protocol):
     def upsert(self, table: str, rows: DataFrame, scope: HourScope) -> None: ...
     def advance(self, rows: DataFrame) -> None: ...
     def overwrite(self, table: str, rows: DataFrame) -> None: ...
+    def compact(self, until: datetime, *tables: str) -> None: ...
     def scratch(self, name: str) -> str: ...
 
 
-#: Columns of the gold files that the views do not show.
-_HIDDEN = (("event_id", "STRING"), ("written_at", "BIGINT"), ("gone", "BOOLEAN"))
-_last_write = 0
+#: Columns of the gold files that the views do not show.  Rows of the latest status from before the
+#: last rebuild (an older epoch) do not count; the event id decides between events of equal time.
+_VERSIONED = (("written_at", "BIGINT"), ("gone", "BOOLEAN"))
+_STATUS = (("event_id", "STRING"), ("epoch", "BIGINT"))
+#: Buckets of sensors in the latest status, and the one that batches append to.
+BUCKETS = 64
+APPENDED = -1
+#: Partitions named in one statement that drops them.
+DROPPED_AT_ONCE = 500
 
 
-def _write_time() -> int:
-    """Microseconds since the epoch, later with every call."""
-    global _last_write
-    _last_write = max(_last_write + 1, time.time_ns() // 1000)
-    return _last_write
+def _versioned(spec: TableSpec) -> bool:
+    return spec.name != SILVER
 
 
-def _hidden(spec: TableSpec) -> list[tuple[str, str]]:
-    """The event id only where it decides which row is the newest."""
-    if spec.name == SILVER:
-        return []
-    return [c for c in _HIDDEN if c[0] != "event_id" or spec.name == SENSOR_LATEST]
+def _hidden(spec: TableSpec) -> tuple[tuple[str, str], ...]:
+    if spec.name == SENSOR_LATEST:
+        return _STATUS + _VERSIONED
+    return _VERSIONED if _versioned(spec) else ()
+
+
+def _partitions(spec: TableSpec) -> tuple[tuple[str, str], ...]:
+    if spec.clock is None:
+        return (("part_bucket", "INT"),)
+    return (*spec.partition_columns, ("part_level", "INT"))
+
+
+def _names(columns: Iterable[tuple[str, str]]) -> list[str]:
+    return [name for name, _ in columns]
+
+
+def _hours_sql(numbers: Iterable[int]) -> str:
+    """A filter on partitions that holds for these hours, and if they are many for some between."""
+    ranges = covered([(n, n + 1) for n in sorted(numbers)], RANGES)
+    number = "unix_date(part_day) * 24 + part_hour"
+    return " OR ".join(f"{number} BETWEEN {first} AND {end - 1}" for first, end in ranges) or "false"
+
+
+@dataclass
+class _State:
+    """What the writer knows of its tables.  Hours are numbered; the status has hour 0 only."""
+
+    lock: threading.Lock = field(default_factory=threading.Lock)
+    version: int | None = None
+    epoch: int = 0
+    appended: dict[str, set[int]] = field(default_factory=dict)
+    compacted: dict[str, set[int]] = field(default_factory=dict)
+    views: dict[str, str] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -75,6 +114,7 @@ class ParquetLake:
     spark: SparkSession
     root: str
     schema: str = "reporting"
+    state: _State = field(default_factory=_State, compare=False, repr=False)
 
     @property
     def file_schema(self) -> str:
@@ -87,13 +127,15 @@ class ParquetLake:
     # -- definition ---------------------------------------------------------------------
 
     def create(self) -> ParquetLake:
-        """Create what is missing, and finish an interrupted compaction.
+        """Create what is missing, learn what is there, and finish an interrupted compaction.
 
         Only a catalog that does not know a table yet looks for its partitions in the folders.
         """
         for schema in (self.schema, self.file_schema):
             location = f"{self.root}/_schemas/{schema}"
             self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{location}'")
+        self.state.version = None
+        self.state.views.clear()
         for spec in TABLES.values():
             self._create_table(spec)
             self._publish_staged(spec)
@@ -101,37 +143,17 @@ class ParquetLake:
 
     def _create_table(self, spec: TableSpec) -> None:
         if not self.spark.catalog.tableExists(self._files(spec)):
-            columns = [*spec.columns, *_hidden(spec), *spec.partition_columns]
-            parts = f"PARTITIONED BY ({', '.join(spec.partition_names)})" if spec.clock else ""
+            columns = [*spec.columns, *_hidden(spec), *_partitions(spec)]
             self.spark.sql(
                 f"CREATE TABLE {self._files(spec)} ({', '.join(f'{n} {t}' for n, t in columns)}) "
-                f"USING parquet OPTIONS (partitionOverwriteMode 'dynamic') {parts} "
-                f"LOCATION '{self._location(spec)}'"
+                f"USING parquet OPTIONS (partitionOverwriteMode 'dynamic') "
+                f"PARTITIONED BY ({', '.join(_names(_partitions(spec)))}) LOCATION '{self._location(spec)}'"
             )
-            if spec.clock and path_exists(self.spark, self._location(spec)):
+            if path_exists(self.spark, self._location(spec)):
                 self.spark.sql(f"ALTER TABLE {self._files(spec)} RECOVER PARTITIONS")
         self._check_location(spec)
-        self.spark.sql(f"CREATE OR REPLACE VIEW {self.view(spec.name)} AS {self._newest(spec)}")
-
-    def _newest(self, spec: TableSpec) -> str:
-        """The rows that count.  Partition columns are window keys, so filters on them still prune."""
-        columns = ", ".join(spec.column_names)
-        if spec.name == SILVER:
-            return f"SELECT {columns} FROM {self._files(spec)}"
-        if spec.name == SENSOR_LATEST:  # the newest event, but the stamp of the newest batch
-            shown = [c for c in spec.column_names if c not in ("sensor_id", "processed_at")]
-            order = "struct(-unix_micros(event_time) AS t, event_id, -written_at AS w)"
-            newest = f"min_by(struct({', '.join(shown)}, gone), {order})"
-            return (
-                f"SELECT sensor_id, {', '.join(f'newest.{c}' for c in shown)}, processed_at FROM ("
-                f"SELECT sensor_id, {newest} AS newest, max_by(processed_at, written_at) AS processed_at "
-                f"FROM {self._files(spec)} GROUP BY sensor_id) WHERE NOT newest.gone"
-            )
-        keys = ", ".join((*spec.partition_names, *spec.keys))
-        return (
-            f"SELECT {columns} FROM (SELECT *, row_number() OVER (PARTITION BY {keys} "
-            f"ORDER BY written_at DESC) AS age FROM {self._files(spec)}) WHERE age = 1 AND NOT gone"
-        )
+        self._look(spec)
+        self._show(spec)
 
     def _check_location(self, spec: TableSpec) -> None:
         described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self._files(spec)}")
@@ -154,32 +176,26 @@ class ParquetLake:
     def scratch(self, name: str) -> str:
         return f"{self.root}/_staging/{name}"
 
-    # -- reading ------------------------------------------------------------------------
-
-    def read(self, table: str, scope: HourScope | None = None) -> DataFrame:
-        """Contract columns of a table, cut to the rows in scope.
-
-        Looks for changes by other sessions first.  That drops cached frames which depend on
-        the table, so the steps of a batch use :meth:`scan`.
-        """
-        self.spark.catalog.refreshTable(self._files(TABLES[table]))
-        return self.scan(table, scope)
-
-    def scan(self, table: str, scope: HourScope | None = None) -> DataFrame:
-        """Like :meth:`read`, for the writer of the lake: sees the session's own writes."""
-        spec = TABLES[table]
-        if scope is None or spec.clock is None:
-            return self.spark.read.table(self.view(table))
-        rows = self._rows(spec).where(scope.partitions()).where(scope.spans(F.col(spec.clock)))
-        return rows.select(*spec.column_names)
+    # -- which partitions there are -------------------------------------------------------
+
+    def _look(self, spec: TableSpec) -> None:
+        """Take from the catalog which hours have appended rows and which have compacted ones."""
+        appended, compacted = set(), set()
+        days: dict[str, int] = {}
+        for (text,) in self.spark.sql(f"SHOW PARTITIONS {self._files(spec)}").collect():
+            value = dict(part.split("=", 1) for part in text.split("/"))
+            if spec.clock is None:
+                (appended if int(value["part_bucket"]) == APPENDED else compacted).add(0)
+                continue
+            day = value["part_day"]
+            if day not in days:
+                days[day] = self._day_number(day)
+            hour = days[day] * 24 + int(value["part_hour"])
+            (compacted if int(value["part_level"]) else appended).add(hour)
+        self.state.appended[spec.name], self.state.compacted[spec.name] = appended, compacted
 
-    def _rows(self, spec: TableSpec) -> DataFrame:
-        """The rows of the view together with the partition columns."""
-        if not spec.partition_names:
-            return self.spark.read.table(self.view(spec.name))
-        names = ", ".join((*spec.column_names, *spec.partition_names))
-        shown = self._newest(spec).replace(f"SELECT {', '.join(spec.column_names)}", f"SELECT {names}", 1)
-        return self.spark.sql(shown)
+    def _day_number(self, text: str) -> int:
+        return self.spark._jvm.java.time.LocalDate.parse(text).toEpochDay()
 
     def newest_hours(self, table: str) -> Iterator[Hour]:
         """Partitions of a time-partitioned table, newest first; looks at days as they are needed."""
@@ -195,37 +211,153 @@ class ParquetLake:
             for hour in sorted(hours, reverse=True):
                 yield Hour.whole(day_number[text], hour)
 
-    def _day_number(self, text: str) -> int:
-        return self.spark._jvm.java.time.LocalDate.parse(text).toEpochDay()
+    # -- the rows that count --------------------------------------------------------------
+
+    def _rows_sql(self, spec: TableSpec, columns: list[str], where: str, newest: bool) -> str:
+        """Stored rows of some partitions; if wanted only the newest of each key.
+
+        Partition columns are window keys, so filters on them still prune.
+        """
+        names = ", ".join(columns)
+        files = f"{self._files(spec)} WHERE {where}"
+        if not newest:
+            return f"SELECT {names} FROM {files}"
+        if spec.name == SENSOR_LATEST:  # the newest event, but the stamp of the newest batch
+            last = ["processed_at", "written_at"]
+            others = [c for c in columns if c != "sensor_id" and c not in last]
+            held = ", ".join([*(c for c in others if c != "gone"), "gone"])
+            order = "struct(-epoch AS e, gone, -unix_micros(event_time) AS t, event_id, -written_at AS w)"
+            picked = ", ".join(f"newest.{c}" if c in others else c for c in columns)
+            return (
+                f"SELECT {picked} FROM (SELECT sensor_id, min_by(struct({held}), {order}) "
+                f"AS newest, max_by(processed_at, written_at) AS processed_at, max(written_at) AS written_at "
+                f"FROM {files} GROUP BY sensor_id) WHERE NOT newest.gone"
+            )
+        keys = ", ".join((*spec.partition_names, *spec.keys))
+        return (
+            f"SELECT {names} FROM (SELECT *, row_number() OVER (PARTITION BY {keys} "
+            f"ORDER BY written_at DESC) AS age FROM {files}) WHERE age = 1 AND NOT gone"
+        )
+
+    def _counting_sql(self, spec: TableSpec) -> str:
+        """The text of a table's view, for the partitions the writer knows."""
+        columns = spec.column_names
+        appended, compacted = self.state.appended[spec.name], self.state.compacted[spec.name]
+        if not _versioned(spec) or not appended and compacted:
+            return self._rows_sql(spec, columns, "true", newest=False)
+        if spec.clock is None or not compacted:
+            return self._rows_sql(spec, columns, "true", newest=True)
+        reopened = _hours_sql(appended & compacted)
+        settled = self._rows_sql(spec, columns, f"part_level = 1 AND NOT ({reopened})", newest=False)
+        return f"{settled} UNION ALL {self._rows_sql(spec, columns, f'part_level = 0 OR {reopened}', newest=True)}"
+
+    def _show(self, spec: TableSpec) -> None:
+        """Let the view follow the partitions, if its text changes."""
+        text = self._counting_sql(spec)
+        if self.state.views.get(spec.name) != text:
+            self.spark.sql(f"CREATE OR REPLACE VIEW {self.view(spec.name)} AS {text}")
+            self.state.views[spec.name] = text
+
+    # -- reading ------------------------------------------------------------------------
+
+    def read(self, table: str, scope: HourScope | None = None) -> DataFrame:
+        """Contract columns of a table, cut to the rows in scope.
+
+        Looks for changes by other sessions first.  That drops cached frames which depend on
+        the table, so the steps of a batch use :meth:`scan`.
+        """
+        spec = TABLES[table]
+        self.spark.catalog.refreshTable(self._files(spec))
+        if scope is not None and spec.clock:
+            self._look(spec)
+        return self.scan(table, scope)
+
+    def scan(self, table: str, scope: HourScope | None = None) -> DataFrame:
+        """Like :meth:`read`, for the writer of the lake: sees the session's own writes.
+
+        Of compacted hours the stored rows are read as they are.
+        """
+        spec = TABLES[table]
+        if scope is None or spec.clock is None:
+            return self.spark.read.table(self.view(table))
+        if not _versioned(spec):
+            return self._in_scope(spec, scope, newest=False)
+        appended = self.state.appended[table]
+        open_ = HourScope(tuple(h for h in scope.hours if h.number in appended))
+        settled = HourScope(tuple(h for h in scope.hours if h.number not in appended))
+        if not settled.hours or len(scope.hours) > LISTED_HOURS:  # ranges would not tell them apart
+            return self._in_scope(spec, scope, newest=True)
+        rows = self._in_scope(spec, settled, newest=False)
+        return rows.unionByName(self._in_scope(spec, open_, newest=True)) if open_.hours else rows
+
+    def _in_scope(self, spec: TableSpec, scope: HourScope, newest: bool) -> DataFrame:
+        columns = [*spec.column_names, *_names(_partitions(spec))]
+        rows = self.spark.sql(self._rows_sql(spec, columns, "true", newest)).where(scope.partitions())
+        return rows.where(scope.spans(F.col(spec.clock))).select(*spec.column_names)
 
     # -- writing ------------------------------------------------------------------------
 
-    def _laid_out(self, spec: TableSpec, rows: DataFrame) -> DataFrame:
+    def _next_version(self) -> int:
+        """One more than any version in the tables or given before."""
+        with self.state.lock:
+            if self.state.version is None:
+                self.state.version, self.state.epoch = self._stored_versions()
+            self.state.version += 1
+            return self.state.version
+
+    def _stored_versions(self) -> tuple[int, int]:
+        """The largest version and epoch, from one column of each table that has partitions."""
+        found = []
+        for spec in filter(_versioned, TABLES.values()):
+            if self.state.appended[spec.name] or self.state.compacted[spec.name]:
+                epoch = F.max("epoch") if spec.name == SENSOR_LATEST else F.lit(0)
+                found.append(self.spark.read.table(self._files(spec)).agg(F.max("written_at"), epoch).first())
+        return max((v or 0 for v, _ in found), default=0), max((e or 0 for _, e in found), default=0)
+
+    def _stamped_rows(self, rows: DataFrame, gone: Column | None = None) -> DataFrame:
+        gone = F.lit(False) if gone is None else gone
+        return rows.withColumns({"written_at": F.lit(self._next_version()).cast("long"), "gone": gone})
+
+    def _laid_out(self, spec: TableSpec, rows: DataFrame, level: int = 0) -> DataFrame:
         """Rows with partition columns, gathered per partition and sorted for the writer.
 
         The rebalance step is adaptive: it splits a big partition over several tasks and packs
         small ones together, so a hot hour is not written by one task.
         """
-        names = [*spec.column_names, *[n for n, _ in _hidden(spec)]]
-        values = [utc_day(spec.clock), utc_hour(spec.clock)] if spec.clock else []
-        placed = rows.select(*names, *[v.alias(n) for v, n in zip(values, spec.partition_names)])
-        return placed.hint("rebalance", *spec.partition_names).sortWithinPartitions(
-            *spec.partition_names, *spec.sort
+        parts = _names(_partitions(spec))
+        if spec.clock:
+            values = [utc_day(spec.clock), utc_hour(spec.clock), F.lit(level)]
+        else:
+            values = [_bucket() if level else F.lit(APPENDED)]
+        placed = rows.select(
+            *spec.column_names, *_names(_hidden(spec)), *[v.alias(n) for v, n in zip(values, parts)]
         )
+        return placed.hint("rebalance", *parts).sortWithinPartitions(*parts, *spec.sort)
 
     def append(self, table: str, rows: DataFrame) -> None:
-        prepare_writes(rows.sparkSession)
         spec = TABLES[table]
+        prepare_writes(rows.sparkSession)
         self._publish_staged(spec)
         self._laid_out(spec, rows).write.insertInto(self._files(spec))
 
+    def _append_versions(self, spec: TableSpec, rows: DataFrame, hours: set[int] | None) -> None:
+        """Append gold rows of some hours (None: of any), which the view names before they are there."""
+        self._publish_staged(spec)
+        known = self.state.appended[spec.name]
+        known |= self.state.compacted[spec.name] if hours is None else hours
+        self._show(spec)
+        self.append(spec.name, rows)
+
     def upsert(self, table: str, rows: DataFrame, scope: HourScope) -> None:
         """Add rows that replace those with equal keys; nothing is read or rewritten."""
-        self.append(table, _written(rows))
+        hours = {h.number for h in scope.hours} or None
+        self._append_versions(TABLES[table], self._stamped_rows(rows), hours)
 
     def advance(self, rows: DataFrame) -> None:
         """Add candidates for the latest status, with the id of their event."""
-        self.append(SENSOR_LATEST, _written(rows))
+        spec = TABLES[SENSOR_LATEST]
+        written = self._stamped_rows(rows)
+        self._append_versions(spec, written.withColumn("epoch", F.lit(self.state.epoch).cast("long")), {0})
 
     def overwrite(self, table: str, rows: DataFrame) -> None:
         """Replace the whole table by one append: the new rows, and a mark for each key that goes.
@@ -233,65 +365,129 @@ class ParquetLake:
         Readers see every row either old or new.  :meth:`compact` drops what is outdated.
         """
         spec = TABLES[table]
-        lost = self._rows(spec).select(*spec.column_names).join(rows.select(*spec.keys), list(spec.keys), "left_anti")
-        if "event_id" in [n for n, _ in _hidden(spec)]:
-            lost = lost.withColumn("event_id", F.lit(None).cast("string"))
-        now = _write_time()
-        written, marks = _written(rows, now), _written(lost, now, gone=True)
-        self.append(table, written.unionByName(marks.select(*written.columns)))
+        written = self._stamped_rows(self.replacing(table, rows), F.col("gone"))
+        if spec.name == SENSOR_LATEST:
+            with self.state.lock:
+                self.state.epoch = self.state.version
+            written = written.withColumn("epoch", F.lit(self.state.epoch).cast("long"))
+        self._append_versions(spec, written, None if spec.clock else {0})
+        if spec.clock:
+            self._look(spec)
+            self._show(spec)
+
+    def replacing(self, table: str, rows: DataFrame) -> DataFrame:
+        """The rows that replace a table, and its other keys marked as gone: one pass over either side."""
+        spec = TABLES[table]
+        keys = list(spec.keys)
+        others = [c for c in rows.columns if c not in keys]
+        stored = self.spark.read.table(self._files(spec)).select(*keys).distinct()
+        new = rows.select(*keys, F.struct(*others).alias("new"))
+        joined = new.join(stored, keys, "full_outer")
+        return joined.select(*keys, "new.*", F.col("new").isNull().alias("gone"))
+
+    # -- compaction ---------------------------------------------------------------------
 
     def compact(self, until: datetime, *tables: str) -> None:
-        """Rewrite partitions of hours before ``until`` that have several files: one row per key.
+        """Turn hours before ``until`` that batches appended to into one row per key and few files.
 
-        The latest status, which has no partitions, is rewritten as a whole.
+        Looks at nothing else: hours compacted before, and buckets of sensors without new rows, stay
+        as they are.  The latest status has no hours and is always brought up to date.
         """
         last = int(until.timestamp()) // 3600
         for spec in map(TABLES.get, tables or TABLES):
             self._publish_staged(spec)
             self.spark.catalog.refreshTable(self._files(spec))
-            kept = self._kept(spec)
-            if spec.clock:
-                files = self.spark.read.table(self._files(spec)).select(*spec.partition_names, "_metadata.file_path")
-                hour = F.unix_date("part_day") * 24 + F.col("part_hour")
-                many = files.where(hour < last).distinct().groupBy(*spec.partition_names).count()
-                todo = many.where("count > 1").select(*spec.partition_names)
-                if todo.isEmpty():
-                    continue
-                kept = kept.join(F.broadcast(todo), spec.partition_names, "left_semi")
-            self._stage(spec, kept)
-            self._publish(spec)
-
-    def _kept(self, spec: TableSpec) -> DataFrame:
-        """The stored rows that the view depends on, with their hidden columns."""
-        rows = self.spark.read.table(self._files(spec))
-        if spec.name == SILVER:
-            return rows
-        if spec.name == SENSOR_LATEST:
-            order = F.struct(-F.unix_micros("event_time"), F.col("event_id"), -F.col("written_at"))
-            whole = F.struct(*[c for c in rows.columns if c not in ("sensor_id", "processed_at", "written_at")])
-            newest = rows.groupBy("sensor_id").agg(
-                F.min_by(whole, order).alias("newest"),
-                F.max_by("processed_at", "written_at").alias("processed_at"),
-                F.max("written_at").alias("written_at"),
-            )
-            return newest.select("sensor_id", "newest.*", "processed_at", "written_at").where(~F.col("gone"))
-        keys = [*spec.partition_names, *spec.keys]
-        others = F.struct(*[c for c in rows.columns if c not in keys])
-        newest = rows.groupBy(*keys).agg(F.max_by(others, "written_at").alias("newest"))
-        return newest.select(*keys, "newest.*").where(~F.col("gone"))
+            self._look(spec)
+            todo = sorted(h for h in self.state.appended[spec.name] if h < last or spec.clock is None)
+            for at in range(0, len(todo), LISTED_HOURS):
+                hours = todo[at : at + LISTED_HOURS]
+                self._stage(spec, self._merged(spec, hours))
+                self._publish(spec, hours)
+
+    def _merged(self, spec: TableSpec, hours: list[int]) -> DataFrame:
+        """The rows of some hours that count, with their hidden columns."""
+        columns = [*spec.column_names, *_names(_hidden(spec))]
+        if spec.clock:
+            scope = HourScope(tuple(Hour.whole(h // 24, h % 24) for h in hours))
+            parts = _names(_partitions(spec))
+            sql = self._rows_sql(spec, [*columns, *parts], "true", newest=_versioned(spec))
+            return self.spark.sql(sql).where(scope.partitions()).select(*columns)
+        buckets = ", ".join(map(str, [APPENDED, *self._touched_buckets(spec)]))
+        return self.spark.sql(self._rows_sql(spec, columns, f"part_bucket IN ({buckets})", newest=True))
+
+    def _touched_buckets(self, spec: TableSpec) -> list[int]:
+        """The buckets of the sensors with appended status rows."""
+        appended = self.spark.read.table(self._files(spec)).where(F.col("part_bucket") == APPENDED)
+        return sorted(r[0] for r in appended.select(_bucket()).distinct().collect())
 
     def _stage(self, spec: TableSpec, rows: DataFrame) -> None:
         prepare_writes(rows.sparkSession)
-        writer = self._laid_out(spec, rows).write.mode("overwrite")
-        if spec.partition_names:
-            writer = writer.partitionBy(*spec.partition_names)
-        writer.parquet(self._staging(spec))
-
-    def _publish(self, spec: TableSpec) -> None:
-        table = self.spark.read.table(self._files(spec))
-        staged = self.spark.read.schema(table.schema).parquet(self._staging(spec))
-        staged.select(*table.columns).write.insertInto(self._files(spec), overwrite=True)
+        writer = self._laid_out(spec, rows, level=1).write.mode("overwrite")
+        writer.partitionBy(*_names(_partitions(spec))).parquet(self._staging(spec))
+
+    def _publish(self, spec: TableSpec, hours: list[int] | None = None) -> None:
+        """Let the staged partitions take the place of the rows they were made of.
+
+        Versioned rows may be there twice for a while, since readers pick the newest.  Other rows may not,
+        so the old ones leave the catalog first.  Hours of which nothing is left have no staged partition:
+        their compacted rows go before the marks do.
+        """
+        staged_parts = self._staged_parts(spec)
+        if spec.clock:
+            merged = {h for h, _ in staged_parts} | set(hours or ())
+            old = [self._part(h, 0) for h in sorted(merged)]
+            empty = [self._part(h, 1) for h in sorted(merged - {h for h, _ in staged_parts})]
+        else:
+            merged, old = {0}, [f"part_bucket={APPENDED}"]
+            empty = [f"part_bucket={b}" for b in self._touched_buckets(spec) if (0, b) not in staged_parts]
+        self.state.appended[spec.name] |= merged
+        self._show(spec)
+        if not _versioned(spec):
+            self._forget(spec, [*old, *empty])
+        if staged_parts:
+            table = self.spark.read.table(self._files(spec))
+            staged = self.spark.read.schema(table.schema).parquet(self._staging(spec))
+            staged.select(*table.columns).write.insertInto(self._files(spec), overwrite=True)
+        self._drop(spec, empty)
+        self._drop(spec, old)
+        delete_tree(self.spark, f"{self._staging(spec)}/_SUCCESS")  # what is left now is not complete
         delete_tree(self.spark, self._staging(spec))
+        self.spark.catalog.refreshTable(self._files(spec))
+        self._look(spec)
+        self._show(spec)
+
+    def _staged_parts(self, spec: TableSpec) -> set[tuple[int, int]]:
+        """(hour, level) or (0, bucket) of the staged partitions."""
+        def values(folder: str, name: str) -> list[str]:
+            names = children(self.spark, folder)
+            return [n.removeprefix(f"{name}=") for n in names if n.startswith(f"{name}=")]
+
+        root = self._staging(spec)
+        if spec.clock is None:
+            return {(0, int(b)) for b in values(root, "part_bucket")}
+        return {
+            (self._day_number(day) * 24 + int(hour), 1)
+            for day in values(root, "part_day")
+            for hour in values(f"{root}/part_day={day}", "part_hour")
+        }
+
+    def _part(self, hour: int, level: int) -> str:
+        day = self.spark._jvm.java.time.LocalDate.ofEpochDay(hour // 24).toString()
+        return f"part_day={day}/part_hour={hour % 24}/part_level={level}"
+
+    def _forget(self, spec: TableSpec, parts: list[str]) -> None:
+        """Take partitions out of the catalog; their files stay."""
+        for at in range(0, len(parts), DROPPED_AT_ONCE):
+            named = []
+            for part in parts[at : at + DROPPED_AT_ONCE]:
+                values = (p.split("=", 1) for p in part.split("/"))
+                named.append("PARTITION (" + ", ".join(f"{n} = '{v}'" for n, v in values) + ")")
+            self.spark.sql(f"ALTER TABLE {self._files(spec)} DROP IF EXISTS {', '.join(named)}")
+
+    def _drop(self, spec: TableSpec, parts: list[str]) -> None:
+        self._forget(spec, parts)
+        for part in parts:
+            delete_tree(self.spark, f"{self._location(spec)}/{part}")
 
     def _publish_staged(self, spec: TableSpec) -> None:
         """Finish a compaction whose merged partitions are complete but perhaps not published."""
@@ -299,10 +495,9 @@ class ParquetLake:
             self._publish(spec)
 
 
-def stamped(rows: DataFrame, processed_at: datetime) -> DataFrame:
-    return rows.withColumn("processed_at", F.lit(processed_at).cast("timestamp"))
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("sensor_id"), F.lit(BUCKETS)).cast("int")
 
 
-def _written(rows: DataFrame, at: int | None = None, gone: bool = False) -> DataFrame:
-    at = _write_time() if at is None else at
-    return rows.withColumns({"written_at": F.lit(at).cast("long"), "gone": F.lit(gone)})
+def stamped(rows: DataFrame, processed_at: datetime) -> DataFrame:
+    return rows.withColumn("processed_at", F.lit(processed_at).cast("timestamp"))

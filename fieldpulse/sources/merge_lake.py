@@ -7,6 +7,7 @@ names, types and partitioning are those of existing deployments, so their tables
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from datetime import datetime
 from functools import reduce
 from operator import and_
 
@@ -122,6 +123,9 @@ class MergeLake:
             .merge()
         )
 
+    def compact(self, until: datetime, *tables: str) -> None:
+        """The table format's own maintenance does this."""
+
     def overwrite(self, table: str, rows: DataFrame) -> None:
         prepare_writes(rows.sparkSession)
         written = rows.select(*TABLES[table].column_names)

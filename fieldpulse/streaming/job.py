@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -26,6 +27,8 @@ DEFAULT_SERVERS = "kafka:9092"
 DEFAULT_TOPIC = "sensor-events"
 DEFAULT_DEAD_LETTER_TOPIC = "sensor-events-dlq"
 DEFAULT_TRIGGER = "15 seconds"
+DEFAULT_COMPACT_EVERY = 20
+DEFAULT_CLOSED_MINUTES = 10
 
 
 @dataclass(frozen=True)
@@ -43,6 +46,10 @@ class StreamConfig:
     trigger: str = DEFAULT_TRIGGER
     until_drained: bool = False
     batch: BatchOptions = BatchOptions()
+    #: Every so many batches the job compacts what is ready; 0 leaves it to others.
+    compact_every: int = DEFAULT_COMPACT_EVERY
+    #: An hour is ready when it has been over for so long.
+    closed_for: timedelta = timedelta(minutes=DEFAULT_CLOSED_MINUTES)
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] = os.environ) -> StreamConfig:
@@ -67,6 +74,8 @@ class StreamConfig:
             source_options=options,
             dead_letters=letters,
             batch=BatchOptions(limits=Limits.from_env(env)),
+            compact_every=int(env.get("COMPACT_EVERY_BATCHES", DEFAULT_COMPACT_EVERY)),
+            closed_for=timedelta(minutes=float(env.get("COMPACT_CLOSED_MINUTES", DEFAULT_CLOSED_MINUTES))),
         )
 
     def open_lake(self, spark: SparkSession) -> Lake:
@@ -88,6 +97,8 @@ def start_stream(spark: SparkSession, config: StreamConfig) -> StreamingQuery:
         process_batch(
             lake.on(session), batch, batch_id, config.dead_letters, run, config.batch
         )
+        if config.compact_every and (batch_id + 1) % config.compact_every == 0:
+            lake.on(session).compact(datetime.now(timezone.utc) - config.closed_for)
 
     trigger = (
         {"availableNow": True} if config.until_drained else {"processingTime": config.trigger}

@@ -31,8 +31,7 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-@pytest.fixture
-def plain_session(spark):
+def without_settings(spark):
     """A session as Spark itself makes it, without this library's settings."""
     session = spark.newSession()
     session.conf.set("spark.sql.parquet.outputTimestampType", "INT96")
@@ -40,6 +39,11 @@ def plain_session(spark):
     return session
 
 
+@pytest.fixture
+def plain_session(spark):
+    return without_settings(spark)
+
+
 @pytest.fixture
 def lake(spark, tmp_path):
     return ParquetLake(spark, str(tmp_path / "lake"), f"r_{uuid.uuid4().hex[:8]}").create()

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry_points
 from checks import queries as q
 from checks.compare import differences, open_tables
-from tests.conftest import SMALLEST
+from tests.conftest import SMALLEST, without_settings
 
 
 @pytest.fixture(scope="module")
@@ -24,11 +24,17 @@ def test_query_equals_its_sql(spark, tables, name):
     assert differences(frame, tables, entry_points.oracle_sql()[name]) is None
 
 
+@pytest.fixture(scope="module")
+def plain(spark):
+    """One session for all queries, with tables of its own."""
+    built, q._built = q._built, {}
+    yield without_settings(spark)
+    q._built = built
+
+
 @pytest.mark.parametrize("name", list(q.QUERIES))
-def test_query_equals_its_sql_in_a_plain_session(plain_session, tables, name, monkeypatch):
-    """As the first query of a session that its caller built: nothing is taken over from others."""
-    monkeypatch.setattr(q, "_built", {})
-    frame = entry_points.queries()[name](plain_session, SMALLEST)
+def test_query_equals_its_sql_in_a_plain_session(plain, tables, name):
+    frame = entry_points.queries()[name](plain, SMALLEST)
     assert differences(frame, tables, entry_points.oracle_sql()[name]) is None
 
 
