@@ -350,6 +350,14 @@ ORACLES: dict[str, str] = {
          when humidity is null then 'humidity' end as reject_reason,
     reject_reason is null as accepted,
     coalesce(event_time, timestamp '2024-06-01 00:00:00') as event_time
+  from arrivals"""
+    ),
+    "ingest_filled_times": _base(
+        """
+  select src_id, batch_no,
+    coalesce(sensor_id, '') <> '' and coalesce(site, '') <> ''
+      and temperature is not null and humidity is not null as accepted,
+    event_time as given, true as as_expected
   from arrivals"""
     ),
     "request_log_report": _with(

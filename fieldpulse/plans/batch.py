@@ -192,7 +192,13 @@ def insert_absent_events(
     source = ev.first_per_id(valid) if options.dedup_in_batch else valid
     silver = lake.scan(m.SILVER, hours)
     fresh = absent_rows(
-        source, silver, "event_id", id_bytes, options.dedup_in_batch, options.broadcast_bytes
+        source,
+        silver,
+        "event_id",
+        id_bytes,
+        target_unique=options.dedup_in_batch,
+        limit=options.broadcast_bytes,
+        source_unique=options.dedup_in_batch,
     )
     lake.append(m.SILVER, stamped(fresh, now))
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 from datetime import datetime
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from fieldpulse import model as m
 from fieldpulse.functions.identity import event_id
 from fieldpulse.model import TABLES
 from fieldpulse.session import prepare_writes, work_folder
+from fieldpulse.sources.files import delete_tree
 from fieldpulse.sources.scope import RANGES, HourScope
 
 # Partitioning of existing tables.
@@ -29,6 +30,9 @@ PARTITIONING = {
     m.SENSOR_LATEST: "site",
 }
 
+#: Lengths of prefixes by which sensor names are gathered to ranges.
+PREFIXES = (1, 2, 3, 4, 6, 8, 10, 12, 16, 20, 24, 32, 48, 64)
+
 
 @dataclass(frozen=True)
 class MergeLake:
@@ -95,25 +99,31 @@ class MergeLake:
     def advance(self, rows: DataFrame) -> None:
         """A status gives way to a newer event; an older event only renews the stamp.
 
-        The names between which all sensors of the batch lie let the format skip files.
+        The rows are written out first, so that the merge does not compute them again for each of its
+        passes.  Ranges of names that hold all sensors of the batch let the format skip files.
         """
         prepare_writes(rows.sparkSession)
         table = m.SENSOR_LATEST
         names = TABLES[table].column_names
-        first, last = rows.agg(F.min("sensor_id"), F.max("sensor_id")).first()
-        if first is None:
+        folder = self.scratch("status")
+        try:
+            rows.select(*names, "event_id").write.mode("overwrite").parquet(folder)
+            self._merge_status(self.spark.read.parquet(folder), table, names)
+        finally:
+            delete_tree(self.spark, folder)
+
+    def _merge_status(self, rows: DataFrame, table: str, names: list[str]) -> None:
+        ranges = name_ranges(rows, "sensor_id")
+        if not ranges:
             return
         new, old = (lambda c, side=side: F.col(f"{side}.{c}") for side in ("source", table))
+        touched = reduce(or_, [old("sensor_id").between(first, last) for first, last in ranges])
         later = (new("event_time") > old("event_time")) | (
             (new("event_time") == old("event_time")) & (new("event_id") <= event_id(f"{table}."))
         )
         (
-            rows.select(*names, "event_id")
-            .alias("source")
-            .mergeInto(
-                self.view(table),
-                (old("sensor_id") == new("sensor_id")) & old("sensor_id").between(first, last),
-            )
+            rows.alias("source")
+            .mergeInto(self.view(table), (old("sensor_id") == new("sensor_id")) & touched)
             .whenMatched(later)
             .update({c: new(c) for c in names})
             .whenMatched()
@@ -130,3 +140,16 @@ class MergeLake:
         prepare_writes(rows.sparkSession)
         written = rows.select(*TABLES[table].column_names)
         written.writeTo(self.view(table)).overwrite(F.lit(True))
+
+
+def name_ranges(rows: DataFrame, column: str) -> list[tuple[str, str]]:
+    """About ``RANGES`` ranges at most that hold all names, without what lies between unlike prefixes.
+
+    Names with the same prefix share a range; the prefix is as long as the number of ranges allows.
+    """
+    prefixes = {n: F.substring(column, 1, n) for n in PREFIXES}
+    counts = rows.agg(*(F.approx_count_distinct(p).alias(str(n)) for n, p in prefixes.items())).first()
+    longest = max((n for n in PREFIXES if counts[str(n)] <= RANGES), default=0)
+    prefix = prefixes[longest] if longest else F.lit("")
+    found = rows.groupBy(prefix).agg(F.min(column).alias("first"), F.max(column).alias("last")).collect()
+    return sorted((r["first"], r["last"]) for r in found)

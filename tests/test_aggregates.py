@@ -4,11 +4,12 @@ from collections import defaultdict
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from fieldpulse.model import Limits
 from fieldpulse.operators import events as ev
 from fieldpulse.operators import minutes, status, windows
-from fieldpulse.operators.upserts import absent_rows, upserted
+from fieldpulse.operators.upserts import absent_rows
 from tests.conftest import SMALLEST, at, rows_of
 
 
@@ -157,7 +158,18 @@ def test_absent_rows(spark, key_bytes, unique):
     assert rows_of(fresh) == [("b", 2), ("b", 3)]
 
 
-def test_upserted(spark):
-    target = spark.createDataFrame([("a", 1, 1), ("b", 1, 1)], "k string, j int, n int")
-    source = spark.createDataFrame([(2, "b", 1), (3, "b", 2)], "n int, k string, j int")
-    assert rows_of(upserted(target, source, ["k", "j"])) == [("a", 1, 1), ("b", 1, 2), ("b", 2, 3)]
+@pytest.mark.parametrize("present", [True, False])
+def test_a_hot_id_is_not_gathered(spark, present):
+    """A third of the rows have one id, and adaptive execution may not split it."""
+    rows = [("hot" if i % 3 == 0 else f"id{i}", i) for i in range(3000)]
+    source = spark.createDataFrame(rows, "id string, n int").repartition(8)
+    target = spark.createDataFrame([("id1",), ("id1",), *[("hot",)] * present], "id string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        fresh = absent_rows(source, target, "id", 10**9, False, 0, source_unique=False, hot_rows=100)
+        sizes = [r["count"] for r in fresh.groupBy(F.spark_partition_id()).count().collect()]
+        wanted = sorted(r for r in rows if r[0] != "id1" and not (present and r[0] == "hot"))
+        assert rows_of(fresh) == sorted(wanted, key=repr)
+        assert max(sizes) < 900
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -8,7 +8,8 @@ from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 
 from fieldpulse import model as m
-from fieldpulse.sources.merge_lake import PARTITIONING, MergeLake
+from fieldpulse.sources import merge_lake
+from fieldpulse.sources.merge_lake import PARTITIONING, MergeLake, name_ranges
 from fieldpulse.sources.scope import Hour, HourScope
 from fieldpulse.streaming.job import StreamConfig
 from tests.conftest import rows_of
@@ -77,6 +78,43 @@ def test_the_latest_status_is_a_merge_by_time(spark, make_events, plain):
     plain.advance(rows.where("false"))
 
 
+def test_names_are_covered_by_ranges(spark, monkeypatch):
+    names = [f"plant-{a}-sensor-{i:03d}" for a in "ax" for i in range(500)]
+    rows = spark.createDataFrame([(n,) for n in names], "sensor_id string")
+    found = name_ranges(rows, "sensor_id")
+    assert 2 <= len(found) <= 220 and found == sorted(found)
+    assert all(any(a <= n <= b for a, b in found) for n in names)
+    assert not any(a <= "plant-m-sensor-001" <= b for a, b in found)
+    assert name_ranges(rows.where("false"), "sensor_id") == []
+    monkeypatch.setattr(merge_lake, "RANGES", 1)
+    assert name_ranges(rows, "sensor_id") == [(min(names), max(names))]
+
+
+def test_the_status_merge_reads_written_rows_and_skips_by_ranges(spark, make_events, plain, monkeypatch):
+    from fieldpulse.operators import events as ev
+    from fieldpulse.operators import status
+    from fieldpulse.sources.lake import stamped
+    from tests.conftest import at
+
+    events = [(s, "a", 1.0, 1.0, "2024-01-01T00:00:01") for s in ("a1", "a2", "z9")]
+    rows = stamped(status.latest_events(ev.with_event_id(make_events(*events))), at("2024-06-01T00:00:00"))
+    seen = []
+
+    class Merge:
+        def __getattr__(self, name):
+            return lambda *args: self
+
+    def noted(frame, table, condition):
+        seen.append((frame.inputFiles(), str(condition), rows_of(frame, "sensor_id")))
+        return Merge()
+
+    monkeypatch.setattr(type(rows), "mergeInto", noted)
+    plain.advance(rows)
+    ((files, condition, sensors),) = seen
+    assert files and sensors == [("a1",), ("a2",), ("z9",)]
+    assert condition.count("<=") == 3 and "z9" in condition
+
+
 def test_the_job_opens_the_named_schema(spark):
     config = StreamConfig.from_env({"LAKE_SCHEMA": "lake.reporting", "CHECKPOINT_PATH": "/c"})
     assert config.open_lake(spark) == MergeLake(spark, "lake.reporting")
