@@ -44,7 +44,7 @@ from fieldpulse.session import work_folder
 SHINGLE = 3
 PERCENT = 90
 GROUPS = 64
-PER_GROUP = 64
+PER_GROUP = 4
 LEAF = 16
 TILE = 512
 #: Words that make up more than one in so many of all words are told apart by frequency: at most so many.
@@ -521,4 +521,4 @@ def representatives(documents: DataFrame, shingle: int = SHINGLE, percent: int =
     """The smallest document of each component, and rows without an id, with all their columns."""
     kept = near_components(documents, shingle, percent).where("doc_id = component_id").select("doc_id").distinct()
     known = documents.where("doc_id is not null").join(kept.hint("shuffle_hash"), "doc_id", "left_semi")
-    return known.unionByName(documents.where("doc_id is null"))
+    return known.unionByName(documents.where("doc_id is null")).select(*documents.columns)
