@@ -13,8 +13,8 @@ their summary, closed ``details``; fallback content of media.  Formatting elemen
 interrupts are not opened anew, since that does not change the text.
 
 Defined results: null and empty pages give an empty text; pages of any length are read whole;
-markup that never ends is read as far as it goes, and an attribute whose quote does not end in ``LONGEST``
-characters as if it were not quoted; equal pages give equal texts; an empty table gives no rows;
+markup that never ends is read as far as it goes, and a tag that no ``>`` outside quotes ends goes to its
+first ``>``, as if nothing were quoted; equal pages give equal texts; an empty table gives no rows;
 further columns are ignored.
 """
 
@@ -22,23 +22,22 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from unicodedata import combining, east_asian_width
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
-LONGEST = 65_536
-
 _TOKEN = re.compile(
     r"<!--(?:(?!-?>).*?--!?>|.*?>|.*)"
     r"|<[!?][^>]*>?"
     r"|</([a-zA-Z][^\s/>]*)[^>]*>?"
-    rf"|<([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]{{0,{LONGEST}}}+\"|'[^']{{0,{LONGEST}}}+')*+)>"
-    r"|<([a-zA-Z][^\s/>]*)([^>]*+)>?",
+    r"|<([a-zA-Z][^\s/>]*)",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_UNQUOTED = re.compile(r"[^>\"']*+")
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -172,9 +171,40 @@ class _Builder:
 _set_p, _set_table = _set("p"), _set("table")
 
 
+class _TagEnds:
+    """Finds the ``>`` that ends a tag: the first one outside quotes, however long the quoted parts are.
+
+    Tags come in their order.  Walks that find none are kept as the places where their quotes open and
+    close.  A walk that is outside quotes where a former one was goes on like it, so it ends there: together they read a page a few times.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = {quote: page.rfind(quote) for quote in "\"'"}
+        self.endless: list[tuple[list[int], int]] = []
+
+    def find(self, start: int) -> int:
+        """The place of the ``>``, or -1."""
+        page, at, quotes = self.page, start, []
+        while not any(at < end and bisect_right(own, at) % 2 == 0 for own, end in self.endless):
+            at = _UNQUOTED.match(page, at).end()
+            if at < len(page) and page[at] == ">":
+                return at
+            if at >= len(page) or self.last[page[at]] == at:  # a quote that nothing closes
+                quotes += [at] * (at < len(page))
+                at = len(page) + 1
+                break
+            close = page.index(page[at], at + 1)
+            quotes += [at, close + 1]
+            at = close + 1
+        self.endless.append((quotes, at))
+        return -1
+
+
 def tree_of(page: str) -> Element:
     """The elements of a page below its root."""
     builder, at, size = _Builder(), 0, len(page)
+    ends = _TagEnds(page)
     while at < size:
         begin = page.find("<", at)
         match = None
@@ -189,10 +219,13 @@ def tree_of(page: str) -> Element:
         if match[1]:
             builder.end(match[1].lower())
             continue
-        tag = (match[2] or match[4] or "").lower()
+        tag = (match[2] or "").lower()
         if not tag:
             continue
-        builder.start(tag, match[3] or match[5] or "")
+        stop = ends.find(at)
+        stop = page.find(">", at) if stop < 0 else stop
+        builder.start(tag, page[at:] if stop < 0 else page[at:stop])
+        at = size if stop < 0 else stop + 1
         if tag in _RAW or tag in _TEXT_ONLY:
             stop = re.compile(f"</{tag}(?=[\\s/>])", re.I).search(page, at)
             content = page[at : stop.start() if stop else size]

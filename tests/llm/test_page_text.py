@@ -1,10 +1,12 @@
 """Layout of hand-written pages, all visible words of the given pages, and odd rows."""
 
+import random
 import re
 from html.parser import HTMLParser
 
 import pytest
 
+from fieldpulse.llm import page_text
 from fieldpulse.llm.page_text import text_of, tree_of
 from fieldpulse.llm.page_text import extract
 from fieldpulse.llm.queries import QUERIES
@@ -99,3 +101,53 @@ def test_odd_rows(spark):
     found = sorted(((r.page_id or 0), r.n_chars, r.text) for r in extract(frame).collect())
     assert found == [(0, 6, "bcbcbc"), (1, 0, ""), (2, 0, ""), (3, 1, "a"), (3, 1, "a")]
     assert extract(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("size", [100_000, 1_000_000])
+@pytest.mark.parametrize("quote", ["'", '"'])
+def test_long_attributes_do_not_leak(size, quote):
+    other = '"' if quote == "'" else "'"
+    value = ("a > b " + other + "<p>" + "x" * 50) * (size // 60)
+    page = f"<p>one</p><img alt={quote}{value}{quote} hidden><p>two</p>"
+    assert page_text.text_of(page) == "one\n\ntwo"
+
+
+def test_quotes_that_never_end():
+    assert page_text.text_of('<p>one</p><img alt="x > y"><p>two') == "one\n\ntwo"
+    assert page_text.text_of('<p>one</p><b title="x>two</b> three') == "one\n\ntwo three"
+    assert page_text.text_of("<p>one</p><b title='x>two \"quoted\"</b> three") == 'one\n\ntwo "quoted" three'
+    assert page_text.text_of('<a title="x') == ""
+
+
+def test_many_open_quotes_are_read_in_linear_time():
+    from time import process_time
+
+    def seconds(many):
+        began = process_time()
+        page_text.tree_of("<a b='\"" * many + "<i x=\"y 'z\"" * many)
+        return process_time() - began
+
+    seconds(1000)
+    assert seconds(40_000) < 40 * max(seconds(4_000), 0.02)
+
+
+def tag_ends(page, at):
+    """The same by a look at every sign."""
+    quote = ""
+    for i in range(at, len(page)):
+        if quote:
+            quote = "" if page[i] == quote else quote
+        elif page[i] == ">":
+            return i
+        elif page[i] in "\"'":
+            quote = page[i]
+    return -1
+
+
+def test_tag_ends_equal_a_plain_walk():
+    pick = random.Random(8)
+    for _ in range(300):
+        page = "".join(pick.choice("ab<>\"'  ") for _ in range(pick.randint(0, 60)))
+        ends = page_text._TagEnds(page)
+        for at in sorted(pick.sample(range(len(page) + 1), min(len(page), 12))):
+            assert ends.find(at) == tag_ends(page, at), (page, at)
