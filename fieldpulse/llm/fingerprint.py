@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -31,9 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldpulse.session import work_folder
+
 SAMPLES = 96
 BAND = 4
 NEAR = 0.8
+#: Documents of a band that its other members are compared with in the first round.
+HEADS = 1
 #: Texts of a block walk together; characters of a block.
 BLOCK_CHARS = 8 << 20
 #: So many texts walk alone, where a step of an array costs more than theirs one by one.
@@ -188,9 +192,12 @@ def bands(prints: DataFrame) -> DataFrame:
 
 
 def near_documents(prints: DataFrame, near: float = NEAR) -> DataFrame:
-    """Verified links ``doc_id, near_id, likeness`` to the smallest document of each shared band.
+    """Verified links ``doc_id, near_id, likeness`` to the first documents of each shared band.
 
-    A band that many documents share costs each of them one comparison, not one per pair.
+    The members of a band are compared with its ``HEADS`` smallest.  Those that are near none of them go
+    on to the next round, with twice as many heads, until no band has two members left.  So a band that
+    many documents share costs each of them few comparisons, not one per pair, and one that an unlike
+    document leads still brings the others together.  Rounds are written to the shared folder.
     """
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -200,17 +207,31 @@ def near_documents(prints: DataFrame, near: float = NEAR) -> DataFrame:
             ]
             yield batch.loc[batch["likeness"] >= near, ["doc_id", "near_id", "likeness"]]
 
-    prints = prints.where("doc_id is not null")
-    keyed = bands(prints)
-    least = keyed.groupBy("band").agg(F.min("doc_id").alias("near_id"))
-    pairs = keyed.join(least, "band").where("doc_id != near_id").select("doc_id", "near_id").distinct()
+    spark, folder, number = prints.sparkSession, work_folder(prints.sparkSession, "near_documents"), 0
+
+    def kept(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.parquet(f"{folder}/{name}{number}")
+        return spark.read.parquet(f"{folder}/{name}{number}")
+
+    prints = prints.where("doc_id is not null").select("doc_id", "fingerprint").distinct()
     other = prints.select(F.col("doc_id").alias("near_id"), F.col("fingerprint").alias("near_fingerprint"))
     kind = prints.schema["doc_id"].dataType.simpleString()
-    return (
-        pairs.join(prints, "doc_id")
-        .join(other, "near_id")
-        .mapInPandas(verify, f"doc_id {kind}, near_id {kind}, likeness double")
-    )
+    members, heads, found = kept(bands(prints).distinct(), "members"), HEADS, []
+    while not found or not members.isEmpty():
+        number += 1
+        place = F.row_number().over(Window.partitionBy("band").orderBy("doc_id"))
+        first = members.withColumn("place", place).where(F.col("place") <= heads)
+        first = first.select("band", F.col("doc_id").alias("near_id"))
+        pairs = kept(members.join(first, "band").where("near_id < doc_id"), "pairs")
+        judged = pairs.select("doc_id", "near_id").distinct().join(prints, "doc_id").join(other, "near_id")
+        links = kept(judged.mapInPandas(verify, f"doc_id {kind}, near_id {kind}, likeness double"), "links")
+        found.append(links)
+        settled = pairs.join(links, ["doc_id", "near_id"], "left_semi").select("band", "doc_id")
+        settled = settled.unionByName(first.select("band", F.col("near_id").alias("doc_id")))
+        rest = members.join(settled, ["band", "doc_id"], "left_anti")
+        several = rest.groupBy("band").count().where("count > 1")
+        members, heads = kept(rest.join(several, "band", "left_semi"), "members"), 2 * heads
+    return reduce(DataFrame.unionByName, found).distinct()
 
 
 # -- each document beside its edited text and its neighbour ----------------------------------------

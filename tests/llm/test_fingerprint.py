@@ -95,3 +95,18 @@ def test_near_documents(spark):
     links = {(r.doc_id, r.near_id) for r in fp.near_documents(prints).collect()}
     assert links == {(2, 1), (3, 1), (6, 5)}
     assert fp.near_documents(prints.where(F.lit(False))).count() == 0
+
+
+def test_a_link_is_found_behind_unlike_leaders(spark):
+    """Two near prints, each of whose bands several smaller, unlike documents share."""
+    pick = random.Random(6)
+    samples = [pick.randrange(256) for _ in range(96)]
+    other = [*samples[:-1], (samples[-1] + 1) % 256]
+    rows = [(1000, samples), (1001, other)]
+    for leader in range(24 * 3):
+        own, at = [pick.randrange(256) for _ in range(96)], 4 * (leader % 24)
+        own[at : at + 4] = samples[at : at + 4]
+        rows.append((leader, own))
+    prints = spark.createDataFrame([(d, "0:" + bytes(x).hex()) for d, x in rows], "doc_id long, fingerprint string")
+    found = fp.near_documents(prints).collect()
+    assert [(r.doc_id, r.near_id) for r in found] == [(1001, 1000)]
