@@ -44,7 +44,7 @@ from fieldpulse.session import work_folder
 SHINGLE = 3
 PERCENT = 90
 GROUPS = 64
-PER_GROUP = 4
+PER_GROUP = 8
 LEAF = 16
 TILE = 512
 #: Words that make up more than one in so many of all words are told apart by frequency: at most so many.
@@ -292,21 +292,32 @@ def groups_of(
 
 
 def points_of(hashes: np.ndarray, first: np.ndarray) -> list[bytes]:
-    """Counts per hash group of each set; sets of more than ``GROUPS * PER_GROUP`` have more groups."""
+    """Counts per hash group of each set; sets of more than ``GROUPS * PER_GROUP`` have more groups.
+
+    The first byte of a point tells how many bytes a count has.
+    """
     sizes = np.diff(first)
     doublings = np.ceil(np.log2(np.maximum(sizes, 1) / (GROUPS * PER_GROUP))).clip(0).astype(np.int64)
     wide = GROUPS << doublings
     base = np.cumsum(wide) - wide
     of = owners(first)
     group = (hashes & (wide[of] - 1).astype(np.uint64)).astype(np.int64)
-    counts = np.bincount(base[of] + group, minlength=int(wide.sum())).astype("<u2").tobytes()
-    return [counts[2 * a : 2 * (a + b)] for a, b in zip(base.tolist(), wide.tolist())]
+    counts = np.bincount(base[of] + group, minlength=int(wide.sum()))
+    kinds = (np.uint8,) if counts.max(initial=0) < 256 else (np.uint8, np.uint16, np.uint32)
+    raw = {k: counts.astype(k).tobytes() for k in kinds}
+    found = []
+    for a, b in zip(base.tolist(), wide.tolist()):
+        kind = kinds[0] if len(kinds) == 1 else np.min_scalar_type(counts[a : a + b].max()).type
+        size = np.dtype(kind).itemsize
+        found.append(bytes([size]) + raw[kind][size * a : size * (a + b)])
+    return found
 
 
 def folded(points: list[bytes]) -> np.ndarray:
     """Points as rows, folded to the smallest number of groups among them."""
-    least = min(map(len, points), default=0) // 2
-    return np.array([np.frombuffer(p, "<u2").reshape(-1, least).sum(0) for p in points], np.int32)
+    least = min(((len(p) - 1) // p[0] for p in points), default=0)
+    rows = [np.frombuffer(p, f"u{p[0]}", offset=1).reshape(-1, least).sum(0) for p in points]
+    return np.array(rows, np.int32)
 
 
 class CountTree:
