@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from fieldpulse.session import work_folder
 
 
+#: Edges that a node may have and still be shuffled with the others.
+LEAST_SHARE = 256
+
+
 class Forest:
     """Union-find over whatever can be hashed and compared; the smallest member names a tree."""
 
@@ -51,11 +55,12 @@ def components(links: DataFrame) -> DataFrame:
 
     Alternates two steps until nothing changes: every node hands its larger neighbours to its
     smallest one, then its smaller neighbours.  Each needs the minimum per node, which partitions
-    compute before the shuffle, and a join that adaptive execution splits at a hot node; so a
-    component of any size is never gathered.  Rounds are written to the shared folder, which cuts
-    the lineage.
+    compute before the shuffle, and a join.  Nodes with more than a share of all edges, of which there
+    are few by that, are joined by broadcast and only the others' edges are shuffled; so a component of
+    any size is never gathered.  Rounds are written to the shared folder, which cuts the lineage.
     """
     spark = links.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder, number = work_folder(spark, "components"), 0
 
     def kept(edges: DataFrame) -> tuple[DataFrame, tuple]:
@@ -67,16 +72,22 @@ def components(links: DataFrame) -> DataFrame:
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         return edges, tuple(state)
 
+    def with_least(edges: DataFrame, many: int) -> DataFrame:
+        """Edges with the least neighbour of ``a``; ``many`` is at least about their number."""
+        share = max(LEAST_SHARE, many // (8 * tasks))
+        found = edges.groupBy("a").agg(F.min("b").alias("least"), F.count(F.lit(1)).alias("edges"))
+        often = F.broadcast(found.where(F.col("edges") > share).select("a", "least"))
+        seldom = edges.join(often.select("a"), "a", "left_anti").join(found.select("a", "least"), "a")
+        return seldom.unionByName(edges.join(often, "a"))
+
     larger_first = [F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")]
     edges, state = kept(links.where("a != b").select(*larger_first))
     while state[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("least"))
-        least = least.select("a", F.least("a", "least").alias("least"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+        smallest = F.least("a", "least").alias("b")
+        large = with_least(both, 2 * state[0]).where("b > a").select(F.col("b").alias("a"), smallest)
         large = large.where("a != b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("least"))
-        small = large.join(least, "a").select(
+        small = with_least(large, 2 * state[0]).select(
             F.explode(
                 F.array(
                     F.struct("a", F.col("least").alias("b")),
