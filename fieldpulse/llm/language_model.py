@@ -133,7 +133,8 @@ def _start(training: DataFrame, path: str) -> attention.Trainer:
     ids = training.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("size"), F.xxhash64("text").alias("tie"))
     first = ids.orderBy(F.xxhash64("doc_id"), "doc_id", "tie").limit(START_DOCUMENTS).toPandas()
     chosen = first["doc_id"][np.array(that_fit(first["size"].tolist(), START_CHARS), bool)].unique().tolist()
-    wanted = F.broadcast(training.sparkSession.createDataFrame([(int(i),) for i in chosen], "doc_id long"))
+    wanted = training.sparkSession.createDataFrame([(i,) for i in chosen], f"doc_id {training.schema['doc_id'].dataType.simpleString()}")
+    wanted = F.broadcast(wanted)
     texts = training.join(wanted, "doc_id", "left_semi").orderBy(*order).select("text").toPandas()["text"]
     words = [Text(block) for block in blocks(pa.array(texts.tolist(), pa.string()))]
     counts = _id_counts(training, path)

@@ -1,0 +1,57 @@
+"""Every operator over tables with more columns, named like those the operators use themselves."""
+
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from fieldpulse.llm import language_model
+from fieldpulse.llm.queries import QUERIES
+from tests.conftest import SMALLEST, rows_of
+
+NAMES = """count place lang_pred score bits n many size doc job one two points target packed row held_out trained
+bucket own word f s1 s2 s3 kind rank phrase range automaton part nth length piece sequence_id offset here before
+label_error code error p _by _n entry band near_id node component a b cluster cell shard kept lang2 predicted
+n_tokens n_bytes n_words n_removed text2 start window key digest vector weights features too_long _lang _many""".split()
+
+
+@pytest.fixture(scope="module")
+def folders(spark, tmp_path_factory):
+    """Parts of the smallest tables, as they are and with more columns."""
+    root = tmp_path_factory.mktemp("clashing")
+    for name in ("documents", "embeddings", "pages", "labels"):
+        rows = spark.read.parquet(f"{SMALLEST}/{name}.parquet").limit(60)
+        rows.coalesce(1).write.parquet(f"{root}/plain/{name}.parquet")
+        rows = spark.read.parquet(f"{root}/plain/{name}.parquet")
+        more = {n: F.lit("x") for n in NAMES if n not in rows.columns}
+        rows.withColumns(more).coalesce(1).write.parquet(f"{root}/more/{name}.parquet")
+    return f"{root}/plain", f"{root}/more"
+
+
+LEARNED = ("op1_language_model", "op5_quality")
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_more_columns_change_nothing(spark, folders, name):
+    plain, more = (QUERIES[name](spark, f) for f in folders)
+    assert plain.columns == more.columns
+    if name in LEARNED:  # sums of floats in another order
+        assert plain.count() == more.count()
+    else:
+        assert rows_of(plain) == rows_of(more)
+
+
+def test_stages_keep_all_columns_in_their_order(spark, folders):
+    docs = spark.read.parquet(f"{folders[1]}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, folders[1])
+        assert found.columns == docs.columns, name
+        assert found.schema["n_chars"].dataType == docs.schema["n_chars"].dataType
+    assert corpus_pipeline.run(spark, folders[1]).count() == corpus_pipeline.run(spark, folders[0]).count() > 0
+
+
+def test_the_language_model_takes_ids_of_any_type(spark, folders):
+    rows = spark.read.parquet(f"{folders[0]}/documents.parquet").withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+    held_out = F.crc32(F.col("doc_id").cast("binary")) % 7 == 2
+    found = language_model.score(rows, held_out, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    assert {r.doc_id[0] for r in found.collect()} == {"d"}

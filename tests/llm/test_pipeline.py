@@ -5,7 +5,7 @@ import pytest
 import corpus_pipeline
 from fieldpulse.llm import language, near_sets, packing, repeats
 from tests.conftest import SMALLEST
-from tests.llm.test_near_sets import brute_force as near_brute_force
+from tests.llm.test_corpus_near import smallest_of_each
 from tests.llm.test_packing import assert_gapless
 from tests.llm.test_repeats import brute_force as repeat_brute_force
 from tests.llm.test_repeats import words_of
@@ -38,7 +38,7 @@ def test_quality_and_language_keep_clean_documents(spark, stages):
 
 def test_near_copies_leave_one_each(stages):
     before, after = ([(r.doc_id, r.text) for r in s.collect()] for s in stages[2:4])
-    expected = {doc for doc, _, component in near_brute_force(before) if doc == component}
+    expected = smallest_of_each(before)
     assert {doc for doc, _ in after} == expected and len(after) == len(expected) < len(before)
 
 
