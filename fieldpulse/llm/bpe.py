@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 
 from fieldpulse.llm.blocks import ENCODED_BYTES, Block, blocks, range_hashes, spread
 
-CACHED_PIECES = 700_000
+CACHED_PIECES = 250_000
 SHORT_PIECE = 48
 
 # Classes of code points.
