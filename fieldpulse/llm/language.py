@@ -9,8 +9,8 @@ look-up.  This adds at most one phrase per run.
 
 Letters are lower-cased; everything else is one separator.  The reference text is a bounded sample
 (whole documents by a hash of their id, as many as fit), so a model is small enough to travel
-with the task, where the automata are built once per worker.  Only a language whose sampled
-documents are all longer than the bound is learned from the beginning of one.
+with the task, where the automata are built once per worker.  A language whose sampled documents are
+all longer than the bound is learned from pieces spread over one of them.
 
 Defined results: ``und`` with score 0 for null texts and texts without a letter; with no learned
 language everything is ``und``; equal texts get equal results; ties go to the first language by
@@ -37,6 +37,10 @@ from fieldpulse.llm.blocks import Block, blocks
 
 REFERENCE_CHARS = 50_000
 SAMPLE_DOCUMENTS = 300
+#: Pieces of a document that is longer than a reference.
+PIECES = 10
+#: Languages whose numbers of documents are broadcast.
+FEW_LANGUAGES = 10_000
 #: Bytes of text that are parsed together.
 BLOCK = 1 << 20
 RUN = 512
@@ -246,20 +250,25 @@ def limits(model: Model) -> np.ndarray:
 
 
 def learn(documents: DataFrame) -> Model:
-    """Reference text of each language of ``documents(doc_id, text, lang)``, bounded per language."""
-    texts = documents.where("lang is not null and text is not null")
-    sizes = texts.groupBy("lang").count()
+    """Reference text of each language of ``documents(doc_id, text, lang)``, bounded per language.
+
+    Whole documents are drawn by a hash.  Only where a language has none that fits, pieces spread over a
+    longer one stand for it.
+    """
+    texts = documents.select("doc_id", "text", "lang").where("lang is not null and text is not null")
+    sizes = texts.groupBy(F.col("lang").alias("_lang")).agg(F.count(F.lit(1)).alias("_many"))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
-    too_long = F.length("text") > REFERENCE_CHARS
+    size = REFERENCE_CHARS // PIECES
+    pieces = [
+        F.substring("text", F.floor(F.length("text") * F.lit(i) / PIECES).cast("int") + 1, F.lit(size))
+        for i in range(PIECES)
+    ]
     drawn = (
-        texts.join(F.broadcast(sizes), "lang")
-        .where(place * F.col("count") <= F.lit(float(SAMPLE_DOCUMENTS) * (1 << 40)))
-        .select(
-            "lang",
-            too_long.alias("too_long"),
-            place.alias("place"),
-            F.substring("text", 1, REFERENCE_CHARS).alias("text"),
-        )
+        texts.join(F.broadcast(sizes) if sizes.count() <= FEW_LANGUAGES else sizes, F.col("lang") == F.col("_lang"))
+        .where(place * F.col("_many") <= F.lit(float(SAMPLE_DOCUMENTS) * (1 << 40)))
+        .withColumn("too_long", F.length("text") > REFERENCE_CHARS)
+        .withColumn("text", F.when(F.col("too_long"), F.concat_ws(" ", *pieces)).otherwise(F.col("text")))
+        .select("lang", "too_long", place.alias("place"), "text")
         .orderBy("lang", "too_long", "place", "text")
         .toLocalIterator()
     )
