@@ -78,3 +78,10 @@ def test_odd_rows(spark):
     assert all(rows[i].lang_pred == "und" and rows[i].score == 0 for i in (3, 4, 5))
     assert language.identify(documents.limit(0), model).count() == 0
     assert {r.lang_pred for r in language.identify(documents, ()).collect()} == {"und"}
+
+
+def test_a_language_of_long_texts_is_learned_from_all_over_one(spark):
+    size = 4 * language.REFERENCE_CHARS
+    text = "".join("abcd"[4 * i // size] for i in range(size))
+    model = dict(language.learn(spark.createDataFrame([(1, text, "x")], "doc_id long, text string, lang string")))
+    assert set(model["x"]) == set("abcd ") and len(model["x"]) <= language.REFERENCE_CHARS + language.PIECES
