@@ -47,6 +47,8 @@ GROUPS = 64
 PER_GROUP = 8
 LEAF = 16
 TILE = 512
+#: Shingles for which a document of a tile is counted; a tile has at most about TILE times as many.
+PER_DOCUMENT = 2_000
 #: Words that make up more than one in so many of all words are told apart by frequency: at most so many.
 FREQUENT = 200_000
 ROWS_AT_ONCE = 1_000_000
@@ -389,17 +391,20 @@ def tree_links(
 def _tiled(members: DataFrame, percent: int) -> DataFrame:
     """Jobs ``cluster, one, two, doc, side`` for clusters of any size, cut into tiles by size.
 
+    Tiles are even in shingles: few long documents or many short ones, so that a document goes to few jobs.
+
     A tile is joined with itself (``one = two``) and with each other tile whose sizes allow a link.
     """
-    by_size = members.groupBy("cluster", "size").agg(F.count("*").alias("n"))
+    held = TILE * PER_DOCUMENT
+    by_size = members.groupBy("cluster", "size").agg(F.sum("size").alias("n"))
     before = F.sum("n").over(
         Window.partitionBy("cluster").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
     )
     steps = by_size.select(
         "cluster",
         "size",
-        F.floor(F.coalesce(before, F.lit(0)) / TILE).alias("step"),
-        F.ceil(F.col("n") / TILE).alias("splits"),
+        F.floor(F.coalesce(before, F.lit(0)) / held).alias("step"),
+        F.ceil(F.col("n") / held).alias("splits"),
     )
     split = F.pmod(F.xxhash64("doc"), F.col("splits")).alias("split")
     tiled = members.join(steps, ["cluster", "size"]).withColumn("tile", F.struct("step", split))
