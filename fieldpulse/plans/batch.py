@@ -77,10 +77,12 @@ class Touched:
 
     @classmethod
     def of(cls, sensor_windows: DataFrame, limit: int = BROADCAST_BYTES) -> Touched:
-        """One aggregation: a row per touched hour with its span and the size of its keys."""
+        """One aggregation: a row per touched hour with its span, and the size and number of its keys."""
         names = F.octet_length("sensor_id") + F.octet_length("site")
-        hours = by_hour(sensor_windows, "window_start", MINUTE_SECONDS, F.sum(names + ROW_BYTES)).collect()
-        return cls(sensor_windows, sum(h[4] for h in hours), HourScope.from_rows(hours), limit)
+        measures = F.sum(names + ROW_BYTES), F.count(F.lit(1))
+        hours = by_hour(sensor_windows, "window_start", MINUTE_SECONDS, *measures).collect()
+        scope = HourScope.from_rows(hours, [h[5] for h in hours])
+        return cls(sensor_windows, sum(h[4] for h in hours), scope, limit)
 
     @property
     def site_windows(self) -> DataFrame:
@@ -200,7 +202,7 @@ def insert_absent_events(
         limit=options.broadcast_bytes,
         source_unique=options.dedup_in_batch,
     )
-    lake.append(m.SILVER, stamped(fresh, now))
+    lake.append(m.SILVER, stamped(fresh, now), hours)
 
 
 def affected_partials(

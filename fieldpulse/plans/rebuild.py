@@ -14,7 +14,7 @@ from fieldpulse.operators.sizing import ROW_BYTES, small
 from fieldpulse.plans.together import together
 from fieldpulse.sources.files import delete_tree
 from fieldpulse.sources.lake import Lake, stamped
-from fieldpulse.sources.scope import HourScope
+from fieldpulse.sources.scope import MINUTE_SECONDS, HourScope
 
 
 def rebuild_gold(
@@ -39,15 +39,16 @@ def rebuild_gold(
 
 
 def _rebuild_from(lake: Lake, partials: DataFrame, limits: m.Limits, now: datetime) -> None:
+    hours = HourScope.of(partials, "window_start", MINUTE_SECONDS)
 
     def sensor_minutes() -> None:
-        lake.overwrite(m.SENSOR_MINUTE, stamped(minutes.sensor_minute(partials), now))
+        lake.overwrite(m.SENSOR_MINUTE, stamped(minutes.sensor_minute(partials), now), hours)
 
     def site_minutes() -> None:
         sites = minutes.site_minute(partials).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            lake.overwrite(m.SITE_MINUTE, stamped(sites, now))
-            lake.overwrite(m.SITE_ALERT_MINUTE, stamped(minutes.site_alert_minute(sites), now))
+            lake.overwrite(m.SITE_MINUTE, stamped(sites, now), hours)
+            lake.overwrite(m.SITE_ALERT_MINUTE, stamped(minutes.site_alert_minute(sites), now), hours)
         finally:
             sites.unpersist()
 

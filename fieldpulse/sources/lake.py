@@ -17,6 +17,11 @@ follows the rows, not the batches.  An hour that gets rows again after its compa
 views name it before the first row is written, and find its newest rows in both levels.  The latest
 status is kept in buckets of sensors instead of hours; a compaction rewrites those that got rows.
 
+A batch that touches very many hours writes those of them with few rows to partitions that the sparse
+hours of ten years share, so that the number of files follows the rows and not the span of their times.
+Where rows of an hour lie then no longer follows from their time: the hours of a period with a shared
+partition are read together with it, and of each key the newest row counts wherever it is.
+
 A compaction first writes the merged partitions beside the table and then publishes them; if the
 driver dies in between, the finished copy is published before the table is written again.  Each lake
 has one writer at a time, which opens it with :meth:`ParquetLake.create`.  Appends are single Spark
@@ -31,14 +36,28 @@ from dataclasses import dataclass, field, replace
 from datetime import datetime
 from typing import Protocol
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldpulse.functions.timegrid import utc_day, utc_hour
 from fieldpulse.model import SENSOR_LATEST, SILVER, TABLES, TableSpec
 from fieldpulse.session import prepare_writes
 from fieldpulse.sources.files import children, delete_tree, path_exists
-from fieldpulse.sources.scope import LISTED_HOURS, RANGES, Hour, HourScope, covered
+from fieldpulse.sources.scope import (
+    LISTED_HOURS,
+    RANGES,
+    SHARED,
+    SHARED_HOUR,
+    Hour,
+    HourScope,
+    covered,
+    numbered,
+    period,
+    period_sql,
+    placed,
+    shared_day,
+    shared_number,
+)
 
 
 class Lake(Protocol):
@@ -51,10 +70,10 @@ class Lake(Protocol):
     def read(self, table: str, scope: HourScope | None = None) -> DataFrame: ...
     def scan(self, table: str, scope: HourScope | None = None) -> DataFrame: ...
     def newest_hours(self, table: str) -> Iterator[Hour] | None: ...
-    def append(self, table: str, rows: DataFrame) -> None: ...
+    def append(self, table: str, rows: DataFrame, scope: HourScope | None = None) -> None: ...
     def upsert(self, table: str, rows: DataFrame, scope: HourScope) -> None: ...
     def advance(self, rows: DataFrame) -> None: ...
-    def overwrite(self, table: str, rows: DataFrame) -> None: ...
+    def overwrite(self, table: str, rows: DataFrame, scope: HourScope | None = None) -> None: ...
     def compact(self, until: datetime, *tables: str) -> None: ...
     def scratch(self, name: str) -> str: ...
 
@@ -99,7 +118,10 @@ def _hours_sql(numbers: Iterable[int]) -> str:
 
 @dataclass
 class _State:
-    """What the writer knows of its tables.  Hours are numbered; the status has hour 0 only."""
+    """What the writer knows of its tables.
+
+    Hours are numbered; the status has hour 0 only, and shared partitions have numbers from SHARED on.
+    """
 
     lock: threading.Lock = field(default_factory=threading.Lock)
     version: int | None = None
@@ -190,16 +212,32 @@ class ParquetLake:
             day = value["part_day"]
             if day not in days:
                 days[day] = self._day_number(day)
-            hour = days[day] * 24 + int(value["part_hour"])
+            hour = _number(days[day], int(value["part_hour"]))
             (compacted if int(value["part_level"]) else appended).add(hour)
         self.state.appended[spec.name], self.state.compacted[spec.name] = appended, compacted
 
     def _day_number(self, text: str) -> int:
         return self.spark._jvm.java.time.LocalDate.parse(text).toEpochDay()
 
+    def _periods(self, spec: TableSpec) -> set[int]:
+        """First days of the periods that have a shared partition."""
+        numbers = self.state.appended[spec.name] | self.state.compacted[spec.name]
+        return {shared_day(n) for n in numbers if n >= SHARED}
+
+    def _reopened(self, spec: TableSpec) -> set[int]:
+        """Compacted hours that may have rows elsewhere."""
+        periods = self._periods(spec)
+        appended, compacted = self.state.appended[spec.name], self.state.compacted[spec.name]
+        return {h for h in compacted if h < SHARED and (h in appended or period(h // 24) in periods)}
+
     def newest_hours(self, table: str) -> Iterator[Hour]:
-        """Partitions of a time-partitioned table, newest first; looks at days as they are needed."""
+        """Hours of a time-partitioned table, newest first; looks at days as they are needed."""
         spec = TABLES[table]
+        if path_exists(self.spark, self._location(spec)):
+            self._look(spec)
+        if periods := self._periods(spec):
+            yield from self._newest_of_periods(spec, periods)
+            return
         day_number = {}
         for name in children(self.spark, self._location(spec)):
             if name.startswith("part_day="):
@@ -211,12 +249,28 @@ class ParquetLake:
             for hour in sorted(hours, reverse=True):
                 yield Hour.whole(day_number[text], hour)
 
+    def _newest_of_periods(self, spec: TableSpec, shared: set[int]) -> Iterator[Hour]:
+        """The same period by period, with the hours that share partitions."""
+        hours: dict[int, set[int]] = {first: set() for first in shared}
+        for number in self.state.appended[spec.name] | self.state.compacted[spec.name]:
+            if number < SHARED:
+                hours.setdefault(period(number // 24), set()).add(number)
+        for first in sorted(hours, reverse=True):
+            if first in shared:
+                rows = self.spark.read.table(self._files(spec)).where(numbered([shared_number(first)]))
+                number = F.unix_date(utc_day(spec.clock)) * 24 + utc_hour(spec.clock)
+                hours[first] |= {n for (n,) in rows.select(number).distinct().collect()}
+            yield from (Hour.whole(n // 24, n % 24) for n in sorted(hours[first], reverse=True))
+
     # -- the rows that count --------------------------------------------------------------
 
-    def _rows_sql(self, spec: TableSpec, columns: list[str], where: str, newest: bool) -> str:
+    def _rows_sql(
+        self, spec: TableSpec, columns: list[str], where: str, newest: bool, within: bool = True, marks: str = "false"
+    ) -> str:
         """Stored rows of some partitions; if wanted only the newest of each key.
 
-        Partition columns are window keys, so filters on them still prune.
+        Partition columns are window keys, so filters on them still prune, unless a key may have rows in
+        several partitions (not ``within`` one).  Marks of keys that are gone stay where ``marks`` holds.
         """
         names = ", ".join(columns)
         files = f"{self._files(spec)} WHERE {where}"
@@ -233,23 +287,26 @@ class ParquetLake:
                 f"AS newest, max_by(processed_at, written_at) AS processed_at, max(written_at) AS written_at "
                 f"FROM {files} GROUP BY sensor_id) WHERE NOT newest.gone"
             )
-        keys = ", ".join((*spec.partition_names, *spec.keys))
+        keys = ", ".join((*spec.partition_names, *spec.keys) if within else spec.keys)
         return (
             f"SELECT {names} FROM (SELECT *, row_number() OVER (PARTITION BY {keys} "
-            f"ORDER BY written_at DESC) AS age FROM {files}) WHERE age = 1 AND NOT gone"
+            f"ORDER BY written_at DESC) AS age FROM {files}) WHERE age = 1 AND (NOT gone OR {marks})"
         )
 
     def _counting_sql(self, spec: TableSpec) -> str:
         """The text of a table's view, for the partitions the writer knows."""
         columns = spec.column_names
         appended, compacted = self.state.appended[spec.name], self.state.compacted[spec.name]
-        if not _versioned(spec) or not appended and compacted:
+        shared = bool(self._periods(spec))
+        if not _versioned(spec) or not appended and compacted and not shared:
             return self._rows_sql(spec, columns, "true", newest=False)
         if spec.clock is None or not compacted:
-            return self._rows_sql(spec, columns, "true", newest=True)
-        reopened = _hours_sql(appended & compacted)
-        settled = self._rows_sql(spec, columns, f"part_level = 1 AND NOT ({reopened})", newest=False)
-        return f"{settled} UNION ALL {self._rows_sql(spec, columns, f'part_level = 0 OR {reopened}', newest=True)}"
+            return self._rows_sql(spec, columns, "true", newest=True, within=not shared)
+        open_ = f"part_level = 0 OR {_hours_sql(self._reopened(spec))}"
+        if shared:
+            open_ += f" OR part_hour = {SHARED_HOUR}"
+        settled = self._rows_sql(spec, columns, f"NOT ({open_})", newest=False)
+        return f"{settled} UNION ALL {self._rows_sql(spec, columns, open_, newest=True, within=not shared)}"
 
     def _show(self, spec: TableSpec) -> None:
         """Let the view follow the partitions, if its text changes."""
@@ -282,17 +339,24 @@ class ParquetLake:
             return self.spark.read.table(self.view(table))
         if not _versioned(spec):
             return self._in_scope(spec, scope, newest=False)
-        appended = self.state.appended[table]
-        open_ = HourScope(tuple(h for h in scope.hours if h.number in appended))
-        settled = HourScope(tuple(h for h in scope.hours if h.number not in appended))
+        appended, periods = self.state.appended[table], self._periods(spec)
+        unsure = {h for h in scope.hours if h.number in appended or period(h.day) in periods}
+        open_ = HourScope(tuple(h for h in scope.hours if h in unsure))
+        settled = HourScope(tuple(h for h in scope.hours if h not in unsure))
         if not settled.hours or len(scope.hours) > LISTED_HOURS:  # ranges would not tell them apart
             return self._in_scope(spec, scope, newest=True)
         rows = self._in_scope(spec, settled, newest=False)
         return rows.unionByName(self._in_scope(spec, open_, newest=True)) if open_.hours else rows
 
     def _in_scope(self, spec: TableSpec, scope: HourScope, newest: bool) -> DataFrame:
-        columns = [*spec.column_names, *_names(_partitions(spec))]
-        rows = self.spark.sql(self._rows_sql(spec, columns, "true", newest)).where(scope.partitions())
+        columns, periods = [*spec.column_names, *_names(_partitions(spec))], self._periods(spec)
+        touched = scope.partitions(periods)
+        if newest and periods:  # a key may have rows in several partitions
+            stored = self.spark.read.table(self._files(spec)).where(touched)
+            age = F.row_number().over(Window.partitionBy(*spec.keys).orderBy(F.col("written_at").desc()))
+            rows = stored.withColumn("age", age).where("age = 1 AND NOT gone")
+        else:
+            rows = self.spark.sql(self._rows_sql(spec, columns, "true", newest)).where(touched)
         return rows.where(scope.spans(F.col(spec.clock))).select(*spec.column_names)
 
     # -- writing ------------------------------------------------------------------------
@@ -318,40 +382,53 @@ class ParquetLake:
         gone = F.lit(False) if gone is None else gone
         return rows.withColumns({"written_at": F.lit(self._next_version()).cast("long"), "gone": gone})
 
-    def _laid_out(self, spec: TableSpec, rows: DataFrame, level: int = 0) -> DataFrame:
+    def _laid_out(
+        self, spec: TableSpec, rows: DataFrame, level: int = 0, own: frozenset[int] | None = None
+    ) -> DataFrame:
         """Rows with partition columns, gathered per partition and sorted for the writer.
 
         The rebalance step is adaptive: it splits a big partition over several tasks and packs
-        small ones together, so a hot hour is not written by one task.
+        small ones together, so a hot hour is not written by one task.  Compacted rows stay in the
+        partition they come from.
         """
         parts = _names(_partitions(spec))
         if spec.clock:
-            values = [utc_day(spec.clock), utc_hour(spec.clock), F.lit(level)]
+            where = map(F.col, spec.partition_names) if level else placed(spec.clock, own)
+            values = [*where, F.lit(level)]
         else:
             values = [_bucket() if level else F.lit(APPENDED)]
-        placed = rows.select(
+        laid = rows.select(
             *spec.column_names, *_names(_hidden(spec)), *[v.alias(n) for v, n in zip(values, parts)]
         )
-        return placed.hint("rebalance", *parts).sortWithinPartitions(*parts, *spec.sort)
+        return laid.hint("rebalance", *parts).sortWithinPartitions(*parts, *spec.sort)
 
-    def append(self, table: str, rows: DataFrame) -> None:
+    def append(self, table: str, rows: DataFrame, scope: HourScope | None = None) -> None:
+        """Add rows; those of hours that ``scope`` does not give a partition share one."""
         spec = TABLES[table]
         prepare_writes(rows.sparkSession)
         self._publish_staged(spec)
-        self._laid_out(spec, rows).write.insertInto(self._files(spec))
-
-    def _append_versions(self, spec: TableSpec, rows: DataFrame, hours: set[int] | None) -> None:
-        """Append gold rows of some hours (None: of any), which the view names before they are there."""
+        if scope is None or scope.own is None:
+            laid = self._laid_out(spec, rows)
+        else:
+            self.state.appended[table] |= scope.written
+            laid = self._laid_out(spec, rows, own=scope.own)
+        laid.write.insertInto(self._files(spec))
+
+    def _append_versions(
+        self, spec: TableSpec, rows: DataFrame, hours: set[int] | None, scope: HourScope | None = None
+    ) -> None:
+        """Append gold rows of some partitions (None: of any), which the view names before they are there."""
         self._publish_staged(spec)
         known = self.state.appended[spec.name]
         known |= self.state.compacted[spec.name] if hours is None else hours
+        if scope is not None and scope.own is not None:
+            known |= scope.written
         self._show(spec)
-        self.append(spec.name, rows)
+        self.append(spec.name, rows, scope)
 
     def upsert(self, table: str, rows: DataFrame, scope: HourScope) -> None:
         """Add rows that replace those with equal keys; nothing is read or rewritten."""
-        hours = {h.number for h in scope.hours} or None
-        self._append_versions(TABLES[table], self._stamped_rows(rows), hours)
+        self._append_versions(TABLES[table], self._stamped_rows(rows), scope.written or None, scope)
 
     def advance(self, rows: DataFrame) -> None:
         """Add candidates for the latest status, with the id of their event."""
@@ -359,10 +436,10 @@ class ParquetLake:
         written = self._stamped_rows(rows)
         self._append_versions(spec, written.withColumn("epoch", F.lit(self.state.epoch).cast("long")), {0})
 
-    def overwrite(self, table: str, rows: DataFrame) -> None:
+    def overwrite(self, table: str, rows: DataFrame, scope: HourScope | None = None) -> None:
         """Replace the whole table by one append: the new rows, and a mark for each key that goes.
 
-        Readers see every row either old or new.  :meth:`compact` drops what is outdated.
+        ``scope`` is that of the new rows, if it is known.  Readers see every row either old or new.  :meth:`compact` drops what is outdated.
         """
         spec = TABLES[table]
         written = self._stamped_rows(self.replacing(table, rows), F.col("gone"))
@@ -370,7 +447,7 @@ class ParquetLake:
             with self.state.lock:
                 self.state.epoch = self.state.version
             written = written.withColumn("epoch", F.lit(self.state.epoch).cast("long"))
-        self._append_versions(spec, written, None if spec.clock else {0})
+        self._append_versions(spec, written, None if spec.clock else {0}, scope)
         if spec.clock:
             self._look(spec)
             self._show(spec)
@@ -398,7 +475,8 @@ class ParquetLake:
             self._publish_staged(spec)
             self.spark.catalog.refreshTable(self._files(spec))
             self._look(spec)
-            todo = sorted(h for h in self.state.appended[spec.name] if h < last or spec.clock is None)
+            appended = self.state.appended[spec.name]
+            todo = sorted(h for h in appended if h < last or h >= SHARED or spec.clock is None)
             for at in range(0, len(todo), LISTED_HOURS):
                 hours = todo[at : at + LISTED_HOURS]
                 self._stage(spec, self._merged(spec, hours))
@@ -408,10 +486,11 @@ class ParquetLake:
         """The rows of some hours that count, with their hidden columns."""
         columns = [*spec.column_names, *_names(_hidden(spec))]
         if spec.clock:
-            scope = HourScope(tuple(Hour.whole(h // 24, h % 24) for h in hours))
-            parts = _names(_partitions(spec))
-            sql = self._rows_sql(spec, [*columns, *parts], "true", newest=_versioned(spec))
-            return self.spark.sql(sql).where(scope.partitions()).select(*columns)
+            columns += spec.partition_names
+            periods = self._periods(spec)
+            marks = f"{period_sql('unix_date(part_day)')} IN ({', '.join(map(str, sorted(periods)))})"
+            sql = self._rows_sql(spec, columns, "true", newest=_versioned(spec), marks=marks if periods else "false")
+            return self.spark.sql(sql).where(numbered(hours))
         buckets = ", ".join(map(str, [APPENDED, *self._touched_buckets(spec)]))
         return self.spark.sql(self._rows_sql(spec, columns, f"part_bucket IN ({buckets})", newest=True))
 
@@ -466,14 +545,15 @@ class ParquetLake:
         if spec.clock is None:
             return {(0, int(b)) for b in values(root, "part_bucket")}
         return {
-            (self._day_number(day) * 24 + int(hour), 1)
+            (_number(self._day_number(day), int(hour)), 1)
             for day in values(root, "part_day")
             for hour in values(f"{root}/part_day={day}", "part_hour")
         }
 
     def _part(self, hour: int, level: int) -> str:
-        day = self.spark._jvm.java.time.LocalDate.ofEpochDay(hour // 24).toString()
-        return f"part_day={day}/part_hour={hour % 24}/part_level={level}"
+        number, at = (shared_day(hour), SHARED_HOUR) if hour >= SHARED else (hour // 24, hour % 24)
+        day = self.spark._jvm.java.time.LocalDate.ofEpochDay(number).toString()
+        return f"part_day={day}/part_hour={at}/part_level={level}"
 
     def _forget(self, spec: TableSpec, parts: list[str]) -> None:
         """Take partitions out of the catalog; their files stay."""
@@ -495,6 +575,10 @@ class ParquetLake:
             self._publish(spec)
 
 
+def _number(day: int, hour: int) -> int:
+    return shared_number(day) if hour == SHARED_HOUR else day * 24 + hour
+
+
 def _bucket() -> Column:
     return F.pmod(F.xxhash64("sensor_id"), F.lit(BUCKETS)).cast("int")
 

@@ -76,7 +76,7 @@ class MergeLake:
     def newest_hours(self, table: str) -> None:
         return None
 
-    def append(self, table: str, rows: DataFrame) -> None:
+    def append(self, table: str, rows: DataFrame, scope: HourScope | None = None) -> None:
         prepare_writes(rows.sparkSession)
         rows.select(*TABLES[table].column_names).writeTo(self.view(table)).append()
 
@@ -136,7 +136,7 @@ class MergeLake:
     def compact(self, until: datetime, *tables: str) -> None:
         """The table format's own maintenance does this."""
 
-    def overwrite(self, table: str, rows: DataFrame) -> None:
+    def overwrite(self, table: str, rows: DataFrame, scope: HourScope | None = None) -> None:
         prepare_writes(rows.sparkSession)
         written = rows.select(*TABLES[table].column_names)
         written.writeTo(self.view(table)).overwrite(F.lit(True))

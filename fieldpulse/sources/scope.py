@@ -18,6 +18,16 @@ LISTED_HOURS = 10_000
 RANGES = 200
 #: Ranges for the scan of Parquet files, which tests each of them on every row group.
 SCAN_RANGES = 50
+#: A batch that touches more hours than this lets those with few rows share partitions.
+FEW_HOURS = 200
+#: Touched rows from which on an hour of such a batch has its own partition.
+HOUR_ROWS = 1000
+#: Days whose sparse hours share a partition, counted from the first day of year 1, and its hour.
+PERIOD_DAYS = 3652
+FIRST_DAY = -719162
+SHARED_HOUR = -1
+#: Shared partitions are numbered from here on, far beyond all hours.
+SHARED = 10**9
 HOUR_SECONDS = 3600
 MINUTE_SECONDS = 60
 
@@ -47,6 +57,24 @@ class Hour:
         return self.day * 24 + self.hour
 
 
+def period(day: int) -> int:
+    """The first day of the period of a day."""
+    return day - (day - FIRST_DAY) % PERIOD_DAYS
+
+
+def shared_number(first: int) -> int:
+    """Number of the shared partition of a period, which may begin before the epoch."""
+    return 2 * SHARED + first
+
+
+def shared_day(number: int) -> int:
+    return number - 2 * SHARED
+
+
+def period_sql(day: str) -> str:
+    return f"({day} - pmod({day} - ({FIRST_DAY}), {PERIOD_DAYS}))"
+
+
 def covered(ranges: Sequence[Range], most: int) -> list[Range]:
     """At most ``most`` ranges that cover sorted ranges and leave out the widest gaps between them.
 
@@ -67,23 +95,41 @@ def covered(ranges: Sequence[Range], most: int) -> list[Range]:
 class HourScope:
     """The touched (day, hour) partitions with the span of time touched in each.
 
-    Everything touched is inside the filters, so they lose no row.
+    Everything touched is inside the filters, so they lose no row.  ``own`` names the hours whose rows
+    are written to a partition of their own; None: all of them.
     """
 
     hours: tuple[Hour, ...] = ()
+    own: frozenset[int] | None = None
 
     @classmethod
     def of(cls, rows: DataFrame, clock: str, lasting: int = 1) -> HourScope:
         """Scope of rows that each last ``lasting`` seconds from the second of their clock."""
-        return cls.from_rows(by_hour(rows, clock, lasting).collect())
+        found = by_hour(rows, clock, lasting, F.count(F.lit(1))).collect()
+        return cls.from_rows(found, [row[4] for row in found])
 
     @classmethod
-    def from_rows(cls, rows: Iterable) -> HourScope:
-        """From rows that begin with the columns of :func:`by_hour`."""
-        return cls(tuple(sorted(Hour(*row[:4]) for row in rows)))
+    def from_rows(cls, rows: Iterable, sizes: Sequence[int] | None = None) -> HourScope:
+        """From rows that begin with the columns of :func:`by_hour`, and the number of rows of each hour."""
+        hours = [Hour(*row[:4]) for row in rows]
+        own = None
+        if sizes is not None and len(hours) > FEW_HOURS:
+            own = frozenset(h.number for h, size in zip(hours, sizes) if size >= HOUR_ROWS)
+        return cls(tuple(sorted(hours)), own)
 
-    def partitions(self) -> Column:
-        """All rows of the touched partitions."""
+    @property
+    def written(self) -> set[int]:
+        """Numbers of the partitions that rows of this scope are written to."""
+        own = self.own
+        return {h.number if own is None or h.number in own else shared_number(period(h.day)) for h in self.hours}
+
+    def partitions(self, periods: Iterable[int] = ()) -> Column:
+        """All rows of the touched partitions; ``periods`` are those that have a shared one."""
+        shared = sorted({period(h.day) for h in self.hours}.intersection(periods))
+        held = self._own_partitions() & (F.col("part_hour") != SHARED_HOUR)
+        return held | _shared(shared) if shared else held
+
+    def _own_partitions(self) -> Column:
         number = F.unix_date("part_day") * 24 + F.col("part_hour")
         if len(self.hours) <= LISTED_HOURS:
             return number.isin([h.number for h in self.hours]) & F.col("part_day").isin(
@@ -102,6 +148,26 @@ class HourScope:
         return _any((clock >= _second(first)) & (clock < _second(end)) for first, end in spans)
 
 
+def numbered(numbers: Iterable[int]) -> Column:
+    """Rows of exactly these partitions."""
+    numbers = list(numbers)
+    held = HourScope(tuple(Hour.whole(n // 24, n % 24) for n in numbers if n < SHARED)).partitions()
+    shared = [shared_day(n) for n in numbers if n >= SHARED]
+    return held | _shared(shared) if shared else held
+
+
+def placed(clock: str, own: frozenset[int] | None) -> tuple[Column, Column]:
+    """Day and hour of the partition that a row is written to."""
+    day, hour = utc_day(clock), utc_hour(clock)
+    if own is None:
+        return day, hour
+    number = F.unix_date(day) * 24 + hour
+    alone = number.isin(sorted(own)) if own else F.lit(False)
+    since = F.unix_date(day)
+    first = F.date_from_unix_date(since - F.pmod(since - F.lit(FIRST_DAY), F.lit(PERIOD_DAYS)))
+    return F.when(alone, day).otherwise(first), F.when(alone, hour).otherwise(F.lit(SHARED_HOUR))
+
+
 def by_hour(rows: DataFrame, clock: str, lasting: int, *measures: Column) -> DataFrame:
     """One row per touched hour: day, hour, first and last second, and aggregates beside them."""
     second = F.unix_seconds(clock)
@@ -113,6 +179,10 @@ def _any(conditions) -> Column:
     return reduce(or_, conditions, F.lit(False))
 
 
+def _shared(periods: Iterable[int]) -> Column:
+    return (F.col("part_hour") == SHARED_HOUR) & F.col("part_day").isin([_day(d) for d in periods])
+
+
 def _second(seconds_since_epoch: int) -> Column:
     return F.timestamp_seconds(F.lit(seconds_since_epoch))
 
