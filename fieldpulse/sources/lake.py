@@ -400,7 +400,10 @@ class ParquetLake:
         laid = rows.select(
             *spec.column_names, *_names(_hidden(spec)), *[v.alias(n) for v, n in zip(values, parts)]
         )
-        return laid.hint("rebalance", *parts).sortWithinPartitions(*parts, *spec.sort)
+        order = list(spec.sort)
+        if spec.clock and (level or own is not None):  # by time, so that scans skip what they do not need
+            order.insert(0, F.when(F.col("part_hour") == SHARED_HOUR, F.col(spec.clock)))
+        return laid.hint("rebalance", *parts).sortWithinPartitions(*parts, *order)
 
     def append(self, table: str, rows: DataFrame, scope: HourScope | None = None) -> None:
         """Add rows; those of hours that ``scope`` does not give a partition share one."""

@@ -21,7 +21,7 @@ SCAN_RANGES = 50
 #: A batch that touches more hours than this lets those with few rows share partitions.
 FEW_HOURS = 200
 #: Touched rows from which on an hour of such a batch has its own partition.
-HOUR_ROWS = 1000
+HOUR_ROWS = 10_000
 #: Days whose sparse hours share a partition, counted from the first day of year 1, and its hour.
 PERIOD_DAYS = 3652
 FIRST_DAY = -719162

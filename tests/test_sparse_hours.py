@@ -113,3 +113,11 @@ def test_keys_that_go_stay_away(spark, tmp_path, monkeypatch, compacted):
         other.compact(datetime(2100, 1, 1, tzinfo=timezone.utc))
     for table in GOLD:
         assert rows(other, table) == rows(less, table)
+
+
+def test_only_hours_worth_a_file_have_a_partition_of_their_own():
+    hours = [(day, hour, 0, 60) for day in range(20_000, 20_030) for hour in range(24)]
+    sizes = [4_800] * (len(hours) - 1) + [20_000]
+    scope = scopes.HourScope.from_rows(hours, sizes)
+    assert len(scope.written) <= 3 and 20_029 * 24 + 23 in scope.written
+    assert len(scopes.HourScope.from_rows(hours[:24], sizes[:24]).written) == 24
