@@ -8,7 +8,7 @@ its own).
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -74,6 +74,21 @@ def _give_back() -> None:
         _C.malloc_trim(0)
 
 
+def tidied(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task that returns freed memory when it has ended, and not only after its blocks."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        _give_back()
+
+    return task
+
+
+def values_of(column: pa.Array) -> Iterator[memoryview]:
+    """The binary values of a column that are not null, one at a time; parts of them are no copies."""
+    return (memoryview(x.as_buffer()) for x in column if x.is_valid)
+
+
 def that_fit(sizes: Iterable[int], most: int) -> list[bool]:
     """Which of some texts fit into ``most`` together, in turn; one that does not is skipped."""
     fits = []

@@ -69,12 +69,16 @@ def components(links: DataFrame) -> DataFrame:
         path = f"{folder}/{number}"
         edges.distinct().write.parquet(path)
         edges = spark.read.parquet(path)
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        return edges, tuple(state)
+        ends = edges.select(F.explode(F.array("a", "b")).alias("node"), F.xxhash64("a", "b").cast("decimal(38,0)").alias("name"))
+        nodes = ends.groupBy("node").agg(F.count(F.lit(1)).alias("edges"), F.sum("name").alias("names"))
+        return edges, tuple(nodes.agg(F.sum("edges"), F.sum("names"), F.max("edges")).first())
 
-    def with_least(edges: DataFrame, many: int) -> DataFrame:
-        """Edges with the least neighbour of ``a``; ``many`` is at least about their number."""
+    def with_least(edges: DataFrame, many: int, most: int) -> DataFrame:
+        """Edges with the least neighbour of ``a``; ``many`` is at least about their number, and no
+        node has more than ``most``."""
         share = max(LEAST_SHARE, many // (8 * tasks))
+        if most <= share:
+            return edges.join(edges.groupBy("a").agg(F.min("b").alias("least")), "a")
         found = edges.groupBy("a").agg(F.min("b").alias("least"), F.count(F.lit(1)).alias("edges"))
         often = F.broadcast(found.where(F.col("edges") > share).select("a", "least"))
         seldom = edges.join(often.select("a"), "a", "left_anti").join(found.select("a", "least"), "a")
@@ -85,9 +89,9 @@ def components(links: DataFrame) -> DataFrame:
     while state[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         smallest = F.least("a", "least").alias("b")
-        large = with_least(both, 2 * state[0]).where("b > a").select(F.col("b").alias("a"), smallest)
+        large = with_least(both, state[0], state[2]).where("b > a").select(F.col("b").alias("a"), smallest)
         large = large.where("a != b").distinct()
-        small = with_least(large, 2 * state[0]).select(
+        small = with_least(large, state[0], state[2]).select(
             F.explode(
                 F.array(
                     F.struct("a", F.col("least").alias("b")),

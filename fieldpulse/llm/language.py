@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldpulse.llm.blocks import Block, blocks
+from fieldpulse.llm.blocks import Block, blocks, tidied
 
 REFERENCE_CHARS = 50_000
 SAMPLE_DOCUMENTS = 300
@@ -317,7 +317,7 @@ def accepted(documents: DataFrame, model: Model, most_bits: float | None = None)
                 good = (letters > 0) & (bits <= most[at])
                 yield batch.slice(block.first, block.size).filter(pa.array(good))
 
-    return documents.mapInArrow(run, documents.schema)
+    return documents.mapInArrow(tidied(run), documents.schema)
 
 
 def identify(documents: DataFrame, model: Model) -> DataFrame:

@@ -36,9 +36,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldpulse.llm.blocks import blocks, lowered, mixed, owners, range_hashes, spread, words_of
+from fieldpulse.llm.blocks import blocks, lowered, mixed, owners, range_hashes, spread, tidied, values_of, words_of
 from fieldpulse.llm.graphs import Forest, components
-from fieldpulse.llm.exchange import targets_for
+from fieldpulse.llm.exchange import SORTED_CHARS_PER_TARGET, targets_for
 from fieldpulse.session import work_folder
 
 SHINGLE = 3
@@ -135,7 +135,7 @@ def frequent_words(documents: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     spark = documents.sparkSession
     folder = work_folder(spark, "words")
-    counted = documents.select("text").mapInArrow(count, "word long, n long")
+    counted = documents.select("text").mapInArrow(tidied(count), "word long, n long")
     counted.groupBy("word").agg(F.sum("n").alias("n")).write.parquet(folder)
     table = spark.read.parquet(folder)
     total = table.agg(F.sum("n")).first()[0] or 0
@@ -164,7 +164,7 @@ def _sets_and_candidates(documents: DataFrame, shingle: int, percent: int) -> Da
     """Rows of two kinds in one table: documents ``(doc, size, one, two, points)``, and the members
     ``(doc, size, job, many)`` of groups that share a shingle."""
     spark = documents.sparkSession
-    targets = targets_for(documents)
+    targets = targets_for(documents, share=SORTED_CHARS_PER_TARGET)
     shared = spark.sparkContext.broadcast(frequent_words(documents))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,6 +172,7 @@ def _sets_and_candidates(documents: DataFrame, shingle: int, percent: int) -> Da
 
         def flush() -> pa.RecordBatch:
             entries = np.concatenate(held)
+            held.clear()
             target = (mixed(entries["token"]) % np.uint64(targets)).astype(np.int64)
             order = np.argsort(target, kind="stable")
             cuts = np.searchsorted(target[order], np.arange(targets + 1))
@@ -221,9 +222,9 @@ def _sets_and_candidates(documents: DataFrame, shingle: int, percent: int) -> Da
                 entries["size"] = np.repeat(sizes, prefix)
                 held.append(entries)
                 many += len(entries)
-                if many > ROWS_AT_ONCE:
+                if many > ROWS_AT_ONCE // 2:
                     yield flush()
-                    held, many = [], 0
+                    many = 0
         if many:
             yield flush()
 
@@ -231,11 +232,12 @@ def _sets_and_candidates(documents: DataFrame, shingle: int, percent: int) -> Da
         parts = [np.zeros(0, _ENTRY)]
         for batch in batches:
             packed = batch.column(1)
-            parts += [np.frombuffer(x, _ENTRY) for x in packed.drop_null().to_pylist()]
+            parts += [np.frombuffer(x, _ENTRY) for x in values_of(packed)]
             rows = batch.filter(packed.is_null())
             none = [pa.nulls(rows.num_rows, pa.int64()), pa.nulls(rows.num_rows, pa.int32())]
             yield pa.RecordBatch.from_arrays([*rows.columns[2:], *none], found)
-        job, doc, size, many = groups_of(np.concatenate(parts), percent)
+        parts = [np.concatenate(parts)]  # what was read goes before the sort, and is then the sort's own
+        job, doc, size, many = groups_of(parts.pop(), percent)
         gone = pa.nulls(len(job), pa.int64())
         yield pa.RecordBatch.from_arrays(
             [
@@ -255,10 +257,10 @@ def _sets_and_candidates(documents: DataFrame, shingle: int, percent: int) -> Da
     found = ["doc", "size", "one", "two", "points", "job", "many"]
     rows = documents.select(F.col("doc_id").cast("long").alias("doc"), "text")
     row = "doc long, size long, one long, two long, points binary"
-    sent = rows.mapInArrow(send, f"target int, packed binary, {row}")
+    sent = rows.mapInArrow(tidied(send), f"target int, packed binary, {row}")
     folder = work_folder(spark, "near_sets")
     dealt = sent.repartitionById(targets, F.col("target"))
-    dealt.mapInArrow(resolve, f"{row}, job long, many int").write.parquet(folder)
+    dealt.mapInArrow(tidied(resolve), f"{row}, job long, many int").write.parquet(folder)
     return spark.read.parquet(folder)
 
 
@@ -455,7 +457,7 @@ def _solved(rows: DataFrame, solve) -> DataFrame:
         found = [link for a, b in zip(cuts, cuts[1:]) for link in solve(table.slice(a, b - a))]
         return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["a", "b"])
 
-    return rows.repartition("job").sortWithinPartitions("job").mapInArrow(run, "a long, b long")
+    return rows.repartition("job").sortWithinPartitions("job").mapInArrow(tidied(run), "a long, b long")
 
 
 def _side(table: pa.Table) -> np.ndarray | None:

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from fieldpulse.llm import bpe
-from fieldpulse.llm.blocks import ENCODED_BYTES, Block, blocks
+from fieldpulse.llm.blocks import ENCODED_BYTES, Block, blocks, tidied
 from fieldpulse.session import work_folder
 
 CAPACITY = 1024
@@ -276,7 +276,7 @@ def pieces(documents: DataFrame, path: str, capacity: int = CAPACITY, with_ids:
     kinds = [id_type, pa.int32(), *[pa.int64()] * 3, pa.int32(), pa.int64(), pa.binary()]
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth", "ids"][: 7 + with_ids]
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, part int, nth long"
-    return documents.select("doc_id", "text").mapInArrow(run, schema + ", ids binary" * with_ids)
+    return documents.select("doc_id", "text").mapInArrow(tidied(run), schema + ", ids binary" * with_ids)
 
 
 def pack_documents(

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldpulse.llm.blocks import Block, blocks, lowered, mixed, owners, range_hashes, that_fit, words_of
+from fieldpulse.llm.blocks import Block, blocks, lowered, mixed, owners, range_hashes, that_fit, tidied, words_of
 
 BUCKETS = 1 << 17
 DIMENSIONS = 8
@@ -180,4 +180,4 @@ def accepted(documents: DataFrame, model: Model) -> DataFrame:
                 good = score_block(block, shared.value) >= ACCEPTED_FROM
                 yield batch.slice(block.first, block.size).filter(pa.array(good))
 
-    return documents.mapInArrow(run, documents.schema)
+    return documents.mapInArrow(tidied(run), documents.schema)

@@ -38,8 +38,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldpulse.llm.blocks import blocks, mixed, range_hashes, spread, words_of
-from fieldpulse.llm.exchange import targets_for
+from fieldpulse.llm.blocks import blocks, mixed, range_hashes, spread, tidied, values_of, words_of
+from fieldpulse.llm.exchange import SORTED_CHARS_PER_TARGET, targets_for
 
 WINDOW = 20
 ROUNDS = 2
@@ -235,7 +235,7 @@ def _packed(entries: np.ndarray, hashes: np.ndarray) -> bytes:
     return len(entries).to_bytes(8, "little") + entries.tobytes() + hashes.astype("<u8").tobytes()
 
 
-def _unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+def _unpacked(raw: bytes | memoryview) -> tuple[np.ndarray, np.ndarray]:
     size = int.from_bytes(raw[:8], "little")
     cut = 8 + size * _ENTRY.itemsize
     return np.frombuffer(raw[8:cut], _ENTRY), np.frombuffer(raw[cut:], "<u8")
@@ -258,7 +258,7 @@ def identity(id_col: str = "doc_id", text_col: str = "text") -> tuple[Column, Co
 
 def repeated_spans(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     """``doc, twin, start, stop``: word ranges that repeat earlier text; ranges may overlap."""
-    targets = targets_for(documents)
+    targets = targets_for(documents, share=SORTED_CHARS_PER_TARGET)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, held_hashes, held_many, turn = [], [], 0, 0
@@ -266,6 +266,8 @@ def repeated_spans(documents: DataFrame, window: int = WINDOW) -> DataFrame:
 
         def flush() -> Iterator[pa.RecordBatch]:
             entries, hashes = np.concatenate(held), np.concatenate(held_hashes)
+            held.clear()
+            held_hashes.clear()
             later, of_window = _without_own_copies(entries, hashes)
             # What is known to repeat goes straight on, as ranges, to the targets in turn.
             doc, twin, start, stop = spans(entries, of_window, window)
@@ -303,14 +305,14 @@ def repeated_spans(documents: DataFrame, window: int = WINDOW) -> DataFrame:
                 held_many += len(entries)
                 if held_many >= KEYS_AT_ONCE:
                     yield from flush()
-                    held, held_hashes, held_many, turn = [], [], 0, turn + 1
+                    held_many, turn = 0, turn + 1
         if held_many:
             yield from flush()
 
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries, hashes = [np.zeros(0, _ENTRY)], [np.zeros(0, np.uint64)]
         for batch in batches:
-            for raw in batch.column(1).to_pylist():
+            for raw in values_of(batch.column(1)):
                 own, own_hashes = _unpacked(raw[1:])
                 if raw[:1] == b"S":
                     yield _span_batch((own["doc"], own["twin"], own["first"], own["at"]))
@@ -318,12 +320,13 @@ def repeated_spans(documents: DataFrame, window: int = WINDOW) -> DataFrame:
                     entries.append(own)
                     hashes.append(own_hashes)
         entry, hashed = np.concatenate(entries), np.concatenate(hashes)
+        del entries, hashes  # before the sorts, which take as much again
         yield _span_batch(spans(entry, repeats(entry, hashed), window))
 
     doc, twin = identity()
     rows = documents.select(doc.alias("doc"), twin.alias("twin"), "text").where("text is not null")
-    packed = rows.mapInArrow(send, "target int, packed binary")
-    return packed.repartitionById(targets, F.col("target")).mapInArrow(resolve, _SPAN)
+    packed = rows.mapInArrow(tidied(send), "target int, packed binary")
+    return packed.repartitionById(targets, F.col("target")).mapInArrow(tidied(resolve), _SPAN)
 
 
 # -- documents without their repeats ---------------------------------------------------------------
@@ -392,7 +395,7 @@ def digests(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     kind = documents.schema["doc_id"].dataType.simpleString()
     rows = _with_spans(documents.select("doc_id", "text"), window)
     return rows.select("doc_id", "text", "starts", "stops").mapInArrow(
-        run, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string"
+        tidied(run), f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string"
     )
 
 
@@ -416,4 +419,4 @@ def without_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     numbered = documents.toDF(*[f"c{i}" for i in range(len(columns))])  # names of any kind and case
     keyed = numbered.withColumnsRenamed({f"c{place}": "text", f"c{columns.index('doc_id')}": "doc_id"})
     rows = _with_spans(keyed, window).select(*keyed.columns, "starts", "stops")
-    return rows.mapInArrow(run, documents.schema)
+    return rows.mapInArrow(tidied(run), documents.schema)
