@@ -17,9 +17,10 @@ sum of coordinate minima bounds the overlap of two points, and of any two below
 over the boxes' upper corners.  Pairs that the bound leaves join documents into families, whose sets
 are then fetched and verified exactly, again along an R-tree.  Pairs that are connected already are
 neither bounded nor verified again, so a family of near copies costs about one verification per
-document.  Groups and families of more than about ``TILE`` documents are cut into tiles by size, and
-tiles whose sizes allow a link are joined pair by pair, each in a task of its own.  No link is lost
-at any step.
+document.  A large family in which few pairs are left is verified star by star, a star being what a
+group of documents left connected.  Groups and families of more than about ``TILE`` documents are cut
+into tiles by size, and tiles whose sizes allow a link are joined pair by pair, each in a task of its
+own.  No link is lost at any step.
 
 Defined results: null, empty and wordless texts have no shingle and link with nothing; fewer words
 than a shingle has are one shingle; texts of any length are read whole, the document being the unit of memory;
@@ -33,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldpulse.llm.blocks import blocks, lowered, mixed, owners, range_hashes, spread, tidied, values_of, words_of
@@ -50,6 +51,8 @@ TILE = 512
 #: Words that make up more than one in so many of all words are told apart by frequency: at most so many.
 FREQUENT = 200_000
 ROWS_AT_ONCE = 1_000_000
+#: Bits, 32 in a row, that tell tasks whose texts to send.
+MARKS = 1 << 22
 
 
 def word_hashes(block) -> tuple[np.ndarray, np.ndarray]:
@@ -479,6 +482,48 @@ def _possible(points: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     return _solved(_jobs(members, percent).join(points, "doc"), solve)
 
 
+def _families(possible: DataFrame, components: DataFrame) -> DataFrame:
+    """``cluster, doc, many``: sets of documents, such that each possible pair is inside one of them.
+
+    That is a component of the possible pairs or, where these are sparse in a large one, each star of
+    it: both ends of a possible pair are in the star of their job.  Which of the two is taken is the
+    number of rows that :func:`_jobs` makes of them at most.
+    """
+    named = components.select(F.col("node").alias("doc"), "component")
+    whole = named.join(named.groupBy("component").agg(F.count("*").alias("many")), "component")
+    large = whole.where(F.col("many") > TILE)
+    stars = possible.join(large.withColumnRenamed("doc", "a"), "a").select(
+        "component", "many", F.col("b").alias("cluster"), F.explode(F.array("a", "b")).alias("doc")
+    )
+    stars = stars.distinct()
+
+    def rows(many: str) -> Column:
+        return F.col(many) * F.ceil(F.col(many) / TILE)
+
+    sizes = stars.groupBy("component", "many", "cluster").agg(F.count("*").alias("own"))
+    costs = sizes.groupBy("component", "many").agg(F.sum(rows("own")).alias("cost"))
+    sparse = costs.where(F.col("cost") < rows("many")).select("component")
+    parts = stars.join(sparse, "component", "left_semi").join(sizes.select("cluster", "own"), "cluster")
+    return (
+        whole.join(sparse, "component", "left_anti")
+        .select(F.col("component").alias("cluster"), "doc", "many")
+        .unionByName(parts.select("cluster", "doc", F.col("own").alias("many")))
+    )
+
+
+def _mostly(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """All texts of members and few others, which then need not be shuffled.
+
+    Members are marked in ``MARKS`` bits, a bound that does not grow, by a hash of their id.
+    """
+    mark = F.pmod(F.xxhash64("doc"), F.lit(MARKS))
+    place = F.floor(mark / 32).alias("place")
+    bit = F.pow(F.lit(2), F.pmod(mark, F.lit(32))).cast("long").alias("bit")
+    marks = members.select(place, bit).groupBy("place").agg(F.bit_or("bit").alias("marks"))
+    marked = texts.select("*", place, bit).join(F.broadcast(marks), "place")
+    return marked.where(F.col("marks").bitwiseAND(F.col("bit")) != 0).select(*texts.columns)
+
+
 def _links(documents: DataFrame, members: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Verified links within clusters, as stars of each job."""
 
@@ -492,7 +537,7 @@ def _links(documents: DataFrame, members: DataFrame, shingle: int, percent: int)
         sizes, docs = list(map(len, sets)), table.column("doc").to_pylist()
         return tree_links(points, sizes, docs, _side(table), sets, percent)
 
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc"), "text")
+    texts = _mostly(documents.select(F.col("doc_id").cast("long").alias("doc"), "text"), members)
     return _solved(texts.join(_jobs(members, percent).hint("shuffle_hash"), "doc"), solve)
 
 
@@ -503,10 +548,10 @@ def near_components(documents: DataFrame, shingle: int = SHINGLE, percent: int =
     known = sets.where("doc is not null and size > 0")
     same = ["size", "one", "two"]
     # Written, so that the join has a shuffle of its own on either side and can split a hot set.
-    folder = f"{work_folder(documents.sparkSession, 'near_copies')}/first"
+    folder = work_folder(documents.sparkSession, "near_copies")
     first = known.groupBy(*same).agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-    first.where("first != last").select(*same, "first").write.parquet(folder)
-    first = documents.sparkSession.read.parquet(folder)
+    first.where("first != last").select(*same, "first").write.parquet(f"{folder}/first")
+    first = documents.sparkSession.read.parquet(f"{folder}/first")
     copies = known.join(first, same).where("doc != first").select("doc", "first").distinct()
 
     def represented(edges: DataFrame, column: str) -> DataFrame:
@@ -516,11 +561,12 @@ def near_components(documents: DataFrame, shingle: int = SHINGLE, percent: int =
 
     groups = rows.where("job is not null").select(F.col("job").alias("cluster"), "doc", "size", "many").distinct()
     possible = _possible(known.select("doc", "size", "points").distinct(), groups, percent)
-    clusters = components(represented(represented(possible, "a"), "b"))
-    sized = clusters.join(clusters.groupBy("component").agg(F.count("*").alias("many")), "component")
-    members = sized.join(known.select("doc", "size").distinct(), sized["node"] == F.col("doc")).select(
-        F.col("component").alias("cluster"), "doc", "size", "many"
-    )
+    represented(represented(possible, "a"), "b").where("a != b").distinct().write.parquet(f"{folder}/possible")
+    possible = documents.sparkSession.read.parquet(f"{folder}/possible")
+    sized = _families(possible, components(possible))
+    members = sized.join(known.select("doc", "size").distinct(), "doc").select("cluster", "doc", "size", "many")
+    members.write.parquet(f"{folder}/members")
+    members = documents.sparkSession.read.parquet(f"{folder}/members")
     links = _links(documents, members, shingle, percent).unionByName(copies.select(F.col("doc").alias("a"), F.col("first").alias("b")))
     found = components(links).withColumnsRenamed({"node": "doc"})
     return sets.join(found, "doc", "left").select(
