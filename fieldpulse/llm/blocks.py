@@ -57,12 +57,21 @@ def blocks(texts: pa.Array, most: int = BLOCK_BYTES) -> Iterator[Block]:
     _, ends, content = texts.buffers()
     offsets = np.frombuffer(ends, np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
     data = np.frombuffer(content, np.uint8) if content is not None else np.zeros(0, np.uint8)
-    at = 0
-    while at < len(texts):
-        to = int(np.searchsorted(offsets, offsets[at] + most, side="right")) - 1
-        to = min(max(to, at + 1), len(texts))
+    for at, to in cuts_of(offsets, most):
         low = int(offsets[at])
         yield Block(at, data[low : int(offsets[to])], offsets[at : to + 1] - low)
+
+
+def cuts_of(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """First document of each block, and the first one after it, given where the documents start.
+
+    Afterwards freed memory is given back.
+    """
+    at = 0
+    while at < len(offsets) - 1:
+        to = int(np.searchsorted(offsets, offsets[at] + most, side="right")) - 1
+        to = min(max(to, at + 1), len(offsets) - 1)
+        yield at, to
         at = to
     _give_back()
 
@@ -115,13 +124,31 @@ def _powers_up_to(size: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers
 
 
-def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte range; equal bytes have equal hashes wherever they stand."""
+#: What the length of a byte range adds to its hash.
+_LENGTH = np.uint64(0xD6E8FEB86659FD93)
+
+
+def range_values(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A number for each byte range, from which ``joined_hashes`` makes the hashes of ranges joined."""
     up, down = _powers_up_to(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTES[data] * up[: len(data)], out=sums[1:])
-    values = (sums[ends] - sums[starts]) * down[starts]
-    return mixed(values + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    return (sums[ends] - sums[starts]) * down[starts]
+
+
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each byte range; equal bytes have equal hashes wherever they stand."""
+    return mixed(range_values(data, starts, ends) + (ends - starts).astype(np.uint64) * _LENGTH)
+
+
+def joined_hashes(values: np.ndarray, sizes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """``range_hashes`` of what parts ``starts[i] .. ends[i] - 1`` are joined, from their values and bytes."""
+    at = np.append(0, np.cumsum(sizes))
+    up, down = _powers_up_to(int(at[-1]) + 1)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[at[:-1]], out=sums[1:])
+    lengths = (at[ends] - at[starts]).astype(np.uint64)
+    return mixed((sums[ends] - sums[starts]) * down[at[starts]] + lengths * _LENGTH)
 
 
 def lowered(data: np.ndarray) -> np.ndarray:

@@ -5,6 +5,7 @@ Words are lower-cased and written as public byte-level BPE ids, a leading space
 ``VOCABULARY`` most frequent ids of all training texts, and others are spelled in bytes.
 Training:
 
+* one pass that encodes every text; ids are kept, two or four bytes each, and what follows reads them;
 * a count of the ids of all training texts, for the vocabulary;
 * a start on the driver, ``START_PASSES`` over at most ``START_DOCUMENTS`` whole training texts chosen
   by a hash (a documented bound);
@@ -36,7 +37,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldpulse.llm import attention
-from fieldpulse.llm.blocks import ENCODED_BYTES, Block, blocks, lowered, mixed, owners, range_hashes, spread, that_fit, words_of
+from fieldpulse.llm.blocks import (
+    ENCODED_BYTES,
+    Block,
+    blocks,
+    cuts_of,
+    joined_hashes,
+    lowered,
+    mixed,
+    owners,
+    range_hashes,
+    range_values,
+    spread,
+    that_fit,
+    tidied,
+    words_of,
+)
 from fieldpulse.llm.bpe import PieceCache, load_ranks
 from fieldpulse.llm.exchange import targets_for
 from fieldpulse.session import work_folder
@@ -63,17 +79,22 @@ def subword_encoder(path: str, ranks: np.ndarray | None = None) -> PieceCache:
     Ids that a model's ``ranks`` do not have are spelled byte by byte.
     """
     public = load_ranks(path)
-    whole = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=public, special_tokens={})
+    # Words have no line ends, so a text of a word a line is encoded in one go.
+    lines = tiktoken.Encoding("words", pat_str=r"\n| [^\n]*", mergeable_ranks=public, special_tokens={})
+    end = public[b"\n"]
     missing = set() if ranks is None else set(np.flatnonzero(ranks < 0).tolist())
 
     def spelled(ids: list[int]) -> list[int]:
         if missing.isdisjoint(ids):
             return ids
-        parts = ([public[bytes([b])] for b in whole.decode_single_token_bytes(i)] if i in missing else [i] for i in ids)
+        parts = ([public[bytes([b])] for b in lines.decode_single_token_bytes(i)] if i in missing else [i] for i in ids)
         return [j for own in parts for j in own]
 
     def encode(words: list[bytes]) -> list[list[int]]:
-        found = [whole.encode_ordinary(t) for t in (b"\n " + b"\n ".join(words)).decode("utf-8").split("\n")[1:]]
+        ids = lines.encode_to_numpy((b" " + b"\n ".join(words) + b"\n").decode("utf-8"))
+        ends = np.flatnonzero(ids == end).tolist()
+        every = ids.tolist()
+        found = [every[a:b] for a, b in zip([0, *(e + 1 for e in ends)], ends)]
         return list(map(spelled, found)) if missing else found
 
     return PieceCache(encode, CACHED_WORDS)
@@ -106,46 +127,133 @@ class Text:
         return flat[spread((np.cumsum(sizes) - sizes)[which], lengths)], upto[self.offsets]
 
 
+def _width(path: str) -> type:
+    return np.uint16 if _edge(path) <= 1 << 16 else np.uint32
+
+
+def encoded(documents: DataFrame, path: str) -> DataFrame:
+    """``documents`` with the ids of the public ranks in place of their ``text``, and its bytes as ``size``."""
+    others, width = [c for c in documents.columns if c != "text"], _width(path)
+    names = [*others, "ids", "size"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = subword_encoder(path)
+        for batch in batches:
+            for block in blocks(batch.column(len(others)), ENCODED_BYTES):
+                own = slice(block.first, block.first + block.size)
+                ids, first = Text(block).ids(known)
+                ends = first * width().itemsize
+                if ends[-1] > np.iinfo(np.int32).max:
+                    raise ValueError(f"a text of {len(ids)} subwords is too long for one value")
+                ends = pa.py_buffer(ends.astype(np.int32))
+                packed = pa.Array.from_buffers(pa.binary(), block.size, [None, ends, pa.py_buffer(ids.astype(width))])
+                size = pa.array(np.diff(block.offsets))
+                yield pa.RecordBatch.from_arrays([*(batch.column(i)[own] for i in range(len(others))), packed, size], names)
+
+    kinds = [f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in others]
+    return documents.select(*others, "text").mapInArrow(tidied(run), ", ".join([*kinds, "ids binary", "size long"]))
+
+
+class Vocabulary:
+    """What the public ids stand for: whether a word starts with them, and the bytes they add to a word."""
+
+    def __init__(self, path: str, ranks: np.ndarray | None = None):
+        """Ids that a model's ``ranks`` do not have are spelled byte by byte."""
+        public, edge = load_ranks(path), _edge(path)
+        tokens = [b""] * edge
+        for token, rank in public.items():
+            tokens[rank] = token
+        self.starts = np.array([t[:1] == b" " for t in tokens])
+        tokens = [t[t[:1] == b" " :] for t in tokens]
+        self.sizes = np.array([len(t) for t in tokens])
+        ends = np.cumsum(self.sizes)
+        self.values = range_values(np.frombuffer(b"".join(tokens), np.uint8), ends - self.sizes, ends)
+        self.missing = np.zeros(edge, bool) if ranks is None else ranks[:edge] < 0
+        spelled = [[i] for i in range(edge)]
+        for i in np.flatnonzero(self.missing).tolist():
+            spelled[i] = [public[bytes([b])] for b in (b" " * bool(self.starts[i]) + tokens[i])]
+        self._lengths = np.array([len(x) for x in spelled])
+        self._first = np.cumsum(self._lengths) - self._lengths
+        self._spelled = np.array([i for x in spelled for i in x])
+
+    def spelled(self, ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids in those the model has, and the first one of each document."""
+        if not self.missing[ids].any():
+            return ids, first
+        lengths = self._lengths[ids]
+        return self._spelled[spread(self._first[ids], lengths)], np.append(0, np.cumsum(lengths))[first]
+
+
+class Encoded:
+    """A block of ids: as :class:`Text`, the hashes of its words and the first word of each document."""
+
+    def __init__(self, ids: np.ndarray, first: np.ndarray, known: Vocabulary):
+        self.ids, self.first, self.size = ids, first, len(first) - 1
+        starts = known.starts[ids]
+        at = np.flatnonzero(starts)
+        self.offsets = np.append(0, np.cumsum(starts))[first]
+        self.hashes = joined_hashes(known.values[ids], known.sizes[ids], at, np.append(at[1:], len(ids))[: len(at)])
+
+
+def ids_of(packed: pa.Array, width: type) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of a column, and the first one of each row."""
+    if not len(packed):
+        return np.zeros(0, width), np.zeros(1, np.int64)
+    _, ends, content = packed.buffers()
+    first = np.frombuffer(ends, np.int32)[packed.offset : packed.offset + len(packed) + 1].astype(np.int64)
+    data = np.frombuffer(content, np.uint8) if content is not None else np.zeros(0, np.uint8)
+    return data[first[0] : first[-1]].view(width), (first - first[0]) // width().itemsize
+
+
+def encoded_blocks(batch: pa.RecordBatch, known: Vocabulary, width: type) -> Iterator[tuple[slice, Encoded]]:
+    """The rows of a batch, whose last columns are ``ids`` and ``size``, in the blocks of their texts."""
+    packed, size = batch.columns[-2:]
+    ids, first = ids_of(packed, width)
+    for at, to in cuts_of(np.append(0, np.cumsum(size.to_numpy())), ENCODED_BYTES):
+        own = ids[first[at] : first[to]].astype(np.int64)
+        yield slice(at, to), Encoded(own, first[at : to + 1] - first[at], known)
+
+
 # -- training ----------------------------------------------------------------------------------------
 
 
-def _id_counts(training: DataFrame, path: str) -> np.ndarray:
-    """How often all training texts have each id, and at the end the number of texts."""
+def _id_counts(training: DataFrame, path: str, ids: DataFrame | None = None) -> np.ndarray:
+    """How often all training texts, or their ``ids``, have each id, and at the end the number of texts."""
+    ids, width = encoded(training.select("text"), path) if ids is None else ids, _width(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts = subword_encoder(path), np.zeros(_edge(path) + 1, np.int64)
+        counts = np.zeros(_edge(path) + 1, np.int64)
         for batch in batches:
-            for block in blocks(batch.column(0), ENCODED_BYTES):
-                text = Text(block)
-                counts += np.bincount(text.ids(known)[0], minlength=len(counts))
-                counts[-1] += text.size
+            counts += np.bincount(ids_of(batch.column(0), width)[0], minlength=len(counts))
+            counts[-1] += batch.num_rows
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(counts[seen])], ["id", "n"])
 
-    rows = training.select("text").mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    rows = ids.select("ids").mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(_edge(path) + 1, np.int64)
     counts[rows["id"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
     return counts
 
 
-def _start(training: DataFrame, path: str) -> attention.Trainer:
+def _start(training: DataFrame, path: str, ids: DataFrame | None = None) -> attention.Trainer:
     order = [F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")]
-    ids = training.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("size"), F.xxhash64("text").alias("tie"))
-    first = ids.orderBy(F.xxhash64("doc_id"), "doc_id", "tie").limit(START_DOCUMENTS).toPandas()
+    sizes = training.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("size"), F.xxhash64("text").alias("tie"))
+    first = sizes.orderBy(F.xxhash64("doc_id"), "doc_id", "tie").limit(START_DOCUMENTS).toPandas()
     chosen = first["doc_id"][np.array(that_fit(first["size"].tolist(), START_CHARS), bool)].unique().tolist()
     wanted = training.sparkSession.createDataFrame([(i,) for i in chosen], f"doc_id {training.schema['doc_id'].dataType.simpleString()}")
     wanted = F.broadcast(wanted)
     texts = training.join(wanted, "doc_id", "left_semi").orderBy(*order).select("text").toPandas()["text"]
     words = [Text(block) for block in blocks(pa.array(texts.tolist(), pa.string()))]
-    counts = _id_counts(training, path)
+    counts = _id_counts(training, path, ids)
     # The model has the most frequent ids, and all bytes, so that it can spell everything.
     seen = np.argsort(-counts, kind="stable")[:VOCABULARY]
     letters = [rank for token, rank in load_ranks(path).items() if len(token) == 1]
     model = attention.new_model(counts, np.union1d(seen[counts[seen] > 0], letters))
     trainer, known = attention.Trainer(model), subword_encoder(path, model.ranks)
+    own = [text.ids(known) for text in words]
     for _ in range(START_PASSES):
-        for text in words:
-            trainer.learn(*text.ids(known))
+        for text in own:
+            trainer.learn(*text)
     return trainer
 
 
@@ -219,17 +327,18 @@ class Learned:
     frequent: tuple[np.ndarray, np.ndarray]
 
 
-def learn(training: DataFrame, path: str, targets: int) -> Learned:
-    """One pass over all training texts, and the sums of what its tasks counted."""
-    spark = training.sparkSession
-    trained = _start(training, path)
+def learn(training: DataFrame, path: str, targets: int, ids: DataFrame | None = None) -> Learned:
+    """One pass over all training texts, or their ``ids``, and the sums of what its tasks counted."""
+    spark, width = training.sparkSession, _width(path)
+    ids = encoded(training.select("text"), path) if ids is None else ids
+    trained = _start(training, path, ids)
     start = trained.model
     shared = spark.sparkContext.broadcast((start, trained.sums))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begun, sums = shared.value
         model = attention.Model({n: w.copy() for n, w in begun.weights.items()}, begun.ranks)
-        trainer, known = attention.Trainer(model, attention.RATE / 2, sums), subword_encoder(path, model.ranks)
+        trainer, known = attention.Trainer(model, attention.RATE / 2, sums), Vocabulary(path, model.ranks)
         words, counts, held, places, total = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0, 0
 
         def counted() -> pa.RecordBatch:
@@ -238,8 +347,7 @@ def learn(training: DataFrame, path: str, targets: int) -> Learned:
             return packed_rows(entries, words, targets, [pa.int64(), pa.binary(), pa.int64()], names)
 
         for batch in batches:
-            for block in blocks(batch.column(0), ENCODED_BYTES):
-                text = Text(block)
+            for _, text in encoded_blocks(batch, known, width):
                 held.append(text.hashes)
                 total += len(text.hashes)
                 if sum(map(len, held)) > ROWS_AT_ONCE:
@@ -248,7 +356,7 @@ def learn(training: DataFrame, path: str, targets: int) -> Learned:
                     if len(words) > ROWS_AT_ONCE:
                         yield counted()
                         words, counts = words[:0], counts[:0]
-                places += trainer.learn(*text.ids(known))
+                places += trainer.learn(*known.spelled(text.ids, text.first))
         words, counts = summed(np.concatenate([words, *held]), counts)
         yield counted()
         yield pa.RecordBatch.from_arrays(
@@ -264,7 +372,7 @@ def learn(training: DataFrame, path: str, targets: int) -> Learned:
 
     names = ["target", "packed", "total", "weights", "places"]
     folder = work_folder(spark, "language_model")
-    rows = training.select("text").mapInArrow(run, "target int, packed binary, total long, weights binary, places long")
+    rows = ids.select("ids", "size").mapInArrow(tidied(run), "target int, packed binary, total long, weights binary, places long")
     rows.write.parquet(f"{folder}/learned")
     learned = spark.read.parquet(f"{folder}/learned")
     mean = _averaged(learned.where("weights is not null"), folder)
@@ -305,57 +413,58 @@ def score(documents: DataFrame, held_out: Column, path: str) -> DataFrame:
 
     Columns ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
     """
-    spark = documents.sparkSession
+    spark, width = documents.sparkSession, _width(path)
     targets = targets_for(documents)
-    training = documents.where(~held_out & F.col("doc_id").isNotNull())
-    learned = learn(training, path, targets)
-    ends = training.count()
+    trained = ~held_out & F.col("doc_id").isNotNull()
+    folder = work_folder(spark, "language_model")
+    rows = encoded(documents.select("doc_id", held_out.alias("held_out"), trained.alias("trained"), "text"), path)
+    rows.write.parquet(f"{folder}/encoded")
+    every = spark.read.schema(rows.schema).parquet(f"{folder}/encoded")
+    learned = learn(documents.where(trained), path, targets, every.where("trained"))
+    ends = every.where("trained").count()
     tokens, distinct = learned.total + ends, learned.distinct + (ends > 0)
     shared = spark.sparkContext.broadcast((learned.model, learned.frequent))
     floor = float(np.log10(tokens + distinct + 1))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, (frequent, counts) = shared.value
-        known = subword_encoder(path, model.ranks)
+        known = Vocabulary(path, model.ranks)
         row = TaskContext.get().partitionId() << 40
         held, many = [], 0
 
         for batch in batches:
-            for block in blocks(batch.column(2), ENCODED_BYTES):
-                own = slice(block.first, block.first + block.size)
-                text = Text(block)
-                ids, first = text.ids(known)
-                scores = attention.score_texts(model, ids, first)
-                rows = row + np.arange(block.size)
-                row += block.size
+            for own, text in encoded_blocks(batch, known, width):
+                scores = attention.score_texts(model, *known.spelled(text.ids, text.first))
+                rows = row + np.arange(text.size)
+                row += text.size
                 of = owners(text.offsets)
-                at = np.minimum(np.searchsorted(frequent, text.hashes), max(0, len(frequent) - 1))
-                common = frequent[at] == text.hashes if len(frequent) else np.zeros(len(of), bool)
-                base = np.bincount(of[common], np.log10(counts[at[common]] + 1), block.size)
+                words, which = np.unique(text.hashes, return_inverse=True)
+                at = np.minimum(np.searchsorted(frequent, words), max(0, len(frequent) - 1))
+                common = frequent[at] == words if len(frequent) else np.zeros(len(words), bool)
+                shares = np.where(common, np.log10(counts[at] + 1), 0) if len(frequent) else np.zeros(len(words))
+                base = np.bincount(of, shares[which], text.size)
                 base = base + np.log10(ends + 1) - (np.diff(text.offsets) + 1) * floor
-                seen = np.bincount(of[common], minlength=block.size) + (ends > 0)
+                seen = np.bincount(of, common[which], text.size).astype(np.int64) + (ends > 0)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array((mixed(rows.astype(np.uint64)) % np.uint64(targets)).astype(np.int32)),
-                        pa.nulls(block.size, pa.binary()),
+                        pa.nulls(text.size, pa.binary()),
                         pa.array(rows),
                         *(batch.column(i)[own] for i in (0, 1)),
                         pa.array(np.diff(text.offsets) + 1),
-                        pa.array(seen.astype(np.int64)),
+                        pa.array(seen),
                         pa.array(base),
                         pa.array(scores),
                     ],
                     names,
                 )
-                rare, of = text.hashes[~common], of[~common]
-                order = np.lexsort((rare, of))
-                rare, of = rare[order], of[order]
-                new = np.flatnonzero(np.append(True, (rare[1:] != rare[:-1]) | (of[1:] != of[:-1]))) if len(of) else of
-                entries = np.zeros(len(new), _ENTRY)
-                entries["word"], entries["row"] = rare[new], rows[of[new]]
-                entries["times"] = np.diff(np.append(new, len(rare)))
-                trained = batch.column(3)[own].to_numpy(zero_copy_only=False)
-                entries["trained"] = np.where(trained[of[new]], entries["times"], 0)
+                rare = ~common[which]
+                pairs, times = np.unique(of[rare] * len(words) + which[rare], return_counts=True)
+                of, which = np.divmod(pairs, max(1, len(words)))
+                entries = np.zeros(len(pairs), _ENTRY)
+                entries["word"], entries["row"], entries["times"] = words[which], rows[of], times
+                learned_from = batch.column(2)[own].to_numpy(zero_copy_only=False)
+                entries["trained"] = np.where(learned_from[of], times, 0)
                 held.append(entries)
                 many += len(entries)
                 if many > ROWS_AT_ONCE // 2:
@@ -411,8 +520,6 @@ def score(documents: DataFrame, held_out: Column, path: str) -> DataFrame:
     names = ["target", "packed", "row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
     id_type = {"string": pa.string(), "int": pa.int32()}.get(kind, pa.int64())
     kinds = [pa.int32(), pa.binary(), pa.int64(), id_type, pa.bool_(), *[pa.int64()] * 2, *[pa.float64()] * 2]
-    trained = ~held_out & F.col("doc_id").isNotNull()
-    sent = documents.select("doc_id", held_out.alias("held_out"), "text", trained.alias("trained"))
-    sent = sent.mapInArrow(send, whole_row).repartitionById(targets, F.col("target"))
+    sent = every.mapInArrow(tidied(send), whole_row).repartitionById(targets, F.col("target"))
     rare = sent.mapInArrow(count_rare, whole_row).repartitionById(targets, F.col("target"))
     return rare.mapInArrow(add_up, result).withColumn("train_tokens", F.lit(tokens).cast("long"))
